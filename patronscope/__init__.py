@@ -1 +1,8 @@
 """Customer analytics as composable PySpark DataFrame operators."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run inside tasks travel with the job, so executors do not need this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -146,10 +146,10 @@ def maximise(table: DataFrame, columns: list[str], loglik: Callable, size: int,
         step *= min(1.0, 2.0 / max(np.abs(step).max(), 1e-12))
         tried = objective(here + np.outer(ladder, step))
         best = int(np.argmin(tried))
-        if tried[best] >= f[0] - 1e-12:
+        if tried[best] >= f[0]:
             break
         here = here + ladder[best] * step
-        if np.abs(ladder[best] * step).max() < 1e-7:
+        if f[0] - tried[best] <= 1e-10 * max(1.0, abs(f[0])):
             break
     return np.exp(here)
 

@@ -20,6 +20,7 @@ MIN_SAMPLES = 5
 EPS_QUANTILE = 0.85
 CROWDED = 64
 CUBE_REACH = 2
+PAIRS_PER_SITE = 64
 AXES = ("x0", "x1", "x2")
 NOISE = -1
 _MAX_HALVINGS = 40
@@ -36,10 +37,11 @@ def _cells(side: float, prefix: str = "g") -> list[Column]:
     return [F.floor(F.col(a) / F.lit(side)).alias(f"{prefix}{i}") for i, a in enumerate(AXES)]
 
 
-def _offsets(reach: int, names: Sequence[str] = ("o0", "o1", "o2")) -> Column:
-    span = range(-reach, reach + 1)
-    return F.inline(F.array(*[
-        F.struct(*[F.lit(v).alias(n) for n, v in zip(names, (a, b, c))]) for a in span for b in span for c in span]))
+def _visit(df: DataFrame, reach: int) -> DataFrame:
+    """Every row once per cube within ``reach`` of its own, the shift in o0, o1, o2."""
+    for i in range(3):
+        df = df.select("*", F.explode(F.sequence(F.lit(-reach), F.lit(reach))).alias(f"o{i}"))
+    return df
 
 
 def _near(left: DataFrame, right: DataFrame, side: float, reach: int, limit: float) -> DataFrame:
@@ -48,7 +50,7 @@ def _near(left: DataFrame, right: DataFrame, side: float, reach: int, limit: flo
     The left side visits the cubes around its own; an equi-join on the cube finds the right side.
     """
     g = ["g0", "g1", "g2"]
-    visiting = left.select("site", *AXES, *_cells(side)).select("*", _offsets(reach)).select(
+    visiting = _visit(left.select("site", *AXES, *_cells(side)), reach).select(
         F.col("site").alias("a"), *[F.col(x).alias(f"a_{x}") for x in AXES],
         *[(F.col(c) + F.col(f"o{i}")).alias(c) for i, c in enumerate(g)])
     found = visiting.join(right.select("*", *_cells(side)), g)
@@ -129,14 +131,27 @@ def _box_gap(side: float) -> Column:
     return F.sqrt(sum((g * g for g in gaps), F.lit(0.0)))
 
 
+def _meet_directly(pairs: DataFrame, core: DataFrame, side: float, eps: float) -> DataFrame:
+    """Settle the remaining cube pairs site by site; the caller has checked that this is linear work overall."""
+    placed = core.select("node", *AXES, *_cells(side))
+    for p, node in (("a", "u"), ("b", "v")):
+        one = placed.select(F.col("node").alias(node), *[F.col(f"g{i}").alias(f"{p}{i}") for i in range(3)],
+                            *[F.col(x).alias(f"{p}_{x}") for x in AXES])
+        pairs = pairs.join(one, [node, *[f"{p}{i}" for i in range(3)]])
+    squared = sum((F.pow(F.col(f"a_{x}") - F.col(f"b_{x}"), 2) for x in AXES), F.lit(0.0))
+    return pairs.where(F.sqrt(squared) <= eps).select("u", "v").distinct()
+
+
 def _linked_cells(core: DataFrame, side: float, eps: float) -> DataFrame:
     """Pairs (u, v) of core cubes that hold two core sites within ``eps`` of each other.
 
     Each cube is represented by one of its sites. A pair of representatives within ``eps`` settles its cubes; otherwise
-    both cubes are halved along every axis and only sub-cubes that could still be close go on, until single sites remain.
-    No cube is ever multiplied out against another.
+    both cubes are halved along every axis and only sub-cubes that could still be close go on. The rest is settled site by
+    site once the remaining combinations are counted to be no more than a fixed multiple of the number of sites, so two
+    crowded cubes are never multiplied out against each other.
     """
     level_side = side
+    core_sites = core.count()
     cube = ["g0", "g1", "g2"]
 
     def level(s: float) -> DataFrame:
@@ -148,7 +163,7 @@ def _linked_cells(core: DataFrame, side: float, eps: float) -> DataFrame:
                          F.col("rep").alias(f"{p}_rep"), F.col("c").alias(f"{p}_c"))
 
     now = level(level_side)
-    around = now.select("*", _offsets(CUBE_REACH)).select(
+    around = _visit(now, CUBE_REACH).select(
         F.col("node").alias("u"), F.col("rep").alias("a_rep"), F.col("c").alias("a_c"),
         *[F.col(c).alias(f"a{i}") for i, c in enumerate(cube)], *[(F.col(c) + F.col(f"o{i}")).alias(f"b{i}") for i, c in enumerate(cube)])
     pairs = around.join(pick(now, "b"), ["b0", "b1", "b2"]).where((F.col("u") < F.col("v")) & (_box_gap(level_side) <= eps))
@@ -159,13 +174,17 @@ def _linked_cells(core: DataFrame, side: float, eps: float) -> DataFrame:
         met = judged.where("met").select("u", "v").distinct().checkpoint()
         linked = met if linked is None else linked.unionByName(met)
         open_pairs = judged.where("NOT met AND (a_c > 1 OR b_c > 1)").join(met, ["u", "v"], "left_anti")
-        open_pairs = open_pairs.select("u", "v", *[f"{p}{i}" for p in "ab" for i in range(3)]).checkpoint()
-        if open_pairs.isEmpty():
+        open_pairs = open_pairs.select("u", "v", "a_c", "b_c", *[f"{p}{i}" for p in "ab" for i in range(3)]).checkpoint()
+        work = open_pairs.agg(F.sum(F.col("a_c").cast("double") * F.col("b_c"))).first()[0] or 0.0
+        if work == 0:
             return linked.distinct()
+        if work <= PAIRS_PER_SITE * core_sites:
+            return linked.unionByName(_meet_directly(open_pairs, core, level_side, eps)).distinct()
         level_side /= 2
         finer = level(level_side)
         parents = [F.floor(F.col(c) / 2).alias(f"p{i}") for i, c in enumerate(cube)]
         child = finer.select("*", *parents)
+        open_pairs = open_pairs.drop("a_c", "b_c")
         for p, node in (("a", "u"), ("b", "v")):
             side_rows = child.select(
                 F.col("node").alias(node), *[F.col(c).alias(f"n{p}{i}") for i, c in enumerate(cube)],

@@ -70,7 +70,7 @@ class Workspace:
 
     @cached_property
     def customers(self) -> DataFrame:
-        return self.stage.table("customers", lambda: cleaning.customers_dim(self.valid))
+        return cleaning.customers_dim(self.valid)
 
     @cached_property
     def summary(self) -> DataFrame:
@@ -87,8 +87,8 @@ class Workspace:
 
     @cached_property
     def profile(self) -> DataFrame:
-        """Segments with the customer's country."""
-        return self.segments.join(self.customers, "customer_id")
+        """Segments with the customer's country, which the staged summary already carries."""
+        return self.segments.join(self.summary.select("customer_id", "country"), "customer_id")
 
     @cached_property
     def scaled(self) -> DataFrame:

@@ -23,6 +23,8 @@ def build_session(app: str = "patronscope", master: str | None = None, shuffle_p
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Recording a Python call site for every column expression is the largest driver cost of building a plan.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")

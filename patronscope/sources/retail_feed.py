@@ -23,7 +23,7 @@ def raw_transactions(spark: SparkSession, folder: str) -> DataFrame:
     part_key, order_key = F.col("l_partkey"), F.col("l_orderkey")
     cancelled = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") <= 2)
     returned = (F.col("l_linenumber") == 7) & (F.col("l_linestatus") == "O")
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    cents = F.floor(F.col("l_extendedprice") * 100 + 0.5)
     pieces = F.col("l_quantity").cast("int")
 
     return (
@@ -38,7 +38,7 @@ def raw_transactions(spark: SparkSession, folder: str) -> DataFrame:
             (F.when(returned, -1).otherwise(1) * pieces).alias("quantity"),
             F.timestamp_add("HOUR", (order_key % 24).cast("int"), F.col("o_orderdate")).alias("invoice_date"),
             F.when(part_key % 97 == 0, 0.0)
-            .otherwise(F.floor(cents / pieces.cast("bigint")).cast("double") / 100).alias("unit_price"),
+            .otherwise(F.floor(cents / pieces).cast("double") / 100).alias("unit_price"),
             F.when(order_key % 13 == 0, None).when(order_key % 17 == 0, " ")
             .otherwise(F.col("o_custkey").cast("string")).alias("customer_id"),
             "country",
