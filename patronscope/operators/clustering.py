@@ -141,7 +141,7 @@ def segment_mean_median(df: DataFrame, columns: Sequence[str], by: str = "segmen
     medians = F.broadcast(group_quantiles(long, "x", {"median": 0.5}, [by, "metric"]).drop("n"))
     means = long.groupBy(by, "metric").agg(money_avg("x").alias("mean"))
     return means.join(medians, [by, "metric"]).select(
-        by, "metric", round_to("mean", 1).alias("mean"), round_to("median", 1).alias("median"))
+        by, "metric", round_to("mean", 1).alias("mean"), round_to(round_to("median", 4), 1).alias("median"))
 
 
 def cluster_summary(df: DataFrame, by: str = "segment_label") -> DataFrame:

@@ -349,7 +349,7 @@ def clv_hist(predictions: DataFrame, bins: int = 50) -> DataFrame:
     return clipped.join(limits).groupBy(
         equal_width_bin(F.col("x"), F.col("lo"), F.col("hi"), bins).alias("bin"), "mean", "median"
     ).agg(F.count(F.lit(1)).alias("customers")).select(
-        "bin", "customers", round_to("mean", 2).alias("mean"), round_to("median", 2).alias("median"))
+        "bin", "customers", round_to("mean", 2).alias("mean"), round_to(round_to("median", 4), 2).alias("median"))
 
 
 def alive_hist(predictions: DataFrame, bins: int = 40) -> DataFrame:

@@ -96,7 +96,7 @@ def segment_box(seg: DataFrame, columns: Sequence[str] = METRICS) -> DataFrame:
         long.join(boxes, keys).groupBy(*keys, "q1", "median", "q3")
         .agg(F.min(F.when(inside_low, F.col("x"))).alias("low"), F.max(F.when(inside_high, F.col("x"))).alias("high"),
              money_avg("x").alias("mean"))
-        .select(*keys, *[round_to(c, 3).alias(c) for c in ("q1", "median", "q3", "low", "high", "mean")])
+        .select(*keys, *[round_to(c, 4).alias(c) for c in ("q1", "median", "q3", "low", "high", "mean")])
     )
 
 
@@ -124,6 +124,6 @@ def describe_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.count("x").alias("n"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
         F.min("x").alias("min"), F.max("x").alias("max"))
     return basic.join(boxes, "column_name", "left").select(
-        "column_name", "n", *[round_to(c, 2).alias(c) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")])
+        "column_name", "n", *[round_to(c, 4).alias(c) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")])
 
 

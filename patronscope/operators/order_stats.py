@@ -7,6 +7,8 @@ Two aggregations find any number of ranks in any number of groups:
 
 Both combine on the map side, so a value that holds a third of all rows is one counter, not one task. Only the distinct
 values inside a bracket (under one percent of the rows) meet in a window, which yields the exact value at the rank.
+
+A table whose planned size is below ``DIRECT_BYTES`` skips the brackets: one task can sort it whole.
 """
 
 from __future__ import annotations
@@ -20,12 +22,25 @@ from ..functions.numeric import amount, units
 GRID = 500
 ACCURACY = 10_000
 UNBRACKETED = 20_000
+DIRECT_BYTES = 1 << 20
 _GRID_SQL = ", ".join(f"{i / GRID!r}D" for i in range(GRID + 1))
 
 # Rank name -> SQL expression over the group's row count ``n`` and the group columns.
 Ranks = dict[str, str]
 
 
+def is_small(df: DataFrame) -> bool:
+    """Whether the optimizer's size estimate, the one broadcast decisions use, is below ``DIRECT_BYTES``.
+
+    An input of unknown size counts as large.
+    """
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= DIRECT_BYTES
+
+
+def _named(ranks: Ranks) -> str:
+    return ", ".join(f"named_struct('stat', '{name}', 'rank', CAST({rank} AS BIGINT))" for name, rank in ranks.items())
+
+
 def order_statistics(df: DataFrame, value: Column | str, ranks: Ranks, by: Sequence[str] = ()) -> DataFrame:
     """Values at 1-based ascending ranks: one row per group and rank name.
 
@@ -35,12 +50,17 @@ def order_statistics(df: DataFrame, value: Column | str, ranks: Ranks, by: Seque
     keys = list(by)
     value = F.col(value) if isinstance(value, str) else value
     rows = df.select(*keys, value.alias("_v")).where("_v IS NOT NULL")
+    if is_small(rows):
+        part = f"PARTITION BY {', '.join(keys)}" if keys else ""
+        return rows.selectExpr(
+            *keys, "_v AS value", f"count(1) OVER ({part}) AS n", f"row_number() OVER ({part} ORDER BY _v) AS _rn",
+            f"CAST(rank() OVER ({part} ORDER BY _v) - 1 AS BIGINT) AS below",
+        ).selectExpr(*keys, f"inline(filter(array({_named(ranks)}), t -> t.rank = _rn))", "n", "below", "value")
 
     profile = rows.groupBy(*keys).agg(
         F.expr("count(1) AS n"), F.expr(f"percentile_approx(_v, array({_GRID_SQL}), {ACCURACY}) AS _grid")
     )
-    named = ", ".join(f"named_struct('stat', '{name}', 'rank', CAST({rank} AS BIGINT))" for name, rank in ranks.items())
-    bracket = f"""transform(filter(array({named}), t -> t.rank BETWEEN 1 AND n), t -> named_struct(
+    bracket = f"""transform(filter(array({_named(ranks)}), t -> t.rank BETWEEN 1 AND n), t -> named_struct(
         'stat', t.stat, 'rank', t.rank, 'n', n,
         '_low', IF(n > {UNBRACKETED}, element_at(_grid, CAST(greatest(floor(t.rank / n * {GRID}), 1) AS INT)), NULL),
         '_high', IF(n > {UNBRACKETED},
@@ -125,6 +145,12 @@ def key_cuts(df: DataFrame, metrics: dict[str, str], key: str, ranks: Ranks) ->
     """
     structs = ", ".join(f"named_struct('metric', '{m}', 'x', CAST({sql} AS DOUBLE))" for m, sql in metrics.items())
     long = df.selectExpr(f"{key} AS _key", f"inline(array({structs}))")
+    if is_small(long):
+        return long.selectExpr(
+            "metric", "x AS value", "_key AS key", "count(1) OVER (PARTITION BY metric) AS n",
+            "row_number() OVER (PARTITION BY metric ORDER BY x, _key) AS _rn",
+        ).selectExpr("metric", f"inline(filter(array({_named(ranks)}), t -> t.rank = _rn))", "value", "key").selectExpr(
+            "metric", "stat AS cut", "value", "key").collect()
     first = order_statistics(long, "x", ranks, ["metric"]).collect()
     if not first:
         return []

@@ -44,14 +44,16 @@ def days_between(later: Column, earlier: Column) -> Column:
 
 
 def rfm_raw(summary: DataFrame, snapshot: str = "midnight") -> DataFrame:
-    """Recency, frequency and monetary value of customers with at least one order and positive revenue."""
-    reference = F.broadcast(summary.agg(_snapshot(F.max("last_purchase"), snapshot).alias("_at")))
+    """Recency, frequency and monetary value of customers with at least one order and positive revenue.
+
+    The reference date is fetched first (one value), so the table itself is a plain projection of the summary.
+    """
+    at = summary.agg(_snapshot(F.max("last_purchase"), snapshot).cast("string").alias("at")).first()["at"]
     return (
         summary.where((F.col("total_orders") >= 1) & (F.col("total_revenue") > 0))
-        .join(reference)
         .select(
             "customer_id",
-            days_between(F.col("_at"), F.col("last_purchase")).alias("recency_days"),
+            days_between(F.lit(at).cast("timestamp_ntz"), F.col("last_purchase")).alias("recency_days"),
             F.col("total_orders").alias("frequency"),
             F.col("total_revenue").alias("monetary"),
         )

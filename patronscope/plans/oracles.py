@@ -350,7 +350,7 @@ def _bodies() -> dict[str, str]:
     q["dq_revenue_sanity"] = f"""SELECT {r(msum('total_amount'), 2)} AS total_revenue, {r(msum('total_amount') + ' / count(*)', 2)} AS avg_line_item,
  {r('min(total_amount)', 2)} AS min_line_item, {r('max(total_amount)', 2)} AS max_line_item FROM tx"""
     stats = {"mean": "avg(x)", "std": "stddev_samp(x)", "min": "min(x)", "q25": _quantile(0.25), "q50": _quantile(0.5), "q75": _quantile(0.75), "max": "max(x)"}
-    q["describe_table"] = f"SELECT column_name, count(*) AS n, {', '.join(f'{r(v, 2)} AS {k}' for k, v in stats.items())} FROM {_unpivot('seg', RFM3, name='column_name')} GROUP BY 1"
+    q["describe_table"] = f"SELECT column_name, count(*) AS n, {', '.join(f'{r(v, 4)} AS {k}' for k, v in stats.items())} FROM {_unpivot('seg', RFM3, name='column_name')} GROUP BY 1"
     q["clean_sql_rules"] = "SELECT * FROM lines"
     q["clean_py_rules"] = "SELECT * FROM lenient"
     q["outlier_cut_disc"] = "SELECT * FROM tx"
@@ -472,7 +472,7 @@ def _bodies() -> dict[str, str]:
  (SELECT day_of_week, {r(msum('total_amount'), 2)} AS revenue FROM retail GROUP BY 1) s ON s.day_of_week = d.name"""
     q["rfm_score_hist"] = "SELECT rfm_score, segment_label, count(*) AS customers FROM seg GROUP BY 1, 2"
     box = _unpivot("seg", RFM3, "segment_label")
-    out = ", ".join(f"{r(c, 3)} AS {c}" for c in ("q1", "median", "q3", "low", "high", "mean"))
+    out = ", ".join(f"{r(c, 4)} AS {c}" for c in ("q1", "median", "q3", "low", "high", "mean"))
     q["segment_box"] = f"""SELECT segment_label, metric, {out} FROM (SELECT segment_label, metric, q1, median, q3,
  min(CASE WHEN x >= q1 - 1.5 * (q3 - q1) THEN x END) AS low, max(CASE WHEN x <= q3 + 1.5 * (q3 - q1) THEN x END) AS high, {mavg('x')} AS mean
  FROM {box} d JOIN (SELECT segment_label, metric, {_quantile(0.25)} AS q1, {_quantile(0.5)} AS median, {_quantile(0.75)} AS q3 FROM {box} GROUP BY 1, 2) b
@@ -619,7 +619,7 @@ def _bodies() -> dict[str, str]:
     q["alive_grid"] = f"SELECT {fbin} AS f_bin, " + ", ".join(
         f"{r(mavg(f'CASE WHEN recency > {a} AND recency <= {b} THEN prob_alive END'), 4)} AS r_{b}" for a, b in zip(re_, re_[1:])
     ) + f" FROM fb WHERE {fbin} IS NOT NULL AND recency > 0 AND recency <= 52 GROUP BY 1"
-    q["clv_hist"] = f"""SELECT {bins('x', 'lo', 'hi', 50)} AS bin, count(*) AS customers, {r('any_value(mean)', 2)} AS mean, {r('any_value(median)', 2)} AS median FROM
+    q["clv_hist"] = f"""SELECT {bins('x', 'lo', 'hi', 50)} AS bin, count(*) AS customers, {r('any_value(mean)', 2)} AS mean, {r(r('any_value(median)', 4), 2)} AS median FROM
  (SELECT x FROM (SELECT least(greatest(clv_predicted, 0.0), cap) AS x FROM fb, (SELECT quantile_cont(clv_predicted, 0.98) AS cap FROM fb))),
  (SELECT min(x) AS lo, max(x) AS hi, {mavg('x')} AS mean, median(x) AS median FROM (SELECT least(greatest(clv_predicted, 0.0), cap) AS x FROM fb,
  (SELECT quantile_cont(clv_predicted, 0.98) AS cap FROM fb))) GROUP BY 1"""
@@ -627,7 +627,7 @@ def _bodies() -> dict[str, str]:
  (SELECT min(prob_alive) AS lo, max(prob_alive) AS hi, {pct('count(*) FILTER (prob_alive >= 0.5)', 'count(*)')} AS pct_alive FROM fb) GROUP BY 1"""
 
     seven = ("recency_days", "frequency", "monetary", "rfm_score", "r_score", "f_score", "m_score")
-    q["segment_mean_median"] = f"SELECT segment_label, metric, {r(mavg('x'), 1)} AS mean, {r('median(x)', 1)} AS median FROM {_unpivot('seg', seven, 'segment_label')} GROUP BY 1, 2"
+    q["segment_mean_median"] = f"SELECT segment_label, metric, {r(mavg('x'), 1)} AS mean, {r(r('median(x)', 4), 1)} AS median FROM {_unpivot('seg', seven, 'segment_label')} GROUP BY 1, 2"
     q["cluster_summary"] = f"""SELECT segment_label, customers, avg_recency, avg_frequency, avg_monetary, {r('rev', 1)} AS total_revenue, avg_rfm_score,
  {pct('customers', 'sum(customers) OVER ()')} AS pct_customers, {pct('rev', 'sum(rev) OVER ()')} AS pct_revenue FROM (SELECT segment_label, count(*) AS customers,
  {r('avg(recency_days)', 1)} AS avg_recency, {r('avg(frequency)', 1)} AS avg_frequency, {r(mavg('monetary'), 1)} AS avg_monetary, {msum('monetary')} AS rev,

@@ -17,9 +17,14 @@ def skewed(spark):
     return spark.createDataFrame(rows, "customer_id long, v double, g string").repartition(6).cache(), values
 
 
-@pytest.mark.parametrize("bracket_from", [0, 10**9])
-def test_order_statistics_match_sorting(monkeypatch, skewed, bracket_from):
+# Brackets on every input, no brackets, and the whole table in one task.
+WAYS = [(0, 0), (10**9, 0), (0, 1 << 80)]
+
+
+@pytest.mark.parametrize("bracket_from,direct", WAYS)
+def test_order_statistics_match_sorting(monkeypatch, skewed, bracket_from, direct):
     monkeypatch.setattr(order_stats, "UNBRACKETED", bracket_from)
+    monkeypatch.setattr(order_stats, "DIRECT_BYTES", direct)
     df, values = skewed
     ranks = [1, 2, 37, 999, 1500, 2222, len(values) - 1, len(values)]
     found = order_stats.order_statistics(df, "v", {f"k{r}": str(r) for r in ranks} | {"none": "n + 1", "zero": "0"}).collect()
@@ -31,9 +36,10 @@ def test_order_statistics_match_sorting(monkeypatch, skewed, bracket_from):
         assert got[f"k{r}"]["below"] == int((ordered < ordered[r - 1]).sum())
 
 
-@pytest.mark.parametrize("bracket_from", [0, 10**9])
-def test_group_quantiles_match_numpy(monkeypatch, skewed, bracket_from):
+@pytest.mark.parametrize("bracket_from,direct", WAYS)
+def test_group_quantiles_match_numpy(monkeypatch, skewed, bracket_from, direct):
     monkeypatch.setattr(order_stats, "UNBRACKETED", bracket_from)
+    monkeypatch.setattr(order_stats, "DIRECT_BYTES", direct)
     df, _ = skewed
     local = df.where("v IS NOT NULL").toPandas()
     for row in order_stats.group_quantiles(df, "v", {"q1": 0.25, "med": 0.5, "hi": 0.999}, ["g"]).collect():
@@ -58,8 +64,10 @@ def test_top_sums_with_ties(skewed):
 
 
 @pytest.mark.parametrize("n", [5, 7, 23, 48])
-@pytest.mark.parametrize("buckets", [4, 5])
-def test_ntile_by_cut_points_equals_window(spark, n, buckets):
+@pytest.mark.parametrize("direct", [0, 1 << 80])
+def test_ntile_by_cut_points_equals_window(spark, monkeypatch, n, direct):
+    monkeypatch.setattr(order_stats, "DIRECT_BYTES", direct)
+    buckets = 5
     rng = np.random.default_rng(n)
     df = spark.createDataFrame([(i, int(rng.integers(0, 4))) for i in range(n)], "customer_id long, v long")
     cuts = order_stats.key_cuts(df, {"v": "v"}, "customer_id", order_stats.ntile_ranks(buckets))
@@ -68,6 +76,11 @@ def test_ntile_by_cut_points_equals_window(spark, n, buckets):
     assert both.where("mine <> theirs").count() == 0
 
 
+def test_unknown_size_is_not_small(spark, w):
+    assert not order_stats.is_small(spark.createDataFrame([(1,)], "v long").checkpoint(eager=False))
+    assert order_stats.is_small(w.segments.select("monetary"))
+
+
 def test_qcut_sizes_follow_interpolated_edges(spark):
     """Seven rows: quintiles of row numbers hold 2, 1, 1, 1, 2."""
     raw = spark.createDataFrame([(i, i, 10 - i, float(i)) for i in range(1, 8)],
