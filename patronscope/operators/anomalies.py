@@ -68,22 +68,24 @@ def _grow(values: np.ndarray, limit: int, rng: np.random.Generator) -> list[tupl
 def iforest_fit(df: DataFrame, features: Sequence[str], identity: Sequence[str], trees: int, seed: int = 42) -> DataFrame:
     """Forest as a table: tree, node, feature, threshold, left_node, right_node, path_length, sample_size.
 
-    Rows are drawn by a hash of their content, so the sample does not depend on partitioning. A hash threshold thins the
-    table to a few times the ``trees * 256`` rows needed before they are ordered and dealt to trees; a small table is
-    dealt several times, each time in another order. Every tree is grown by its own task from at most 256 rows.
+    A table with far more rows than the ``trees * 256`` needed is thinned at random to about three times that number; what
+    is left is dealt to trees in the order of a hash of content and copy number, so repeated rows spread over all trees.
+    A small table is not thinned, so partitioning does not matter, and is dealt several times, each time in another order.
+    Every tree is grown by its own task from at most 256 rows.
     """
     total = df.count()
     size = min(SAMPLE, total)
     per_deal = max(1, min(trees, total // max(size, 1)))
     deals = math.ceil(trees / per_deal)
-    keep = min(1.0, 3.0 * trees * size / max(total, 1))
+    keep = 3.0 * trees * size / max(total, 1)
     columns = list(features)
-    drawn = df.select(*[F.col(c).cast("double").alias(c) for c in columns],
-                      F.explode(F.sequence(F.lit(0), F.lit(deals - 1))).alias("deal"),
-                      F.struct(*identity).alias("who"))
-    drawn = drawn.select(*columns, "deal", F.xxhash64("who", "deal", F.lit(seed)).alias("h"))
-    if keep < 1.0:
-        drawn = drawn.where(F.pmod(F.col("h"), F.lit(1 << 31)) < F.lit(int(keep * (1 << 31))))
+    pool = df if keep >= 1.0 else df.where(F.rand(seed) < keep)
+    # From here on there are at most a few times trees * 256 rows, whatever the size of the table.
+    who = ", ".join(identity)
+    copies = pool.select(*[F.col(c).cast("double").alias(c) for c in columns], F.struct(*identity).alias("who"), F.expr(
+        f"row_number() OVER (PARTITION BY {who} ORDER BY {', '.join(columns)})").alias("copy"))
+    drawn = copies.select("*", F.explode(F.sequence(F.lit(0), F.lit(deals - 1))).alias("deal"))
+    drawn = drawn.select(*columns, "deal", F.xxhash64("who", "copy", "deal", F.lit(seed)).alias("h"))
     place = F.expr(f"row_number() OVER (PARTITION BY deal ORDER BY h, {', '.join(columns)}) - 1")
     dealt = (
         drawn.withColumn("place", place)
@@ -106,44 +108,52 @@ def iforest_fit(df: DataFrame, features: Sequence[str], identity: Sequence[str],
               "sample_size int")
 
 
+def _as_heaps(table: pd.DataFrame) -> tuple:
+    """Trees as complete binary heaps: children of node i at 2i + 1 and 2i + 2, early leaves carried down to the last level."""
+    size = int(table["sample_size"].iloc[0])
+    depth = max(1, math.ceil(math.log2(max(size, 2))))
+    trees = table["tree"].nunique()
+    width = 2 ** (depth + 1) - 1
+    feature = np.zeros((trees, width), dtype=np.int64)
+    threshold = np.full((trees, width), np.inf)
+    path = np.zeros((trees, width))
+    for t, (_, rows) in enumerate(table.sort_values(["tree", "node"]).groupby("tree")):
+        columns = [rows[c].tolist() for c in ("feature", "threshold", "left_node", "right_node", "path_length")]
+        place = {0: 0}
+        for node, (f, cut, left, right, length) in enumerate(zip(*columns)):
+            at = place[node]
+            if f >= 0:
+                feature[t, at], threshold[t, at] = f, cut
+                place[left], place[right] = 2 * at + 1, 2 * at + 2
+            else:
+                while at < width // 2:
+                    at = 2 * at + 1
+                path[t, at] = length
+    return feature, threshold, path, depth, average_path(size) or 1.0
+
+
 def iforest_score(df: DataFrame, forest: DataFrame, features: Sequence[str], name: str = "anomaly_score") -> DataFrame:
     """Anomaly score of every row, lower is more anomalous.
 
     The forest has at most trees * 511 rows whatever the data size; it travels once per executor as a broadcast of flat
-    arrays and rows are scored in Arrow batches, all trees stepping down together.
+    arrays and rows are scored in Arrow batches.
     """
-    spark = df.sparkSession
-    table = forest.toPandas().sort_values(["tree", "node"])
-    size = int(table["sample_size"].iloc[0])
-    offset = table.groupby("tree")["node"].transform("size").groupby(table["tree"]).first().cumsum().shift(fill_value=0)
-    base = table["tree"].map(offset).to_numpy()
-    leaf = table["feature"].to_numpy() < 0
-    own = base + table["node"].to_numpy()
-    model = spark.sparkContext.broadcast({
-        "roots": offset.to_numpy(np.int64),
-        "feature": np.where(leaf, 0, table["feature"]).astype(np.int64),
-        "threshold": np.where(leaf, np.inf, table["threshold"]),
-        "left": np.where(leaf, own, base + table["left_node"]).astype(np.int64),
-        "right": np.where(leaf, own, base + table["right_node"]).astype(np.int64),
-        "path": table["path_length"].to_numpy(float),
-        "depth": max(1, math.ceil(math.log2(max(size, 2)))),
-        "scale": average_path(size) or 1.0,
-    })
+    model = df.sparkSession.sparkContext.broadcast(_as_heaps(forest.toPandas()))
 
     @F.pandas_udf("double")
     def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        m = model.value
+        feature, threshold, path, depth, scale = model.value
         for columns in batches:
             x = np.column_stack([c.to_numpy(float) for c in columns])
-            rows = np.arange(len(x))
-            path = np.zeros(len(x))
-            for root in m["roots"]:
-                node = np.full(len(x), root)
-                for _ in range(m["depth"]):
-                    goes_left = x[rows, m["feature"][node]] <= m["threshold"][node]
-                    node = np.where(goes_left, m["left"][node], m["right"][node])
-                path += m["path"][node]
-            yield pd.Series(-np.exp2(-path / len(m["roots"]) / m["scale"]))
+            flat, first = x.ravel(), np.arange(len(x)) * x.shape[1]
+            length = np.zeros(len(x))
+            for tree in range(len(feature)):
+                node = np.zeros(len(x), dtype=np.int64)
+                for _ in range(depth):
+                    value = flat.take(first + feature[tree].take(node))
+                    node = 2 * node + 1 + (value > threshold[tree].take(node))
+                length += path[tree].take(node)
+            yield pd.Series(-np.exp2(-length / len(feature) / scale))
 
     return df.withColumn(name, score(*features))
 

@@ -114,26 +114,24 @@ def top_sums(df: DataFrame, value: str, sizes: Ranks) -> DataFrame:
     """Sum of the k largest values for every named k, with the overall sum and count.
 
     The k-th largest value decides: everything above it counts in full, and equal values fill what is left of k, so
-    no row order is needed among ties.
+    no row order is needed among ties. The few deciding values become literals of one aggregation.
     """
-    edges = order_statistics(df, value, {name: f"n - ({k}) + 1" for name, k in sizes.items()}).selectExpr(
-        "stat", "n", "n - rank + 1 AS k", "value AS edge")
-    over = F.col("_v") > F.col("edge")
-    sums = (
-        df.select(F.col(value).alias("_v")).where("_v IS NOT NULL")
-        .join(F.broadcast(edges))  # one row per named k
-        .groupBy("stat", "k", "edge", "n")
-        .agg(
-            F.sum(units("_v")).alias("_all"),
-            F.coalesce(F.sum(F.when(over, units("_v"))), F.lit(0)).alias("_over"),
-            F.count_if(over).alias("_over_n"),
-        )
-    )
-    return sums.select(
-        "stat", "k", "n",
-        amount(F.col("_over") + (F.col("k") - F.col("_over_n")) * units("edge")).alias("top_sum"),
-        amount(F.col("_all")).alias("total_sum"),
-    )
+    edges = order_statistics(df, value, {name: f"n - ({k}) + 1" for name, k in sizes.items()}).collect()
+    held = F.col(value)
+    sums = [F.sum(units(held)).alias("_all")]
+    named = []
+    for i, edge in enumerate(edges):
+        limit = F.lit(edge["value"])
+        sums += [F.coalesce(F.sum(F.when(held > limit, units(held))), F.lit(0)).alias(f"_over{i}"),
+                 F.count_if(held > limit).alias(f"_count{i}")]
+        k = edge["n"] - edge["rank"] + 1
+        named.append(F.struct(
+            F.lit(edge["stat"]).alias("stat"), F.lit(k).cast("bigint").alias("k"), F.lit(edge["n"]).cast("bigint").alias("n"),
+            amount(F.col(f"_over{i}") + (F.lit(k) - F.col(f"_count{i}")) * units(limit)).alias("top_sum"),
+            amount(F.col("_all")).alias("total_sum")))
+    if not named:
+        return df.sparkSession.createDataFrame([], "stat string, k bigint, n bigint, top_sum double, total_sum double")
+    return df.agg(*sums).select(F.inline(F.array(*named)))
 
 
 def key_cuts(df: DataFrame, metrics: dict[str, str], key: str, ranks: Ranks) -> list:
