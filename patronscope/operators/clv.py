@@ -143,13 +143,13 @@ def maximise(table: DataFrame, columns: list[str], loglik: Callable, size: int,
             curvature[i, j] = curvature[j, i] = mixed
         values, vectors = np.linalg.eigh(curvature)
         step = -vectors @ ((vectors.T @ gradient) / np.maximum(np.abs(values), 1e-6))
-        step *= min(1.0, 2.0 / max(np.abs(step).max(), 1e-12))
+        step *= min(1.0, 3.0 / max(np.abs(step).max(), 1e-12))
         tried = objective(here + np.outer(ladder, step))
         best = int(np.argmin(tried))
         if tried[best] >= f[0]:
             break
         here = here + ladder[best] * step
-        if f[0] - tried[best] <= 1e-10 * max(1.0, abs(f[0])):
+        if f[0] - tried[best] <= 1e-8 * max(1.0, abs(f[0])):
             break
     return np.exp(here)
 
