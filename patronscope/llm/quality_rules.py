@@ -39,7 +39,7 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", rows: int
     None where the sample has no row of one of the two classes: no classifier can be trained then.
     """
     found = hashed.labelled_sample(docs, labels, target, rows).select(
-        "doc_id", "target", hashed.sparse_row(F.col("text")).alias("x")).collect()
+        "doc_id", "target", hashed.sparse_row(F.col("text")).alias("x"))
     found.sort(key=lambda r: r["doc_id"])
     y = np.array([float(r["target"] > 0) for r in found])
     held = np.arange(len(found)) % 4 == 3
