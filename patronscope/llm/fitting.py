@@ -46,13 +46,12 @@ def minimise(loss: Callable[[np.ndarray], tuple[float, np.ndarray]], start: np.n
 
 
 class Rows:
-    """Sparse rows: column numbers and values end to end, with the row of each entry."""
+    """Sparse rows: sizes of the rows, then column numbers and values end to end."""
 
-    def __init__(self, columns: list[np.ndarray], values: list[np.ndarray], width: int):
-        self.count, self.width = len(columns), width
-        self.row = np.repeat(np.arange(self.count), [len(c) for c in columns])
-        self.column = np.concatenate(columns).astype(np.int64) if columns else np.zeros(0, np.int64)
-        self.value = np.concatenate(values).astype(float) if values else np.zeros(0)
+    def __init__(self, sizes: np.ndarray, columns: np.ndarray, values: np.ndarray, width: int):
+        self.count, self.width = len(sizes), width
+        self.row = np.repeat(np.arange(self.count, dtype=np.int32), sizes)
+        self.column, self.value = columns, values
 
     def times(self, weights: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, self.value * weights[self.column], self.count)

@@ -7,18 +7,19 @@ numbers); the plan it makes from them speaks of ranks, and every piece finds its
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from ..operators.numbering import number_rows
+from . import textarrays as ta
 from .staging import staged
 
 CAPACITY = 4096
@@ -26,31 +27,21 @@ END_ID = 1
 #: Pieces up to this length are small: they fill what the configurations of large pieces leave.
 SMALL = 512
 #: Groups of equal cardinality that large pieces are rounded up in; a configuration problem of so many sizes is solved.
-GROUPS = 192
+GROUPS = 128
 TOKENIZER = "word_bpe_49k.json"
 #: Words remembered with their ids in a task, before the memory is cleared.
-REMEMBERED_WORDS = 300_000
-
-
-class Vocabulary(dict):
-    """Numbers of words in the order in which they come up."""
-
-    def __init__(self):
-        super().__init__()
-        self.fresh: list[str] = []
-
-    def __missing__(self, word: str) -> int:
-        self[word] = number = len(self)
-        self.fresh.append(word)
-        return number
+REMEMBERED_WORDS = 400_000
+#: A text with any other character, an apostrophe (contractions) or a special token's opening is encoded as a whole.
+PLAIN = "[^\t\n\r -&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]|<\\|"
+_SPACE, _LETTER, _DIGIT, _OTHER = range(4)
 
 
 class Encoder:
     """Token ids of whole texts, each distinct word encoded once.
 
-    The vocabulary never merges across white space, so the ids of a text are those of its words. That holds for texts
-    of printable ASCII and Latin letters without the spelling of a special token; every other text goes to the
-    tokenizer as a whole.
+    The tokenizer lowers texts, cuts them into runs of letters, single digits and runs of other marks, and merges
+    within these only. For texts of printable ASCII and Latin letters that cut is plain on bytes, so a text's ids are
+    those of its words; every other text goes to the tokenizer as a whole.
     """
 
     def __init__(self, path: str):
@@ -58,59 +49,99 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.odd = re.compile("[^\t\n\r -~¡-¬®-įı-ɏ]|<\\|")
+        self.kind = np.full(256, _OTHER, np.uint8)
+        self.kind[[9, 10, 13, 32]] = _SPACE
+        self.kind[48:58] = _DIGIT
+        self.kind[97:123] = self.kind[128:] = _LETTER
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.clear()
 
     def clear(self) -> None:
-        self.words = Vocabulary()
+        self.known = np.zeros(0, np.uint64)
+        self.slot = np.zeros(0, np.int64)
         self.length = np.zeros(0, np.int64)
         self.start = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def learn(self) -> None:
-        found = self.tokenizer.encode_batch(self.words.fresh, add_special_tokens=False)
-        lists = [e.ids for e in found]
-        length = np.array([len(x) for x in lists], np.int64)
-        own = np.fromiter((i for x in lists for i in x), np.uint32, int(length.sum()))
-        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(length) - length])
+    def _words(self, chunk: ta.Chunk) -> tuple[np.ndarray, np.ndarray]:
+        kind = self.kind[chunk.data]
+        edge = np.ones(len(kind) + 1, bool)
+        edge[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+        edge[chunk.offsets] = True
+        at = np.flatnonzero(edge)
+        word = kind[at[:-1]] != _SPACE
+        return at[:-1][word], at[1:][word]
+
+    def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
+        texts = [b" ".join(words[i:i + 64]).decode() for i in range(0, len(words), 64)]
+        ids = np.fromiter((i for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) for i in e.ids), np.uint32)
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        if len(ends) != len(words):
+            raise ValueError("a word was encoded as several")
+        length = np.diff(ends, prepend=0)
+        slots = len(self.length) + np.arange(len(words))
+        self.start = np.concatenate([self.start, len(self.ids) + ends - length])
         self.length = np.concatenate([self.length, length])
-        self.ids = np.concatenate([self.ids, own])
-        self.words.fresh.clear()
-
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        if len(self.words) > REMEMBERED_WORDS:
+        self.ids = np.concatenate([self.ids, ids])
+        place = np.searchsorted(self.known, hashes)
+        self.known, self.slot = np.insert(self.known, place, hashes), np.insert(self.slot, place, slots)
+
+    def _plain(self, chunk: ta.Chunk) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of a chunk end to end, and their bounds."""
+        start, end = self._words(chunk)
+        unique, first, which = np.unique(ta.hash_spans(chunk.data, start, end), return_index=True, return_inverse=True)
+        if len(self.known) > REMEMBERED_WORDS:
             self.clear()
-        odd = [self.odd.search(t) is not None for t in texts]
-        split = [[] if o else t.split() for t, o in zip(texts, odd)]
-        numbers = [np.fromiter(map(self.words.__getitem__, w), np.int64, len(w)) for w in split]
-        if self.words.fresh:
-            self.learn()
-        for text, is_odd, n in zip(texts, odd, numbers):
-            if is_odd:
-                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-            else:
-                length = self.length[n]
-                before = np.cumsum(length) - length
-                yield self.ids[np.repeat(self.start[n] - before, length) + np.arange(int(length.sum()))]
+        place = np.minimum(np.searchsorted(self.known, unique), max(len(self.known) - 1, 0))
+        fresh = self.known[place] != unique if len(self.known) else np.ones(len(unique), bool)
+        if fresh.any():
+            data = chunk.data.tobytes()
+            self._learn(unique[fresh], [data[start[i]:end[i]] for i in first[fresh].tolist()])
+        slot = self.slot[np.searchsorted(self.known, unique)][which] if len(unique) else np.zeros(0, np.int64)
+        length = self.length[slot]
+        before = np.cumsum(length) - length
+        ids = self.ids[np.repeat(self.start[slot] - before, length) + np.arange(int(length.sum()))]
+        return ids, np.append(before, len(ids))[np.searchsorted(start, chunk.offsets)]
+
+    def encode(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text, null as empty."""
+        column = column.cast(pa.large_string()).fill_null("")
+        odd = pc.match_substring_regex(column, PLAIN)
+        lowered = pc.utf8_lower(pc.if_else(odd, "", column))
+        odd = odd.to_numpy(zero_copy_only=False)
+        for chunk in ta.chunks(lowered):
+            ids, bounds = self._plain(chunk)
+            for i in range(chunk.texts):
+                if odd[chunk.first + i]:
+                    whole = self.tokenizer.encode(column[chunk.first + i].as_py(), add_special_tokens=False).ids
+                    yield np.array(whole, np.uint32)
+                else:
+                    yield ids[bounds[i]:bounds[i + 1]]
 
 
 def _encode_batches(path: str, with_ids: bool):
+    kind = [("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
+
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(path)
         for column in batches:
-            rows = []
-            for first in range(0, len(column), 512):
-                texts = [t or "" for t in column.slice(first, 512).to_pylist()]
-                for ids in encoder.encode(texts):
-                    ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
-                    pieces = []
-                    for i, start in enumerate(range(0, len(ids), CAPACITY)):
-                        own = ids[start:start + CAPACITY]
-                        piece = {"piece": i, "start": start, "length": len(own), "ids_crc32": zlib.crc32(own.tobytes())}
-                        pieces.append(piece | {"ids": own.astype(np.int32)} if with_ids else piece)
-                    rows.append(pieces)
-            kind = [("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
-            yield pa.array(rows, pa.list_(pa.struct(kind + [("ids", pa.list_(pa.int32()))] * with_ids)))
+            ends, rows, kept = [0], [], []
+            for ids in encoder.encode(column):
+                ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
+                for i, start in enumerate(range(0, len(ids), CAPACITY)):
+                    own = ids[start:start + CAPACITY]
+                    rows.append((i, start, len(own), zlib.crc32(own)))
+                    if with_ids:
+                        kept.append(own.astype(np.int32))
+                ends.append(len(rows))
+            table = np.array(rows, np.int64).reshape(-1, 4)
+            fields = [pa.array(table[:, i].astype(np.int32) if i == 0 else table[:, i]) for i in range(4)]
+            if with_ids:
+                fields.append(pa.array(kept, pa.list_(pa.int32())))
+            items = pa.StructArray.from_arrays(fields, names=[n for n, _ in kind] + ["ids"] * with_ids)
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items)
     return encoded
 
 

@@ -39,16 +39,16 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", rows: int
     None where the sample has no row of one of the two classes: no classifier can be trained then.
     """
     found = hashed.labelled_sample(docs, labels, target, rows).select(
-        "doc_id", "target", hashed.sparse_row(F.col("text")).alias("x"))
-    found.sort(key=lambda r: r["doc_id"])
-    y = np.array([float(r["target"] > 0) for r in found])
-    held = np.arange(len(found)) % 4 == 3
+        "doc_id", "target", hashed.sparse_row(F.col("text")).alias("x")).toArrow().combine_chunks().sort_by("doc_id")
+    y = (found["target"].to_numpy() > 0).astype(float)
+    held = np.arange(len(y)) % 4 == 3
     if not (0 < y[~held].sum() < (~held).sum()):
         return None
 
     def part(chosen: np.ndarray) -> Rows:
-        own = [found[i]["x"] for i in np.flatnonzero(chosen)]
-        return Rows([np.asarray(x["columns"], np.int64) for x in own], [np.asarray(x["values"], float) for x in own], hashed.WIDTH)
+        x = found["x"].combine_chunks().filter(pa.array(chosen))
+        columns, values = x.field("columns"), x.field("values")
+        return Rows(np.diff(columns.offsets.to_numpy()), columns.flatten().to_numpy(), values.flatten().to_numpy(), hashed.WIDTH)
 
     weights, intercept = logistic(part(~held), y[~held], np.ones((~held).sum()), RIDGE)
     if 0 < y[held].sum() < held.sum():

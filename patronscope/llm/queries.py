@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import quality_rules as rules
+from . import minhash_dedup, packing, quality_rules as rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,8 +19,19 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(docs, table(spark, sf_dir, "labels")).select("document.doc_id", "quality.*")
 
 
+def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of near-copies of each document."""
+    found = minhash_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of each piece of a document in a sequence."""
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_rules,)}
+    return {f.__name__: f for f in (op2_quality_rules, op6_minhash_dedup, op9_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
