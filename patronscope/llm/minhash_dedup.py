@@ -186,8 +186,9 @@ def _open_pairs(rows: DataFrame, sketches: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs`` in a struct ``document``, with n_shingles, node, component (the group's name: null for texts
-    without words) and component_id (the group's smallest doc_id, the own one for texts without words).
+    """One row for each row of ``docs``: doc_id, digest (md5 of the text), n_shingles, node (name of the set), component
+    (name of the group; both null for texts without words) and component_id (the group's smallest doc_id; the own one
+    for texts without words, which are linked with nothing).
 
     Equal rows and copies share a node. Null ids count as larger than all others: a group of null ids only has a null
     component_id. An empty table gives an empty result.
@@ -223,3 +224,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return signed.select("doc_id", "digest", "n_shingles", "node").join(named, "node", "left").select(
         "doc_id", "digest", "n_shingles", "node", "component",
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each group of near-copies: of the smallest doc_id, then the smallest md5 of the text.
+
+    Texts without words all stay. Of rows that repeat an id and text one stays, whichever Spark reads first.
+    """
+    grouped = near_duplicates(docs.select("doc_id", "text"))
+    name = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_name"), "digest"]
+    chosen = grouped.where("node is not null").groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")).alias("c")).select("c.doc_id", "c.digest").select(*name)
+    rows = docs.select(F.struct("*").alias("document")).withColumn("digest", F.unhex(F.md5(F.coalesce("document.text", F.lit(""))))).withColumn(
+        "_name", F.coalesce(F.col("document.doc_id").cast("string"), F.lit("")))
+    words = F.coalesce(F.col("document.text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+    single = rows.where(words).join(chosen, ["_name", "digest"]).dropDuplicates(["_name", "digest"]).select("document.*")
+    return single.union(rows.where(~words).select("document.*"))

@@ -6,33 +6,78 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import minhash_dedup, packing, quality_rules as rules
+from . import (embedding_dedup, hilbert_sharding, license_scan, line_dedup, minhash_dedup, mixing, ordinal_quality, packing,
+               quality_rules as rules, toxicity)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's lines, removed lines and the checksum of its cleaned text."""
+    found = line_dedup.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return found.select("document.doc_id", "lines.n_lines", "lines.n_removed", F.md5("document.text").alias("text_md5"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdicts for each document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return rules.quality_rules(docs, table(spark, sf_dir, "labels")).select("document.doc_id", "quality.*")
 
 
+def op3_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade, tail probability and selection of each document."""
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    return ordinal_quality.ordinal_quality(docs, ordinal_quality.grades(labels)).select("document.doc_id", "grade.*")
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base places, labels and best containment of each document."""
+    return license_scan.license_scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select("document.doc_id", "license.*").drop("blocks")
+
+
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sampling probability and decision of each document."""
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")).select("document.doc_id", "mix.*")
+
+
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of near-copies of each document."""
     found = minhash_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of each vector."""
+    found = embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+def op8_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard and slot of each document along the curve, by the law of equal counts."""
+    docs = hilbert_sharding.measured(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")).drop("text")
+    return hilbert_sharding.shard(docs).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The place of each piece of a document in a sequence."""
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of each document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.toxicity(docs, table(spark, sf_dir, "labels")).select("document.doc_id", "toxicity.*")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_rules, op6_minhash_dedup, op9_best_fit_packing)}
+    found = (op1_line_dedup, op2_quality_rules, op3_ordinal_quality, op4_license_scan, op5_source_mixing, op6_minhash_dedup,
+             op7_embedding_dedup, op8_hilbert_sharding, op9_best_fit_packing, op10_toxicity)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_line_dedup": line_dedup.ORACLE_SQL, "op4_license_scan": license_scan.oracle_sql(),
+            "op5_source_mixing": mixing.oracle_sql()}
