@@ -10,7 +10,8 @@ from pyspark.sql import Column, functions as F
 ERF_P = 0.3275911
 ERF_A = (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
 SIMPSON_STEPS = 2000
-LARGE_DF = 100_000.0
+#: Standard widths of the density beyond which nothing is left in double precision.
+TAIL_WIDTHS = 12.0
 HALF_PI = 1.5707963267948966
 
 
@@ -53,9 +54,8 @@ def student_t_sf(t: Column, df: Column) -> Column:
     def curve(theta: Column) -> Column:
         return F.pow(F.greatest(F.cos(theta), F.lit(0.0)), df - 1.0)
 
-    exact = _simpson(angle, F.lit(HALF_PI), curve) / (2.0 * _simpson(F.lit(0.0), F.lit(HALF_PI), curve))
-    # For many degrees of freedom the peak is narrower than the grid; Hill's normalising transform is exact to 1e-7 there.
-    a = df - 0.5
-    z = F.sqrt(a * F.log1p(size * size / df) * (1.0 - 1.0 / (16.0 * a * a)) )
-    tail = F.when(df <= LARGE_DF, exact).otherwise(normal_sf(z))
+    # The density is about 1 / sqrt(df) wide; the grid follows it, so any number of degrees of freedom is resolved.
+    reach = F.lit(TAIL_WIDTHS) / F.sqrt(F.greatest(df, F.lit(1.0)))
+    tail = _simpson(angle, F.least(F.lit(HALF_PI), angle + reach), curve) / (
+        2.0 * _simpson(F.lit(0.0), F.least(F.lit(HALF_PI), reach), curve))
     return F.when(t >= 0, tail).otherwise(1.0 - tail)

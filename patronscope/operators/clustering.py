@@ -20,7 +20,6 @@ K_RANGE = range(2, 12)
 MIN_K = 5
 SEED = 42
 PARALLEL_FITS = 4
-WORTH_RESTARTING = 1e-3
 
 
 def with_vector(scaled: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
@@ -28,29 +27,14 @@ def with_vector(scaled: DataFrame, columns: Sequence[str] = FEATURES) -> DataFra
 
 
 def kmeans_fit(vectors: DataFrame, k: int, restarts: int = 20, max_iter: int = 500, seed: int = SEED) -> KMeansModel:
-    """Best of up to ``restarts`` seeded k-means|| runs by training cost.
-
-    Independent fits share the cluster side by side. Restarting ends early once a whole round of fits has not lowered the
-    cost by more than ``WORTH_RESTARTING``, since every fit is another set of passes over the customers.
-    """
+    """Best of ``restarts`` seeded k-means|| runs by training cost; independent fits share the cluster side by side."""
     vectors = vectors.select("features").persist()
-    best = None
     try:
         def run(i: int) -> KMeansModel:
             return KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="features").fit(vectors)
 
         with ThreadPoolExecutor(PARALLEL_FITS) as pool:
-            for start in range(0, restarts, PARALLEL_FITS):
-                fits = pool.map(run, range(start, min(start + PARALLEL_FITS, restarts)))
-                leader = min(fits, key=lambda m: m.summary.trainingCost)
-                if best is None:
-                    best = leader
-                    continue
-                gained = best.summary.trainingCost - leader.summary.trainingCost
-                stop = gained <= WORTH_RESTARTING * best.summary.trainingCost
-                best = leader if gained > 0 else best
-                if stop:
-                    break
+            best = min(pool.map(run, range(restarts)), key=lambda m: m.summary.trainingCost)
     finally:
         vectors.unpersist()
     return best

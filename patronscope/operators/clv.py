@@ -151,6 +151,8 @@ def maximise(table: DataFrame, columns: list[str], loglik: Callable, size: int,
         here = here + ladder[best] * step
         if f[0] - tried[best] <= 1e-8 * max(1.0, abs(f[0])):
             break
+    else:
+        raise RuntimeError(f"no maximum found in {rounds} rounds")
     return np.exp(here)
 
 
@@ -194,12 +196,15 @@ def prob_alive(params: dict[str, float]) -> Column:
 def hyp2f1(a: np.ndarray, b: np.ndarray, c: np.ndarray, z: np.ndarray, tolerance: float = 1e-12) -> np.ndarray:
     """Gauss hypergeometric series for 0 <= z < 1 and positive parameters."""
     term, total = np.ones_like(z), np.ones_like(z)
-    for n in range(20_000):
-        term = term * (a + n) * (b + n) / ((c + n) * (n + 1.0)) * z
+    n = 0
+    while True:  # below z = 1 the terms fall like z ** n in the end, so this stops
+        ratio = (a + n) * (b + n) / ((c + n) * (n + 1.0)) * z
+        term = term * ratio
         total += term
-        if np.all(np.abs(term) <= tolerance * np.abs(total)):
-            break
-    return total
+        n += 1
+        # What is left is below the geometric series of the last ratio.
+        if np.all((ratio < 1) & (np.abs(term) <= tolerance * (1 - np.minimum(ratio, 1)) * np.abs(total))):
+            return total
 
 
 def _expected(params: dict[str, float], x, tx, t, horizon: float) -> np.ndarray:

@@ -24,7 +24,7 @@ def ab_assign(population: DataFrame, stratum: str, seed: int = 42, key: str = "c
     """
     hashed = population.select(key, stratum, F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))).alias("h"))
     numbered = number_rows(hashed, [F.col(stratum), F.col("h"), F.col(key)])
-    start = F.broadcast(numbered.groupBy(stratum).agg(F.min("rn").alias("first_rn")))
+    start = numbered.groupBy(stratum).agg(F.min("rn").alias("first_rn"))
     return numbered.join(start, stratum).select(
         key, stratum, F.when((F.col("rn") - F.col("first_rn")) % 2 == 0, CONTROL).otherwise(TREATMENT).alias("grp"))
 
@@ -59,6 +59,11 @@ def both_groups(experiment: DataFrame) -> DataFrame:
         F.max(F.when(F.col("grp") == TREATMENT, F.struct(*fields))).alias("t"))
 
 
+def _some(divisor: Column) -> Column:
+    """NULL for a divisor of zero: an experiment without conversions or revenue has no test result."""
+    return F.nullif(divisor.cast("double"), F.lit(0.0))
+
+
 def _lift(field: str) -> Column:
     return (F.col(f"t.{field}") - F.col(f"c.{field}")) / F.nullif(F.col(f"c.{field}"), F.lit(0.0))
 
@@ -73,7 +78,7 @@ def _z(m: DataFrame) -> DataFrame:
     pool = (F.col("c.n_converted") + F.col("t.n_converted")) / (n1 + n2)
     return m.withColumns({
         "diff": p2 - p1,
-        "z": (p2 - p1) / F.sqrt(pool * (1 - pool) * (1.0 / n1 + 1.0 / n2)),
+        "z": (p2 - p1) / _some(F.sqrt(pool * (1 - pool) * (1.0 / n1 + 1.0 / n2))),
         "se_diff": F.sqrt(p1 * (1 - p1) / n1 + p2 * (1 - p2) / n2),
     }).withColumn("z_p", normal_sf(F.col("z")))
 
@@ -81,8 +86,8 @@ def _z(m: DataFrame) -> DataFrame:
 def _welch(m: DataFrame) -> DataFrame:
     a, b = F.col("t.var_samp") / F.col("t.n"), F.col("c.var_samp") / F.col("c.n")
     return m.withColumns({
-        "t_stat": (F.col("t.rev_per_user") - F.col("c.rev_per_user")) / F.sqrt(a + b),
-        "df": (a + b) * (a + b) / (a * a / (F.col("t.n") - 1) + b * b / (F.col("c.n") - 1)),
+        "t_stat": (F.col("t.rev_per_user") - F.col("c.rev_per_user")) / _some(F.sqrt(a + b)),
+        "df": (a + b) * (a + b) / _some(a * a / _some(F.col("t.n") - 1) + b * b / _some(F.col("c.n") - 1)),
     }).withColumn("t_p", student_t_sf(F.col("t_stat"), F.col("df")))
 
 
@@ -93,7 +98,7 @@ def _chi2(m: DataFrame) -> DataFrame:
     n = (F.col("c.n") + F.col("t.n")).cast("double")
     gap = F.greatest(F.abs(a.cast("double") * d - b.cast("double") * c) - n / 2, F.lit(0.0))
     below = F.col("c.n").cast("double") * F.col("t.n") * (a + c) * (b + d)
-    return m.withColumn("chi2", n * gap * gap / below).withColumn("chi2_p", chi2_sf_1df(F.col("chi2")))
+    return m.withColumn("chi2", n * gap * gap / _some(below)).withColumn("chi2_p", chi2_sf_1df(F.col("chi2")))
 
 
 def ab_ztest(experiment: DataFrame) -> DataFrame:
@@ -118,7 +123,7 @@ def ab_cohens_d(experiment: DataFrame) -> DataFrame:
     """Effect size with population deviations, its name, and the interval of the mean difference."""
     m = both_groups(experiment)
     diff = F.col("t.rev_per_user") - F.col("c.rev_per_user")
-    d = diff / F.sqrt((F.col("c.var_pop") + F.col("t.var_pop")) / 2)
+    d = diff / _some(F.sqrt((F.col("c.var_pop") + F.col("t.var_pop")) / 2))
     half = CI_Z * F.sqrt(F.col("c.var_pop") / F.col("c.n") + F.col("t.var_pop") / F.col("t.n"))
     return m.select(
         round_to(d, 6).alias("cohens_d"),
@@ -136,9 +141,9 @@ def mann_whitney(experiment: DataFrame) -> DataFrame:
         F.sum(F.col("n_t") * middle).alias("r2"), F.sum(ties * ties * ties - ties).alias("tie_term"))
     n, n2 = F.col("n"), F.col("n2")
     n1 = n - n2
-    spread = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - F.col("tie_term") / (n * (n - 1))))
+    spread = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - F.col("tie_term") / _some(n * (n - 1))))
     return sums.withColumn("u", F.col("r2") - n2 * (n2 + 1) / 2.0).withColumn(
-        "u_z", (F.col("u") - n1 * n2 / 2.0 - 0.5) / spread).withColumn("u_p", normal_sf(F.col("u_z")))
+        "u_z", (F.col("u") - n1 * n2 / 2.0 - 0.5) / _some(spread)).withColumn("u_p", normal_sf(F.col("u_z")))
 
 
 def ab_mannwhitney(experiment: DataFrame) -> DataFrame:

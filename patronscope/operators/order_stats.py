@@ -5,10 +5,11 @@ Two aggregations find any number of ranks in any number of groups:
 1. ``percentile_approx`` over a fixed grid, a mergeable sketch, brackets each wanted rank between two grid values;
 2. rows below a bracket collapse to one counter per rank, rows inside it to one counter per distinct value.
 
-Both combine on the map side, so a value that holds a third of all rows is one counter, not one task. Only the distinct
-values inside a bracket (under one percent of the rows) meet in a window, which yields the exact value at the rank.
+3. the bracket is divided into ``PARTS`` equal steps of value; the step that holds the rank is found from one counter
+   per step, and only the distinct values of that step meet in a window, which yields the exact value at the rank.
 
-A table whose planned size is below ``DIRECT_BYTES`` skips the brackets: one task can sort it whole.
+All combine on the map side, so a value that holds a third of all rows is one counter, not one task. A window sees about
+one hundred-thousandth of the rows. The way is the same for one row and for all sizes above.
 """
 
 from __future__ import annotations
@@ -21,22 +22,13 @@ from ..functions.numeric import amount, units
 
 GRID = 500
 ACCURACY = 10_000
-UNBRACKETED = 20_000
-DIRECT_BYTES = 1 << 20
+PARTS = 1024
 _GRID_SQL = ", ".join(f"{i / GRID!r}D" for i in range(GRID + 1))
 
 # Rank name -> SQL expression over the group's row count ``n`` and the group columns.
 Ranks = dict[str, str]
 
 
-def is_small(df: DataFrame) -> bool:
-    """Whether the optimizer's size estimate, the one broadcast decisions use, is below ``DIRECT_BYTES``.
-
-    An input of unknown size counts as large.
-    """
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= DIRECT_BYTES
-
-
 def _named(ranks: Ranks) -> str:
     return ", ".join(f"named_struct('stat', '{name}', 'rank', CAST({rank} AS BIGINT))" for name, rank in ranks.items())
 
@@ -50,41 +42,39 @@ def order_statistics(df: DataFrame, value: Column | str, ranks: Ranks, by: Seque
     keys = list(by)
     value = F.col(value) if isinstance(value, str) else value
     rows = df.select(*keys, value.alias("_v")).where("_v IS NOT NULL")
-    if is_small(rows):
-        part = f"PARTITION BY {', '.join(keys)}" if keys else ""
-        return rows.selectExpr(
-            *keys, "_v AS value", f"count(1) OVER ({part}) AS n", f"row_number() OVER ({part} ORDER BY _v) AS _rn",
-            f"CAST(rank() OVER ({part} ORDER BY _v) - 1 AS BIGINT) AS below",
-        ).selectExpr(*keys, f"inline(filter(array({_named(ranks)}), t -> t.rank = _rn))", "n", "below", "value")
-
     profile = rows.groupBy(*keys).agg(
         F.expr("count(1) AS n"), F.expr(f"percentile_approx(_v, array({_GRID_SQL}), {ACCURACY}) AS _grid")
     )
     bracket = f"""transform(filter(array({_named(ranks)}), t -> t.rank BETWEEN 1 AND n), t -> named_struct(
         'stat', t.stat, 'rank', t.rank, 'n', n,
-        '_low', IF(n > {UNBRACKETED}, element_at(_grid, CAST(greatest(floor(t.rank / n * {GRID}), 1) AS INT)), NULL),
-        '_high', IF(n > {UNBRACKETED},
-                    element_at(_grid, CAST(least(ceil(t.rank / n * {GRID}) + 2, {GRID + 1}) AS INT)), NULL)))"""
+        '_low', element_at(_grid, CAST(greatest(floor(t.rank / n * {GRID}), 1) AS INT)),
+        '_high', element_at(_grid, CAST(least(ceil(t.rank / n * {GRID}) + 2, {GRID + 1}) AS INT))))"""
     targets = F.broadcast(profile.selectExpr(*keys, f"{bracket} AS _targets"))
     # Without groups the targets are a single row.
     joined = rows.join(targets, keys) if keys else rows.join(targets)
     counted = (
         joined.selectExpr(*keys, "_v", "inline(_targets)")
-        .where("_high IS NULL OR _v <= _high")
-        .groupBy(*keys, "stat", "rank", "n", F.expr("IF(_low IS NULL OR _v >= _low, _v, NULL) AS _v"))
+        .where("_v <= _high")
+        .groupBy(*keys, "stat", "rank", "n", "_low", "_high", F.expr("IF(_v >= _low, _v, NULL) AS _v"))
         .agg(F.expr("count(1) AS _c"))
     )
-    window = f"PARTITION BY {', '.join([*keys, 'stat'])} ORDER BY _v ASC NULLS FIRST ROWS UNBOUNDED PRECEDING"
+    # Steps follow the values in order; rows below the bracket are step -1.
+    width = "(CAST(_high AS DOUBLE) - CAST(_low AS DOUBLE))"
+    step = f"least(coalesce(floor((CAST(_v AS DOUBLE) - CAST(_low AS DOUBLE)) / nullif({width}, 0D) * {PARTS}), 0), {PARTS})"
+    counted = counted.selectExpr(*keys, "stat", "rank", "n", "_v", "_c", f"CAST(IF(_v IS NULL, -1, {step}) AS INT) AS _step")
+    group = [*keys, "stat", "rank", "n"]
+    up_to = f"sum(_c) OVER (PARTITION BY {', '.join([*keys, 'stat'])} ORDER BY {{}} ROWS UNBOUNDED PRECEDING)"
+    chosen = (
+        counted.groupBy(*group, "_step").agg(F.sum("_c").alias("_c"))
+        .selectExpr(*keys, "stat", "_step", "rank AS _rank", "_c", f"{up_to.format('_step')} AS _cum")
+        .where("_cum >= _rank AND _cum - _c < _rank")
+        .selectExpr(*keys, "stat", "_step", "_cum - _c AS _before")
+    )
     return (
-        counted.selectExpr("*", f"sum(_c) OVER ({window}) AS _cum")
-        .groupBy(*keys, "stat", "rank", "n")
-        .agg(
-            F.expr("min(IF(_cum >= rank, _v, NULL)) AS value"),
-            F.expr("coalesce(max(IF(_cum < rank, _cum, NULL)), 0) AS below"),
-            F.expr("coalesce(bool_or(_v IS NULL AND _cum >= rank), false) AS _missed"),
-        )
-        .selectExpr(*keys, "stat", "rank", "n", "below",
-                    "IF(_missed OR value IS NULL, raise_error('rank outside its bracket'), value) AS value")
+        counted.join(chosen, [*keys, "stat", "_step"])
+        .selectExpr(*group, "_v", "_c", f"_before + {up_to.format('_v')} AS _cum")
+        .where("_cum >= rank AND _cum - _c < rank")
+        .selectExpr(*group, "_cum - _c AS below", "IF(_v IS NULL, raise_error('rank outside its bracket'), _v) AS value")
     )
 
 
@@ -143,12 +133,6 @@ def key_cuts(df: DataFrame, metrics: dict[str, str], key: str, ranks: Ranks) ->
     """
     structs = ", ".join(f"named_struct('metric', '{m}', 'x', CAST({sql} AS DOUBLE))" for m, sql in metrics.items())
     long = df.selectExpr(f"{key} AS _key", f"inline(array({structs}))")
-    if is_small(long):
-        return long.selectExpr(
-            "metric", "x AS value", "_key AS key", "count(1) OVER (PARTITION BY metric) AS n",
-            "row_number() OVER (PARTITION BY metric ORDER BY x, _key) AS _rn",
-        ).selectExpr("metric", f"inline(filter(array({_named(ranks)}), t -> t.rank = _rn))", "value", "key").selectExpr(
-            "metric", "stat AS cut", "value", "key").collect()
     first = order_statistics(long, "x", ranks, ["metric"]).collect()
     if not first:
         return []

@@ -48,14 +48,16 @@ def dq_nulls(df: DataFrame) -> DataFrame:
 
 
 def dq_profile(df: DataFrame) -> DataFrame:
-    return df.agg(
-        F.count(F.lit(1)).alias("row_count"),
+    """Row count, dates and distinct counts. Rows first collapse to distinct ids on the map side, so that distinct counts
+    do not multiply the raw lines."""
+    counted = {"customer_id": "customers", "stock_code": "products", "country": "countries"}
+    ids = df.groupBy(*counted).agg(F.count(F.lit(1)).alias("n"), F.min("invoice_date").alias("a"), F.max("invoice_date").alias("z"))
+    return ids.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
         F.lit(len(df.columns)).alias("column_count"),
-        F.min("invoice_date").alias("first_date"),
-        F.max("invoice_date").alias("last_date"),
-        F.count_distinct("customer_id").alias("customers"),
-        F.count_distinct("stock_code").alias("products"),
-        F.count_distinct("country").alias("countries"),
+        F.min("a").alias("first_date"),
+        F.max("z").alias("last_date"),
+        *[F.count_distinct(c).alias(name) for c, name in counted.items()],
     )
 
 

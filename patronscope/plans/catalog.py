@@ -310,7 +310,7 @@ def _streamed(w: Workspace, transform, name: str, schema: str | None = None) ->
 
 add("stream_clean", lambda w: _streamed(w, refresh.clean_stream, "stream_clean").withColumn(
     "invoice_date", F.col("invoice_date").cast("timestamp_ntz")))
-add("stream_revenue", lambda w: _streamed(w, refresh.daily_revenue, "stream_revenue"))
+add("stream_revenue", lambda w: refresh.daily_revenue(_streamed(w, refresh.valid_stream, "stream_revenue")))
 
 
 def callables() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

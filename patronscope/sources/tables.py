@@ -7,6 +7,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shared_dir
+from .transactions import CSV_OPTIONS
 
 
 class Stage:
@@ -61,7 +62,7 @@ def write_tables(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet"
             writer = writer.partitionBy(*columns)
         path = f"{folder}/{name}"
         if fmt == "csv":
-            writer.option("header", True).csv(path)
+            writer.options(**CSV_OPTIONS).csv(path)
         else:
             writer.format(fmt).save(path)
         written[name] = path

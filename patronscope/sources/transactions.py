@@ -28,10 +28,17 @@ COLUMN_NAMES = {
 }
 
 
+#: Text survives a round trip: blanks at the ends are kept and quotes doubled. Line breaks inside a field need ``multiLine``,
+#: which makes files unsplittable, so it is the caller's choice.
+CSV_OPTIONS = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+#: On reading, an empty field is NULL and a quoted empty one an empty text; that needs a null mark which no text has.
+CSV_READ = {**CSV_OPTIONS, "nullValue": "\0"}
+
+
 def read_transactions(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Invoice lines with declared types; identifiers stay text, so leading zeros and 'C' prefixes survive."""
     reader = spark.read.schema(RAW_SCHEMA)
-    return reader.csv(path, header=True) if fmt == "csv" else reader.format(fmt).load(path)
+    return reader.options(**CSV_READ).csv(path) if fmt == "csv" else reader.format(fmt).load(path)
 
 
 def conform_columns(df: DataFrame, extra: dict[str, str] | None = None) -> DataFrame:

@@ -63,14 +63,23 @@ def test_stream_cleans_and_drops_repeats_over_restarts(spark, tmp_path):
     assert got == ["1", "3", "4"]
 
 
-def test_stream_revenue_emits_closed_days_and_drops_late_rows(spark, tmp_path):
+def test_stream_revenue_has_newest_days_and_late_rows(spark, tmp_path):
     source, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
     drop_file(spark, source, [line(1, 0), line(2, 0), line(3, 10)])
-    refresh.write_available(refresh.daily_revenue(refresh.raw_stream(spark, source)), out, mark)
-    drop_file(spark, source, [line(4, 0), line(5, 20)])  # day 0 is closed by now
-    refresh.write_available(refresh.daily_revenue(refresh.raw_stream(spark, source)), out, mark)
-    rows = {r["day"]: (r["lines"], r["revenue"]) for r in spark.read.parquet(out).collect()}
-    assert rows == {"2023-01-01": (2, 6.0), "2023-01-11": (1, 3.0)}
+    refresh.write_available(refresh.valid_stream(refresh.raw_stream(spark, source)), out, mark)
+    drop_file(spark, source, [line(4, 0), line(5, 20)])  # the first of them for a day that is written
+    refresh.write_available(refresh.valid_stream(refresh.raw_stream(spark, source)), out, mark)
+    rows = {r["day"]: (r["lines"], r["revenue"]) for r in refresh.daily_revenue(spark.read.parquet(out)).collect()}
+    assert rows == {"2023-01-01": (3, 9.0), "2023-01-11": (1, 3.0), "2023-01-21": (1, 3.0)}
+
+
+def test_csv_keeps_blanks_quotes_and_nulls(spark, tmp_path):
+    from patronscope.sources import tables, transactions
+
+    rows = [(" a ", 1), ("  ", 2), ("", 3), (None, 4), ('say "hi", twice', 5)]
+    tables.write_tables({"t": spark.createDataFrame(rows, "s string, i int")}, str(tmp_path / "c"), "csv")
+    back = spark.read.schema("s string, i int").options(**transactions.CSV_READ).csv(str(tmp_path / "c/t"))
+    assert sorted(map(tuple, back.collect()), key=lambda r: r[1]) == rows
 
 
 def test_pushdown_and_pruning_reach_the_scan(w):

@@ -17,14 +17,7 @@ def skewed(spark):
     return spark.createDataFrame(rows, "customer_id long, v double, g string").repartition(6).cache(), values
 
 
-# Brackets on every input, no brackets, and the whole table in one task.
-WAYS = [(0, 0), (10**9, 0), (0, 1 << 80)]
-
-
-@pytest.mark.parametrize("bracket_from,direct", WAYS)
-def test_order_statistics_match_sorting(monkeypatch, skewed, bracket_from, direct):
-    monkeypatch.setattr(order_stats, "UNBRACKETED", bracket_from)
-    monkeypatch.setattr(order_stats, "DIRECT_BYTES", direct)
+def test_order_statistics_match_sorting(skewed):
     df, values = skewed
     ranks = [1, 2, 37, 999, 1500, 2222, len(values) - 1, len(values)]
     found = order_stats.order_statistics(df, "v", {f"k{r}": str(r) for r in ranks} | {"none": "n + 1", "zero": "0"}).collect()
@@ -36,10 +29,7 @@ def test_order_statistics_match_sorting(monkeypatch, skewed, bracket_from, direc
         assert got[f"k{r}"]["below"] == int((ordered < ordered[r - 1]).sum())
 
 
-@pytest.mark.parametrize("bracket_from,direct", WAYS)
-def test_group_quantiles_match_numpy(monkeypatch, skewed, bracket_from, direct):
-    monkeypatch.setattr(order_stats, "UNBRACKETED", bracket_from)
-    monkeypatch.setattr(order_stats, "DIRECT_BYTES", direct)
+def test_group_quantiles_match_numpy(skewed):
     df, _ = skewed
     local = df.where("v IS NOT NULL").toPandas()
     for row in order_stats.group_quantiles(df, "v", {"q1": 0.25, "med": 0.5, "hi": 0.999}, ["g"]).collect():
@@ -64,9 +54,7 @@ def test_top_sums_with_ties(skewed):
 
 
 @pytest.mark.parametrize("n", [5, 7, 23, 48])
-@pytest.mark.parametrize("direct", [0, 1 << 80])
-def test_ntile_by_cut_points_equals_window(spark, monkeypatch, n, direct):
-    monkeypatch.setattr(order_stats, "DIRECT_BYTES", direct)
+def test_ntile_by_cut_points_equals_window(spark, n):
     buckets = 5
     rng = np.random.default_rng(n)
     df = spark.createDataFrame([(i, int(rng.integers(0, 4))) for i in range(n)], "customer_id long, v long")
@@ -76,9 +64,15 @@ def test_ntile_by_cut_points_equals_window(spark, monkeypatch, n, direct):
     assert both.where("mine <> theirs").count() == 0
 
 
-def test_unknown_size_is_not_small(spark, w):
-    assert not order_stats.is_small(spark.createDataFrame([(1,)], "v long").checkpoint(eager=False))
-    assert order_stats.is_small(w.segments.select("monetary"))
+@pytest.mark.parametrize("sql,ranks", [
+    ("SELECT 7.0D AS v FROM range(1)", {"1": 7.0}),
+    ("SELECT 3.0D AS v FROM range(1000000)", {"1": 3.0, "500000": 3.0, "n": 3.0}),
+    ("SELECT CAST(id * id AS DOUBLE) AS v FROM range(300000)", {"1": 0.0, "150001": 150000.0 ** 2, "n": 299999.0 ** 2}),
+    ("SELECT IF(id < 99999, exp(-id / 1000D), 1e300) AS v FROM range(100000)", {"n": 1e300, "n - 1": 1.0}),
+])
+def test_selection_of_one_row_equal_rows_and_distinct_rows(spark, sql, ranks):
+    found = order_stats.order_statistics(spark.sql(sql), "v", {f"k{i}": r for i, r in enumerate(ranks)}).collect()
+    assert {r["stat"]: r["value"] for r in found} == {f"k{i}": v for i, v in enumerate(ranks.values())}
 
 
 def test_qcut_sizes_follow_interpolated_edges(spark):
