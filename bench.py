@@ -19,6 +19,7 @@ HEADLINE = (
     "segment_summary", "dq_raw_report", "cleaning_funnel", "clean_sql_rules", "customer_summary", "rfm_segments", "rfm_ranks",
     "pareto", "product_affinity", "purchase_gaps", "transaction_export", "monthly_activity", "segment_box", "retention_matrix",
     "clv_summary", "clv_tiers", "ab_bonferroni", "action_priority", "iforest_score",
+    "kmeans_fit", "knn_distance", "bgnbd_fit", "gamma_gamma_fit", "cust_anomaly_flag", "stream_revenue",
 )
 
 

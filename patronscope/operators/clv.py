@@ -25,7 +25,7 @@ FALLBACK = {"one_time_alive": 0.30, "max_alive": 0.99, "value_drift": 1.05, "mar
 FREQUENCY_EDGES, RECENCY_EDGES = (0, 1, 3, 5, 10, 30), (0, 10, 20, 30, 40, 52)
 
 
-# --- summaries ------------------------------------------------------------------------------------------------------
+# Summaries
 
 def clv_summary(transactions: DataFrame) -> DataFrame:
     """Weekly repeat frequency, recency, age T and mean value of repeat weeks, one row per customer.
@@ -60,7 +60,7 @@ def freq_value_corr(summary: DataFrame) -> DataFrame:
         round_to(c, 6).alias("correlation"), (F.abs(c) < 0.3).alias("independent"))
 
 
-# --- model fitting --------------------------------------------------------------------------------------------------
+# Model fitting
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
     """Stirling's series after moving the argument up by eight."""
@@ -183,7 +183,7 @@ def parameter_row(summary: DataFrame, params: dict[str, float]) -> DataFrame:
     return summary.sparkSession.range(1).select(*[F.lit(v).alias(k) for k, v in params.items()])
 
 
-# --- predictions ----------------------------------------------------------------------------------------------------
+# Predictions
 
 def prob_alive(params: dict[str, float]) -> Column:
     """Probability that a customer has not dropped out, as a column expression."""
@@ -284,7 +284,7 @@ def clv_fallback(seg: DataFrame) -> DataFrame:
     )
 
 
-# --- reports --------------------------------------------------------------------------------------------------------
+# Reports
 
 def clv_join_segments(predictions: DataFrame, seg: DataFrame) -> DataFrame:
     labels = seg.select("customer_id", F.col("segment_label").alias("segment"))

@@ -194,6 +194,17 @@ def _linked_cells(core: DataFrame, side: float, eps: float) -> DataFrame:
                                   "a_rep", "b_rep", "a_c", "b_c").where(_box_gap(level_side) <= eps)
 
 
+def _stacks(points: DataFrame, key: str, columns: Sequence[str], min_samples: int) -> DataFrame:
+    """Clusters at a radius of 0 (or none, for a table without distances): places that hold ``min_samples`` points."""
+    placed = sites(points, key, columns)
+    core = placed.where(F.col("weight") >= min_samples)
+    numbered = number_rows(core.select("site"), [F.col("site")]).select("site", (F.col("rn") - 1).alias("cluster"))
+    final = placed.join(numbered, "site", "left").select(
+        *AXES, F.coalesce("cluster", F.lit(NOISE)).cast("int").alias("dbscan_cluster"), (F.col("weight") >= min_samples).alias("is_core"))
+    coords = [F.col(c).cast("double").alias(a) for c, a in zip(columns, AXES)]
+    return points.select(key, *coords).join(final, list(AXES)).select(key, "dbscan_cluster", "is_core")
+
+
 def dbscan(points: DataFrame, key: str, columns: Sequence[str], eps: float, min_samples: int = MIN_SAMPLES) -> DataFrame:
     """Exact DBSCAN: (key, dbscan_cluster, is_core); -1 is noise, clusters are numbered by their smallest core key.
 
@@ -201,6 +212,8 @@ def dbscan(points: DataFrame, key: str, columns: Sequence[str], eps: float, min_
     cluster. Only points of thin cubes count their neighbours. A border point joins its smallest core neighbour's cluster.
     """
     enable_checkpoints(points.sparkSession)
+    if not eps:
+        return _stacks(points, key, columns, min_samples)
     # Slightly under the diagonal, so that rounding cannot put two sites of a cube more than eps apart.
     side = eps / math.sqrt(3.0) * (1 - 1e-12)
     reach = CUBE_REACH

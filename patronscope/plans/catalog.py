@@ -37,7 +37,7 @@ def add(name: str, build: Build) -> None:
     QUERIES[name] = build
 
 
-# --- sources, schema, sinks -----------------------------------------------------------------------------------------
+# Sources, schema, sinks
 
 def _fresh(w: Workspace, name: str) -> str:
     return w.stage.path(f"{name}-{uuid.uuid4().hex[:8]}")
@@ -127,7 +127,7 @@ def _(w):
     return w.spark.read.schema(schema).parquet(path)
 
 
-# --- data quality and cleaning --------------------------------------------------------------------------------------
+# Data quality and cleaning
 
 add("dq_raw_report", lambda w: quality.dq_raw_report(w.raw))
 add("dq_nulls", lambda w: quality.dq_nulls(w.raw))
@@ -149,7 +149,7 @@ add("customers_dim", lambda w: w.customers)
 add("time_features", lambda w: w.retail.select("invoice", "invoice_date", "year", "month", "day_of_week", "hour", "year_month"))
 add("customer_summary", lambda w: w.summary)
 
-# --- RFM ------------------------------------------------------------------------------------------------------------
+# RFM
 
 add("rfm_snapshot", lambda w: rfm.rfm_snapshot(w.transactions))
 add("rfm_raw", lambda w: w.rfm_raw)
@@ -170,7 +170,7 @@ add("rfm_scaled", lambda w: w.scaled.select("customer_id", *[ask.round_to(c, 6).
 add("rfm_distribution", lambda w: rfm.rfm_distribution(w.segments))
 add("segment_counts", lambda w: rfm.segment_counts(w.segments))
 
-# --- questions ------------------------------------------------------------------------------------------------------
+# Questions
 
 for _name in ("seg_customer_share", "seg_profile", "pareto", "pareto_rows", "churn_by_segment", "churn_bands", "rf_heatmap",
               "kpi_summary", "segment_pivot", "buyer_types", "monetary_percentiles", "segment_summary", "seg_revenue"):
@@ -187,20 +187,20 @@ add("transaction_export", lambda w: ask.transaction_export(w.transactions, w.pro
 add("top_customers", lambda w: ask.top_customers(w.summary))
 add("top_countries", lambda w: ask.top_countries(w.transactions, w.customers))
 
-# --- exploration ----------------------------------------------------------------------------------------------------
+# Exploration
 
 for _name in ("monthly_revenue_peak", "country_revenue", "order_value_hist", "purchase_frequency", "dow_revenue", "top_products"):
     add(_name, lambda w, f=getattr(explore, _name): f(w.retail))
 for _name in ("rfm_score_hist", "segment_box", "recency_frequency_density", "segment_radar"):
     add(_name, lambda w, f=getattr(explore, _name): f(w.segments))
 
-# --- insights -------------------------------------------------------------------------------------------------------
+# Insights
 
 for _name in ("strategy_dim", "revenue_opportunity", "segment_treemap", "churn_risk_band", "churn_risk_customers",
               "revenue_by_risk_band", "revenue_at_risk", "avg_churn"):
     add(_name, lambda w, f=getattr(insights, _name): f(w.segments))
 
-# --- audience -------------------------------------------------------------------------------------------------------
+# Audience
 
 add("filter_customers", lambda w: audience.filter_customers(w.profile, **AUDIENCE).select(*PROFILE_COLUMNS))
 add("filter_bounds", lambda w: audience.filter_bounds(w.profile))
@@ -211,7 +211,7 @@ for _name in ("pareto_top20", "winback_projection", "potential_projection", "loy
     add(_name, lambda w, f=getattr(audience, _name): f(w.profile))
 add("explore_sorted", lambda w: audience.explore_sorted(w.profile, PROFILE_COLUMNS, "monetary"))
 
-# --- cohorts --------------------------------------------------------------------------------------------------------
+# Cohorts
 
 add("cohort_assign", lambda w: cohorts.cohort_assign(w.transactions).select(
     "customer_id", "invoice", "stock_code", "order_month", "cohort_month", "cohort_index"))
@@ -221,16 +221,16 @@ for _name in ("cohort_counts", "cohort_sizes", "cohort_extent", "retention_table
 for _name in ("cohort_matrix", "retention_matrix", "revenue_cohort", "revenue_cohort_per_customer"):
     add(_name, lambda w, f=getattr(cohorts, _name): f(w.customer_months, at_least=COHORT_COLUMNS))
 
-# --- experiment -----------------------------------------------------------------------------------------------------
+# Experiment
 
 add("ab_assign", lambda w: experiment.ab_assign(w.segments, "rfm_score"))
 add("ab_describe", lambda w: experiment.ab_describe_report(w.experiment))
 for _name in ("ab_lift", "ab_ztest", "ab_welch", "ab_cohens_d", "ab_mannwhitney", "ab_chi2", "ab_bonferroni", "ab_impact",
               "ab_decision", "ab_summary", "ab_revenue_hist"):
     add(_name, lambda w, f=getattr(experiment, _name): f(w.experiment))
-add("ab_sample_size", lambda w: experiment.ab_sample_size(experiment.score_baselines(w.experiment)))
+add("ab_sample_size", lambda w: experiment.ab_sample_size(experiment.score_baselines(w.scored_experiment)))
 
-# --- lifetime value -------------------------------------------------------------------------------------------------
+# Lifetime value
 
 add("clv_summary", lambda w: w.clv_summary)
 add("clv_repeaters", lambda w: clv.clv_repeaters(w.clv_summary))
@@ -255,7 +255,7 @@ add("clv_segment_table", lambda w: clv.clv_segment_table(clv.clv_join_segments(w
 for _name in ("clv_headline", "alive_grid", "clv_hist", "alive_hist"):
     add(_name, lambda w, f=getattr(clv, _name): f(w.clv_fallback))
 
-# --- clustering -----------------------------------------------------------------------------------------------------
+# Clustering
 
 add("k_sweep", lambda w: w.k_sweep)
 add("silhouette", lambda w: w.k_sweep.select("k", "silhouette"))
@@ -266,7 +266,7 @@ add("cluster_profile", lambda w: clustering.cluster_profile(w.clusters))
 add("cluster_names", lambda w: clustering.cluster_names(clustering.cluster_profile(w.clusters)))
 add("cluster_label", lambda w: clustering.cluster_label(w.clusters).select("customer_id", "cluster", "cluster_segment"))
 add("cluster_counts", lambda w: clustering.cluster_counts(clustering.cluster_label(w.clusters)))
-add("knn_distance", lambda w: w.knn_distance)
+add("knn_distance", lambda w: w.knn_distance.select("customer_id", ask.round_to("distance", 6).alias("distance")))
 add("dbscan", lambda w: w.dbscan)
 add("dbscan_summary", lambda w: neighbours.dbscan_summary(w.dbscan))
 add("pca_2d", lambda w: clustering.pca_2d(w.vectors)[0])
@@ -276,7 +276,7 @@ add("cluster_summary", lambda w: clustering.cluster_summary(w.segments))
 add("kmeans_segment_summary", lambda w: clustering.cluster_summary(clustering.cluster_label(w.clusters), "cluster_segment"))
 add("clv_by_segment", lambda w: clustering.clv_by_segment(w.segments))
 
-# --- anomalies ------------------------------------------------------------------------------------------------------
+# Anomalies
 
 add("tx_features", lambda w: anomalies.tx_features(w.lines).select(
     "invoice", "stock_code", ask.round_to("implied_unit_price", 4).alias("implied_unit_price"),
@@ -299,7 +299,7 @@ add("exclude_anomalies", lambda w: anomalies.exclude_anomalies(w.cust_flagged).s
 add("anomaly_score_hist", lambda w: anomalies.anomaly_score_hist(w.tx_flagged))
 
 
-# --- streaming ------------------------------------------------------------------------------------------------------
+# Streaming
 
 def _streamed(w: Workspace, transform, name: str, schema: str | None = None) -> DataFrame:
     stream = transform(refresh.raw_stream(w.spark, _source_file(w, "parquet")))

@@ -642,6 +642,10 @@ def _bodies() -> dict[str, str]:
     q["tx_anomaly_thresholds"] = "SELECT quantile_cont(total_amount, 0.998) AS extreme_total, quantile_cont(implied_unit_price, 0.998) AS unusual_price FROM txf0"
 
     q["read_transactions_csv"] = q["read_transactions"]
+    # The customer itself is the first of its five nearest.
+    squared = " + ".join(f"pow(a.{c} - b.{c}, 2)" for c in ("r_scaled", "f_scaled", "m_scaled"))
+    q["knn_distance"] = f"""SELECT customer_id, {r('distance', 6)} AS distance FROM (SELECT a.customer_id, sqrt({squared}) AS distance,
+ row_number() OVER (PARTITION BY a.customer_id ORDER BY {squared}) AS nth FROM scaled a, scaled b) WHERE nth = 5"""
     q["stream_clean"] = "SELECT DISTINCT * FROM lines"
     q["stream_revenue"] = f"SELECT strftime(invoice_date, '%Y-%m-%d') AS day, count(*) AS lines, {msum('total_amount')} AS revenue FROM lines GROUP BY 1"
     return q

@@ -96,6 +96,11 @@ class Workspace:
 
     @cached_property
     def experiment(self) -> DataFrame:
+        return retail_feed.experiment(self.spark, self.folder)
+
+    @cached_property
+    def scored_experiment(self) -> DataFrame:
+        """With RFM scores, which only the sample sizes by score need."""
         return retail_feed.experiment(self.spark, self.folder, self.segments)
 
     # --- cohorts, value, clusters, anomalies

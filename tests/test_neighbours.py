@@ -76,3 +76,11 @@ def test_connected_components_of_a_long_chain(spark):
     labels = {r["node"]: r["label"] for r in neighbours.connected_components(nodes, edges).collect()}
     assert all(labels[i] == 0 for i in range(41)) and labels[59] == 50 and labels[45] == 45
     assert math.isclose(len(labels), 60)
+
+
+def test_dbscan_without_radius_takes_full_places(spark):
+    rows = [(i, float(i % 10), 0.0, 0.0) for i in range(100)] + [(200, 5.5, 0.0, 0.0)]
+    df = spark.createDataFrame(rows, "customer_id long, a double, b double, c double")
+    for eps in (0.0, None):
+        found = {r["customer_id"]: r["dbscan_cluster"] for r in neighbours.dbscan(df, "customer_id", ["a", "b", "c"], eps).collect()}
+        assert all(found[i] == i % 10 for i in range(100)) and found[200] == -1

@@ -144,3 +144,13 @@ def test_fit_is_an_optimum_and_compression_is_exact(spark):
             moved[i] *= factor
             assert loss(best) <= loss(moved) + 1e-7
     assert all(v > 0 for v in params.values())
+
+
+def test_experiment_without_conversions_has_no_test_results(spark):
+    from patronscope.operators import experiment
+
+    df = spark.createDataFrame([(i, "Control" if i % 2 else "Treatment", 0, 0.0, 0, 0.0) for i in range(20)],
+                               "customer_id long, grp string, converted int, revenue double, items_purchased long, aov double")
+    assert experiment.ab_ztest(df).first()["z"] is None and experiment.ab_welch(df).first()["t_stat"] is None
+    assert experiment.ab_cohens_d(df).first()["cohens_d"] is None and experiment.ab_chi2(df).first()["chi2"] is None
+    assert experiment.ab_mannwhitney(df).first()["z"] is None and experiment.ab_bonferroni(df).count() > 0
