@@ -107,7 +107,7 @@ def estimate(a: Column, b: Column) -> Column:
 
 
 def confirm_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b, text_a, text_b) whose whole shingle sets are similar enough, with intersection and union sizes."""
+    """Sizes of intersection and union of the whole shingle sets of pairs (a, b, text_a, text_b)."""
     kept: dict[str, tuple[bytes | None, np.ndarray]] = {"a": (None, np.zeros(0)), "b": (None, np.zeros(0))}
 
     def of(side: str, name: bytes, text: pa.Array) -> np.ndarray:
@@ -117,17 +117,27 @@ def confirm_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
     for batch in batches:
         a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-        take, common, united = [], [], []
+        common, united = [], []
         for i in range(batch.num_rows):
             x, y = of("a", a[i], batch.column("text_a").slice(i, 1)), of("b", b[i], batch.column("text_b").slice(i, 1))
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            union = len(x) + len(y) - both
-            if 100 * both >= MIN_PERCENT * union:
-                take.append(i)
-                common.append(both)
-                united.append(union)
-        yield pa.record_batch([pa.array([a[i] for i in take], pa.binary()), pa.array([b[i] for i in take], pa.binary()),
-                               pa.array(common, pa.int64()), pa.array(united, pa.int64())], names=["a", "b", "common", "united"])
+            common.append(len(np.intersect1d(x, y, assume_unique=True)))
+            united.append(len(x) + len(y) - common[-1])
+        yield pa.record_batch([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(common, pa.int64()),
+                               pa.array(united, pa.int64())], names=["a", "b", "common", "united"])
+
+
+def lone_parts(text: Column) -> Column:
+    """The shingles of a text, shortened to 32 bits. Two that fall together only make a shingle look less rare."""
+
+    def batch(texts: pa.Array) -> pa.Array:
+        ends, parts = [0], []
+        for chunk in ta.chunks(texts):
+            sets, bounds = ta.shingle_sets(chunk)
+            ends += (ends[-1] + bounds[1:]).tolist()
+            parts.append((sets >> np.uint64(32)).astype(np.uint32).view(np.int32))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int32)))
+
+    return arrow_udf(batch, "array<int>")(text)
 
 
 def _likely(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -138,13 +148,15 @@ def _likely(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs with the exact sizes of intersection and union, and whether they are linked."""
     side = lambda name: texts.select(F.col("node").alias(name), F.col("text").alias(f"text_{name}"))
     joined = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
-    return staged(joined.mapInArrow(confirm_batches, "a binary, b binary, common bigint, united bigint"), "links")
+    found = joined.mapInArrow(confirm_batches, "a binary, b binary, common bigint, united bigint")
+    return staged(found.withColumn("linked", 100 * F.col("common") >= MIN_PERCENT * F.col("united")), "confirmed")
 
 
 def _hub_pairs(buckets: DataFrame, sketches: DataFrame) -> DataFrame:
-    """For each set the most similar of the hubs of its buckets.
+    """Each set with the likely ones among the hubs of its buckets: (a, b, estimate).
 
     The hub of a bucket is the member that meets most others over all its buckets: in a group of copies of one original
     with few changes each, that is the original, to which all are closer than to one another. A bucket gives one pair
@@ -153,35 +165,73 @@ def _hub_pairs(buckets: DataFrame, sketches: DataFrame) -> DataFrame:
     meets = buckets.groupBy("node").agg(F.sum("size").alias("meets"))
     hubs = buckets.join(meets, "node").groupBy("key").agg(F.max(F.struct("meets", F.col("node").alias("hub")))["hub"].alias("hub"))
     pairs = buckets.join(hubs, "key").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    return _likely(pairs, sketches).groupBy("a").agg(F.max(F.struct("estimate", "b"))["b"].alias("b"))
+    return staged(_likely(pairs, sketches), "hub-pairs")
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
-    """Rows (key, node, component) of buckets that hold more than one component, with the bucket's size."""
-    wide = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high"))
-    return rows.join(wide.where("low <> high").select("key", "size"), "key")
+    """Rows of buckets that hold more than one component, with the bucket's size and its most frequent component."""
+    parts = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    wide = parts.groupBy("key").agg(F.count(F.lit(1)).alias("components"), F.sum("n").alias("size"),
+                                    F.max(F.struct("n", "component"))["component"].alias("main"))
+    return rows.join(wide.where("components > 1").select("key", "size", "main"), "key")
+
 
+def _facts(rows: DataFrame, confirmed: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
+    """What rules out links of the sets in ``rows`` without comparing them: struct ``fact`` by node.
+
+    ``lone``: how many shingles of a set no other set here has; they are in no intersection and in every union. ``hubs``:
+    exact distances from hubs, and the nearest; distances of linked sets from any third differ by 0.15 at most, as one
+    minus the Jaccard similarity is a metric.
+    """
+    nodes = rows.select("node").distinct()
+    parts = nodes.join(texts, "node").select("node", F.explode(lone_parts(F.col("text"))).alias("part"))
+    lone = parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).where("n = 1").groupBy("node").agg(
+        F.count(F.lit(1)).alias("lone"))
+    known = confirmed.select(F.col("a").alias("node"), F.hex("b").alias("hub"), (1 - F.col("common") / F.col("united")).alias("off"))
+    known = known.union(confirmed.select(F.col("b").alias("node"), F.hex("b").alias("hub"), F.lit(0.0).alias("off")).distinct())
+    known = known.groupBy("node").agg(F.map_from_entries(F.collect_set(F.struct("hub", "off"))).alias("hubs"),
+                                      F.min(F.struct("off", "hub")).alias("nearest"))
+    return staged(nodes.join(sketches.select("node", "n_shingles"), "node").join(lone, "node", "left").join(known, "node", "left").select(
+        "node", F.struct("n_shingles", F.coalesce("lone", F.lit(0)).alias("lone"), "hubs", "nearest").alias("fact")), "facts")
 
-def _open_pairs(rows: DataFrame, sketches: DataFrame) -> DataFrame:
-    """All pairs of different components that share a bucket.
+
+def _possible(x: Column, y: Column) -> Column:
+    """Whether two sets of different components may be linked, from their facts."""
+    slack = (100 - MIN_PERCENT) / 100 + 1e-9
+
+    def apart(p: Column, q: Column) -> Column:
+        return F.coalesce(F.abs(F.try_element_at(q["hubs"], p["nearest"]["hub"]) - p["nearest"]["off"]) > slack, F.lit(False))
+
+    def room(p: Column, q: Column) -> Column:
+        return 100 * (p["n_shingles"] - p["lone"]) >= MIN_PERCENT * (p["n_shingles"] + q["lone"])
+
+    return room(x, y) & room(y, x) & ~apart(x, y) & ~apart(y, x)
+
+
+def _open_pairs(rows: DataFrame, sketches: DataFrame, facts: DataFrame) -> DataFrame:
+    """All pairs of different components that share a bucket and may be linked.
 
     A bucket of more than WIDE_BUCKET sets is first divided by each further band, up to three times: a link shares two
-    bands in all but 3 of 100,000 cases, and sets that are less similar seldom share several.
+    bands in all but 3 of 100,000 cases, and sets that are less similar seldom share several. Members of a bucket's
+    most frequent component are not paired with one another.
     """
+    alone = 100 * (F.col("fact.n_shingles") - F.col("fact.lone")) < MIN_PERCENT * F.col("fact.n_shingles")
+    rows = rows.join(facts, "node").where(~alone)
     pairs, level = None, 0
     while True:
-        rows = staged(_mixed(rows.select("key", "node", "component")), "mixed")
+        rows = staged(_mixed(rows.select("key", "node", "component", "fact")), "mixed")
         last = level == 3
         small = rows if last else rows.where(F.col("size") <= WIDE_BUCKET)
-        left, right = small.alias("x"), small.alias("y")
-        found = left.join(right, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component"))).select(
-            F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+        left, right = small.where("component <> main").alias("x"), small.alias("y")
+        found = left.join(right, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component"))
+                          & _possible(F.col("x.fact"), F.col("y.fact"))).select(
+            F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
         pairs = found if pairs is None else pairs.union(found)
         wide = rows.where(F.col("size") > WIDE_BUCKET)
         if last or wide.limit(1).count() == 0:
             return pairs
-        rows = (wide.join(sketches.select("node", "bands"), "node").select("key", "node", "component", F.explode("bands").alias("band"))
-                .select(F.xxhash64("key", "band").alias("key"), "node", "component"))
+        rows = (wide.join(sketches.select("node", "bands"), "node").select("key", "node", "component", "fact", F.explode("bands").alias("band"))
+                .select(F.xxhash64("key", "band").alias("key"), "node", "component", "fact"))
         level += 1
 
 
@@ -197,7 +247,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     signed = staged(rows.select("doc_id", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("digest"), signature(F.col("text")).alias("s"))
                     .select("doc_id", "digest", "s.*"), "signatures")
     sketches = staged(signed.where("node is not null").groupBy("node").agg(
-        F.min(F.struct("digest", "bands", "sketch", "doc_id")).alias("s")).select("node", "s.digest", "s.bands", "s.sketch"), "nodes")
+        F.min(F.struct("digest", "n_shingles", "bands", "sketch")).alias("s")).select("node", "s.*"), "nodes")
 
     keyed = sketches.select("node", F.explode("bands").alias("key"))
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -208,11 +258,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = staged(rows.where(F.col("text").isNotNull()).select(digest.alias("digest"), "text").join(shared, "digest")
                    .groupBy("node").agg(F.min("text").alias("text")), "texts")
 
-    links = _confirmed(_hub_pairs(buckets, sketches), texts)
+    # First the most similar hub of each set, then every likely hub of those that it left without a link.
+    hubs = _hub_pairs(buckets, sketches)
+    first = _confirmed(hubs.groupBy("a").agg(F.max(F.struct("estimate", "b"))["b"].alias("b")), texts)
+    linked = first.where("linked").select(F.explode(F.array("a", "b")).alias("a")).distinct()
+    second = _confirmed(hubs.join(linked, "a", "left_anti").join(first, ["a", "b"], "left_anti"), texts)
+    confirmed = first.union(second)
+    links = confirmed.where("linked")
     grouped = components(links)
-    named = buckets.select("key", "node").join(grouped, "node", "left").select(
-        "key", "node", F.coalesce("component", "node").alias("component"))
-    more = _confirmed(_likely(_open_pairs(named, sketches), sketches), texts)
+
+    named = _mixed(buckets.select("key", "node").join(grouped, "node", "left").select(
+        "key", "node", F.coalesce("component", "node").alias("component")))
+    named = staged(named.select("key", "node", "component"), "open")
+    facts = _facts(named, confirmed, sketches, texts)
+    more = _confirmed(_likely(_open_pairs(named, sketches, facts), sketches), texts).where("linked")
     if more.limit(1).count():
         grouped = components(links.union(more))
 
