@@ -18,15 +18,16 @@ from . import textarrays as ta
 from .components import components
 from .staging import staged
 
-BANDS, BAND_ROWS = 28, 6
+BANDS, BAND_ROWS = 35, 7
 SAMPLES = BANDS * BAND_ROWS
-SKETCH_BITS = 512
-#: Links have 100 * intersection >= MIN_PERCENT * union. At that similarity two sets share no band in 2 of a million cases.
+SKETCH_BITS = 1024
+#: Links have 100 * intersection >= MIN_PERCENT * union. At that similarity two sets share no band in 1.3 of a million cases.
 MIN_PERCENT = 85
 #: An estimate below this is over six standard deviations from a link.
 MIN_ESTIMATE = 0.62
 #: Buckets of more sets of different components are split by further bands before their pairs are looked at.
 WIDE_BUCKET = 200
+FILTER_BITS = 1 << 21
 _BLOCK = 1 << 15
 
 
@@ -202,21 +203,26 @@ def _possible(x: Column, y: Column) -> Column:
     def apart(p: Column, q: Column) -> Column:
         return F.coalesce(F.abs(F.try_element_at(q["hubs"], p["nearest"]["hub"]) - p["nearest"]["off"]) > slack, F.lit(False))
 
-    def room(p: Column, q: Column) -> Column:
-        return 100 * (p["n_shingles"] - p["lone"]) >= MIN_PERCENT * (p["n_shingles"] + q["lone"])
+    common = F.least(x["n_shingles"] - x["lone"], y["n_shingles"] - y["lone"])
+    room = 100 * common >= MIN_PERCENT * (x["n_shingles"] + y["n_shingles"] - common)
+    return room & ~apart(x, y) & ~apart(y, x)
 
-    return room(x, y) & room(y, x) & ~apart(x, y) & ~apart(y, x)
+
+def _with_room(rows: DataFrame) -> DataFrame:
+    """Rows whose set may be linked with one of the smallest size in its bucket, which is the best case for it."""
+    least = rows.groupBy("key").agg(F.min("fact.n_shingles").alias("least"))
+    size, common = F.col("fact.n_shingles"), F.col("fact.n_shingles") - F.col("fact.lone")
+    return rows.join(least, "key").where(100 * common >= MIN_PERCENT * (size + F.greatest("least", common) - common)).drop("least")
 
 
 def _open_pairs(rows: DataFrame, sketches: DataFrame, facts: DataFrame) -> DataFrame:
     """All pairs of different components that share a bucket and may be linked.
 
     A bucket of more than WIDE_BUCKET sets is first divided by each further band, up to three times: a link shares two
-    bands in all but 3 of 100,000 cases, and sets that are less similar seldom share several. Members of a bucket's
+    bands in all but 2 of 100,000 cases, and sets that are less similar seldom share several. Members of a bucket's
     most frequent component are not paired with one another.
     """
-    alone = 100 * (F.col("fact.n_shingles") - F.col("fact.lone")) < MIN_PERCENT * F.col("fact.n_shingles")
-    rows = rows.join(facts, "node").where(~alone)
+    rows = _with_room(rows.join(facts, "node"))
     pairs, level = None, 0
     while True:
         rows = staged(_mixed(rows.select("key", "node", "component", "fact")), "mixed")
@@ -235,6 +241,23 @@ def _open_pairs(rows: DataFrame, sketches: DataFrame, facts: DataFrame) -> DataF
         level += 1
 
 
+def _maybe_in(wanted: DataFrame, column: str) -> Column:
+    """Whether a value may be among those of ``wanted``: a bitmap of FILTER_BITS bits, so of fixed size, tested before the
+    shuffle of a join. The more values are wanted the less it filters; it never loses one."""
+    place = F.xxhash64(column).bitwiseAND(FILTER_BITS - 1)
+    words = wanted.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("p").bitwiseAND(63).cast("int"))).alias("bits")).collect()
+    bitmap = np.zeros(FILTER_BITS >> 6, np.int64)
+    for r in words:  # at most FILTER_BITS / 64 rows
+        bitmap[r["word"]] = r["bits"]
+
+    def test(places: pa.Array) -> pa.Array:
+        p = places.to_numpy(zero_copy_only=False)
+        return pa.array((bitmap[p >> 6] >> (p & 63)) & 1 == 1)
+
+    return arrow_udf(test, "boolean")(place)
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row for each row of ``docs``: doc_id, digest (md5 of the text), n_shingles, node (name of the set), component
     (name of the group; both null for texts without words) and component_id (the group's smallest doc_id; the own one
@@ -255,7 +278,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     shared = sketches.join(buckets.select("node").distinct(), "node", "left_semi").select("digest", "node")
     digest = F.unhex(F.md5("text"))
-    texts = staged(rows.where(F.col("text").isNotNull()).select(digest.alias("digest"), "text").join(shared, "digest")
+    named = rows.where(F.col("text").isNotNull()).select(digest.alias("digest"), "text")
+    texts = staged(named.where(_maybe_in(shared, "digest")).join(shared, "digest")
                    .groupBy("node").agg(F.min("text").alias("text")), "texts")
 
     # First the most similar hub of each set, then every likely hub of those that it left without a link.
