@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from . import textarrays as ta
@@ -25,8 +25,8 @@ SKETCH_BITS = 1024
 MIN_PERCENT = 85
 #: An estimate below this is over six standard deviations from a link.
 MIN_ESTIMATE = 0.62
-#: Buckets of more sets of different components are split by further bands before their pairs are looked at.
-WIDE_BUCKET = 200
+#: Up to this many sets in a bucket are paired directly, more by what each differs in from the bucket's hub.
+WIDE_BUCKET = 16
 FILTER_BITS = 1 << 21
 _BLOCK = 1 << 15
 
@@ -107,38 +107,40 @@ def estimate(a: Column, b: Column) -> Column:
     return 1 - differing / F.lit(2 * SAMPLES)
 
 
-def confirm_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sizes of intersection and union of the whole shingle sets of pairs (a, b, text_a, text_b)."""
-    kept: dict[str, tuple[bytes | None, np.ndarray]] = {"a": (None, np.zeros(0)), "b": (None, np.zeros(0))}
+def _set_pairs(batch: pa.RecordBatch, kept: dict[str, tuple[bytes | None, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The whole shingle sets of each pair (a, b, text_a, text_b); ``kept`` holds the last set of either side."""
+    for i, names in enumerate(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist())):
+        for side, name in zip("ab", names):
+            if side not in kept or kept[side][0] != name:
+                kept[side] = (name, ta.shingle_sets(next(ta.chunks(batch.column(f"text_{side}").slice(i, 1))))[0])
+        yield kept["a"][1], kept["b"][1]
 
-    def of(side: str, name: bytes, text: pa.Array) -> np.ndarray:
-        if kept[side][0] != name:
-            kept[side] = (name, ta.shingle_sets(next(ta.chunks(text)))[0])
-        return kept[side][1]
 
+def confirm_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sizes of intersection and union of the whole shingle sets of pairs."""
+    kept: dict = {}
     for batch in batches:
-        a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
         common, united = [], []
-        for i in range(batch.num_rows):
-            x, y = of("a", a[i], batch.column("text_a").slice(i, 1)), of("b", b[i], batch.column("text_b").slice(i, 1))
+        for x, y in _set_pairs(batch, kept):
             common.append(len(np.intersect1d(x, y, assume_unique=True)))
             united.append(len(x) + len(y) - common[-1])
-        yield pa.record_batch([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(common, pa.int64()),
-                               pa.array(united, pa.int64())], names=["a", "b", "common", "united"])
-
+        yield pa.record_batch([batch.column("a"), batch.column("b"), pa.array(common, pa.int64()), pa.array(united, pa.int64())],
+                              names=["a", "b", "common", "united"])
 
-def lone_parts(text: Column) -> Column:
-    """The shingles of a text, shortened to 32 bits. Two that fall together only make a shingle look less rare."""
-
-    def batch(texts: pa.Array) -> pa.Array:
-        ends, parts = [0], []
-        for chunk in ta.chunks(texts):
-            sets, bounds = ta.shingle_sets(chunk)
-            ends += (ends[-1] + bounds[1:]).tolist()
-            parts.append((sets >> np.uint64(32)).astype(np.uint32).view(np.int32))
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int32)))
 
-    return arrow_udf(batch, "array<int>")(text)
+def change_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of pairs of a set and its hub: the sum of their sizes, and the shingles that only one of them has."""
+    kept: dict = {}
+    for batch in batches:
+        size, both, ends, changes = [], [], [0], [np.zeros(0, np.uint64)]
+        for x, y in _set_pairs(batch, kept):
+            changes.append(np.setxor1d(x, y, assume_unique=True))
+            size.append(len(x))
+            both.append(len(x) + len(y))
+            ends.append(ends[-1] + len(changes[-1]))
+        listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(changes).view(np.int64)))
+        yield pa.record_batch([batch.column("a"), batch.column("b"), batch.column("component"), pa.array(size, pa.int64()),
+                               pa.array(both, pa.int64()), listed], names=["node", "hub", "component", "size", "both", "changes"])
 
 
 def _likely(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -148,97 +150,67 @@ def _likely(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
             .select("a", "b", estimate(F.col("sketch_a"), F.col("sketch_b")).alias("estimate")).where(F.col("estimate") >= MIN_ESTIMATE))
 
 
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    side = lambda name: texts.select(F.col("node").alias(name), F.col("text").alias(f"text_{name}"))
+    return pairs.join(side("a"), "a").join(side("b"), "b")
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs with the exact sizes of intersection and union, and whether they are linked."""
-    side = lambda name: texts.select(F.col("node").alias(name), F.col("text").alias(f"text_{name}"))
-    joined = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
-    found = joined.mapInArrow(confirm_batches, "a binary, b binary, common bigint, united bigint")
+    found = _with_texts(pairs.select("a", "b"), texts).mapInArrow(confirm_batches, "a binary, b binary, common bigint, united bigint")
     return staged(found.withColumn("linked", 100 * F.col("common") >= MIN_PERCENT * F.col("united")), "confirmed")
 
 
-def _hub_pairs(buckets: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Each set with the likely ones among the hubs of its buckets: (a, b, estimate).
+def _hubs(buckets: DataFrame) -> DataFrame:
+    """The hub of each bucket (key, hub): the member that meets most others over all its buckets.
 
-    The hub of a bucket is the member that meets most others over all its buckets: in a group of copies of one original
-    with few changes each, that is the original, to which all are closer than to one another. A bucket gives one pair
-    for each member, never all pairs.
+    In a group of copies of one original with few changes each, that is the original, to which all are closer than to
+    one another.
     """
     meets = buckets.groupBy("node").agg(F.sum("size").alias("meets"))
-    hubs = buckets.join(meets, "node").groupBy("key").agg(F.max(F.struct("meets", F.col("node").alias("hub")))["hub"].alias("hub"))
-    pairs = buckets.join(hubs, "key").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    return staged(_likely(pairs, sketches), "hub-pairs")
+    return staged(buckets.join(meets, "node").groupBy("key").agg(F.max(F.struct("meets", F.col("node").alias("hub")))["hub"].alias("hub")), "hubs")
 
 
-def _mixed(rows: DataFrame) -> DataFrame:
-    """Rows of buckets that hold more than one component, with the bucket's size and its most frequent component."""
+def _several(rows: DataFrame) -> DataFrame:
+    """Rows (key, node, component) of buckets that hold more than one component, with the bucket's size."""
     parts = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    wide = parts.groupBy("key").agg(F.count(F.lit(1)).alias("components"), F.sum("n").alias("size"),
-                                    F.max(F.struct("n", "component"))["component"].alias("main"))
-    return rows.join(wide.where("components > 1").select("key", "size", "main"), "key")
-
-
-def _facts(rows: DataFrame, confirmed: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
-    """What rules out links of the sets in ``rows`` without comparing them: struct ``fact`` by node.
-
-    ``lone``: how many shingles of a set no other set here has; they are in no intersection and in every union. ``hubs``:
-    exact distances from hubs, and the nearest; distances of linked sets from any third differ by 0.15 at most, as one
-    minus the Jaccard similarity is a metric.
-    """
-    nodes = rows.select("node").distinct()
-    parts = nodes.join(texts, "node").select("node", F.explode(lone_parts(F.col("text"))).alias("part"))
-    lone = parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).where("n = 1").groupBy("node").agg(
-        F.count(F.lit(1)).alias("lone"))
-    known = confirmed.select(F.col("a").alias("node"), F.hex("b").alias("hub"), (1 - F.col("common") / F.col("united")).alias("off"))
-    known = known.union(confirmed.select(F.col("b").alias("node"), F.hex("b").alias("hub"), F.lit(0.0).alias("off")).distinct())
-    known = known.groupBy("node").agg(F.map_from_entries(F.collect_set(F.struct("hub", "off"))).alias("hubs"),
-                                      F.min(F.struct("off", "hub")).alias("nearest"))
-    return staged(nodes.join(sketches.select("node", "n_shingles"), "node").join(lone, "node", "left").join(known, "node", "left").select(
-        "node", F.struct("n_shingles", F.coalesce("lone", F.lit(0)).alias("lone"), "hubs", "nearest").alias("fact")), "facts")
-
-
-def _possible(x: Column, y: Column) -> Column:
-    """Whether two sets of different components may be linked, from their facts."""
-    slack = (100 - MIN_PERCENT) / 100 + 1e-9
-
-    def apart(p: Column, q: Column) -> Column:
-        return F.coalesce(F.abs(F.try_element_at(q["hubs"], p["nearest"]["hub"]) - p["nearest"]["off"]) > slack, F.lit(False))
-
-    common = F.least(x["n_shingles"] - x["lone"], y["n_shingles"] - y["lone"])
-    room = 100 * common >= MIN_PERCENT * (x["n_shingles"] + y["n_shingles"] - common)
-    return room & ~apart(x, y) & ~apart(y, x)
+    mixed = parts.groupBy("key").agg(F.count(F.lit(1)).alias("components"), F.sum("n").alias("size"))
+    return rows.join(mixed.where("components > 1").select("key", "size"), "key")
 
 
-def _with_room(rows: DataFrame) -> DataFrame:
-    """Rows whose set may be linked with one of the smallest size in its bucket, which is the best case for it."""
-    least = rows.groupBy("key").agg(F.min("fact.n_shingles").alias("least"))
-    size, common = F.col("fact.n_shingles"), F.col("fact.n_shingles") - F.col("fact.lone")
-    return rows.join(least, "key").where(100 * common >= MIN_PERCENT * (size + F.greatest("least", common) - common)).drop("least")
+def _bucket_pairs(rows: DataFrame) -> DataFrame:
+    """All pairs of different components that share a bucket of at most WIDE_BUCKET sets."""
+    return rows.alias("x").join(rows.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node"))
+                                & (F.col("x.component") != F.col("y.component"))).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
-def _open_pairs(rows: DataFrame, sketches: DataFrame, facts: DataFrame) -> DataFrame:
-    """All pairs of different components that share a bucket and may be linked.
+def _change_pairs(rows: DataFrame, hubs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs of different components that share a bucket, found by how they differ from its hub: every link is among them.
 
-    A bucket of more than WIDE_BUCKET sets is first divided by each further band, up to three times: a link shares two
-    bands in all but 2 of 100,000 cases, and sets that are less similar seldom share several. Members of a bucket's
-    most frequent component are not paired with one another.
+    Let a set's changes be the shingles that it or the hub has, not both. The difference of two sets is that of their
+    changes, so a link needs so many changes in common that the rarest few of each must share one: a set-similarity join
+    of short sets, with prefix and position filters, each change ordered by its frequency around the hub. Two linked sets
+    without a common change are both linked with the hub, and meet there.
     """
-    rows = _with_room(rows.join(facts, "node"))
-    pairs, level = None, 0
-    while True:
-        rows = staged(_mixed(rows.select("key", "node", "component", "fact")), "mixed")
-        last = level == 3
-        small = rows if last else rows.where(F.col("size") <= WIDE_BUCKET)
-        left, right = small.where("component <> main").alias("x"), small.alias("y")
-        found = left.join(right, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component"))
-                          & _possible(F.col("x.fact"), F.col("y.fact"))).select(
-            F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
-        pairs = found if pairs is None else pairs.union(found)
-        wide = rows.where(F.col("size") > WIDE_BUCKET)
-        if last or wide.limit(1).count() == 0:
-            return pairs
-        rows = (wide.join(sketches.select("node", "bands"), "node").select("key", "node", "component", "fact", F.explode("bands").alias("band"))
-                .select(F.xxhash64("key", "band").alias("key"), "node", "component", "fact"))
-        level += 1
+    apart, whole = 100 - MIN_PERCENT, 100 + MIN_PERCENT
+    members = rows.join(hubs, "key").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"), "component").distinct()
+    found = _with_texts(members, texts).mapInArrow(
+        change_batches, "node binary, hub binary, component binary, size bigint, both bigint, changes array<bigint>")
+    found = staged(found.withColumn("n", F.size("changes")).withColumn("near", whole * F.col("n") <= apart * F.col("both")), "changes")
+
+    each = found.select("hub", "node", "component", "size", "n", "near", F.explode("changes").alias("change"))
+    shared = each.groupBy("hub", "change").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
+    own = Window.partitionBy("hub", "node")  # the changes of one set; those that no other set has come first and are not kept
+    place = F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("sets", "change")) - 1
+    prefixes = staged(each.join(shared, ["hub", "change"]).withColumn("place", place)
+                      .where(MIN_PERCENT * F.col("place") <= apart * F.col("size")).drop("sets"), "prefixes")
+    x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
+    left = F.least(x("n") - x("place"), y("n") - y("place"))
+    enough = 2 * whole * left >= whole * (x("n") + y("n")) - apart * (x("size") + y("size"))
+    met = prefixes.where("not near").alias("x").join(
+        prefixes.alias("y"), (x("hub") == y("hub")) & (x("change") == y("change")) & (x("component") != y("component")) & enough)
+    return met.select(F.least(x("node"), y("node")).alias("a"), F.greatest(x("node"), y("node")).alias("b")).union(
+        found.where("near").select(F.col("node").alias("a"), F.col("hub").alias("b")))
 
 
 def _maybe_in(wanted: DataFrame, column: str) -> Column:
@@ -283,19 +255,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                    .groupBy("node").agg(F.min("text").alias("text")), "texts")
 
     # First the most similar hub of each set, then every likely hub of those that it left without a link.
-    hubs = _hub_pairs(buckets, sketches)
-    first = _confirmed(hubs.groupBy("a").agg(F.max(F.struct("estimate", "b"))["b"].alias("b")), texts)
+    hubs = _hubs(buckets)
+    near = staged(_likely(buckets.join(hubs, "key").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")), sketches), "hub-pairs")
+    first = _confirmed(near.groupBy("a").agg(F.max(F.struct("estimate", "b"))["b"].alias("b")), texts)
     linked = first.where("linked").select(F.explode(F.array("a", "b")).alias("a")).distinct()
-    second = _confirmed(hubs.join(linked, "a", "left_anti").join(first, ["a", "b"], "left_anti"), texts)
-    confirmed = first.union(second)
-    links = confirmed.where("linked")
+    second = _confirmed(near.join(linked, "a", "left_anti").join(first, ["a", "b"], "left_anti"), texts)
+    links = first.union(second).where("linked")
     grouped = components(links)
 
-    named = _mixed(buckets.select("key", "node").join(grouped, "node", "left").select(
-        "key", "node", F.coalesce("component", "node").alias("component")))
-    named = staged(named.select("key", "node", "component"), "open")
-    facts = _facts(named, confirmed, sketches, texts)
-    more = _confirmed(_likely(_open_pairs(named, sketches, facts), sketches), texts).where("linked")
+    # Then pairs of sets that share a bucket and are still in different components.
+    unsettled = staged(_several(buckets.select("key", "node").join(grouped, "node", "left").select(
+        "key", "node", F.coalesce("component", "node").alias("component"))), "open")
+    wide = F.col("size") > WIDE_BUCKET
+    pairs = _bucket_pairs(unsettled.where(~wide)).union(_change_pairs(unsettled.where(wide), hubs, texts))
+    more = _confirmed(_likely(pairs, sketches), texts).where("linked")
     if more.limit(1).count():
         grouped = components(links.union(more))
 
