@@ -210,7 +210,7 @@ def _change_pairs(rows: DataFrame, hubs: DataFrame, texts: DataFrame) -> DataFra
     met = prefixes.where("not near").alias("x").join(
         prefixes.alias("y"), (x("hub") == y("hub")) & (x("change") == y("change")) & (x("component") != y("component")) & enough)
     return met.select(F.least(x("node"), y("node")).alias("a"), F.greatest(x("node"), y("node")).alias("b")).union(
-        found.where("near").select(F.col("node").alias("a"), F.col("hub").alias("b")))
+        found.where("near").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")))
 
 
 def _maybe_in(wanted: DataFrame, column: str) -> Column:
@@ -254,13 +254,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = staged(named.where(_maybe_in(shared, "digest")).join(shared, "digest")
                    .groupBy("node").agg(F.min("text").alias("text")), "texts")
 
-    # First the most similar hub of each set, then every likely hub of those that it left without a link.
+    # First each set with the most similar hub of its buckets.
     hubs = _hubs(buckets)
-    near = staged(_likely(buckets.join(hubs, "key").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")), sketches), "hub-pairs")
+    near = _likely(buckets.join(hubs, "key").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")), sketches)
     first = _confirmed(near.groupBy("a").agg(F.max(F.struct("estimate", "b"))["b"].alias("b")), texts)
-    linked = first.where("linked").select(F.explode(F.array("a", "b")).alias("a")).distinct()
-    second = _confirmed(near.join(linked, "a", "left_anti").join(first, ["a", "b"], "left_anti"), texts)
-    links = first.union(second).where("linked")
+    links = first.where("linked")
     grouped = components(links)
 
     # Then pairs of sets that share a bucket and are still in different components.
@@ -268,7 +266,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "key", "node", F.coalesce("component", "node").alias("component"))), "open")
     wide = F.col("size") > WIDE_BUCKET
     pairs = _bucket_pairs(unsettled.where(~wide)).union(_change_pairs(unsettled.where(wide), hubs, texts))
-    more = _confirmed(_likely(pairs, sketches), texts).where("linked")
+    tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = _confirmed(_likely(pairs, sketches).join(tried, ["a", "b"], "left_anti"), texts).where("linked")
     if more.limit(1).count():
         grouped = components(links.union(more))
 
