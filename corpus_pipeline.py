@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from patronscope.llm import line_dedup, minhash_dedup, mixing, packing, quality_rules
 
+#: Near-copies share this percentage of their five-word shingles (intersection by union) or more.
+NEAR_PERCENT = 80
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
@@ -25,7 +28,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-copies: the one with the smallest doc_id."""
-    return minhash_dedup.keep_one(docs)
+    return minhash_dedup.keep_one(docs, NEAR_PERCENT)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

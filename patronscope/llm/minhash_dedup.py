@@ -21,10 +21,12 @@ from .staging import staged
 BANDS, BAND_ROWS = 35, 7
 SAMPLES = BANDS * BAND_ROWS
 SKETCH_BITS = 1024
-#: Links have 100 * intersection >= MIN_PERCENT * union. At that similarity two sets share no band in 1.3 of a million cases.
+#: Links have 100 * intersection >= min_percent * union, by default this many.
 MIN_PERCENT = 85
-#: An estimate below this is over six standard deviations from a link.
-MIN_ESTIMATE = 0.62
+#: Two sets just similar enough for a link share no band with at most this probability.
+MAX_MISSED = 2e-6
+#: An estimate below this is over six standard deviations from a link of LEAST_PERCENT or more.
+MIN_ESTIMATE, LEAST_PERCENT = 0.62, 80
 #: Up to this many sets in a bucket are paired directly, more by what each differs in from the bucket's hub.
 WIDE_BUCKET = 16
 FILTER_BITS = 1 << 21
@@ -52,9 +54,16 @@ def samples(sets: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(sampled: np.ndarray) -> np.ndarray:
+def band_rows(min_percent: int) -> int:
+    """The samples of each band that its key takes: as many as MAX_MISSED allows, 7 at 85 percent and 5 at 80."""
+    if not LEAST_PERCENT <= min_percent <= 100:
+        raise ValueError(f"min_percent must be from {LEAST_PERCENT} to 100")
+    return max(r for r in range(1, BAND_ROWS + 1) if (1 - (min_percent / 100) ** r) ** BANDS <= MAX_MISSED)
+
+
+def band_keys(sampled: np.ndarray, rows: int = BAND_ROWS) -> np.ndarray:
     keys = np.zeros((len(sampled), BANDS), np.uint64)
-    for row in range(BAND_ROWS):
+    for row in range(rows):
         keys = ta.mix(keys + sampled[:, row::BAND_ROWS], row)
     return ta.mix(keys + np.arange(BANDS, dtype=np.uint64), 9)
 
@@ -73,7 +82,7 @@ def _lists(values: np.ndarray, present: np.ndarray, width: int) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.ravel().view(np.int64)), mask=pa.array(~present))
 
 
-def signature_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+def signature_batches(batches: Iterator[pa.Array], band_size: int = BAND_ROWS) -> Iterator[pa.Array]:
     for text in batches:
         done = []
         for chunk in ta.chunks(text):
@@ -88,15 +97,20 @@ def signature_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             node = pa.array([bytes(n) if p else None for n, p in zip(name.astype(">u8").view("V16").ravel().tolist(), present.tolist())],
                             pa.binary())
             done.append(pa.StructArray.from_arrays(
-                [pa.array(sizes.astype(np.int64)), node, _lists(band_keys(sampled), present, BANDS),
+                [pa.array(sizes.astype(np.int64)), node, _lists(band_keys(sampled, band_size), present, BANDS),
                  _lists(odd_sketches(sampled), present, SKETCH_BITS // 64)],
                 names=["n_shingles", "node", "bands", "sketch"]))
         yield pa.concat_arrays(done) if done else pa.array([], pa.struct(
             [("n_shingles", pa.int64()), ("node", pa.binary()), ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))]))
 
 
-def signature(text: Column) -> Column:
-    return arrow_udf(signature_batches, "struct<n_shingles: bigint, node: binary, bands: array<bigint>, sketch: array<bigint>>")(text)
+def signature(text: Column, min_percent: int = MIN_PERCENT) -> Column:
+    band_size = band_rows(min_percent)
+
+    def signed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return signature_batches(batches, band_size)
+
+    return arrow_udf(signed, "struct<n_shingles: bigint, node: binary, bands: array<bigint>, sketch: array<bigint>>")(text)
 
 
 def estimate(a: Column, b: Column) -> Column:
@@ -155,10 +169,10 @@ def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b")
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: DataFrame, min_percent: int) -> DataFrame:
     """Pairs with the exact sizes of intersection and union, and whether they are linked."""
     found = _with_texts(pairs.select("a", "b"), texts).mapInArrow(confirm_batches, "a binary, b binary, common bigint, united bigint")
-    return staged(found.withColumn("linked", 100 * F.col("common") >= MIN_PERCENT * F.col("united")), "confirmed")
+    return staged(found.withColumn("linked", 100 * F.col("common") >= min_percent * F.col("united")), "confirmed")
 
 
 def _hubs(buckets: DataFrame) -> DataFrame:
@@ -184,7 +198,7 @@ def _bucket_pairs(rows: DataFrame) -> DataFrame:
                                 & (F.col("x.component") != F.col("y.component"))).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
-def _change_pairs(rows: DataFrame, hubs: DataFrame, texts: DataFrame) -> DataFrame:
+def _change_pairs(rows: DataFrame, hubs: DataFrame, texts: DataFrame, min_percent: int) -> DataFrame:
     """Pairs of different components that share a bucket, found by how they differ from its hub: every link is among them.
 
     Let a set's changes be the shingles that it or the hub has, not both. The difference of two sets is that of their
@@ -192,7 +206,7 @@ def _change_pairs(rows: DataFrame, hubs: DataFrame, texts: DataFrame) -> DataFra
     of short sets, with prefix and position filters, each change ordered by its frequency around the hub. Two linked sets
     without a common change are both linked with the hub, and meet there.
     """
-    apart, whole = 100 - MIN_PERCENT, 100 + MIN_PERCENT
+    apart, whole = 100 - min_percent, 100 + min_percent
     members = rows.join(hubs, "key").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"), "component").distinct()
     found = _with_texts(members, texts).mapInArrow(
         change_batches, "node binary, hub binary, component binary, size bigint, both bigint, changes array<bigint>")
@@ -203,7 +217,7 @@ def _change_pairs(rows: DataFrame, hubs: DataFrame, texts: DataFrame) -> DataFra
     own = Window.partitionBy("hub", "node")  # the changes of one set; those that no other set has come first and are not kept
     place = F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("sets", "change")) - 1
     prefixes = staged(each.join(shared, ["hub", "change"]).withColumn("place", place)
-                      .where(MIN_PERCENT * F.col("place") <= apart * F.col("size")).drop("sets"), "prefixes")
+                      .where(min_percent * F.col("place") <= apart * F.col("size")).drop("sets"), "prefixes")
     x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
     left = F.least(x("n") - x("place"), y("n") - y("place"))
     enough = 2 * whole * left >= whole * (x("n") + y("n")) - apart * (x("size") + y("size"))
@@ -230,16 +244,17 @@ def _maybe_in(wanted: DataFrame, column: str) -> Column:
     return arrow_udf(test, "boolean")(place)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, min_percent: int = MIN_PERCENT) -> DataFrame:
     """One row for each row of ``docs``: doc_id, digest (md5 of the text), n_shingles, node (name of the set), component
     (name of the group; both null for texts without words) and component_id (the group's smallest doc_id; the own one
     for texts without words, which are linked with nothing).
 
     Equal rows and copies share a node. Null ids count as larger than all others: a group of null ids only has a null
-    component_id. An empty table gives an empty result.
+    component_id. An empty table gives an empty result. Sets are linked from a Jaccard similarity of ``min_percent`` on,
+    which is 80 or more.
     """
     rows = docs.select("doc_id", "text")
-    signed = staged(rows.select("doc_id", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("digest"), signature(F.col("text")).alias("s"))
+    signed = staged(rows.select("doc_id", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("digest"), signature(F.col("text"), min_percent).alias("s"))
                     .select("doc_id", "digest", "s.*"), "signatures")
     sketches = staged(signed.where("node is not null").groupBy("node").agg(
         F.min(F.struct("digest", "n_shingles", "bands", "sketch")).alias("s")).select("node", "s.*"), "nodes")
@@ -257,7 +272,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # First each set with the most similar hub of its buckets.
     hubs = _hubs(buckets)
     near = _likely(buckets.join(hubs, "key").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")), sketches)
-    first = _confirmed(near.groupBy("a").agg(F.max(F.struct("estimate", "b"))["b"].alias("b")), texts)
+    first = _confirmed(near.groupBy("a").agg(F.max(F.struct("estimate", "b"))["b"].alias("b")), texts, min_percent)
     links = first.where("linked")
     grouped = components(links)
 
@@ -265,9 +280,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     unsettled = staged(_several(buckets.select("key", "node").join(grouped, "node", "left").select(
         "key", "node", F.coalesce("component", "node").alias("component"))), "open")
     wide = F.col("size") > WIDE_BUCKET
-    pairs = _bucket_pairs(unsettled.where(~wide)).union(_change_pairs(unsettled.where(wide), hubs, texts))
+    pairs = _bucket_pairs(unsettled.where(~wide)).union(_change_pairs(unsettled.where(wide), hubs, texts, min_percent))
     tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = _confirmed(_likely(pairs, sketches).join(tried, ["a", "b"], "left_anti"), texts).where("linked")
+    more = _confirmed(_likely(pairs, sketches).join(tried, ["a", "b"], "left_anti"), texts, min_percent).where("linked")
     if more.limit(1).count():
         grouped = components(links.union(more))
 
@@ -281,12 +296,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, min_percent: int = MIN_PERCENT) -> DataFrame:
     """``docs`` with one row of each group of near-copies: of the smallest doc_id, then the smallest md5 of the text.
 
     Texts without words all stay. Of rows that repeat an id and text one stays, whichever Spark reads first.
     """
-    grouped = near_duplicates(docs.select("doc_id", "text"))
+    grouped = near_duplicates(docs.select("doc_id", "text"), min_percent)
     name = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_name"), "digest"]
     chosen = grouped.where("node is not null").groupBy("component").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")).alias("c")).select("c.doc_id", "c.digest").select(*name)

@@ -44,7 +44,7 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of near-copies of each document."""
-    found = minhash_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = minhash_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), 85)
     return found.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 

@@ -49,3 +49,22 @@ def test_chain_follows_each_stage(spark):
     packed = stages["best_fit_packing"](spark, mixed, FOLDER)
     assert packed.select("doc_id").distinct().count() == mixed.count()
     assert corpus_pipeline.run(spark, FOLDER).count() == packed.count()
+
+
+def test_near_duplicate_stage_against_all_pairs_at_80(spark):
+    import numpy as np
+    from test_operators import components_of, near_copies, shingles
+
+    rng = np.random.default_rng(12)
+    texts = near_copies(rng, 12)
+    for i in range(30):  # pairs from 0.80 to below 0.85, of which one at 0.85 keeps both
+        size = 70 + i
+        first = [f"p{i}x{k}" for k in range(size)]
+        changed = next(n for n in range(5, size) if 100 * (size - 4 - n) < 85 * (size - 4 + n))
+        texts += [" ".join(first), " ".join(first[:size - changed] + [f"q{i}x{k}" for k in range(changed)])]
+    sets = [shingles(t) for t in texts]
+    keep = lambda percent: [i for i, r in enumerate(components_of(sets, percent)) if i == min(
+        j for j, s in enumerate(components_of(sets, percent)) if s == r)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    found = sorted(r["doc_id"] for r in corpus_pipeline.near_duplicate_stage(spark, docs, FOLDER).select("doc_id").collect())
+    assert found == keep(80) and len(keep(85)) >= len(keep(80)) + 30
