@@ -1,7 +1,8 @@
 """Licence scans: an exact set-similarity join of text blocks with licence templates.
 
-A block is a line of a text, a template the set of words of a licence notice. A block matches a template if it contains
-at least MIN_CONTAINMENT of the template's words. Words are ordered by their frequency over all blocks of the corpus,
+A block is a line of a text, or a window over line ends of as many words as the template has, at every position; so a
+notice that is wrapped is found too. A template is the set of words of a licence notice. A block matches a template if
+it contains at least MIN_CONTAINMENT of the template's words. Words are ordered by their frequency over all blocks of the corpus,
 rarest first, and three filters then leave few blocks to count: a match has one of the template's first words (prefix),
 enough template words at all (length), and enough of them after the first common one (position).
 """
@@ -120,7 +121,7 @@ class Matcher:
         self.templates = []
         for name, (label, text) in scanner.templates.items():
             own = np.unique([self.rank[scanner.index[w]] for w in words_of(text)])  # rarest first
-            self.templates.append((name, label, own, ceil(containment * len(own))))
+            self.templates.append((name, label, own, ceil(containment * len(own)), len(words_of(text))))
         self.phrases = [(np.array([scanner.index[w] for w in words_of(p)]), label) for p, label in scanner.phrases.items()]
 
     def places(self, spans: ta.Spans, numbers: np.ndarray) -> Iterator[tuple[np.ndarray, str]]:
@@ -137,7 +138,7 @@ class Matcher:
         first = np.flatnonzero(np.append(True, block[1:] != block[:-1])) if len(block) else np.zeros(0, np.int64)
         size = np.diff(np.append(first, len(block)))
         group = np.repeat(np.arange(len(first)), size)
-        for name, label, own, least in self.templates:
+        for name, label, own, least, _ in self.templates:
             prefix = own[:len(own) - least + 1]
             place = np.minimum(np.searchsorted(own, word), len(own) - 1)
             common = own[place] == word
@@ -150,6 +151,33 @@ class Matcher:
             counted = np.bincount(group[common], minlength=len(first))[owner]
             yield block[first[owner[counted >= least]]], counted[counted >= least], name, label, len(own)
 
+    def wrapped(self, spans: ta.Spans, numbers: np.ndarray, every: ta.Spans) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, str, str, int]]:
+        """For each template: first and last line of matching windows over line ends, the number of its words in each, its
+        name, label and size. A window starts with a template word: any other holds no more than one that does."""
+        known = np.flatnonzero(numbers >= 0)
+        ranks = self.rank[numbers[known]]
+        for name, label, own, least, width in self.templates:
+            place = np.minimum(np.searchsorted(own, ranks), len(own) - 1)
+            common = own[place] == ranks
+            at, place = known[common], place[common]
+            end = np.searchsorted(at, np.minimum(at + width, spans.bounds[spans.text[at] + 1]))
+            rare = np.concatenate([[0], np.cumsum(place <= len(own) - least)])
+            here = np.arange(len(at))
+            first = here[(end - here >= least) & (rare[end] > rare[:-1])]
+            order = np.argsort(place, kind="stable")
+            same = np.flatnonzero(place[order[1:]] == place[order[:-1]])
+            before = np.full(len(at), -1)  # the hit before with the same word
+            before[order[same + 1]] = order[same]
+            counted = np.zeros(len(first), np.int64)
+            for i in range(width):
+                other = np.minimum(first + i, len(at) - 1)
+                counted += (first + i < end[first]) & (before[other] < first)
+            first, counted = first[counted >= least], counted[counted >= least]
+            top = np.searchsorted(every.start, spans.start[at[first]], "right") - 1
+            bottom = np.searchsorted(every.start, spans.start[at[end[first] - 1]], "right") - 1
+            over = top < bottom
+            yield top[over], bottom[over], counted[over], name, label, len(own)
+
     def scan(self, text: pa.Array) -> pa.Array:
         rows = []
         for chunk in ta.chunks(text):
@@ -166,8 +194,15 @@ class Matcher:
                     row["base"].add(label)
                     row["labels"].add(label)
             block, word, every = self.scanner.blocks(chunk, spans, numbers, self.rank)
-            for where, counted, name, label, size in self.matches(block, word):
-                for b, n in zip(where.tolist(), counted.tolist()):
+            for (where, counted, name, label, size), (top, bottom, held, *_) in zip(
+                    self.matches(block, word), self.wrapped(spans, numbers, every), strict=True):
+                best = dict(zip(where.tolist(), counted.tolist()))
+                # A window counts where it holds more than each of its lines, the best one for the line it starts in.
+                crossing: dict[int, int] = {}
+                for a, z, n in zip(top.tolist(), bottom.tolist(), held.tolist()):
+                    if n > max(best.get(b, 0) for b in range(a, z + 1)):
+                        crossing[a] = max(crossing.get(a, 0), n)
+                for b, n in (best | crossing).items():
                     t = int(every.text[b])
                     found[t]["labels"].add(label)
                     found[t]["score"] = max(found[t]["score"], n / size)
@@ -187,8 +222,8 @@ def license_scan(docs: DataFrame, templates: dict[str, tuple[str, str]] = TEMPLA
                  containment: Fraction = MIN_CONTAINMENT) -> DataFrame:
     """All columns of ``docs`` in a struct ``document``, and a struct ``license``.
 
-    n_words; places of the phrases (n_base, first_word, last_word, base_labels); the matching ``blocks`` (line from 0,
-    template, containment); ``labels`` of both, sorted; ``score``, the highest containment of a matching block, 0 without
+    n_words; places of the phrases (n_base, first_word, last_word, base_labels); the matching ``blocks`` (line from 0, of
+    a window the one it starts in; template, containment); ``labels`` of both, sorted; ``score``, the highest containment of a matching block, 0 without
     one. A null text counts as empty. Repeated rows are scanned each for itself. Templates are part of the code that tasks get, so
     they should stay a few thousand; the corpus may have any size.
     """

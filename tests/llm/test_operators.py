@@ -356,3 +356,49 @@ def test_label_model_discounts_repeated_voters():
     votes = np.stack([right(0.8), right(0.8), copied, copied, copied], axis=1)
     posterior, weights, _ = toxicity.label_model(votes, y)
     assert weights[0] > weights[2:].max() and ((posterior > 0.5) == y).mean() > 0.78
+
+
+@pytest.mark.parametrize("wrap", [72, 20])
+def test_wrapped_licence_notices(spark, wrap):
+    import textwrap
+
+    templates = license_scan.TEMPLATES
+    rows, wanted = [], {}
+    for i, (name, (label, text)) in enumerate(templates.items()):
+        for k, (mark, lead) in enumerate([("", ""), ("# ", "zz " * 9), (" * ", "zz " * 11)]):
+            lines = "\n".join(mark + x for x in textwrap.wrap(lead + text + " and so on", wrap))
+            rows.append((10 * i + k, f"before\n\n{lines}\n\nafter"))
+            wanted[10 * i + k] = (name, label)
+    far = "permission is hereby granted free of charge to any person" + "\nzz zz zz zz" * 4 + "\nobtaining a copy of this software and associated documentation files"
+    rows += [(1000, far), (1001, "Permission is hereby granted, free of charge, to any person"), (1002, "obtaining a copy of this software and associated documentation files")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    found = {r["doc_id"]: r for r in license_scan.license_scan(docs).select("document.doc_id", "license.*").collect()}
+    for i, (name, label) in wanted.items():
+        assert label in found[i]["labels"].split(",") and found[i]["score"] == 1.0
+        assert any(b["template"] == name and b["containment"] == 1.0 for b in found[i]["blocks"])
+    assert all(found[i]["labels"] == "" and found[i]["score"] == 0 for i in (1000, 1001, 1002))
+
+
+def test_licence_windows_against_plain_python():
+    rng = np.random.default_rng(2)
+    scanner = license_scan.Scanner(license_scan.TEMPLATES, license_scan.PHRASES)
+    vocabulary = [w.decode() for w in license_scan.words_of(license_scan.TEMPLATES["mit_grant"][1] + " " + license_scan.TEMPLATES["mit_notice"][1])]
+    texts = []
+    for _ in range(150):
+        own = list(rng.choice(vocabulary, 60))
+        for at in rng.integers(0, 30, 2):
+            own[at:at + 20] = license_scan.TEMPLATES["mit_grant"][1].lower().replace(",", "").split()
+        texts.append("".join(w + ("\n" if rng.random() < 0.15 else " ") for w in own))
+    frequency = rng.permutation(len(scanner.words))
+    rows = license_scan.Matcher(scanner, frequency, license_scan.MIN_CONTAINMENT).scan(pa.array(texts)).to_pylist()
+    for text, row in zip(texts, rows):
+        labels, best = {x for x in row["base_labels"].split(",") if x}, 0.0
+        pieces, own = [line.split() for line in text.split("\n")], text.split()
+        for label, notice in license_scan.TEMPLATES.values():
+            listed = [w.decode() for w in license_scan.words_of(notice)]
+            for block in pieces + [own[i:i + len(listed)] for i in range(len(own))]:
+                share = Fraction(len(set(block) & set(listed)), len(set(listed)))
+                if share >= license_scan.MIN_CONTAINMENT:
+                    labels.add(label)
+                    best = max(best, float(share))
+        assert (row["labels"], row["score"]) == (",".join(sorted(labels)), best)
