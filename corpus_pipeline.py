@@ -22,8 +22,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without cross-site boilerplate lines; one that had only such lines goes."""
-    return line_dedup.line_dedup(docs).where(~F.col("lines.emptied")).select("document.*")
+    """Documents without cross-site boilerplate lines, all sites of copies counted; one that had only such lines goes."""
+    return line_dedup.line_dedup(docs, all_sites=True).where(~F.col("lines.emptied")).select("document.*")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

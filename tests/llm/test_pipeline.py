@@ -68,3 +68,18 @@ def test_near_duplicate_stage_against_all_pairs_at_80(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
     found = sorted(r["doc_id"] for r in corpus_pipeline.near_duplicate_stage(spark, docs, FOLDER).select("doc_id").collect())
     assert found == keep(80) and len(keep(85)) >= len(keep(80)) + 30
+
+
+def test_line_stage_counts_the_sites_of_all_copies(spark):
+    # Four texts, each copied to four sites of its own and to s00, which sorts first; one text alone on twelve sites.
+    rows = [(10 * t + k, f"own {t}\nShare this page", "en", site, 1) for t in range(4) for k, site in enumerate(["s00"] + [f"s{t}{n}x" for n in range(4)])]
+    rows += [(100 + i, "copied\ntext", "en", f"s{i}", 1) for i in range(12)]
+    rows += [(200 + i, f"few {i % 3}\nnine sites", "en", f"n{i}", 1) for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    found = {r["doc_id"]: r for r in corpus_pipeline.line_stage(spark, docs, FOLDER).collect()}
+    assert len(found) == len(rows)
+    assert all(found[10 * t + k]["text"] == f"own {t}" + ("\nShare this page" if t == 0 else "") for t in range(4) for k in range(5))
+    assert all(found[100 + i]["text"] == "copied\ntext" for i in range(12))
+    assert all(found[200 + i]["text"] == f"few {i % 3}\nnine sites" for i in range(9))
+    plain = line_dedup.line_dedup(docs, all_sites=True).where("document.doc_id BETWEEN 10 AND 39").select("lines.*").collect()
+    assert all((r["n_lines"], r["n_removed"]) == (2, 1) for r in plain)
