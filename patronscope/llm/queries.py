@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (embedding_dedup, hilbert_sharding, license_scan, line_dedup, minhash_dedup, mixing, ordinal_quality, packing,
-               quality_rules as rules, toxicity)
+               periodic_runs as periods, quality_rules as rules, toxicity)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,9 +72,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(docs, table(spark, sf_dir, "labels")).select("document.doc_id", "toxicity.*")
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of each document, with every tenth document made to repeat itself first."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", periods.planted(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periods.periodic_runs(docs).select("document.doc_id", "periodic.*")
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"], r.alias("run"))))["run"]
+    line = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.withColumn("longest", longest).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "longest.start", "longest.length", "longest.period",
+        F.expr("1000 * longest.length DIV longest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_line_dedup, op2_quality_rules, op3_ordinal_quality, op4_license_scan, op5_source_mixing, op6_minhash_dedup,
-             op7_embedding_dedup, op8_hilbert_sharding, op9_best_fit_packing, op10_toxicity)
+             op7_embedding_dedup, op8_hilbert_sharding, op9_best_fit_packing, op10_toxicity, op13_periodic_runs)
     return {f.__name__: f for f in found}
 
 
