@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (embedding_dedup, hilbert_sharding, license_scan, line_dedup, minhash_dedup, mixing, ordinal_quality, packing,
-               periodic_runs as periods, quality_rules as rules, toxicity)
+               periodic_runs as periods, quality_rules as rules, toxicity, warc_bundles as warc)
+from .staging import fresh_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +73,15 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(docs, table(spark, sf_dir, "labels")).select("document.doc_id", "toxicity.*")
 
 
+def op11_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record of each page, as read back from the archives."""
+    path = fresh_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    records = warc.read_records(spark, path, payloads=False)
+    return records.select(warc.page_id("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                          warc.page_id("refers_to").alias("refers_to"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The periodic runs of each document, with every tenth document made to repeat itself first."""
     docs = table(spark, sf_dir, "documents").select("doc_id", periods.planted(F.col("doc_id"), F.col("text")).alias("text"))
@@ -86,10 +96,10 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_line_dedup, op2_quality_rules, op3_ordinal_quality, op4_license_scan, op5_source_mixing, op6_minhash_dedup,
-             op7_embedding_dedup, op8_hilbert_sharding, op9_best_fit_packing, op10_toxicity, op13_periodic_runs)
+             op7_embedding_dedup, op8_hilbert_sharding, op9_best_fit_packing, op10_toxicity, op11_warc_bundles, op13_periodic_runs)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_line_dedup": line_dedup.ORACLE_SQL, "op4_license_scan": license_scan.oracle_sql(),
-            "op5_source_mixing": mixing.oracle_sql()}
+            "op5_source_mixing": mixing.oracle_sql(), "op11_warc_bundles": warc.oracle_sql()}
