@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (embedding_dedup, hilbert_sharding, license_scan, line_dedup, minhash_dedup, mixing, ordinal_quality, packing,
-               periodic_runs as periods, quality_rules as rules, toxicity, warc_bundles as warc)
+               periodic_runs as periods, quality_rules as rules, token_alignment, toxicity, warc_bundles as warc)
 from .staging import fresh_path
 
 
@@ -82,6 +82,12 @@ def op11_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
                           warc.page_id("refers_to").alias("refers_to"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two tokenizers meet in each document, and how usual its pairs are in the corpus."""
+    found = token_alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text")).documents
+    return found.select("document.doc_id", "alignment.*")
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The periodic runs of each document, with every tenth document made to repeat itself first."""
     docs = table(spark, sf_dir, "documents").select("doc_id", periods.planted(F.col("doc_id"), F.col("text")).alias("text"))
@@ -96,7 +102,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_line_dedup, op2_quality_rules, op3_ordinal_quality, op4_license_scan, op5_source_mixing, op6_minhash_dedup,
-             op7_embedding_dedup, op8_hilbert_sharding, op9_best_fit_packing, op10_toxicity, op11_warc_bundles, op13_periodic_runs)
+             op7_embedding_dedup, op8_hilbert_sharding, op9_best_fit_packing, op10_toxicity, op11_warc_bundles, op12_token_alignment, op13_periodic_runs)
     return {f.__name__: f for f in found}
 
 
