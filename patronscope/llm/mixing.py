@@ -20,8 +20,14 @@ TARGETS = {
 }
 #: Sources get shares in proportion to this power of their own: large ones are held down, none is lost.
 TEMPER = {"source": 0.5}
-SWEEPS = 10
-#: Share of all tokens that the sample should have.
+SWEEPS = 16
+#: Shares of the sample are this near to their goals, by their own size or by a tenth of it of the whole sample.
+TOLERANCE = 0.01
+#: Where a sweep leaves more than this part of the last one's distance, less is kept.
+STALLED, SMALLER = 0.7, 0.95
+#: A probability from here on counts as 1, whatever the order its sums were taken in.
+FULL = 0.999999999
+#: Share of all tokens that the sample should have; less where the goals cannot be met at that size.
 KEEP = 0.7
 CLIPPING_ROUNDS = 8
 SEED = "mix-1"
@@ -41,56 +47,73 @@ def topic_of(text: Column, tokens: Column) -> Column:
             .when(tokens < SHORT, "short").when(tokens >= LONG, "long").otherwise("prose"))
 
 
-def rake(cells: DataFrame, targets: dict[str, dict[str, float]] = TARGETS, temper: dict[str, float] = TEMPER,
-         sweeps: int = SWEEPS) -> DataFrame:
-    """Cells (dimensions, tokens) with ``share``, their part of all tokens, and ``weight``, raked to the marginals.
+def goals(cells: DataFrame, keep: float, targets: dict[str, dict[str, float]] = TARGETS, temper: dict[str, float] = TEMPER) -> DataFrame:
+    """(dim, value, goal): the shares that the sample's values should have, for every value that has tokens.
 
-    Iterative proportional fitting: in turn for each dimension, weights are scaled so that their sums by value become
-    the targets. A sweep is three small aggregates and joins, then written. Cells without tokens keep weight 0.
+    Targets are scaled to 1 in each dimension. A value can fill ``keep`` of all tokens with no more than its own, so its
+    goal is at most own / keep; what that takes away goes to the other values in proportion to their targets.
     """
     dimensions = [*targets, *[d for d in temper if d not in targets]]
-    total = cells.agg(F.sum("tokens")).first()[0] or 1
-    cells = staged(cells.withColumn("share", F.col("tokens") / F.lit(float(total))).withColumn("weight", F.col("share")), "cells")
-    goals = {}
-    for d in dimensions:
-        own = cells.groupBy(d).agg(F.sum("share").alias("own")).where("own > 0")
-        if d in targets:
-            wanted = F.coalesce(reduce(lambda c, kv: c.when(F.col(d) == kv[0], F.lit(kv[1])), targets[d].items(), F.when(F.lit(False), 0.0)), "own")
-        else:
-            wanted = F.pow("own", F.lit(temper[d]))
-        wanted = staged(own.select(d, wanted.alias("wanted")), "wanted")
-        scale = wanted.agg(F.sum("wanted")).first()[0] or 1.0
-        goals[d] = staged(wanted.select(d, (F.col("wanted") / F.lit(float(scale))).alias("goal")), "goals")
-    for _ in range(sweeps):
-        for d in dimensions:
-            factor = cells.groupBy(d).agg(F.sum("weight").alias("sum")).where("sum > 0").join(goals[d], d).select(
-                d, (F.col("goal") / F.col("sum")).alias("factor"))
-            cells = cells.join(factor, d, "left").withColumn("weight", F.col("weight") * F.coalesce("factor", F.lit(1.0))).drop("factor")
-        cells = staged(cells, "cells")
-    return cells
+    stacked = reduce(DataFrame.union, [cells.select(F.lit(d).alias("dim"), F.col(d).alias("value"), "share") for d in dimensions])
+    own = stacked.groupBy("dim", "value").agg(F.sum("share").alias("own")).where("own > 0")
+    wanted = reduce(lambda c, d: c.when(F.col("dim") == d, F.pow("own", F.lit(temper[d]))), [d for d in temper if d not in targets], F.when(F.lit(False), 0.0))
+    wanted = reduce(lambda c, dvs: c.when((F.col("dim") == dvs[0]) & (F.col("value") == dvs[1]), F.lit(dvs[2])),
+                    [(d, v, share) for d in targets for v, share in targets[d].items()], wanted)
+    own = staged(own.withColumn("wanted", F.coalesce(wanted, "own")), "marginals")
+    cap = F.col("own") / F.lit(keep)
+    scale = {r["dim"]: 1.0 / r["sum"] for r in own.groupBy("dim").agg(F.sum("wanted").alias("sum")).collect()}  # one row a dimension
+    for _ in range(CLIPPING_ROUNDS):
+        level = F.col("wanted") * reduce(lambda c, kv: c.when(F.col("dim") == kv[0], F.lit(kv[1])), scale.items(), F.when(F.lit(False), 0.0))
+        full = level >= cap
+        sums = own.groupBy("dim").agg(F.sum(F.when(full, cap).otherwise(0.0)).alias("full"), F.sum(F.when(full, 0.0).otherwise(F.col("wanted"))).alias("free"))
+        new = {r["dim"]: max(1.0 - r["full"], 0.0) / r["free"] if r["free"] else scale[r["dim"]] for r in sums.collect()}
+        if new == scale:
+            break
+        scale = new
+    level = F.col("wanted") * reduce(lambda c, kv: c.when(F.col("dim") == kv[0], F.lit(kv[1])), scale.items(), F.when(F.lit(False), 0.0))
+    return staged(own.select("dim", "value", F.least(level, cap).alias("goal")), "goals")
 
 
-def calibrate(cells: DataFrame, keep: float = KEEP) -> DataFrame:
-    """Raked cells with the ``probability`` that gives their documents the raked weights.
+def rake(cells: DataFrame, keep: float = KEEP, targets: dict[str, dict[str, float]] = TARGETS, temper: dict[str, float] = TEMPER) -> tuple[DataFrame, float]:
+    """Cells (dimensions, tokens) with ``share``, their part of all tokens, and the ``probability`` of their documents; and
+    the part of all tokens that is kept.
 
-    Proportional to weight over share and at most 1; what clipping at 1 takes away is given to the other cells, so that
-    ``keep`` of all tokens is expected. A cell without tokens has probability 0.
+    Iterative proportional fitting under a cap: in turn for each dimension, the probabilities below 1 are scaled so
+    that the expected tokens of each value become ``keep`` times its goal. Where the goals of several dimensions cannot be
+    met together at that size, a sweep does not come much nearer than the last one, and ``keep`` is lowered by a
+    twentieth. It ends when every value is within TOLERANCE of its goal, or after SWEEPS. Each step is one aggregate and
+    one join of the written cells.
     """
-    ratio = F.coalesce(F.col("weight") / F.nullif(F.col("share"), F.lit(0.0)), F.lit(0.0))
-    cells = cells.withColumn("ratio", ratio)
-    scale = keep
-    for _ in range(CLIPPING_ROUNDS):
-        clipped = F.col("ratio") * F.lit(scale) >= 1
-        row = cells.agg(F.sum(F.when(clipped, F.col("share")).otherwise(0.0)).alias("full"),
-                        F.sum(F.when(clipped, F.lit(0.0)).otherwise(F.col("weight"))).alias("free")).first()
-        if not row["free"]:
+    total = cells.agg(F.sum("tokens")).first()[0] or 1
+    cells = staged(cells.withColumn("share", F.col("tokens") / F.lit(float(total))).withColumn("r", F.lit(keep)).withColumn("off", F.lit(0.0)), "shares")
+    wanted = goals(cells, keep, targets, temper)
+    dimensions = [*targets, *[d for d in temper if d not in targets]]
+    before, scale = None, 1.0
+    for _ in range(SWEEPS):
+        for d in dimensions:
+            r = F.col("r") * F.lit(scale)
+            own = cells.groupBy(d).agg(F.sum(F.when(r >= FULL, F.col("share")).otherwise(0.0)).alias("full"), F.sum(F.when(r >= FULL, 0.0).otherwise(F.col("share") * r)).alias("free"))
+            want, sum_ = F.col("goal") * F.lit(keep), F.col("full") + F.col("free")
+            factor = F.when(sum_ > want, want / sum_).when(F.col("free") > 0, (want - F.col("full")) / F.col("free")).otherwise(1.0)
+            off = F.abs(sum_ - want) / F.greatest(F.lit(TOLERANCE) * want, F.lit(TOLERANCE / 10 * keep))
+            step = own.join(wanted.where(F.col("dim") == d).select(F.col("value").alias(d), "goal"), d).select(d, factor.alias("factor"), off.alias("step_off"))
+            r = F.when(F.col("factor").isNull(), 0.0).when((r >= FULL) & (F.col("factor") > 1), 1.0).otherwise(F.least(F.lit(1.0), r * F.col("factor")))
+            cells = staged(cells.join(step, d, "left").select(
+                *[x for x in cells.columns if x not in ("r", "off")], r.alias("r"),
+                F.greatest("off" if d != dimensions[0] else F.lit(0.0), F.coalesce("step_off", F.lit(0.0))).alias("off")), "cells")
+            scale = 1.0
+        off = cells.agg(F.max("off")).first()[0] or 0.0
+        if off <= 1:
             break
-        scale = max(keep - row["full"], 0.0) / row["free"]
-    return cells.withColumn("probability", F.round(F.least(F.lit(1.0), F.col("ratio") * F.lit(scale)), 9))
+        if before is not None and off > STALLED * before:
+            keep, scale = keep * SMALLER, SMALLER
+        before = off
+    return cells.drop("off").withColumn("probability", F.round(F.col("r") * F.lit(scale), 9)).drop("r"), keep
 
 
 def mix(docs: DataFrame, topic: Column | None = None, keep: float = KEEP, seed: str = SEED) -> DataFrame:
-    """All columns of ``docs`` in a struct ``document``, and a struct ``mix``: source, lang, topic, tokens, probability, sampled.
+    """All columns of ``docs`` in a struct ``document``, and a struct ``mix``: source, lang, topic, tokens, probability, sampled
+    and kept_share, the part of all tokens that the probabilities are made for.
 
     Null or missing dimension values form the value "(none)". A document is sampled if a hash of seed and doc_id, as a
     number below 1, is below its cell's probability: repeated rows share one decision, and a null id is replaced by
@@ -100,12 +123,13 @@ def mix(docs: DataFrame, topic: Column | None = None, keep: float = KEEP, seed:
     found = topic if topic is not None else topic_of(F.col("document.text"), F.col("tokens"))
     rows = rows.select("document", "tokens", *[F.coalesce(F.col(f"document.{d}"), F.lit(NONE)).alias(d) for d in ("source", "lang")],
                        F.when(F.col("document.text").isNull(), NONE).otherwise(found).alias("topic"))
-    narrow = rows.select(*DIMENSIONS, "tokens", F.coalesce(F.col("document.doc_id").cast("string"), F.md5("document.text"), F.lit("")).alias("name"))
-    cells = calibrate(rake(narrow.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens"))), keep)
+    narrow = rows.select(*DIMENSIONS, "tokens")
+    cells, kept = rake(staged(narrow.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "tokens"), keep)
     name = F.coalesce(F.col("document.doc_id").cast("string"), F.md5("document.text"), F.lit(""))
     draw = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), name)), 1, 13), 16, 10).cast("double") / F.lit(float(16 ** 13))
     joined = rows.join(cells.select(*DIMENSIONS, "probability"), list(DIMENSIONS))
-    return joined.select("document", F.struct(*DIMENSIONS, "tokens", "probability", (draw < F.col("probability")).alias("sampled")).alias("mix"))
+    return joined.select("document", F.struct(*DIMENSIONS, "tokens", "probability", ((F.col("tokens") > 0) & (draw < F.col("probability"))).alias("sampled"),
+                                               F.lit(round(kept, 9)).alias("kept_share")).alias("mix"))
 
 
 def oracle_sql() -> str:
@@ -115,29 +139,35 @@ def oracle_sql() -> str:
              f"""e AS MATERIALIZED (SELECT *, CASE WHEN text IS NULL THEN '{NONE}' WHEN contains(text, ' | ') THEN 'table' WHEN contains(text, 'icense') THEN 'licensed'
   WHEN tokens < {SHORT} THEN 'short' WHEN tokens >= {LONG} THEN 'long' ELSE 'prose' END AS topic FROM d)""",
              "c AS MATERIALIZED (SELECT source, lang, topic, sum(tokens) AS tokens FROM e GROUP BY ALL)",
-             "w0 AS MATERIALIZED (SELECT source, lang, topic, tokens / (SELECT sum(tokens)::DOUBLE FROM c) AS share, tokens / (SELECT sum(tokens)::DOUBLE FROM c) AS weight FROM c)"]
+             "c0 AS MATERIALIZED (SELECT *, tokens / (SELECT sum(tokens)::DOUBLE FROM c) AS share FROM c)"]
     dimensions = [*TARGETS, *TEMPER]
-    for d in dimensions:
-        if d in TARGETS:
-            wanted = "CASE " + " ".join(f"WHEN {d} = '{v}' THEN {s}::DOUBLE" for v, s in TARGETS[d].items()) + " ELSE own END"
-        else:
-            wanted = f"pow(own, {TEMPER[d]})"
-        parts.append(f"h_{d} AS MATERIALIZED (SELECT {d}, {wanted} AS wanted FROM (SELECT {d}, sum(share) AS own FROM w0 GROUP BY {d}) WHERE own > 0)")
-        parts.append(f"g_{d} AS MATERIALIZED (SELECT {d}, wanted / (SELECT sum(wanted) FROM h_{d}) AS goal FROM h_{d})")
+    named = " ".join(f"WHEN dim = '{d}' AND value = '{v}' THEN {s}::DOUBLE" for d in TARGETS for v, s in TARGETS[d].items())
+    tempered = " ".join(f"WHEN dim = '{d}' THEN pow(own, {p})" for d, p in TEMPER.items())
+    stacked = " UNION ALL ".join(f"SELECT '{d}' AS dim, {d} AS value, share FROM c0" for d in dimensions)
+    parts.append(f"m AS MATERIALIZED (SELECT *, CASE {named} {tempered} ELSE own END AS wanted FROM (SELECT dim, value, sum(share) AS own FROM ({stacked}) GROUP BY ALL) WHERE own > 0)")
+    parts.append("l0 AS MATERIALIZED (SELECT dim, 1 / sum(wanted) AS scale FROM m GROUP BY dim)")
+    for i in range(CLIPPING_ROUNDS):  # further rounds change nothing once one did not
+        full, free = (f"sum(CASE WHEN wanted * scale >= own / {KEEP}::DOUBLE THEN {x} END)" for x in (f"own / {KEEP}::DOUBLE ELSE 0", "0 ELSE wanted"))
+        parts.append(f"l{i + 1} AS MATERIALIZED (SELECT dim, CASE WHEN {free} > 0 THEN greatest(1 - {full}, 0) / {free} ELSE max(scale) END AS scale FROM m JOIN l{i} USING (dim) GROUP BY dim)")
+    parts.append(f"g AS MATERIALIZED (SELECT dim, value, least(wanted * scale, own / {KEEP}::DOUBLE) AS goal FROM m JOIN l{CLIPPING_ROUNDS} USING (dim))")
+    parts.append(f"w0 AS MATERIALIZED (SELECT *, {KEEP}::DOUBLE AS r, 0::DOUBLE AS off FROM c0)")
+    parts.append(f"k0 AS MATERIALIZED (SELECT {KEEP}::DOUBLE AS keep, 1::DOUBLE AS scale, NULL::DOUBLE AS before, FALSE AS done)")
     n = 0
-    for _ in range(SWEEPS):
+    for k in range(SWEEPS):
         for d in dimensions:
-            parts.append(f"w{n + 1} AS MATERIALIZED (SELECT source, lang, topic, share, weight * coalesce(goal / nullif(sum(weight) OVER (PARTITION BY {d}), 0), 1) AS weight "
-                         f"FROM w{n} LEFT JOIN g_{d} USING ({d}))")
+            r = "r" if d != dimensions[0] else "r * scale"
+            off = "off" if d != dimensions[0] else "0"
+            parts.append(f"""w{n + 1} AS MATERIALIZED (SELECT * EXCLUDE (keep, scale, before, done, goal, want, filled, free, total, factor) REPLACE (CASE WHEN done THEN r WHEN goal IS NULL THEN 0 WHEN {r} >= {FULL} AND factor > 1 THEN 1 ELSE least(1, {r} * factor) END AS r,
+  CASE WHEN done THEN 0 ELSE greatest({off}, coalesce(abs(total - want) / greatest({TOLERANCE} * want, {TOLERANCE / 10} * keep), 0)) END AS off) FROM (
+  SELECT *, CASE WHEN total > want THEN want / total WHEN free > 0 THEN (want - filled) / free ELSE 1 END AS factor FROM (SELECT *, filled + free AS total FROM (
+  SELECT w{n}.*, k{k}.*, goal, goal * keep AS want, sum(CASE WHEN {r} >= {FULL} THEN share ELSE 0 END) OVER (PARTITION BY {d}) AS filled,
+  sum(CASE WHEN {r} >= {FULL} THEN 0 ELSE share * {r} END) OVER (PARTITION BY {d}) AS free FROM w{n} CROSS JOIN k{k} LEFT JOIN g ON dim = '{d}' AND value = {d}))))""")
             n += 1
-    parts.append(f"k0 AS MATERIALIZED (SELECT {KEEP}::DOUBLE AS scale)")
-    parts.append(f"q AS MATERIALIZED (SELECT *, coalesce(weight / nullif(share, 0), 0) AS ratio FROM w{n})")
-    for i in range(CLIPPING_ROUNDS):
-        free = f"sum(CASE WHEN ratio * scale >= 1 THEN 0 ELSE weight END)"
-        parts.append(f"k{i + 1} AS MATERIALIZED (SELECT CASE WHEN {free} > 0 THEN greatest({KEEP} - sum(CASE WHEN ratio * scale >= 1 THEN share ELSE 0 END), 0) / {free} "
-                     f"ELSE max(scale) END AS scale FROM q, k{i})")
+        lower = f"NOT done AND off > 1 AND before IS NOT NULL AND off > {STALLED} * before"
+        parts.append(f"""k{k + 1} AS MATERIALIZED (SELECT CASE WHEN {lower} THEN keep * {SMALLER} ELSE keep END AS keep, CASE WHEN {lower} THEN {SMALLER} ELSE 1 END AS scale,
+  off AS before, done OR off <= 1 AS done FROM k{k}, (SELECT max(off) AS off FROM w{n}))""")
     return "WITH " + ",\n".join(parts) + f"""
 SELECT e.doc_id, e.source, e.lang, e.topic, e.tokens, p.probability,
-       ('0x' || substr(md5('{SEED}:' || coalesce(e.doc_id::VARCHAR, md5(e.text), '')), 1, 13))::BIGINT::DOUBLE / {float(16 ** 13)!r} < p.probability AS sampled
-FROM e JOIN (SELECT source, lang, topic, round(least(1, ratio * scale), 9) AS probability FROM q, k{CLIPPING_ROUNDS}) p
+       e.tokens > 0 AND ('0x' || substr(md5('{SEED}:' || coalesce(e.doc_id::VARCHAR, md5(e.text), '')), 1, 13))::BIGINT::DOUBLE / {float(16 ** 13)!r} < p.probability AS sampled, p.kept_share
+FROM e JOIN (SELECT source, lang, topic, round(r * scale, 9) AS probability, round(keep, 9) AS kept_share FROM w{n}, k{SWEEPS}) p
   ON e.source = p.source AND e.lang = p.lang AND e.topic = p.topic"""

@@ -134,21 +134,50 @@ def test_licences_against_plain_python(odd_docs, no_docs):
     assert license_scan.license_scan(no_docs).count() == 0
 
 
-def test_raked_weights_meet_their_marginals(spark, odd_docs, no_docs):
+def shares_of_sample(cells, by):
+    kept = cells["share"] * cells["probability"]
+    return (kept.groupby(cells[by]).sum() / kept.sum()).to_dict(), kept.sum()
+
+
+def test_sample_meets_its_marginals(spark, odd_docs, no_docs):
     cells = spark.createDataFrame([(s, l, t, 10 * i + 7) for i, (s, l, t) in enumerate((s, l, t) for s in "xyz" for l in ("en", "de", "zz") for t in ("prose", "long"))],
                                   "source string, lang string, topic string, tokens bigint")
-    raked = mixing.rake(cells, sweeps=8).toPandas()
-    own = raked.groupby("lang")["share"].sum()
-    wanted = {"en": 0.5, "de": 0.2, "zz": own["zz"]}
-    total = sum(wanted.values())
-    for lang, weight in raked.groupby("lang")["weight"].sum().items():
-        assert abs(weight - wanted[lang] / total) < 1e-6
+    raked, keep = mixing.rake(cells, 0.2)  # every target can be met at this size
+    raked = raked.toPandas()
+    assert keep == 0.2 and raked["probability"].between(0, 1).all()
+    for by, wanted in (("lang", {"en": 0.5, "de": 0.2, "zz": raked.groupby("lang")["share"].sum()["zz"]}), ("topic", {"prose": 0.5, "long": 0.25})):
+        found, kept = shares_of_sample(raked, by)
+        assert abs(kept - 0.2) < 0.002
+        for value, share in found.items():
+            assert abs(share - wanted[value] / sum(wanted.values())) < 0.01 * share
     mixed = mixing.mix(odd_docs).select("document.text", "mix.*").collect()
     assert len(mixed) == odd_docs.count() and all(r["tokens"] == len(words(r["text"])) for r in mixed)
     assert not any(r["sampled"] for r in mixed if r["tokens"] == 0)
     assert mixing.mix(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_sample_of_documents_meets_what_its_tokens_allow(spark, folder):
+    rows = mixing.mix(spark.read.parquet(f"{folder}/documents.parquet")).select("mix.*").groupBy("source", "lang", "topic", "probability", "kept_share").agg(
+        F.sum("tokens").alias("tokens"), F.sum(F.when(F.col("sampled"), F.col("tokens")).otherwise(0)).alias("drawn")).toPandas()
+    rows["share"] = rows["tokens"] / rows["tokens"].sum()
+    keep = rows["kept_share"][0]
+    assert 0.5 <= keep <= mixing.KEEP
+    for by in ("lang", "topic"):
+        own, wanted = rows.groupby(by)["share"].sum(), mixing.TARGETS[by]
+        cap = own / mixing.KEEP
+        goal = own * 0
+        for _ in range(20):  # plain water-filling
+            full = {v for v in own.index if goal[v] >= cap[v] - 1e-12}
+            rest = sum(wanted[v] for v in own.index if v not in full)
+            goal = own.index.to_series().map(lambda v: cap[v] if v in full else min(cap[v], (1 - cap[list(full)].sum()) * wanted[v] / rest))
+        found, kept = shares_of_sample(rows, by)
+        assert abs(kept - keep) < 0.01 * keep
+        assert all(abs(found[v] - goal[v]) <= max(0.011 * goal[v], 0.0011) for v in found)
+        drawn = rows.groupby(by)["drawn"].sum() / rows["drawn"].sum()
+        assert all(abs(drawn[v] - found[v]) < 0.05 for v in found)
+
+
 def components_of(sets, percent=85):
     names = list(range(len(sets)))
 
