@@ -18,7 +18,6 @@ import heapq
 import os
 import re
 import struct
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import groupby
@@ -27,6 +26,7 @@ from operator import itemgetter
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .staging import staged
@@ -41,7 +41,7 @@ FAN_IN = 64
 #: Pairs in one row of the table of counts.
 COUNT_PAIRS = 1 << 16
 #: Distinct pieces of text (and their characters) remembered with their tokens in a task, before the memory is cleared.
-REMEMBERED, REMEMBERED_CHARACTERS = 200_000, 1 << 23
+REMEMBERED, REMEMBERED_CHARACTERS = 400_000, 1 << 23
 #: Characters of text encoded at a time.
 CHUNK_CHARACTERS = 1 << 20
 
@@ -56,38 +56,15 @@ def byte_level_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-@dataclass
-class Piece:
-    """A piece of text with what it adds to its document; ``groups`` is None if its tokens do not spell it."""
-    n_a: int
-    n_b: int
-    n_groups: int
-    n_links: int
-    groups: str | None
-    pairs: np.ndarray
-    links: np.ndarray
-
-
-def link(a: list[int], b: list[int], size_a: list[int], size_b: list[int]) -> tuple[int, str, Counter]:
-    """Number of groups, the groups as text, and how often each pair (B id * 65536 + A id) is linked."""
-    groups, pairs = [], Counter()
-    i = j = first_a = first_b = 0
-    end_a, end_b = size_a[0], size_b[0]
-    while True:
-        pairs[b[j] << 16 | a[i]] += 1
-        if end_a == end_b:
-            groups.append(f"{','.join(map(str, a[first_a:i + 1]))}|{','.join(map(str, b[first_b:j + 1]))}")
-            i, j = i + 1, j + 1
-            first_a, first_b = i, j
-            if i == len(a):
-                return len(groups), ";".join(groups), pairs
-            end_a, end_b = end_a + size_a[i], end_b + size_b[j]
-        elif end_a < end_b:
-            i += 1
-            end_a += size_a[i]
-        else:
-            j += 1
-            end_b += size_b[j]
+def of_text(ends: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Sums of values that stand end to end, ``ends`` telling where each text's values end."""
+    total = np.concatenate([[0], np.cumsum(values)])
+    return np.diff(total[ends], prepend=0)
+
+
+def spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of each of several stretches, end to end."""
+    return np.arange(int(size.sum())) + np.repeat(start - (np.cumsum(size) - size), size)
 
 
 class Aligner:
@@ -108,72 +85,100 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         alphabet = byte_level_alphabet()
-        self.bytes_a = {i: bytes(alphabet[c] for c in t) if all(c in alphabet for c in t) else t.encode() for t, i in self.a.get_vocab().items()}
+        vocabulary = self.a.get_vocab()
+        self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
+        for t, i in vocabulary.items():
+            self.bytes_a[i] = bytes(alphabet[c] for c in t) if all(c in alphabet for c in t) else t.encode()
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(t[3:5], 16)]) if self.b.is_byte(i) else t.replace(_SPACE, " ").encode() for i, t in enumerate(names)]
-        if len(names) > 1 << 15 or max(self.bytes_a) >= 1 << 16:
+        if len(names) > 1 << 15 or len(self.bytes_a) > 1 << 16:
             raise ValueError("ids of A need 16 bits and ids of B 15")
+        self.size_a, self.size_b = (np.array(list(map(len, x))) for x in (self.bytes_a, self.bytes_b))
+        # Every id as text with what may follow it: another token of its side, the other side, the next group.
+        self.written = [np.array([f"{i}{mark}".encode() for i in range(1 << 16)], object) for mark in ",|;"]
         separable = not any("\n" in t or re.search(f"[^{_SPACE}]{_SPACE}", t) for t in names)
         self.cut = re.compile(r"[ \n]\s*\S*(?:[^\S \n]\s*\S*)*" if separable else r"(?s:.+)").findall
         self.space = self.b.piece_to_id(_SPACE)
         self.clear()
 
     def clear(self) -> None:
-        self.number, self.pieces, self.characters = {}, [], 0
+        self.number, self.groups, self.characters = {}, [], 0
+        #: By piece: spelt, n_a, n_b, n_groups, n_links; where its pairs end.
+        self.counts, self.ends = np.zeros((0, 5), np.int64), np.zeros(0, np.int64)
+        self.pairs, self.links = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def _tokens_b(self, pieces: list[str]) -> list[list[int]]:
+    def _tokens(self, pieces: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """B adds a space to what it encodes: a piece with one in front gives it up, the others lose it afterwards."""
-        found = self.b.encode([p[1:] if p[0] == " " else p for p in pieces], num_threads=1)
-        return [[self.space] if p == " " else ids if p[0] == " " else ids[1:] for p, ids in zip(pieces, found)]
+        a = [e.ids for e in self.a.encode_batch_fast(pieces, add_special_tokens=False)]
+        b = self.b.encode([p[1:] if p[0] == " " else p for p in pieces], num_threads=1)
+        return a, [[self.space] if p == " " else ids if p[0] == " " else ids[1:] for p, ids in zip(pieces, b)]
 
     def learn(self, pieces: list[str]) -> None:
-        none = np.zeros(0, np.int64)
-        encoded = self.a.encode_batch(pieces, add_special_tokens=False)
-        for text, one, b in zip(pieces, encoded, self._tokens_b(pieces)):
-            a, data = one.ids, text.encode()
-            spelt_a, spelt_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-            self.number[text] = len(self.pieces)
-            self.characters += len(text)
-            if b"".join(spelt_a) != data or b"".join(spelt_b) != data:
-                self.pieces.append(Piece(0, 0, 0, 0, None, none, none))
-                continue
-            n_groups, groups, pairs = link(a, b, list(map(len, spelt_a)), list(map(len, spelt_b)))
-            links = np.fromiter(pairs.values(), np.int64, len(pairs))
-            self.pieces.append(Piece(len(a), len(b), n_groups, int(links.sum()), groups, np.fromiter(pairs, np.int64, len(pairs)), links))
-
-    def align(self, texts: list[str | None]) -> tuple[list[tuple], np.ndarray, np.ndarray, np.ndarray]:
-        """For each text (n_a, n_b, n_groups, n_links, groups); for all, records (text, pair, links) in any order."""
-        if len(self.pieces) > REMEMBERED or self.characters > REMEMBERED_CHARACTERS:
+        a, b = self._tokens(pieces)
+        data = [p.encode() for p in pieces]
+        counted = lambda x: (np.array(list(map(len, x)), np.int64), np.fromiter((i for ids in x for i in ids), np.int64))
+        (n_a, ids_a), (n_b, ids_b), size = counted(a), counted(b), np.array(list(map(len, data)))
+        whole = b"".join(data)
+        spelt = (of_text(np.cumsum(n_a), self.size_a[ids_a]) == size) & (of_text(np.cumsum(n_b), self.size_b[ids_b]) == size)
+        if not (spelt.all() and whole == b"".join([self.bytes_a[i] for i in ids_a]) == b"".join([self.bytes_b[i] for i in ids_b])):
+            spelt = np.array([b"".join([self.bytes_a[i] for i in x]) == d == b"".join([self.bytes_b[i] for i in y]) for d, x, y in zip(data, a, b)])
+            for k in np.flatnonzero(~spelt).tolist():
+                a[k] = b[k] = []
+            (n_a, ids_a), (n_b, ids_b) = counted(a), counted(b)
+        # All pieces stand end to end. A stretch between two neighbouring token ends belongs to one token of each side,
+        # and every overlap of two tokens is one such stretch.
+        end_a, end_b = np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b])
+        stretch = np.union1d(end_a, end_b)
+        at_a, at_b = np.searchsorted(end_a, stretch), np.searchsorted(end_b, stretch)
+        both = np.isin(end_a, end_b, assume_unique=True)  # A tokens that close a group
+        group_a = np.cumsum(both) - both
+        shut = end_a[both]
+        group_b = np.searchsorted(shut, end_b)
+        last_a, last_b = np.diff(group_a, append=-1) != 0, np.diff(group_b, append=-1) != 0
+        stop_a, stop_b = np.cumsum(n_a), np.cumsum(n_b)
+        n_groups = of_text(stop_a, both)
+        owner = np.searchsorted(stop_a, at_a, "right")
+        # Text of the groups: tokens in order of group, side and place.
+        order = np.lexsort((np.concatenate([np.zeros(len(ids_a), np.int8), np.ones(len(ids_b), np.int8)]), np.concatenate([group_a, group_b])))
+        words = np.concatenate([np.where(last_a, self.written[1][ids_a], self.written[0][ids_a]),
+                                np.where(last_b, self.written[2][ids_b], self.written[0][ids_b])])[order].tolist() if len(order) else []
+        text = b"".join(words)
+        length = np.cumsum([0, *map(len, words)])
+        stops = length[stop_a + stop_b].tolist()
+        # Pairs of a piece, each once with its links.
+        key = owner << 32 | ids_b[at_b] << 16 | ids_a[at_a]
+        distinct, links = np.unique(key, return_counts=True)
+        self.number.update(zip(pieces, range(len(self.groups), len(self.groups) + len(pieces))))
+        self.groups += [text[s:e] for s, e in zip([0, *stops], stops)]
+        self.characters += sum(map(len, pieces))
+        n_links = np.bincount(owner, minlength=len(pieces))
+        self.counts = np.concatenate([self.counts, np.stack([spelt.astype(np.int64), n_a, n_b, n_groups, n_links], axis=1)])
+        self.ends = np.concatenate([self.ends, len(self.pairs) + np.searchsorted(distinct, np.arange(1, len(pieces) + 1) << 32)])
+        self.pairs, self.links = np.concatenate([self.pairs, distinct & 0xFFFFFFFF]), np.concatenate([self.links, links])
+
+    def align(self, texts: list[str | None]) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+        """For each text n_a, n_b, n_groups, n_links and its groups; for all, records (text, pair, links) in any order."""
+        if len(self.groups) > REMEMBERED or self.characters > REMEMBERED_CHARACTERS:
             self.clear()
         cut = [self.cut(" " + t) if t else [] for t in texts]
-        missing = dict.fromkeys(p for own in cut for p in own if p not in self.number)
+        flat = [p for own in cut for p in own]
+        missing = [p for p in dict.fromkeys(flat) if p not in self.number]
         if missing:
-            self.learn(list(missing))
-        rows, whose, which = [], [], []
-        for k, own in enumerate(cut):
-            numbers = [self.number[p] for p in own]
-            used = Counter(numbers)
-            found = [self.pieces[i] for i in used]
-            groups = [self.pieces[i].groups for i in numbers]
-            if not own or any(p.groups is None for p in found):
-                rows.append((0, 0, 0, 0, ""))
-                continue
-            sums = [sum(getattr(p, name) * n for p, n in zip(found, used.values())) for name in ("n_a", "n_b", "n_groups", "n_links")]
-            rows.append((*sums, ";".join(groups)))
-            whose.append((k, used))
-        doc = np.repeat([k for k, _ in whose], [len(u) for _, u in whose]).astype(np.int64)
-        piece = np.fromiter((i for _, u in whose for i in u), np.int64)
-        times = np.fromiter((n for _, u in whose for n in u.values()), np.int64)
-        if not len(piece):
-            return rows, piece, piece, piece
-        distinct, at = np.unique(piece, return_inverse=True)
-        size = np.array([len(self.pieces[i].pairs) for i in distinct.tolist()])
-        pairs = np.concatenate([self.pieces[i].pairs for i in distinct.tolist()])
-        links = np.concatenate([self.pieces[i].links for i in distinct.tolist()])
-        start = (np.cumsum(size) - size)[at]
-        size = size[at]
-        place = np.arange(int(size.sum())) + np.repeat(start - (np.cumsum(size) - size), size)
-        return rows, np.repeat(doc, size), pairs[place], links[place] * np.repeat(times, size)
+            self.learn(missing)
+        numbers = list(map(self.number.__getitem__, flat))
+        each = np.array(numbers, np.int64)
+        size = np.array(list(map(len, cut)), np.int64)
+        ends = np.cumsum(size)
+        spelt = (size > 0) & (of_text(ends, self.counts[each, 0]) == size)
+        sums = np.stack([of_text(ends, self.counts[each, i]) for i in range(1, 5)], axis=1) * spelt[:, None]
+        groups = [b"".join(map(self.groups.__getitem__, numbers[e - n:e]))[:-1] if good else b""
+                  for e, n, good in zip(ends.tolist(), size.tolist(), spelt.tolist())]
+        key, times = np.unique((np.repeat(np.arange(len(texts)), size) << 32 | each)[np.repeat(spelt, size)], return_counts=True)
+        doc, piece = key >> 32, key & 0xFFFFFFFF
+        start = np.where(piece > 0, self.ends[piece - 1], 0) if len(piece) else piece
+        many = self.ends[piece] - start
+        place = spread(start, many)
+        return sums, groups, np.repeat(doc, many), self.pairs[place], self.links[place] * np.repeat(times, many)
 
 
 def pack_arrays(*arrays: np.ndarray) -> bytes:
@@ -237,14 +242,13 @@ def _encode(path_a: str, path_b: str, with_groups: bool, spill_records: int):
         new_spill = lambda: int.from_bytes(os.urandom(8), "little") >> 1
         spill, ordinal, held, size = new_spill(), 0, [], 0
 
-        def rows(document: pa.Array, found: list[tuple]) -> pa.RecordBatch:
-            n = len(found)
-            columns = [pa.array([f[i] for f in found], pa.int64()) for i in range(4)]
-            hashes = pa.array([hashlib.sha256(f[4].encode()).hexdigest() if f[0] else "" for f in found], pa.string())
-            groups = pa.array([f[4] if with_groups else None for f in found], pa.string())
+        def rows(document: pa.Array, sums: np.ndarray, groups: list[bytes]) -> pa.RecordBatch:
+            n = len(groups)
+            hashes = [hashlib.sha256(g).hexdigest() if g else "" for g in groups]
+            kept = pa.array([g.decode() for g in groups] if with_groups else [None] * n, pa.string())
             return pa.RecordBatch.from_arrays(
-                [document, pa.array([spill] * n, pa.int64()), pa.array(range(ordinal, ordinal + n), pa.int32()), *columns, hashes, groups,
-                 pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
+                [document, pa.array([spill] * n, pa.int64()), pa.array(range(ordinal, ordinal + n), pa.int32()), *map(pa.array, sums.T), pa.array(hashes, pa.string()),
+                 kept, pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
 
         def runs(kind: pa.DataType) -> pa.RecordBatch:
             found = list(spilled(*map(np.concatenate, zip(*held)))) if held else []
@@ -258,12 +262,12 @@ def _encode(path_a: str, path_b: str, with_groups: bool, spill_records: int):
         for batch in batches:
             document, texts = batch.column("document"), batch.column("text")
             kind, at = document.type, 0
-            lengths = np.cumsum([len(t.as_py() or "") for t in texts])
+            lengths = np.cumsum(pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False))
             while at < len(texts):
                 before = lengths[at - 1] if at else 0
                 upto = max(int(np.searchsorted(lengths, before + CHUNK_CHARACTERS, "right")), at + 1)
-                found, doc, pair, links = aligner.align(texts.slice(at, upto - at).to_pylist())
-                yield rows(document.slice(at, upto - at), found)
+                sums, groups, doc, pair, links = aligner.align(texts.slice(at, upto - at).to_pylist())
+                yield rows(document.slice(at, upto - at), sums, groups)
                 if len(doc):
                     key, links = totals(pair << 32 | doc, links)  # a document's own pieces meet at once
                     held.append(((key & 0xFFFFFFFF) + ordinal, key >> 32, links))

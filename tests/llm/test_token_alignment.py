@@ -79,13 +79,13 @@ def odd_texts():
 def test_pieces_of_a_text_are_encoded_as_the_whole_is(tokenizers):
     texts = odd_texts()
     aligner = align.Aligner(public_tokenizers.path(align.TOKENIZER_A), public_tokenizers.path(align.TOKENIZER_B))
-    rows, doc, pair, links = aligner.align(texts)
+    sums, written, doc, pair, links = aligner.align(texts)
     found = [Counter() for _ in texts]
     for d, p, n in zip(doc.tolist(), pair.tolist(), links.tolist()):
         found[d][p >> 16, p & 0xFFFF] += n
-    for text, row, own in zip(texts, rows, found):
+    for text, row, groups_text, own in zip(texts, sums.tolist(), written, found):
         n_a, n_b, groups, all_links = plain(tokenizers, text)
-        assert row == (n_a, n_b, len(groups), len(all_links), ";".join(groups)), repr(text)
+        assert (*row, groups_text.decode()) == (n_a, n_b, len(groups), len(all_links), ";".join(groups)), repr(text)
         assert own == Counter(all_links)
 
 
