@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from ..operators.numbering import number_rows
+from ..operators.numbering import number_rows, rank_values
+from .staging import staged
 
 SHARDS = 8
 #: Each dimension is cut into 2 ** BITS ranges of about equally many documents.
@@ -37,54 +38,67 @@ def hilbert_index(coordinates: list[np.ndarray], bits: int) -> np.ndarray:
     return index
 
 
-def ordinal(column: Column, kind: str) -> Column:
-    """A number in the order of the column: strings by their first seven bytes, null as -1."""
-    if kind == "string":
-        head = F.rpad(F.hex(F.substring(F.encode(column, "utf-8"), 1, 7)), 14, "0")
-        return F.coalesce(F.conv(head, 16, 10).cast("double"), F.lit(-1.0))
-    return F.coalesce(column.cast("double"), F.lit(-1.0))
+def ranges(rows: DataFrame, name: str, bits: int) -> DataFrame:
+    """(value, coordinate) of a text column: its distinct values in order, cut where their rows pass each 1 / 2 ** bits of
+    all rows. Whole values are compared, so that a long common beginning does not matter; a value is in one range."""
+    ranked = rank_values(rows.select(F.col(name).alias("value")), "value")
+    total = rows.agg(F.count(name)).first()[0] or 1
+    return staged(ranked.select("value", F.expr(f"cast(((rank - 1) * {1 << bits}) div {total} as int)").alias("coordinate")), "ranges")
 
 
-def curve(docs: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS, bits: int = BITS) -> Column:
-    """The curve index of a row of ``docs``, as a column. Ranges are cut at approximate quantiles found in one pass."""
-    kinds = dict(docs.dtypes)
-    numbers = [ordinal(F.col(d), kinds[d]) for d in dimensions]
+def curve(rows: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS, bits: int = BITS) -> DataFrame:
+    """``rows`` with ``hilbert``, their index on the curve over ``dimensions``; nulls come first.
+
+    Text dimensions are cut by the rank of their value, the others at approximate quantiles found in one pass.
+    """
+    kinds = dict(rows.dtypes)
+    numbers = [d for d in dimensions if kinds[d] != "string"]
     shares = [i / (1 << bits) for i in range(1, 1 << bits)]
-    found = docs.agg(*[F.percentile_approx(n, F.lit(shares), 10_000).alias(f"c{i}") for i, n in enumerate(numbers)]).first()
-    cuts = [np.unique(np.array(c, float)) if c else np.zeros(0) for c in found]
+    found = rows.agg(F.count(F.lit(1)), *[F.percentile_approx(F.col(d).cast("double"), F.lit(shares), 10_000) for d in numbers]).first()
+    cuts = [np.unique(np.array(c, float)) if c else np.zeros(0) for c in found[1:]]
+    coordinates = {}
+    for d in (d for d in dimensions if kinds[d] == "string"):
+        own = ranges(rows, d, bits).select(F.col("value").alias(d), F.col("coordinate").alias(f"{d}_range"))
+        rows = rows.join(own, d, "left")
+        coordinates[d] = F.coalesce(F.col(f"{d}_range") + 1, F.lit(0)).cast("double")
+    coordinates |= {d: F.coalesce(F.col(d).cast("double"), F.lit(float("-inf"))) for d in numbers}
 
     def indexed(*columns: pa.Array) -> pa.Array:
-        coordinates = [np.searchsorted(c, x.to_numpy(zero_copy_only=False), "right") for c, x in zip(cuts, columns)]
-        return pa.array(hilbert_index(coordinates, bits))
+        placed = dict(zip(dimensions, (x.to_numpy(zero_copy_only=False) for x in columns)))
+        placed |= {d: np.searchsorted(c, placed[d], "right") for d, c in zip(numbers, cuts)}
+        # Null shares the first range; the order of rows inside a cell puts it first.
+        return pa.array(hilbert_index([np.maximum(placed[d] - (kinds[d] == "string"), 0).astype(np.int64) for d in dimensions], bits))
 
-    return arrow_udf(indexed, "bigint")(*numbers)
+    return rows.withColumn("hilbert", arrow_udf(indexed, "bigint")(*[coordinates[d] for d in dimensions])).drop(*[f"{d}_range" for d in dimensions])
 
 
-def shard(docs: DataFrame, shards: int = SHARDS, dimensions: tuple[str, ...] = DIMENSIONS, bits: int = BITS) -> DataFrame:
-    """``docs`` (with size and text_crc32 added beforehand, see ``measured``) with hilbert, shard and slot.
+def shard(docs: DataFrame, shards: int = SHARDS, dimensions: tuple[str, ...] = DIMENSIONS, bits: int = BITS, carry: tuple[str, ...] | None = None) -> DataFrame:
+    """The columns of ``docs`` (or those named in ``carry``) in a struct ``document``, and a struct ``placement``: size, text_crc32,
+    hilbert, shard, slot.
 
-    Rows are numbered along the curve and cut into runs whose lengths differ by one at most, so every shard covers few
-    ranges of each dimension and file statistics prune on all of them. Rows of one cell of the curve are ordered by the
-    dimensions, then crc32, which puts equal texts side by side; full ties keep their input order. Null values come
-    first. Fewer rows than shards leave shards empty; an empty table gives no rows.
+    ``size`` is the UTF-8 bytes of the text, and one; a null text has neither bytes nor checksum bits. It may be named among
+    ``dimensions`` beside columns of ``docs``. Rows are numbered along the curve and cut into runs whose lengths differ by one at most, so
+    every shard covers few ranges of each dimension and file statistics prune on all of them. Rows of one cell of the
+    curve are ordered by the dimensions, then crc32, which puts equal texts side by side; full ties keep their input
+    order. Null values come first. Fewer rows than shards leave shards empty; an empty table gives no rows.
     """
-    order = [F.col("hilbert"), *[F.col(d) for d in dimensions if d != "doc_id"], F.col("text_crc32"), F.col("doc_id"), F.col("tie")]
-    placed = docs.withColumn("hilbert", curve(docs, dimensions, bits)).withColumn("tie", F.monotonically_increasing_id())
-    numbered = number_rows(placed, order).drop("tie")
+    kept = [F.col(c) for c in carry] if carry is not None else [F.col(c) for c in docs.columns]
+    own = [F.col(d).alias(f"by_{d}") for d in dimensions if d != "size"]
+    size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("bigint").alias("by_size")
+    rows = docs.select(F.struct(*kept).alias("document"), *own, size, F.coalesce(F.crc32("text"), F.lit(0)).cast("bigint").alias("crc"))
+    rows = curve(rows, tuple(f"by_{d}" for d in dimensions), bits).withColumn("tie", F.monotonically_increasing_id())
+    numbered = number_rows(rows, [F.col("hilbert"), *[F.col(f"by_{d}") for d in dimensions if d != "doc_id"], F.col("crc"), *[F.col(f"by_{d}") for d in dimensions if d == "doc_id"], F.col("tie")])
     total = numbered.count()
     # In whole numbers: shard s starts at row ceil(s * total / shards).
     which = f"(rn - 1) * {shards} div {max(total, 1)}"
-    return numbered.withColumn("shard", F.expr(f"cast({which} as int)")).withColumn(
-        "slot", F.expr(f"rn - 1 - (({which}) * {total} + {shards - 1}) div {shards}")).drop("rn")
-
-
-def measured(docs: DataFrame) -> DataFrame:
-    """``docs`` with size (UTF-8 bytes of the text, and one) and text_crc32; a null text has neither bytes nor checksum bits."""
-    return docs.withColumn("size", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("bigint")).withColumn(
-        "text_crc32", F.coalesce(F.crc32("text"), F.lit(0)).cast("bigint"))
+    return numbered.select("document", F.struct(
+        F.col("by_size").alias("size"), F.col("crc").alias("text_crc32"), "hilbert", F.expr(f"cast({which} as int)").alias("shard"),
+        F.expr(f"rn - 1 - (({which}) * {total} + {shards - 1}) div {shards}").alias("slot")).alias("placement"))
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
-    """Write whole documents as Parquet, a folder for each shard, in slot order within it."""
-    (shard(measured(docs), shards).repartition(shards, "shard").sortWithinPartitions("shard", "slot")
-     .write.partitionBy("shard").parquet(path))
+    """Write whole documents as Parquet, a folder for each shard, in slot order within it. The folder's name takes the place of a
+    column ``shard`` of ``docs``."""
+    placed = shard(docs, shards).select("document", "placement")
+    (placed.repartition(shards, "placement.shard").sortWithinPartitions("placement.shard", "placement.slot")
+     .select(*[F.col(f"document.{c}") for c in docs.columns if c != "shard"], F.col("placement.shard").alias("shard")).write.partitionBy("shard").parquet(path))

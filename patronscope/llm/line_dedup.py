@@ -37,15 +37,14 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     return staged(spread.where(F.col("sites") > top).select("key").union(exact), "boilerplate")
 
 
-def line_dedup(docs: DataFrame, min_sites: int = MIN_SITES, site: str = "source", all_sites: bool = False) -> DataFrame:
+def line_dedup(docs: DataFrame, min_sites: int = MIN_SITES, site: str = "source") -> DataFrame:
     """All columns of ``docs`` in a struct ``document`` with the cleaned text, and a struct ``lines`` with n_lines,
     n_removed and emptied.
 
     A boilerplate line goes from every text but the one with the smallest doc_id (then smallest md5) that has it, so a
-    copy of its content stays in the corpus. Equal texts count as one text on one site, the smallest of their sites:
-    copying a document does not turn its lines into boilerplate, and all copies are cleaned alike. With ``all_sites`` a
-    line is on every site of every copy, and only lines of a single text are spared. A null site is a site
-    of its own; a null id counts as larger than all others; a null text stays null and has no lines. ``emptied``: no word
+    copy of its content stays in the corpus. A line is on every site of every copy of its texts; lines of a single text
+    are spared, so copying a document does not turn its lines into boilerplate, and all copies are cleaned alike. A
+    null site is a site of its own; a null id counts as larger than all others; a null text stays null and has no lines. ``emptied``: no word
     is left of a text that had some. Lines are what a split at line feeds gives, compared without blanks around them;
     blank lines stay. Where ``docs`` has n_chars it is brought up to date.
     """
@@ -54,15 +53,14 @@ def line_dedup(docs: DataFrame, min_sites: int = MIN_SITES, site: str = "source"
         digest.alias("digest"), F.coalesce(F.col(f"document.{site}").cast("string"), F.lit("")).alias("site"),
         F.struct(F.col("document.doc_id").isNull().alias("no_id"), F.col("document.doc_id").alias("doc_id")).alias("id"),
         F.transform(F.split("document.text", "\n", -1), _key).alias("keys"))
-    places = narrow.groupBy("digest", "site") if all_sites else narrow.groupBy("digest")
-    held = [F.min("id").alias("id"), F.any_value("keys").alias("keys")]
-    texts = staged(places.agg(*held) if all_sites else places.agg(F.min("site").alias("site"), *held), "texts")
+    texts = staged(narrow.groupBy("digest", "site").agg(F.min("id").alias("id"), F.any_value("keys").alias("keys")), "texts")
     lines = texts.select("digest", "site", "id", F.posexplode("keys").alias("at", "key")).where(F.col("key").isNotNull())
-    found = boilerplate(lines.select("key", "site", "digest") if all_sites else lines.select("key", "site"), min_sites)
+    found = boilerplate(lines.select("key", "site", "digest"), min_sites)
 
     hits = staged(lines.join(found, "key").select("key", "at", "digest", "id"), "hits")
     holders = hits.groupBy("key").agg(F.min(F.struct("id", "digest"))["digest"].alias("holder"))
-    removed = hits.join(holders, "key").where("digest <> holder").groupBy("digest").agg(F.collect_set("at").alias("gone"))
+    # Written first, so that adaptive execution may split the join where one text has very many copies.
+    removed = staged(hits.join(holders, "key").where("digest <> holder").groupBy("digest").agg(F.collect_set("at").alias("gone")), "removed")
 
     rows = docs.select(F.struct("*").alias("document")).withColumn("digest", digest).join(removed, "digest", "left")
     rows = rows.withColumn("parts", F.split("document.text", "\n", -1))
@@ -84,9 +82,11 @@ def line_dedup(docs: DataFrame, min_sites: int = MIN_SITES, site: str = "source"
 
 ORACLE_SQL = f"""
 WITH d AS (SELECT doc_id, text, coalesce(source, '') AS site FROM documents),
-t AS MATERIALIZED (SELECT text, min(site) AS site, min(doc_id) AS doc_id FROM d WHERE text IS NOT NULL GROUP BY text),
-l AS MATERIALIZED (SELECT doc_id, site, trim(unnest(string_split(text, chr(10))), ' ' || chr(9) || chr(13)) AS line FROM t),
-b AS MATERIALIZED (SELECT line, min(doc_id) AS holder FROM l WHERE line <> '' GROUP BY line HAVING count(DISTINCT site) >= {MIN_SITES}),
+t AS MATERIALIZED (SELECT text, min(doc_id) AS doc_id FROM d WHERE text IS NOT NULL GROUP BY text),
+s AS MATERIALIZED (SELECT DISTINCT t.doc_id, d.site FROM d JOIN t USING (text)),
+l AS MATERIALIZED (SELECT doc_id, trim(unnest(string_split(text, chr(10))), ' ' || chr(9) || chr(13)) AS line FROM t),
+b AS MATERIALIZED (SELECT line, min(doc_id) AS holder FROM l JOIN s USING (doc_id) WHERE line <> '' GROUP BY line
+                   HAVING count(DISTINCT site) >= {MIN_SITES} AND count(DISTINCT doc_id) > 1),
 r AS MATERIALIZED (SELECT l.doc_id, list(DISTINCT l.line) AS gone FROM l JOIN b USING (line) WHERE l.doc_id <> b.holder GROUP BY l.doc_id),
 c AS (SELECT t.text, string_split(t.text, chr(10)) AS parts,
              list_filter(string_split(t.text, chr(10)), lambda x: NOT list_contains(coalesce(r.gone, []), trim(x, ' ' || chr(9) || chr(13)))) AS stay

@@ -119,4 +119,6 @@ def quality_rules(docs: DataFrame, labels: DataFrame, target: str = "quality", t
     out = docs.select(F.struct("*").alias("document")).withColumn("q", judged(F.col("document.text")))
     failed = (F.col("q.n_words") < MIN_WORDS) | (100 * F.col("q.n_repeat_words") > MAX_REPEAT_PERCENT * F.col("q.n_words"))
     kept = ~failed & (F.coalesce(F.col("q.probability"), F.lit(1.0)) >= min_probability)
-    return out.select("document", F.struct("q.*", failed.alias("base_failed"), kept.alias("kept")).alias("quality"))
+    return out.select("document", F.struct(
+        F.col("q").dropFields("probability").alias("q"), failed.alias("base_failed"), kept.alias("kept"), "q.probability").alias("quality")).withColumn(
+        "quality", F.struct("quality.q.*", "quality.base_failed", "quality.kept", "quality.probability"))

@@ -57,9 +57,10 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shard and slot of each document along the curve, by the law of equal counts."""
-    docs = hilbert_sharding.measured(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")).drop("text")
-    return hilbert_sharding.shard(docs).select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return hilbert_sharding.shard(docs, carry=("doc_id",)).select(
+        "document.doc_id", "placement.size", "placement.text_crc32", F.lit("rows").alias("law"), "placement.shard", "placement.slot",
+        F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

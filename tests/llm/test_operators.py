@@ -288,15 +288,41 @@ def test_hilbert_curve_visits_neighbours():
     assert (np.abs(np.diff(path, axis=1)).sum(axis=0) == 1).all()
 
 
-def test_shards_of_odd_rows(odd_docs, no_docs):
-    rows = hilbert_sharding.shard(hilbert_sharding.measured(odd_docs).drop("rank")).collect()
+def test_shards_of_odd_rows(odd_docs, no_docs, tmp_path):
+    clashing = odd_docs.withColumns({c: F.lit(c) for c in ("shard", "slot", "hilbert", "tie", "rn", "size", "placement")})
+    found = hilbert_sharding.shard(clashing)
+    assert found.select("document.*").columns == clashing.columns and found.where("document.slot <> 'slot'").count() == 0
+    rows = found.select("document.text", "placement.*").collect()
     count = Counter(r["shard"] for r in rows)
     assert len(rows) == odd_docs.count() and max(count.values()) - min(count.values()) <= 1 and len(count) == 8
     assert all(sorted(r["slot"] for r in rows if r["shard"] == s) == list(range(n)) for s, n in count.items())
     assert all(r["size"] == len((r["text"] or "").encode()) + 1 and r["text_crc32"] == zlib.crc32((r["text"] or "").encode()) for r in rows)
-    assert hilbert_sharding.shard(hilbert_sharding.measured(no_docs)).count() == 0
-    few = hilbert_sharding.shard(hilbert_sharding.measured(odd_docs.limit(3))).collect()
+    assert hilbert_sharding.shard(no_docs).count() == 0
+    few = hilbert_sharding.shard(odd_docs.limit(3)).select("placement.*").collect()
     assert len({r["shard"] for r in few}) == 3 and {r["slot"] for r in few} == {0}
+    hilbert_sharding.write_shards(odd_docs, f"{tmp_path}/shards")
+    back = odd_docs.sparkSession.read.parquet(f"{tmp_path}/shards")
+    assert back.count() == odd_docs.count() and back.select("shard").distinct().count() == 8
+
+
+def test_curve_against_plain_python_with_long_common_beginnings(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, f"https://www.example.org/a/very/long/path/{rng.integers(0, 40):02d}", ["en", "de", None][i % 3], "x" * int(rng.integers(0, 200))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, lang string, text string").repartition(4)
+    bits, names = 3, ("source", "lang", "size", "doc_id")
+    got = {r["doc_id"]: r["hilbert"] for r in hilbert_sharding.shard(docs, bits=bits).select("document.doc_id", "placement.hilbert").collect()}
+
+    def coordinates(values, text):
+        some = sorted(v for v in values if v is not None)
+        if text:  # a value starts where its first row stands
+            return [0 if v is None else some.index(v) * (1 << bits) // len(some) for v in values]
+        cuts = sorted({some[max(-(-len(some) * k // (1 << bits)) - 1, 0)] for k in range(1, 1 << bits)})
+        return [sum(c <= v for c in cuts) for v in values]
+
+    columns = [[r[1] for r in rows], [r[2] for r in rows], [len(r[3]) + 1 for r in rows], [r[0] for r in rows]]
+    wanted = hilbert_sharding.hilbert_index([np.array(coordinates(c, n in ("source", "lang"))) for c, n in zip(columns, names)], bits)
+    assert got == dict(zip((r[0] for r in rows), wanted.tolist()))
+    assert len({w >> 9 for w in wanted.tolist()}) > 1 and len(set(coordinates(columns[0], True))) == 1 << bits
 
 
 def test_packing_round_trip(odd_docs, no_docs):

@@ -30,9 +30,9 @@ def test_chain_follows_each_stage(spark):
 
     cleaned = stages["line_dedup"](spark, good, FOLDER).cache()
     assert cleaned.columns == COLUMNS and cleaned.where("n_chars <> char_length(text)").count() == 0
-    sites = good.groupBy("text").agg(F.min("source").alias("source")).select("source", F.explode(F.split("text", "\n")).alias("line"))
-    common = {r["line"] for r in sites.withColumn("line", F.btrim("line")).groupBy("line").agg(F.count_distinct("source").alias("n")).where(
-        f"n >= {line_dedup.MIN_SITES} AND line <> ''").collect()}
+    sites = good.select("text", "source", F.explode(F.split("text", "\n")).alias("line")).withColumn("line", F.btrim("line"))
+    common = {r["line"] for r in sites.groupBy("line").agg(F.count_distinct("source").alias("n"), F.count_distinct("text").alias("texts")).where(
+        f"n >= {line_dedup.MIN_SITES} AND texts > 1 AND line <> ''").collect()}
     left = cleaned.select("text").distinct().select(F.explode(F.split("text", "\n")).alias("line")).where(F.btrim("line").isin(*common)) if common else cleaned.limit(0)
     assert left.select(F.btrim(left.columns[0])).distinct().count() == left.count()  # each once, in the text that keeps it
 
@@ -40,7 +40,7 @@ def test_chain_follows_each_stage(spark):
     texts = {r["doc_id"]: r["text"] for r in cleaned.collect()}
     from test_operators import components_of, shingles
     ids = sorted(texts)
-    root = components_of([shingles(texts[i]) for i in ids])
+    root = components_of([shingles(texts[i]) for i in ids], corpus_pipeline.NEAR_PERCENT)
     wanted = sorted({min(ids[k] for k in range(len(ids)) if root[k] == r) for r in set(root)})
     assert sorted(r["doc_id"] for r in single.select("doc_id").collect()) == wanted
 
@@ -81,5 +81,5 @@ def test_line_stage_counts_the_sites_of_all_copies(spark):
     assert all(found[10 * t + k]["text"] == f"own {t}" + ("\nShare this page" if t == 0 else "") for t in range(4) for k in range(5))
     assert all(found[100 + i]["text"] == "copied\ntext" for i in range(12))
     assert all(found[200 + i]["text"] == f"few {i % 3}\nnine sites" for i in range(9))
-    plain = line_dedup.line_dedup(docs, all_sites=True).where("document.doc_id BETWEEN 10 AND 39").select("lines.*").collect()
+    plain = line_dedup.line_dedup(docs).where("document.doc_id BETWEEN 10 AND 39").select("lines.*").collect()
     assert all((r["n_lines"], r["n_removed"]) == (2, 1) for r in plain)
