@@ -1,81 +1,127 @@
-"""Exact order statistics without sorting everything into one task.
+"""Exact order statistics by radix selection, without sorting anything.
 
-Two aggregations find any number of ranks in any number of groups:
+Every value has an order-preserving 64-bit image: whole numbers are their own, a floating-point number has its sign,
+exponent and fraction as one whole number. One aggregation finds the extent of the images of each group. Then, in rounds, the
+interval that holds a rank is cut into at most ``2 ** DIGIT_BITS`` parts by the leading bits of the image; one counter
+for each part, combined on the map side, tells which part holds the rank, and the extent of that part's own images is the next
+interval. A part with one distinct value is the answer.
 
-1. ``percentile_approx`` over a fixed grid, a mergeable sketch, brackets each wanted rank between two grid values;
-2. rows below a bracket collapse to one counter per rank, rows inside it to one counter per distinct value.
-
-3. the bracket is divided into ``PARTS`` equal steps of value; the step that holds the rank is found from one counter
-   per step, and only the distinct values of that step meet in a window, which yields the exact value at the rank.
-
-All combine on the map side, so a value that holds a third of all rows is one counter, not one task. A window sees about
-one hundred-thousandth of the rows. The way is the same for one row and for all sizes above.
+The work does not depend on how values are distributed: a value that holds a third of all rows is one counter, a heavy tail
+is cut by its exponents. No task ever sees more than the counters of one interval. At most four rounds settle any rank, and as
+every round drops empty bits, two or three are usual; the way is the same for one row and for all sizes above.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import ByteType, DataType, DateType, DecimalType, DoubleType, FloatType, IntegerType, LongType, ShortType, StringType, StructField, StructType
 
 from ..functions.numeric import amount, units
 
-GRID = 500
-ACCURACY = 10_000
-PARTS = 1024
-_GRID_SQL = ", ".join(f"{i / GRID!r}D" for i in range(GRID + 1))
+#: Bits of the image that one round settles.
+DIGIT_BITS = 16
 
 # Rank name -> SQL expression over the group's row count ``n`` and the group columns.
 Ranks = dict[str, str]
 
 
-def _named(ranks: Ranks) -> str:
-    return ", ".join(f"named_struct('stat', '{name}', 'rank', CAST({rank} AS BIGINT))" for name, rank in ranks.items())
+def _double_image(x: str) -> str:
+    """SQL: a whole number in the order of DOUBLE values. Powers of two are exact, so no step here rounds."""
+    guess = f"floor(log2(abs({x})))"
+    power = f"(CASE WHEN pow(2D, {guess}) > abs({x}) THEN {guess} - 1 WHEN pow(2D, {guess} + 1) <= abs({x}) THEN {guess} + 1 ELSE {guess} END)"
+    fraction = f"CAST(abs({x}) / pow(2D, {power}) * {2.0 ** 52!r}D AS BIGINT)"
+    size = (f"CASE WHEN isnan({x}) THEN {(2047 << 52) + 1}L WHEN abs({x}) = double('inf') THEN {2047 << 52}L WHEN {x} = 0 THEN 0L "
+            f"WHEN abs({x}) < {2.0 ** -1022!r}D THEN CAST(abs({x}) * {2.0 ** 1000!r}D * {2.0 ** 74!r}D AS BIGINT) "
+            f"ELSE CAST({power} + 1022 AS BIGINT) * {1 << 52}L + {fraction} END")
+    return f"(CASE WHEN {x} < 0 THEN -1L ELSE 1L END * ({size}))"
+
+
+def image(column: str, kind: DataType) -> str:
+    """SQL: the order-preserving BIGINT image of a column of numbers or dates."""
+    if isinstance(kind, (ByteType, ShortType, IntegerType, LongType)):
+        return f"CAST({column} AS BIGINT)"
+    if isinstance(kind, (FloatType, DoubleType)):
+        return _double_image(f"CAST({column} AS DOUBLE)")
+    if isinstance(kind, DecimalType) and kind.precision <= 18:
+        return f"CAST({column} * {10 ** kind.scale} AS BIGINT)"
+    if isinstance(kind, DateType):
+        return f"CAST(unix_date({column}) AS BIGINT)"
+    raise TypeError(f"no order-preserving image of {kind.simpleString()}")
+
+
+def _cut(low: int, high: int) -> int:
+    """How many low bits a round leaves out, so that an interval has at most 2 ** DIGIT_BITS parts."""
+    return next(s for s in range(64) if (high >> s) - (low >> s) < 1 << DIGIT_BITS)
 
 
 def order_statistics(df: DataFrame, value: Column | str, ranks: Ranks, by: Sequence[str] = ()) -> DataFrame:
     """Values at 1-based ascending ranks: one row per group and rank name.
 
-    Ranks outside 1..n give no row. ``below`` counts the rows with a strictly smaller value. NULL values are ignored.
-    The groups must be few (segments, metrics, flags): their brackets are broadcast, one row per group.
+    Ranks outside 1..n give no row. ``below`` counts the rows with a strictly smaller value. NULL values are ignored, and so
+    are rows of a NULL group. The groups must be few (segments, metrics, flags): one row for each rank of each reaches the
+    driver, and the intervals of a round are broadcast.
     """
-    keys = list(by)
+    keys, spark = list(by), df.sparkSession
     value = F.col(value) if isinstance(value, str) else value
     rows = df.select(*keys, value.alias("_v")).where("_v IS NOT NULL")
-    profile = rows.groupBy(*keys).agg(
-        F.expr("count(1) AS n"), F.expr(f"percentile_approx(_v, array({_GRID_SQL}), {ACCURACY}) AS _grid")
-    )
-    bracket = f"""transform(filter(array({_named(ranks)}), t -> t.rank BETWEEN 1 AND n), t -> named_struct(
-        'stat', t.stat, 'rank', t.rank, 'n', n,
-        '_low', element_at(_grid, CAST(greatest(floor(t.rank / n * {GRID}), 1) AS INT)),
-        '_high', element_at(_grid, CAST(least(ceil(t.rank / n * {GRID}) + 2, {GRID + 1}) AS INT))))"""
-    targets = F.broadcast(profile.selectExpr(*keys, f"{bracket} AS _targets"))
-    # Without groups the targets are a single row.
-    joined = rows.join(targets, keys) if keys else rows.join(targets)
-    counted = (
-        joined.selectExpr(*keys, "_v", "inline(_targets)")
-        .where("_v <= _high")
-        .groupBy(*keys, "stat", "rank", "n", "_low", "_high", F.expr("IF(_v >= _low, _v, NULL) AS _v"))
-        .agg(F.expr("count(1) AS _c"))
-    )
-    # Steps follow the values in order; rows below the bracket are step -1.
-    width = "(CAST(_high AS DOUBLE) - CAST(_low AS DOUBLE))"
-    step = f"least(coalesce(floor((CAST(_v AS DOUBLE) - CAST(_low AS DOUBLE)) / nullif({width}, 0D) * {PARTS}), 0), {PARTS})"
-    counted = counted.selectExpr(*keys, "stat", "rank", "n", "_v", "_c", f"CAST(IF(_v IS NULL, -1, {step}) AS INT) AS _step")
-    group = [*keys, "stat", "rank", "n"]
-    up_to = f"sum(_c) OVER (PARTITION BY {', '.join([*keys, 'stat'])} ORDER BY {{}} ROWS UNBOUNDED PRECEDING)"
-    chosen = (
-        counted.groupBy(*group, "_step").agg(F.sum("_c").alias("_c"))
-        .selectExpr(*keys, "stat", "_step", "rank AS _rank", "_c", f"{up_to.format('_step')} AS _cum")
-        .where("_cum >= _rank AND _cum - _c < _rank")
-        .selectExpr(*keys, "stat", "_step", "_cum - _c AS _before")
-    )
-    return (
-        counted.join(chosen, [*keys, "stat", "_step"])
-        .selectExpr(*group, "_v", "_c", f"_before + {up_to.format('_v')} AS _cum")
-        .where("_cum >= rank AND _cum - _c < rank")
-        .selectExpr(*group, "_cum - _c AS below", "IF(_v IS NULL, raise_error('rank outside its bracket'), _v) AS value")
-    )
+    schema = rows.schema
+    rows = rows.selectExpr("*", f"{image('_v', schema['_v'].dataType)} AS _i")
+    named = ", ".join(f"named_struct('stat', '{name}', 'rank', CAST({rank} AS BIGINT))" for name, rank in ranks.items())
+    extent = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("_i").alias("_low"), F.max("_i").alias("_high"))
+    found = extent.selectExpr(*keys, "n", "_low", "_high", f"filter(array({named}), t -> t.rank BETWEEN 1 AND n) AS _ranks").collect()
+
+    open_ = [{"group": i, "stat": t["stat"], "rank": t["rank"], "below": 0, "low": g["_low"], "high": g["_high"]}
+             for i, g in enumerate(found) if all(g[k] is not None for k in keys) for t in g["_ranks"]]
+    done: list[dict] = []
+    while open_:
+        intervals = sorted({(t["group"], t["low"], t["high"]) for t in open_})
+        number = {x: i for i, x in enumerate(intervals)}
+        part = _parts(rows, keys, schema, found, intervals)
+        so_far = F.sum("c").over(Window.partitionBy("_x").orderBy("_digit").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        wanted = sorted({(number[t["group"], t["low"], t["high"]], t["rank"] - t["below"]) for t in open_})
+        targets = spark.createDataFrame(pa.table({"_x": pa.array([x for x, _ in wanted], pa.int32()), "_nth": pa.array([r for _, r in wanted], pa.int64())}))
+        hit = part.withColumn("cum", so_far).join(F.broadcast(targets), "_x").where("cum >= _nth AND cum - c < _nth")
+        hits = {(r["_x"], r["_nth"]): r for r in hit.selectExpr("_x", "_nth", "cum - c AS before", "low", "high", "value").collect()}
+        for t in open_:
+            r = hits[number[t["group"], t["low"], t["high"]], t["rank"] - t["below"]]
+            t |= {"below": t["below"] + r["before"], "low": r["low"], "high": r["high"], "value": r["value"]}
+        done += [t for t in open_ if t["low"] == t["high"]]
+        open_ = [t for t in open_ if t["low"] < t["high"]]
+
+    done.sort(key=lambda t: (t["group"], t["rank"], t["stat"]))
+    out = StructType([*[schema[k] for k in keys], StructField("stat", StringType()), StructField("rank", LongType()), StructField("n", LongType()),
+                      StructField("below", LongType()), StructField("value", schema["_v"].dataType)])
+    columns = [[found[t["group"]][k] for t in done] for k in keys] + [
+        [t["stat"] for t in done], [t["rank"] for t in done], [found[t["group"]]["n"] for t in done], [t["below"] for t in done], [t["value"] for t in done]]
+    return spark.createDataFrame(pa.table([pa.array(c, to_arrow_type(f.dataType)) for c, f in zip(columns, out)], names=out.names), out)
+
+
+def _parts(rows: DataFrame, keys: list[str], schema: StructType, found: list, intervals: list[tuple[int, int, int]]) -> DataFrame:
+    """Counters of one round: interval, digit, rows, extent of their images and their smallest value."""
+    literal = lambda i, low, high: f"named_struct('_x', {i}, '_from', {_long(low)}, '_to', {_long(high)}, '_s', {_cut(low, high)})"
+    if keys:
+        own: dict[int, list[tuple[int, int, int, int]]] = {}
+        for i, (g, low, high) in enumerate(intervals):
+            own.setdefault(g, []).append((i, low, high, _cut(low, high)))
+        kind = pa.list_(pa.struct([("_x", pa.int32()), ("_from", pa.int64()), ("_to", pa.int64()), ("_s", pa.int32())]))
+        table = pa.table([pa.array([found[g][k] for g in own], to_arrow_type(schema[k].dataType)) for k in keys]
+                         + [pa.array([[dict(zip(("_x", "_from", "_to", "_s"), x)) for x in own[g]] for g in own], kind)], names=[*keys, "_all"])
+        rows = rows.join(F.broadcast(rows.sparkSession.createDataFrame(table)), keys)
+        candidates = "_all"
+    else:
+        candidates = f"array({', '.join(literal(i, low, high) for i, (_, low, high) in enumerate(intervals))})"
+    met = rows.selectExpr("_v", "_i", f"inline(filter({candidates}, t -> _i BETWEEN t._from AND t._to))")
+    digit = "CAST(shiftright(_i, _s) - shiftright(_from, _s) AS INT)"
+    return met.groupBy("_x", F.expr(digit).alias("_digit")).agg(
+        F.count(F.lit(1)).alias("c"), F.min("_i").alias("low"), F.max("_i").alias("high"), F.min("_v").alias("value"))
+
+
+def _long(number: int) -> str:
+    return f"{number}L" if number > -(1 << 63) else f"(-{(1 << 63) - 1}L - 1L)"
 
 
 def group_quantiles(df: DataFrame, value: Column | str, probs: dict[str, float], by: Sequence[str] = ()) -> DataFrame:

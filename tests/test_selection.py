@@ -109,3 +109,44 @@ def test_rank_values_equal_windows(skewed, ascending):
 def test_scores_plan_has_no_single_partition_window(w):
     plan = rfm.rfm_scores(w.rfm_raw)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
+
+
+HEAVY = ("SELECT CASE WHEN id = 7 THEN 1e300D WHEN id % 3 = 0 THEN 2.5D ELSE exp(12 * (pmod(xxhash64(id), 100003) / 100003D - 0.5)) "
+         "* IF(id % 5 = 0, -1, 1) END AS v, IF(id % 2 = 0, 'a', 'b') AS g FROM range(200000)")
+
+
+def test_heavy_tails_take_few_rounds_and_few_counters(spark, monkeypatch):
+    """A third of the rows share a value, the rest spans many powers of ten of both signs, one value is 1e300."""
+    df = spark.sql(HEAVY).repartition(6).cache()
+    ordered = np.sort(np.array([r["v"] for r in df.collect()]))
+    sizes, plain = [], order_stats._parts
+
+    def counted(*args):
+        found = plain(*args)
+        sizes.append(found.groupBy("_x").count().agg({"count": "max"}).first()[0])
+        return found
+
+    monkeypatch.setattr(order_stats, "_parts", counted)
+    ranks = [1, 2, 1000, 100_000, 133_333, 190_000, 199_999, 200_000]
+    found = order_stats.order_statistics(df, "v", {str(r): str(r) for r in ranks}).collect()
+    assert {int(r["stat"]): (r["value"], r["below"]) for r in found} == {r: (ordered[r - 1], int((ordered < ordered[r - 1]).sum())) for r in ranks}
+    assert len(sizes) <= 4 and max(sizes) <= 1 << order_stats.DIGIT_BITS
+    grouped = order_stats.group_quantiles(df, "v", {"half": 0.5, "all": 1.0}, ["g"]).collect()
+    local = df.toPandas()
+    assert {r["g"]: (r["half"], r["all"]) for r in grouped} == {g: (np.quantile(x, 0.5), x.max()) for g, x in local.groupby("g")["v"]}
+
+
+@pytest.mark.parametrize("sql", [
+    "SELECT * FROM VALUES (-9223372036854775808L), (9223372036854775807L), (0L), (-1L), (5L) AS t(v)",
+    "SELECT * FROM VALUES (double('-inf')), (double('inf')), (0D), (-0D), (5e-324D), (-5e-324D), (2.2250738585072014e-308D), (1.7976931348623157e308D) AS t(v)",
+    "SELECT * FROM VALUES (1.25BD), (-3.50BD), (1.26BD), (1.25BD) AS t(v)",
+    "SELECT * FROM VALUES (DATE'2020-01-31'), (DATE'1969-12-31'), (DATE'2020-02-01') AS t(v)",
+    "SELECT CAST(v AS SMALLINT) AS v FROM VALUES (3), (-3), (3), (300) AS t(v)",
+    "SELECT CAST(v AS FLOAT) AS v FROM VALUES (1.1), (-1.1), (1.1000001) AS t(v)",
+])
+def test_selection_by_every_kind_of_value(spark, sql):
+    df = spark.sql(sql)
+    ordered = sorted(r["v"] for r in df.collect())
+    found = order_stats.order_statistics(df, "v", {str(i): str(i) for i in range(1, len(ordered) + 1)})
+    assert found.schema["value"].dataType == df.schema["v"].dataType
+    assert [r["value"] for r in found.orderBy("rank").collect()] == ordered
