@@ -1,14 +1,20 @@
-"""K-means segmentation, cluster quality, labelling and PCA."""
+"""K-means segmentation, cluster quality, labelling and PCA.
+
+K-means works in whole numbers: coordinates are rounded to millionths of a standard deviation, sums are exact, and a centre is
+the rounded mean. Results therefore do not depend on partitioning. Customers with the same coordinates are one weighted site.
+Every iteration is one pass over the sites for all K and all restarts that still move: a task adds up its sites by model and
+cluster, and a few numbers for each centre meet at the driver.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.sql import DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numeric import money_avg, money_sum, round_to, share
 from ..functions.segments import SEGMENTS
@@ -18,76 +24,205 @@ from .order_stats import group_quantiles
 FEATURES = ("r_scaled", "f_scaled", "m_scaled")
 K_RANGE = range(2, 12)
 MIN_K = 5
-SEED = 42
-PARALLEL_FITS = 4
-
-
-def with_vector(scaled: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
-    return VectorAssembler(inputCols=list(columns), outputCol="features").transform(scaled)
-
-
-def kmeans_fit(vectors: DataFrame, k: int, restarts: int = 20, max_iter: int = 500, seed: int = SEED) -> KMeansModel:
-    """Best of ``restarts`` seeded k-means|| runs by training cost; independent fits share the cluster side by side."""
-    vectors = vectors.select("features").persist()
+#: Runs of each K that the sweep compares, and that the final model is the best of.
+SWEEP_RESTARTS, RESTARTS = 15, 20
+ITERATIONS = 500
+#: Whole units in one standard deviation.
+UNIT = 1_000_000
+#: Sites whose distances to all centres a task holds at once.
+SITE_BLOCK = 4096
+
+
+def _unit(column: str) -> Column:
+    return F.floor(F.col(column) * UNIT + 0.5).cast("bigint")
+
+
+def sites_of(scaled: DataFrame, columns: Sequence[str] = FEATURES, key: str = "customer_id") -> DataFrame:
+    """Distinct coordinates in whole units (q0, q1, ...) with their weight and smallest key."""
+    return scaled.groupBy(*[_unit(c).alias(f"q{i}") for i, c in enumerate(columns)]).agg(
+        F.count(F.lit(1)).alias("weight"), F.min(key).alias("id"))
+
+
+@dataclass(frozen=True)
+class Fit:
+    """One finished run: centres in whole units; of each cluster the weight, the sums of its coordinates and of their squares;
+    the cost, which is the sum of squared distances."""
+    centres: tuple[tuple[int, ...], ...]
+    weights: tuple[int, ...]
+    sums: tuple[tuple[int, ...], ...]
+    squares: tuple[int, ...]
+    cost: int
+
+
+def best_of(runs: Sequence[Fit]) -> Fit:
+    """The run of the smallest cost, the first of equals."""
+    return min(runs, key=lambda f: f.cost)
+
+
+def starting_sites(sites: DataFrame, restarts: int, most: int, dims: int) -> dict[int, list[tuple[int, ...]]]:
+    """For each restart the ``most`` sites whose md5 of (restart, key) is smallest: the same for any partitioning."""
+    dealt = sites.select("*", F.explode(F.sequence(F.lit(0), F.lit(restarts - 1))).alias("restart"))
+    draw = F.md5(F.concat(F.col("restart").cast("string"), F.lit(":"), F.col("id").cast("string")))
+    place = F.row_number().over(Window.partitionBy("restart").orderBy(draw, "id"))
+    chosen = dealt.withColumn("place", place).where(F.col("place") <= most).orderBy("restart", "place").collect()
+    found: dict[int, list[tuple[int, ...]]] = {r: [] for r in range(restarts)}
+    for row in chosen:
+        found[row["restart"]].append(tuple(row[f"q{i}"] for i in range(dims)))
+    return found
+
+
+def _sums(models: list[np.ndarray], dims: int, with_squares: bool):
+    """Partial sums of a task by model and cluster: weight, coordinates and, if wanted, squared lengths in two limbs."""
+    width = 1 + dims + 2 * with_squares
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = [np.zeros((len(m), m.shape[1], width), np.int64) for m in models]
+        for batch in batches:
+            rows = np.stack([batch.column(f"q{i}").to_numpy() for i in range(dims)], axis=1)
+            weight = batch.column("weight").to_numpy()
+            for first in range(0, len(rows), SITE_BLOCK):
+                q, w = rows[first:first + SITE_BLOCK], weight[first:first + SITE_BLOCK]
+                values = [w, *(w * q[:, i] for i in range(dims))]
+                if with_squares:
+                    square = (q * q).sum(axis=1)
+                    values += [w * (square >> 24), w * (square & 0xFFFFFF)]
+                exact = q.astype(float)  # whole numbers below 2 ** 53 throughout
+                for total, centres in zip(totals, models):
+                    flat = centres.reshape(-1, dims).astype(float)
+                    far = ((flat * flat).sum(axis=1) - 2 * (exact @ flat.T)).reshape(len(q), len(centres), -1)
+                    nearest = far.argmin(axis=2) + np.arange(len(centres)) * centres.shape[1]
+                    sums = total.reshape(-1, width)
+                    for i, value in enumerate(values):
+                        np.add.at(sums[:, i], nearest.ravel(), np.repeat(value, len(centres)))
+        for group, total in enumerate(totals):
+            at = np.argwhere(total[:, :, 0] > 0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(at), group, np.int32)), *[pa.array(at[:, i].astype(np.int32)) for i in range(2)],
+                 pa.array(total[at[:, 0], at[:, 1]].tolist(), pa.list_(pa.int64()))], ["group", "model", "cluster", "sums"])
+
+    return added, width
+
+
+def _pass(sites: DataFrame, models: list[np.ndarray], dims: int, with_squares: bool = False) -> list[np.ndarray]:
+    added, width = _sums(models, dims, with_squares)
+    parts = sites.mapInArrow(added, "group int, model int, cluster int, sums array<bigint>")
+    rows = parts.groupBy("group", "model", "cluster").agg(*[F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(width)]).collect()
+    totals = [np.zeros((len(m), m.shape[1], width), object) for m in models]
+    for row in rows:
+        totals[row["group"]][row["model"], row["cluster"]] = [int(row[f"s{i}"]) for i in range(width)]
+    return totals
+
+
+def kmeans(sites: DataFrame, ks: Sequence[int], restarts: int, max_iter: int, dims: int = len(FEATURES)) -> dict[int, list[Fit]]:
+    """``restarts`` Lloyd runs for each K, all side by side; no entry without sites.
+
+    A site goes to its nearest centre, the first of equals; a cluster without sites keeps its centre. A run ends when none
+    of its centres moves, or after ``max_iter``. With fewer sites than K every site is a centre.
+    """
+    sites = sites.persist()
     try:
-        def run(i: int) -> KMeansModel:
-            return KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="features").fit(vectors)
-
-        with ThreadPoolExecutor(PARALLEL_FITS) as pool:
-            best = min(pool.map(run, range(restarts)), key=lambda m: m.summary.trainingCost)
+        starts = starting_sites(sites, restarts, max(ks), dims)
+        if not any(starts.values()):
+            return {}
+        # One array for each K: restarts x clusters x coordinates.
+        centres = {k: np.array([starts[r][:k] for r in range(restarts)], np.int64) for k in ks}
+        moving = {k: np.ones(restarts, bool) for k in ks}
+        for _ in range(max_iter):
+            active = [k for k in ks if moving[k].any()]
+            if not active:
+                break
+            totals = _pass(sites, [centres[k][moving[k]] for k in active], dims)
+            for k, total in zip(active, totals):
+                old = centres[k][moving[k]]
+                n = np.maximum(total[:, :, :1], 1)
+                new = np.where(total[:, :, :1] > 0, (2 * total[:, :, 1:] + n) // (2 * n), old).astype(np.int64)
+                at = np.flatnonzero(moving[k])
+                centres[k][at] = new
+                moving[k][at] = (new != old).any(axis=(1, 2))
+        totals = _pass(sites, [centres[k] for k in ks], dims, with_squares=True)
+        return {k: [_fit(model, sums, dims) for model, sums in zip(centres[k].tolist(), total.tolist())] for k, total in zip(ks, totals)}
     finally:
-        vectors.unpersist()
-    return best
-
-
-def assign(vectors: DataFrame, model: KMeansModel) -> DataFrame:
-    return model.transform(vectors).withColumnRenamed("prediction", "cluster")
-
-
-def silhouette(labelled: DataFrame) -> float:
-    """Mean silhouette on squared Euclidean distance (linear in the rows; the plain-distance form needs all pairs)."""
-    return ClusteringEvaluator(featuresCol="features", predictionCol="cluster").evaluate(labelled)
-
-
-def cluster_quality(labelled: DataFrame, columns: Sequence[str] = FEATURES) -> dict[str, float]:
-    """Inertia, Davies-Bouldin and Calinski-Harabasz from two aggregations; only K rows reach the driver."""
-    means = labelled.groupBy("cluster").agg(
-        F.count(F.lit(1)).alias("_n"), *[F.avg(c).alias(f"_c{i}") for i, c in enumerate(columns)])
-    squared = sum((F.pow(F.col(c) - F.col(f"_c{i}"), 2) for i, c in enumerate(columns)), F.lit(0.0))
-    stats = (
-        labelled.join(F.broadcast(means), "cluster").withColumn("_d2", squared)
-        .groupBy("cluster").agg(F.max("_n").alias("n"), F.avg(F.sqrt("_d2")).alias("spread"), F.sum("_d2").alias("within"),
-                                *[F.max(f"_c{i}").alias(f"c{i}") for i in range(len(columns))])
-        .collect()
-    )
-    dims = range(len(columns))
-    centre = {r["cluster"]: [r[f"c{i}"] for i in dims] for r in stats}
-
-    def gap(a: int, b: int) -> float:
-        return sum((x - y) ** 2 for x, y in zip(centre[a], centre[b])) ** 0.5
-
-    worst = [max(((a["spread"] + b["spread"]) / gap(a["cluster"], b["cluster"])
-                  for b in stats if b["cluster"] != a["cluster"]), default=0.0) for a in stats]
-    n, k = sum(r["n"] for r in stats), len(stats)
-    overall = [sum(r["n"] * r[f"c{i}"] for r in stats) / n for i in dims]
-    between = sum(r["n"] * sum((r[f"c{i}"] - overall[i]) ** 2 for i in dims) for r in stats)
-    within = sum(r["within"] for r in stats)
-    ch = (between / (k - 1)) / (within / (n - k)) if k > 1 and n > k and within > 0 else float("inf")
-    return {"inertia": within, "davies_bouldin": sum(worst) / k, "calinski_harabasz": ch}
-
-
-def k_sweep(vectors: DataFrame, ks: Sequence[int] = K_RANGE, restarts: int = 15, max_iter: int = 300) -> DataFrame:
-    """Quality of every K: inertia, silhouette, Davies-Bouldin, Calinski-Harabasz."""
+        sites.unpersist()
+
+
+def _fit(centres: list[list[int]], totals: list[list[int]], dims: int) -> Fit:
+    weights, sums = [t[0] for t in totals], [tuple(t[1:1 + dims]) for t in totals]
+    squares = [(t[-2] << 24) + t[-1] for t in totals]
+    cost = sum(q + sum(n * x * x - 2 * x * t for x, t in zip(c, s)) for c, n, s, q in zip(centres, weights, sums, squares))
+    return Fit(tuple(map(tuple, centres)), tuple(weights), tuple(sums), tuple(squares), cost)
+
+
+def _nearest(q: Sequence[Column], centres: Sequence[Sequence[int]]) -> Column:
+    """Number of the nearest centre, as an expression over whole coordinates."""
+    square = lambda c: reduce(lambda a, b: a + b, [(x - F.lit(v)) * (x - F.lit(v)) for x, v in zip(q, c)])
+    return F.array_min(F.array(*[F.struct(square(c).alias("d"), F.lit(i).alias("i")) for i, c in enumerate(centres)]))["i"]
+
+
+def assign(scaled: DataFrame, fit: Fit, columns: Sequence[str] = FEATURES) -> DataFrame:
+    """Customers with the number of their nearest centre, in a plain projection."""
+    return scaled.withColumn("cluster", _nearest([_unit(c) for c in columns], fit.centres))
+
+
+def _silhouettes(fits: dict[int, Fit], dims: int):
+    """Sums of a task by K and cluster: silhouettes, and distances from the cluster's mean."""
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = {k: np.zeros((len(f.centres), 2)) for k, f in fits.items()}
+        for batch in batches:
+            rows = np.stack([batch.column(f"q{i}").to_numpy() for i in range(dims)], axis=1).astype(float)
+            weights = batch.column("weight").to_numpy()
+            for first in range(0, len(rows), SITE_BLOCK):
+                x, w = rows[first:first + SITE_BLOCK], weights[first:first + SITE_BLOCK]
+                for k, fit in fits.items():
+                    centres, n = np.array(fit.centres, float), np.array(fit.weights, float)
+                    own = ((centres * centres).sum(axis=1) - 2 * (x @ centres.T)).argmin(axis=1)
+                    sums, at = np.array(fit.sums, float) / UNIT, np.arange(len(x))
+                    y = x / UNIT
+                    # Squared distances from each site to all customers of each cluster, summed.
+                    total = n * (y * y).sum(axis=1)[:, None] - 2 * (y @ sums.T) + np.array([q / UNIT ** 2 for q in fit.squares])
+                    inside = np.maximum(total[at, own], 0) / np.maximum(n[own] - 1, 1)
+                    mean = np.where(n > 0, total / np.maximum(n, 1), np.inf)
+                    mean[at, own] = np.inf
+                    other = mean.min(axis=1)
+                    most = np.maximum(inside, other)
+                    s = np.where((n[own] == 1) | ~np.isfinite(other) | (most <= 0), 0.0, (other - inside) / np.where(most > 0, most, 1))
+                    off = np.sqrt(((y - sums[own] / n[own][:, None]) ** 2).sum(axis=1))
+                    for i, value in enumerate((s, off)):
+                        found[k][:, i] += np.bincount(own, w * value, len(n))
+        rows_ = [(k, c, *map(float, v)) for k, table in found.items() for c, v in enumerate(table)]
+        yield pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*rows_)], ["k", "cluster", "s", "d"])
+
+    return measured
+
+
+def cluster_quality(sites: DataFrame, fits: dict[int, Fit], dims: int = len(FEATURES)) -> DataFrame:
+    """Inertia, silhouette, Davies-Bouldin and Calinski-Harabasz of each K, one row each, from one pass over the sites.
+
+    The silhouette takes squared Euclidean distances, which need the sums of each cluster alone; a cluster of one
+    customer counts 0. All but the inertia are computed from the clusters' true means; clusters without customers are left out.
+    """
     rows = []
-    vectors = vectors.persist()
-    try:
-        for k in ks:
-            labelled = assign(vectors, kmeans_fit(vectors, k, restarts, max_iter))
-            quality = cluster_quality(labelled)
-            rows.append((k, quality["inertia"], silhouette(labelled), quality["davies_bouldin"], quality["calinski_harabasz"]))
-    finally:
-        vectors.unpersist()
-    return literal_table(vectors.sparkSession, ("k", "inertia", "silhouette", "davies_bouldin", "calinski_harabasz"), rows)
+    if fits:
+        found = sites.mapInArrow(_silhouettes(fits, dims), "k bigint, cluster bigint, s double, d double").groupBy("k", "cluster").agg(
+            F.sum("s").alias("s"), F.sum("d").alias("d")).collect()
+        told = {(r["k"], r["cluster"]): r for r in found}
+        for k, fit in sorted(fits.items()):
+            cs, total = [c for c, n in enumerate(fit.weights) if n], sum(fit.weights)
+            centre = {c: [s / fit.weights[c] / UNIT for s in fit.sums[c]] for c in cs}
+            wide = {c: told[k, c]["d"] / fit.weights[c] for c in cs}
+            gap = {(p, r): sum((u - v) ** 2 for u, v in zip(centre[p], centre[r])) ** 0.5 for p in cs for r in cs if p != r}
+            worst = [max(((wide[p] + wide[r]) / gap[p, r] for r in cs if r != p), default=0.0) for p in cs]
+            middle = [sum(fit.sums[c][i] for c in cs) / total / UNIT for i in range(dims)]
+            between = sum(fit.weights[c] * sum((u - v) ** 2 for u, v in zip(centre[c], middle)) for c in cs)
+            within = sum(fit.squares[c] / UNIT ** 2 - fit.weights[c] * sum(v * v for v in centre[c]) for c in cs)
+            ch = (between / (len(cs) - 1)) / (within / (total - len(cs))) if len(cs) > 1 and total > len(cs) and within > 0 else float("inf")
+            silhouette = sum(told[k, c]["s"] for c in cs) / total
+            rows.append((k, round(fit.cost / UNIT ** 2, 6), round(silhouette, 6), round(sum(worst) / len(cs), 6), round(ch, 3)))
+    return literal_table(sites.sparkSession, ("k", "inertia", "silhouette", "davies_bouldin", "calinski_harabasz"), rows)
+
+
+def k_sweep(scaled: DataFrame, runs: dict[int, list[Fit]], restarts: int = SWEEP_RESTARTS) -> DataFrame:
+    """Quality of the best of the first ``restarts`` runs of every K: inertia, silhouette, Davies-Bouldin, Calinski-Harabasz."""
+    return cluster_quality(sites_of(scaled), {k: best_of(r[:restarts]) for k, r in runs.items()})
 
 
 def best_k(sweep: DataFrame, least: int = MIN_K) -> int:
@@ -160,23 +295,51 @@ def clv_by_segment(df: DataFrame, by: str = "segment_label") -> DataFrame:
     return df.groupBy(by).agg(round_to(money_avg("clv_estimate"), 2).alias("avg_clv"))
 
 
-def pca_2d(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
+def pca_2d(scaled: DataFrame, columns: Sequence[str] = FEATURES) -> tuple[DataFrame, DataFrame]:
     """Two principal components per customer, and a one-row table of explained variance and loadings.
 
-    The sign of a component is fixed by making its largest loading positive.
+    One aggregate gives the covariance of the three features; its eigenvalues and eigenvectors follow in closed form (the
+    trigonometric solution of a symmetric 3 x 3 matrix), so components are plain expressions. Features are taken as they
+    are, without centring. The sign of a component is fixed by making its largest loading positive.
     """
-    from pyspark.ml.functions import vector_to_array
-
-    model = PCA(k=2, inputCol="features", outputCol="pc").fit(vectors)
-    loadings = model.pc.toArray()
-    signs = [1.0 if loadings[abs(loadings[:, j]).argmax(), j] > 0 else -1.0 for j in range(2)]
-    parts = vector_to_array("pc")
-    points = model.transform(vectors).select(
-        "customer_id", (parts[0] * signs[0]).alias("pc1"), (parts[1] * signs[1]).alias("pc2"))
-    ratio = [float(v) for v in model.explainedVariance]
-    names, values = ["pc1_variance", "pc2_variance", "total_variance"], [ratio[0], ratio[1], ratio[0] + ratio[1]]
-    for j in range(2):
-        for i, feature in enumerate(FEATURES[: loadings.shape[0]]):
-            names.append(f"pc{j + 1}_{feature}")
-            values.append(float(loadings[i, j] * signs[j]))
-    return points, literal_table(vectors.sparkSession, names, [values])
+    x = [F.col(c) for c in columns]
+    pairs = [(0, 0), (1, 1), (2, 2), (0, 1), (0, 2), (1, 2)]
+    row = scaled.agg(*[F.covar_samp(x[i], x[j]) for i, j in pairs]).first()
+    matrix = np.zeros((3, 3))
+    for (i, j), v in zip(pairs, row):
+        matrix[i, j] = matrix[j, i] = v or 0.0
+    values = symmetric_eigenvalues(matrix)
+    loadings = [symmetric_eigenvector(matrix, v) for v in values[:2]]
+    points = scaled.select("customer_id", *[reduce(lambda a, b: a + b, [c * F.lit(float(v)) for c, v in zip(x, load)]).alias(f"pc{j + 1}")
+                                            for j, load in enumerate(loadings)])
+    total = sum(values) or 1.0
+    names, found = ["pc1_variance", "pc2_variance", "total_variance"], [values[0] / total, values[1] / total, (values[0] + values[1]) / total]
+    for j, load in enumerate(loadings):
+        names += [f"pc{j + 1}_{feature}" for feature in columns]
+        found += [float(v) for v in load]
+    return points.select("customer_id", round_to("pc1", 6).alias("pc1"), round_to("pc2", 6).alias("pc2")), literal_table(
+        scaled.sparkSession, names, [[round(v, 6) for v in found]])
+
+
+def symmetric_eigenvalues(m: np.ndarray) -> list[float]:
+    """The three eigenvalues of a symmetric matrix, largest first."""
+    mean = float(np.trace(m)) / 3
+    off = m[0, 1] ** 2 + m[0, 2] ** 2 + m[1, 2] ** 2
+    scale = (((m[0, 0] - mean) ** 2 + (m[1, 1] - mean) ** 2 + (m[2, 2] - mean) ** 2 + 2 * off) / 6) ** 0.5
+    if scale == 0:
+        return [mean] * 3
+    half = float(np.linalg.det((m - mean * np.eye(3)) / scale)) / 2
+    angle = np.arccos(min(max(half, -1.0), 1.0)) / 3
+    first, last = mean + 2 * scale * np.cos(angle), mean + 2 * scale * np.cos(angle + 2 * np.pi / 3)
+    return [float(first), float(3 * mean - first - last), float(last)]
+
+
+def symmetric_eigenvector(m: np.ndarray, value: float) -> np.ndarray:
+    """A unit vector that the matrix stretches by ``value``: the longest cross product of two rows of what is left."""
+    rest = m - value * np.eye(3)
+    crosses = [np.cross(rest[i], rest[j]) for i, j in ((0, 1), (0, 2), (1, 2))]
+    longest = max(crosses, key=lambda c: float(c @ c))
+    if not longest @ longest:
+        longest = np.eye(3)[int(np.abs(rest).sum(axis=1).argmin())]
+    unit = longest / (longest @ longest) ** 0.5
+    return unit if unit[int(np.abs(unit).argmax())] > 0 else -unit

@@ -269,8 +269,8 @@ add("cluster_counts", lambda w: clustering.cluster_counts(clustering.cluster_lab
 add("knn_distance", lambda w: w.knn_distance.select("customer_id", ask.round_to("distance", 6).alias("distance")))
 add("dbscan", lambda w: w.dbscan)
 add("dbscan_summary", lambda w: neighbours.dbscan_summary(w.dbscan))
-add("pca_2d", lambda w: clustering.pca_2d(w.vectors)[0])
-add("pca_variance", lambda w: clustering.pca_2d(w.vectors)[1])
+add("pca_2d", lambda w: clustering.pca_2d(w.scaled)[0])
+add("pca_variance", lambda w: clustering.pca_2d(w.scaled)[1])
 add("segment_mean_median", lambda w: clustering.segment_mean_median(w.segments, PROFILED))
 add("cluster_summary", lambda w: clustering.cluster_summary(w.segments))
 add("kmeans_segment_summary", lambda w: clustering.cluster_summary(clustering.cluster_label(w.clusters), "cluster_segment"))

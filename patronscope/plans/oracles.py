@@ -10,6 +10,7 @@ import re
 from ..functions.segments import SEGMENTS
 from ..functions.statistics import ERF_A, ERF_P, HALF_PI, SIMPSON_STEPS, normal_quantile
 from ..operators import experiment as ab
+from ..operators.clustering import FEATURES, ITERATIONS, K_RANGE, MIN_K, RESTARTS, SWEEP_RESTARTS, UNIT
 from ..operators.explore import WEEKDAYS
 from ..operators.insights import DEFAULT_UPLIFT, STRATEGY, STRATEGY_COLUMNS, TOTAL, UPLIFT
 from ..operators.segment_questions import VALUE_PERCENTILES, column_name
@@ -229,6 +230,82 @@ CTE: dict[str, str] = {
  {msum('monetary')} AS rev, {mavg('monetary')} AS avg_mon, avg(recency_days) AS avg_rec, avg(frequency) AS avg_frq,
  {mavg('clv_estimate')} AS avg_clv, {mavg('churn_probability')} AS avg_churn FROM profile GROUP BY 1) g ON g.segment_label = d.name""",
 }
+_Q = ("q0", "q1", "q2")
+_GAPS = "list_transform(cs, lambda x: " + " + ".join(f"({q} - x.{c}) * ({q} - x.{c})" for q, c in zip(_Q, "abc")) + ")"
+_MEAN = "struct_pack(" + ", ".join(f"{c} := (2 * s{i} + n - ((2 * s{i} + n) % (2 * n) + 2 * n) % (2 * n)) // (2 * n)" for i, c in enumerate("abc")) + ")"
+CTE |= {
+    "sites": "SELECT " + ", ".join(f"CAST(floor({c} * {UNIT} + 0.5) AS BIGINT) AS {q}" for c, q in zip(FEATURES, _Q))
+             + ", CAST(count(*) AS BIGINT) AS w, min(customer_id) AS id FROM scaled GROUP BY 1, 2, 3",
+    "starts": f"""SELECT r, place, q0, q1, q2 FROM (SELECT r, q0, q1, q2, row_number() OVER (PARTITION BY r
+ ORDER BY md5(CAST(r AS VARCHAR) || ':' || CAST(id AS VARCHAR)), id) AS place FROM sites, range({RESTARTS}) g(r)) WHERE place <= {max(K_RANGE)}""",
+    # One round for all models at once: label every site, average each cluster, keep the centre of an empty one.
+    "lloyd": f"""SELECT 0 AS it, k, r, list(struct_pack(a := q0, b := q1, c := q2) ORDER BY place) AS cs, true AS moved
+ FROM starts, range({min(K_RANGE)}, {max(K_RANGE) + 1}) g(k) WHERE place <= k GROUP BY k, r
+ UNION ALL SELECT it + 1, k, r, new, new <> cs FROM (SELECT it, k, r, cs, list_transform(cs, lambda x, i: coalesce(list_filter(found,
+ lambda y: y.label = i)[1].mean, x)) AS new FROM (SELECT any_value(it) AS it, k, r, any_value(cs) AS cs,
+ list(struct_pack(label := label, mean := {_MEAN})) AS found FROM (SELECT k, r, any_value(it) AS it, any_value(cs) AS cs, label, CAST(sum(w) AS BIGINT) AS n,
+ {', '.join(f'CAST(sum(w * {q}) AS BIGINT) AS s{i}' for i, q in enumerate(_Q))} FROM (SELECT it, k, r, cs, w, q0, q1, q2,
+ list_position(gaps, list_min(gaps)) AS label FROM (SELECT l.it, l.k, l.r, l.cs, s.*, {_GAPS} AS gaps FROM lloyd l, sites s
+ WHERE l.moved AND l.it < {ITERATIONS})) GROUP BY k, r, label) GROUP BY k, r))""",
+    "kruns": f"""SELECT k, r, any_value(cs) AS cs, sum(CAST(w AS HUGEINT) * list_min(gaps)) AS cost FROM (SELECT k, r, cs, w, {_GAPS} AS gaps FROM
+ (SELECT k, r, arg_max(cs, it) AS cs FROM lloyd GROUP BY k, r), sites) GROUP BY k, r""",
+    "kfits": f"SELECT k, cs, cost FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY cost, r) AS best FROM kruns WHERE r < {SWEEP_RESTARTS}) WHERE best = 1",
+    "klab": f"""SELECT k, w, list_position(gaps, list_min(gaps)) AS c, q0 / {UNIT}.0::DOUBLE AS x0, q1 / {UNIT}.0::DOUBLE AS x1, q2 / {UNIT}.0::DOUBLE AS x2, q0, q1, q2
+ FROM (SELECT k, sites.*, {_GAPS} AS gaps FROM kfits, sites)""",
+    "kclu": f"""SELECT k, c, CAST(sum(w) AS DOUBLE) AS n, {', '.join(f'CAST(sum(w * {q}) AS DOUBLE) / {UNIT} AS s{i}' for i, q in enumerate(_Q))},
+ CAST(sum(CAST(w AS HUGEINT) * (q0 * q0 + q1 * q1 + q2 * q2)) AS DOUBLE) / {UNIT * UNIT}.0::DOUBLE AS sq FROM klab GROUP BY k, c""",
+    "ksil": """SELECT k, c, sum(w * CASE WHEN n = 1 OR b IS NULL OR greatest(a, b) <= 0 THEN 0 ELSE (b - a) / greatest(a, b) END) AS s, sum(w * d) AS d FROM
+ (SELECT l.k, l.c, l.w, l.q0, l.q1, l.q2, any_value(o.n) AS n, max(CASE WHEN u.c = l.c THEN greatest(t, 0) / greatest(u.n - 1, 1) END) AS a,
+ min(CASE WHEN u.c <> l.c THEN t / u.n END) AS b, any_value(sqrt(pow(x0 - o.s0 / o.n, 2) + pow(x1 - o.s1 / o.n, 2) + pow(x2 - o.s2 / o.n, 2))) AS d
+ FROM klab l JOIN kclu o ON o.k = l.k AND o.c = l.c JOIN kclu u ON u.k = l.k,
+ LATERAL (SELECT u.n * (x0 * x0 + x1 * x1 + x2 * x2) - 2 * (x0 * u.s0 + x1 * u.s1 + x2 * u.s2) + u.sq AS t) GROUP BY l.k, l.c, l.w, l.q0, l.q1, l.q2) GROUP BY k, c""",
+    "kqual": f"""SELECT f.k, round(CAST(cost AS DOUBLE) / {UNIT * UNIT}.0::DOUBLE, 6) AS inertia, round(sil, 6) AS silhouette, round(db, 6) AS davies_bouldin,
+ round((btw / (m - 1)) / (wit / (total - m)), 3) AS calinski_harabasz FROM kfits f
+ JOIN (SELECT k, sum(s) / any_value(total) AS sil FROM ksil JOIN (SELECT k, sum(n) AS total FROM kclu GROUP BY k) USING (k) GROUP BY k) USING (k)
+ JOIN (SELECT k, avg(worst) AS db FROM (SELECT p.k, p.c, max((p.wide + r.wide) / sqrt(pow(p.m0 - r.m0, 2) + pow(p.m1 - r.m1, 2) + pow(p.m2 - r.m2, 2))) AS worst
+ FROM kwide p JOIN kwide r ON p.k = r.k AND p.c <> r.c GROUP BY p.k, p.c) GROUP BY k) USING (k)
+ JOIN (SELECT k, count(*) AS m, sum(n) AS total, sum(n * (pow(m0 - a0, 2) + pow(m1 - a1, 2) + pow(m2 - a2, 2))) AS btw,
+ sum(sq - n * (m0 * m0 + m1 * m1 + m2 * m2)) AS wit FROM (SELECT *, {', '.join(f'sum(s{i}) OVER (PARTITION BY k) / sum(n) OVER (PARTITION BY k) AS a{i}' for i in range(3))}
+ FROM kwide) GROUP BY k) USING (k)""",
+    "kwide": "SELECT kclu.*, s0 / n AS m0, s1 / n AS m1, s2 / n AS m2, d / n AS wide FROM kclu JOIN ksil USING (k, c)",
+    "kbest": f"SELECT greatest({MIN_K}, (SELECT k FROM kqual ORDER BY silhouette DESC, k LIMIT 1)) AS k",
+    "kfinal": "SELECT cs FROM kruns JOIN kbest USING (k) ORDER BY cost, r LIMIT 1",
+    "clu": f"""SELECT * EXCLUDE (q0, q1, q2, cs, gaps), CAST(list_position(gaps, list_min(gaps)) - 1 AS INTEGER) AS cluster FROM (SELECT *, {_GAPS} AS gaps FROM kfinal, (SELECT scaled.*,
+ {', '.join(f'CAST(floor({c} * {UNIT} + 0.5) AS BIGINT) AS {q}' for c, q in zip(FEATURES, _Q))} FROM scaled) s)""",
+    "cprof": f"SELECT cluster, count(*) AS customers, avg(recency_days) AS avg_recency, avg(frequency) AS avg_frequency, {mavg('monetary')} AS avg_monetary FROM clu GROUP BY cluster",
+    "cname": f"""SELECT cluster, composite_rank, CASE place {' '.join(f'WHEN {i + 1} THEN {text(n)}' for i, n in enumerate(SEGMENTS))}
+ ELSE 'Segment ' || CAST(place AS VARCHAR) END AS cluster_segment FROM (SELECT *, row_number() OVER (ORDER BY composite_rank, cluster) AS place FROM (SELECT cluster,
+ {' + '.join(f'(rank() OVER (ORDER BY {c} {way}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0::DOUBLE)' for c, way in
+             (('avg_recency', 'ASC'), ('avg_frequency', 'DESC'), ('avg_monetary', 'DESC')))} AS composite_rank FROM cprof))""",
+    "cnamed": "SELECT clu.*, cname.cluster_segment FROM clu JOIN cname USING (cluster)",
+}
+
+
+def _vector(value: str, p: str) -> str:
+    """SQL: three columns of the unit eigenvector of the matrix (c00, c01, ...) for an eigenvalue, from the longest cross product."""
+    rows = [[f"(c00 - {value})", "c01", "c02"], ["c01", f"(c11 - {value})", "c12"], ["c02", "c12", f"(c22 - {value})"]]
+    crosses = []
+    for i, j in ((0, 1), (0, 2), (1, 2)):
+        a, b = rows[i], rows[j]
+        crosses.append([f"({a[(k + 1) % 3]} * {b[(k + 2) % 3]} - {a[(k + 2) % 3]} * {b[(k + 1) % 3]})" for k in range(3)])
+    size = [" + ".join(f"{x} * {x}" for x in c) for c in crosses]
+    pick = lambda k: f"CASE WHEN {size[0]} >= greatest({size[1]}, {size[2]}) THEN {crosses[0][k]} WHEN {size[1]} >= {size[2]} THEN {crosses[1][k]} ELSE {crosses[2][k]} END"
+    return ", ".join(f"{pick(k)} AS {p}{k}" for k in range(3))
+
+
+def _signed(p: str) -> str:
+    """SQL: the vector at unit length, its largest entry positive."""
+    size = f"sqrt({p}0 * {p}0 + {p}1 * {p}1 + {p}2 * {p}2)"
+    top = f"CASE WHEN abs({p}0) >= greatest(abs({p}1), abs({p}2)) THEN {p}0 WHEN abs({p}1) >= abs({p}2) THEN {p}1 ELSE {p}2 END"
+    return ", ".join(f"{p}{k} / {size} * sign({top}) AS {p}_{f}" for k, f in enumerate(FEATURES))
+
+
+CTE["cov"] = "SELECT " + ", ".join(f"covar_samp({FEATURES[i]}, {FEATURES[j]}) AS c{i}{j}" for i in range(3) for j in range(i, 3)) + " FROM scaled"
+CTE["eigen"] = """SELECT *, 3 * mean - e1 - e3 AS e2 FROM (SELECT *, mean + 2 * p * cos(phi) AS e1, mean + 2 * p * cos(phi + 2 * pi() / 3) AS e3 FROM (SELECT *, acos(least(1.0::DOUBLE,
+ greatest(-1.0::DOUBLE, ((c00 - mean) * ((c11 - mean) * (c22 - mean) - c12 * c12) - c01 * (c01 * (c22 - mean) - c12 * c02) + c02 * (c01 * c12 - (c11 - mean) * c02)) / (2 * p * p * p)))) / 3 AS phi
+ FROM (SELECT *, sqrt((pow(c00 - mean, 2) + pow(c11 - mean, 2) + pow(c22 - mean, 2) + 2 * (c01 * c01 + c02 * c02 + c12 * c12)) / 6) AS p FROM
+ (SELECT *, (c00 + c11 + c22) / 3 AS mean FROM cov))))"""
+CTE["pcs"] = f"SELECT e1, e2, e3, {_signed('pc1')}, {_signed('pc2')} FROM (SELECT *, {_vector('e1', 'pc1')}, {_vector('e2', 'pc2')} FROM eigen)"
 CTE["metrics_aud"] = CTE["metrics"].replace("FROM profile GROUP BY", "FROM aud GROUP BY")
 _names = ("champ", "loyal", "pot", "atrisk", "lost")
 CTE["side"] = "SELECT " + ", ".join(
@@ -256,7 +333,7 @@ def _with(body: str) -> str:
     ordered = [n for n in CTE if n in needed]
     ordered.sort(key=_depth)
     steps = ",\n".join(f"{n} AS ({CTE[n]})" for n in ordered)
-    return f"WITH {steps}\n{body}" if steps else body
+    return f"WITH RECURSIVE {steps}\n{body}" if steps else body
 
 
 def _depth(name: str) -> int:
@@ -634,6 +711,20 @@ def _bodies() -> dict[str, str]:
  {r('avg(rfm_score)', 1)} AS avg_rfm_score FROM seg GROUP BY 1)"""
     q["clv_by_segment"] = f"SELECT segment_label, {r(mavg('clv_estimate'), 2)} AS avg_clv FROM seg GROUP BY 1"
 
+    q["k_sweep"] = "SELECT CAST(k AS INTEGER) AS k, inertia, silhouette, davies_bouldin, calinski_harabasz FROM kqual"
+    for key in ("silhouette", "davies_bouldin", "calinski_harabasz"):
+        q[key] = f"SELECT CAST(k AS INTEGER) AS k, {key} FROM kqual"
+    q["kmeans_fit"] = "SELECT customer_id, cluster FROM clu"
+    q["cluster_profile"] = "SELECT * FROM cprof"
+    q["cluster_names"] = "SELECT * FROM cname"
+    q["cluster_label"] = "SELECT customer_id, cluster, cluster_segment FROM cnamed"
+    q["cluster_counts"] = "SELECT cluster, cluster_segment, count(*) AS customers FROM cnamed GROUP BY 1, 2"
+    q["kmeans_segment_summary"] = q["cluster_summary"].replace("segment_label", "cluster_segment").replace("FROM seg GROUP", "FROM cnamed GROUP")
+    q["pca_2d"] = "SELECT customer_id, " + ", ".join(
+        f"{r(' + '.join(f'{f} * pc{j}_{f}' for f in FEATURES), 6)} AS pc{j}" for j in (1, 2)) + " FROM scaled, pcs"
+    q["pca_variance"] = "SELECT round(e1 / t, 6) AS pc1_variance, round(e2 / t, 6) AS pc2_variance, round((e1 + e2) / t, 6) AS total_variance, " + ", ".join(
+        f"round(pc{j}_{f}, 6) AS pc{j}_{f}" for j in (1, 2) for f in FEATURES) + " FROM (SELECT *, e1 + e2 + e3 AS t FROM pcs)"
+
     txf = ", ".join(f"{r(f'({c} - m{i}) / s{i}', 6)} AS {n}" for i, (c, n) in enumerate(
         (("quantity", "quantity_scaled"), ("total_amount", "total_scaled"), ("implied_unit_price", "price_scaled"))))
     fit = ", ".join(f"avg({c}) AS m{i}, CASE WHEN stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END AS s{i}"

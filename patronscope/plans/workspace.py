@@ -131,18 +131,17 @@ class Workspace:
             "clv_predicted", lambda: clv.clv_predicted(self.clv_summary, self.bgnbd, self.gamma_gamma))
 
     @cached_property
-    def vectors(self) -> DataFrame:
-        return clustering.with_vector(self.scaled)
+    def kmeans_runs(self) -> dict[int, list[clustering.Fit]]:
+        return clustering.kmeans(clustering.sites_of(self.scaled), clustering.K_RANGE, clustering.RESTARTS, clustering.ITERATIONS)
 
     @cached_property
     def k_sweep(self) -> DataFrame:
-        return clustering.k_sweep(self.vectors)
+        return clustering.k_sweep(self.scaled, self.kmeans_runs)
 
     @cached_property
     def clusters(self) -> DataFrame:
         k = clustering.best_k(self.k_sweep)
-        return self.stage.table("clusters", lambda: clustering.assign(
-            self.vectors, clustering.kmeans_fit(self.vectors, k)).drop("features"))
+        return self.stage.table("clusters", lambda: clustering.assign(self.scaled, clustering.best_of(self.kmeans_runs[k])))
 
     @cached_property
     def knn_distance(self) -> DataFrame:

@@ -140,18 +140,74 @@ def test_scaling(seg):
     assert len(local) == seg.count() and local.notna().all().all()
 
 
-def test_clusters(seg):
-    vectors = clustering.with_vector(rfm.rfm_scaled(seg)).cache()
-    first = clustering.assign(vectors, clustering.kmeans_fit(vectors, 4, restarts=3))
-    assert {r[0] for r in first.select("cluster").distinct().collect()} == {0, 1, 2, 3} and first.count() == seg.count()
-    assert clustering.silhouette(first) > -0.5
-    again = clustering.assign(vectors, clustering.kmeans_fit(vectors, 4, restarts=3))
-    same = first.select("customer_id", F.col("cluster").alias("a")).join(again.select("customer_id", "cluster"), "customer_id")
-    assert same.where("a <> cluster").count() == 0
-    quality_ = clustering.cluster_quality(first)
-    assert quality_["inertia"] > 0 and quality_["davies_bouldin"] > 0 and quality_["calinski_harabasz"] > 0
-    names = clustering.cluster_label(first).select("cluster_segment").distinct().count()
-    assert names == 4
+def plain_lloyd(points, weight, centres):
+    """Lloyd's rounds in whole numbers, one model, without Spark."""
+    while True:
+        label = ((points[:, None, :] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+        new = centres.copy()
+        for c in range(len(centres)):
+            if (n := int(weight[label == c].sum())):
+                new[c] = [(2 * int((weight * points[:, i])[label == c].sum()) + n) // (2 * n) for i in range(points.shape[1])]
+        if (new == centres).all():
+            return centres, int((weight * ((points - centres[label]) ** 2).sum(axis=1)).sum())
+        centres = new
+
+
+def test_runs_against_plain_lloyd_for_any_partitioning(seg):
+    import hashlib
+
+    scaled = rfm.rfm_scaled(seg)
+    sites = clustering.sites_of(scaled)
+    runs = clustering.kmeans(sites.repartition(7), [2, 4, 5], 3, 500)
+    assert runs == clustering.kmeans(sites.coalesce(1), [2, 4, 5], 3, 500)
+    local = sites.toPandas()
+    points, weight = local[["q0", "q1", "q2"]].to_numpy(), local["weight"].to_numpy()
+    for r in range(3):
+        order = sorted(range(len(local)), key=lambda i: hashlib.md5(f"{r}:{local['id'][i]}".encode()).hexdigest())
+        for k in (2, 4, 5):
+            centres, cost = plain_lloyd(points, weight, points[order[:k]])
+            assert runs[k][r].centres == tuple(map(tuple, centres.tolist())) and runs[k][r].cost == cost
+            assert sum(runs[k][r].weights) == seg.count()
+
+
+def test_quality_against_plain_distances(seg):
+    scaled = rfm.rfm_scaled(seg)
+    sites = clustering.sites_of(scaled)
+    fit = clustering.best_of(clustering.kmeans(sites, [4], 3, 500)[4])
+    local = clustering.assign(scaled, fit).select(*clustering.FEATURES, "cluster").toPandas()
+    x, label = local[list(clustering.FEATURES)].to_numpy(), local["cluster"].to_numpy()
+    gaps = ((x[:, None, :] - x[None]) ** 2).sum(axis=2)
+    s = []
+    for i in range(len(x)):
+        own = (label == label[i]).sum()
+        a = gaps[i, label == label[i]].sum() / max(own - 1, 1)
+        b = min(gaps[i, label == c].mean() for c in set(label) if c != label[i])
+        s.append((b - a) / max(a, b) if own > 1 else 0)
+    row = clustering.cluster_quality(sites, {4: fit}).first()
+    assert abs(row["silhouette"] - np.mean(s)) < 2e-5
+    assert abs(row["inertia"] - sum(((x[label == c] - x[label == c].mean(axis=0)) ** 2).sum() for c in set(label))) < 1e-3
+    assert row["davies_bouldin"] > 0 and row["calinski_harabasz"] > 0
+
+
+def test_cluster_names_and_odd_tables(spark, seg):
+    scaled = rfm.rfm_scaled(seg)
+    fit = clustering.best_of(clustering.kmeans(clustering.sites_of(scaled), [4], 2, 500)[4])
+    assert clustering.cluster_label(clustering.assign(scaled, fit)).select("cluster_segment").distinct().count() == 4
+    none = clustering.sites_of(scaled.limit(0))
+    assert clustering.kmeans(none, [2, 3], 2, 10) == {}
+    same = spark.createDataFrame([(i, 0.5, 0.5, -1.0) for i in range(50)] + [(99, 3.0, 3.0, 3.0)], "customer_id long, r_scaled double, f_scaled double, m_scaled double")
+    runs = clustering.kmeans(clustering.sites_of(same), [2, 3], 2, 10)
+    assert all(f.cost == 0 and sorted(f.weights) == [1, 50] for k in runs for f in runs[k])
+
+
+def test_closed_form_components():
+    rng = np.random.default_rng(8)
+    for m in [np.cov(rng.normal(size=(3, 50)) * [[1], [2], [5]]), np.eye(3), np.diag([3.0, 2.0, 2.0]), np.ones((3, 3)), np.zeros((3, 3))]:
+        values = clustering.symmetric_eigenvalues(m)
+        assert np.allclose(values, np.linalg.eigvalsh(m)[::-1], atol=1e-9)
+        for v in values[:2]:
+            unit = clustering.symmetric_eigenvector(m, v)
+            assert abs(unit @ unit - 1) < 1e-12 and np.allclose(m @ unit, v * unit, atol=1e-6)
 
 
 def test_segments_repeat_exactly(summary):
