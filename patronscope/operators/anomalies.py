@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from hashlib import md5
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.numeric import money_avg, money_sum, round_to, share
-from .order_stats import quantiles
+from ..functions.numeric import money_avg, money_sum, round_to, share, units
+from .order_stats import order_statistics, quantiles
 from .rfm import rfm_scaled
 
 SAMPLE = 256
@@ -21,6 +23,14 @@ TX_FEATURES = ("quantity", "total_amount", "implied_unit_price")
 TX_SCALED = ("quantity_scaled", "total_scaled", "price_scaled")
 CUSTOMER_SCALED = ("r_scaled", "f_scaled", "m_scaled")
 EULER_GAMMA = 0.5772156649015329
+#: Whole units of features and of path lengths.
+UNIT, PATH_UNIT = 1_000_000, 1_000_000_000
+#: Copies of one content that a row of a task stands for.
+COPY_BLOCK = 1 << 16
+#: Modulus of the orders of the trees.
+PRIME = 2 ** 31 - 1
+#: Tasks that share the pool, which has at most trees * SAMPLE rows.
+POOL_TASKS = 8
 
 
 def tx_features(lines: DataFrame) -> DataFrame:
@@ -41,94 +51,127 @@ def average_path(n: float) -> float:
     return 1.0 if n == 2 else 2.0 * (math.log(n - 1.0) + EULER_GAMMA) - 2.0 * (n - 1.0) / n
 
 
-def _grow(values: np.ndarray, limit: int, rng: np.random.Generator) -> list[tuple]:
-    """One tree as rows (feature, threshold, left, right, path length); feature -1 marks a leaf."""
-    nodes: list[tuple] = []
+def path_units(n: int) -> int:
+    """``average_path`` in whole units, so that path lengths add up alike in any order."""
+    return math.floor(average_path(n) * PATH_UNIT + 0.5)
 
-    def split(rows: np.ndarray, depth: int) -> int:
-        index = len(nodes)
-        nodes.append(())
+
+def draw(seed: int, tree: int, node: int) -> tuple[float, float]:
+    """Two numbers in [0, 1) for a node: which feature is cut, and where."""
+    digits = md5(f"{seed}:{tree}:{node}".encode()).hexdigest()
+    return int(digits[:8], 16) / 2.0 ** 32, int(digits[8:21], 16) / 2.0 ** 52
+
+
+def _grow(values: np.ndarray, seed: int, tree: int) -> list[tuple]:
+    """One tree as rows (node, feature, threshold, path units); the root is node 1, the children of node i are 2i and
+    2i + 1, and feature -1 marks a leaf."""
+    limit = max(1, math.ceil(math.log2(max(len(values), 2))))
+    nodes, waiting = [], [(1, 0, values)]
+    while waiting:
+        node, depth, rows = waiting.pop()
         low, high = rows.min(axis=0), rows.max(axis=0)
         usable = np.flatnonzero(high > low)
-        if depth >= limit or len(rows) <= 1 or len(usable) == 0:
-            nodes[index] = (-1, 0.0, 0, 0, depth + average_path(len(rows)))
-            return index
-        feature = int(rng.choice(usable))
-        threshold = float(rng.uniform(low[feature], high[feature]))
+        if depth >= limit or len(usable) == 0:
+            nodes.append((node, -1, 0.0, depth * PATH_UNIT + path_units(len(rows))))
+            continue
+        which, where = draw(seed, tree, node)
+        feature = int(usable[int(which * len(usable))])
+        threshold = float(low[feature]) + where * float(high[feature] - low[feature])
+        nodes.append((node, feature, threshold, 0))
         goes_left = rows[:, feature] <= threshold
-        left = split(rows[goes_left], depth + 1)
-        right = split(rows[~goes_left], depth + 1)
-        nodes[index] = (feature, threshold, left, right, 0.0)
-        return index
-
-    split(values, 0)
+        waiting += [(2 * node, depth + 1, rows[goes_left]), (2 * node + 1, depth + 1, rows[~goes_left])]
     return nodes
 
 
+def _whole(column: str) -> Column:
+    return F.floor(F.col(column) * UNIT + 0.5).cast("bigint")
+
+
+def _text(df: DataFrame, column: str) -> Column:
+    """A column as text for a hash, the same in any engine."""
+    kind = dict(df.dtypes)[column]
+    if kind.startswith("timestamp"):
+        return F.date_format(column, "yyyy-MM-dd HH:mm:ss")
+    return (units(F.col(column)) if kind in ("double", "float") else F.col(column)).cast("string")
+
+
+def sample_pool(df: DataFrame, features: Sequence[str], identity: Sequence[str], trees: int, seed: int) -> DataFrame:
+    """The ``trees * SAMPLE`` rows with the smallest hash of content and copy number: (f0, f1, ..., h).
+
+    A bottom-k sample: it can be merged, it does not depend on partitioning, and a table with fewer rows is its own
+    sample. Equal rows are counted on the map side first; their copies are numbered again in blocks of a bounded size, so
+    content that a third of all rows share is spread over many tasks.
+    """
+    who = F.concat_ws("|", *[F.coalesce(_text(df, c), F.lit("")) for c in identity])
+    names = [f"f{i}" for i in range(len(features))]
+    content = df.select(*[_whole(c).alias(n) for c, n in zip(features, names)], who.alias("who")).groupBy(*names, "who").agg(F.count(F.lit(1)).alias("copies"))
+    block = F.explode(F.expr(f"sequence(0L, (copies - 1) div {COPY_BLOCK})")).alias("block")
+    blocks = content.select("*", block)
+    many = blocks.where(f"copies > {COPY_BLOCK}").repartition("who", "block")
+    copies = blocks.where(f"copies <= {COPY_BLOCK}").unionByName(many).select(
+        *names, "who", F.explode(F.expr(f"sequence(block * {COPY_BLOCK} + 1, least((block + 1) * {COPY_BLOCK}, copies))")).alias("copy"))
+    name = F.concat_ws("|", F.lit(str(seed)), "who", F.col("copy").cast("string"))
+    hashed = copies.select(*names, F.conv(F.substring(F.md5(name), 1, 13), 16, 10).cast("bigint").alias("h"))
+    edge = order_statistics(hashed, "h", {"edge": f"least(n, {trees * SAMPLE})"}).first()
+    return hashed.where(F.col("h") <= F.lit(edge["value"] if edge else 0).cast("bigint"))
+
+
+def tree_order(h: np.ndarray, tree: int, seed: int) -> np.ndarray:
+    """The place of rows in the order of a tree: a linear map of their hashes modulo a prime, drawn by seed and tree."""
+    which, where = draw(seed, tree, 0)
+    return ((h % PRIME) * (1 + int(which * (PRIME - 1))) + int(where * PRIME)) % PRIME
+
+
 def iforest_fit(df: DataFrame, features: Sequence[str], identity: Sequence[str], trees: int, seed: int = 42) -> DataFrame:
-    """Forest as a table: tree, node, feature, threshold, left_node, right_node, path_length, sample_size.
+    """Forest as a table: tree, node, feature, threshold, path_units, sample_size.
 
-    A table with far more rows than the ``trees * 256`` needed is thinned at random to about three times that number; what
-    is left is dealt to trees in the order of a hash of content and copy number, so repeated rows spread over all trees.
-    A small table is not thinned, so partitioning does not matter, and is dealt several times, each time in another order.
-    Every tree is grown by its own task from at most 256 rows.
+    Features are taken in millionths (``UNIT``). Every tree is grown by its own task from the up to SAMPLE rows of the
+    pool that come first in its own order; tasks keep only so many rows for each tree, so what is shuffled is bounded.
+    Features and cuts follow from md5 of (seed, tree, node). Nothing is drawn at random: the forest is the same for any
+    partitioning, and the way is the same at any size.
     """
-    total = df.count()
-    size = min(SAMPLE, total)
-    per_deal = max(1, min(trees, total // max(size, 1)))
-    deals = math.ceil(trees / per_deal)
-    keep = 3.0 * trees * size / max(total, 1)
-    columns = list(features)
-    pool = df if keep >= 1.0 else df.where(F.rand(seed) < keep)
-    # From here on there are at most a few times trees * 256 rows, whatever the size of the table.
-    who = ", ".join(identity)
-    copies = pool.select(*[F.col(c).cast("double").alias(c) for c in columns], F.struct(*identity).alias("who"), F.expr(
-        f"row_number() OVER (PARTITION BY {who} ORDER BY {', '.join(columns)})").alias("copy"))
-    drawn = copies.select("*", F.explode(F.sequence(F.lit(0), F.lit(deals - 1))).alias("deal"))
-    drawn = drawn.select(*columns, "deal", F.xxhash64("who", "copy", "deal", F.lit(seed)).alias("h"))
-    place = F.expr(f"row_number() OVER (PARTITION BY deal ORDER BY h, {', '.join(columns)}) - 1")
-    dealt = (
-        drawn.withColumn("place", place)
-        .withColumn("tree", (F.col("deal") * per_deal + F.floor(F.col("place") / size)).cast("int"))
-        .where((F.col("place") < per_deal * size) & (F.col("tree") < trees))
-    )
-    limit = max(1, math.ceil(math.log2(max(size, 2))))
+    names = [f"f{i}" for i in range(len(features))]
+    pool = sample_pool(df, features, identity, trees, seed).repartition(POOL_TASKS)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None  # at most the pool
+        if held is None or not len(held):
+            return
+        columns = [held.column(n).to_numpy() for n in (*names, "h")]
+        for tree in range(trees):
+            order = np.lexsort((*columns, tree_order(columns[-1], tree, seed)))[:SAMPLE]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(order), tree, np.int32)), *[pa.array(c[order]) for c in columns]], ["tree", *names, "h"])
 
     def grow(rows: pd.DataFrame) -> pd.DataFrame:
         tree = int(rows["tree"].iloc[0])
-        ordered = rows.sort_values(["place"])
-        nodes = _grow(ordered[columns].to_numpy(float), limit, np.random.default_rng([seed, tree]))
-        grown = pd.DataFrame(nodes, columns=["feature", "threshold", "left_node", "right_node", "path_length"])
-        grown.insert(0, "node", range(len(grown)))
+        columns = [rows[n].to_numpy() for n in (*names, "h")]
+        order = np.lexsort((*columns, tree_order(columns[-1], tree, seed)))[:SAMPLE]
+        grown = pd.DataFrame(_grow(np.stack(columns[:-1], axis=1)[order], seed, tree), columns=["node", "feature", "threshold", "path_units"])
         grown.insert(0, "tree", tree)
-        return grown.assign(sample_size=size)
+        return grown.assign(sample_size=len(order))
 
-    return dealt.groupBy("tree").applyInPandas(
-        grow, "tree int, node int, feature int, threshold double, left_node int, right_node int, path_length double, "
-              "sample_size int")
+    kinds = ", ".join(f"{n} bigint" for n in (*names, "h"))
+    return pool.mapInArrow(first, f"tree int, {kinds}").groupBy("tree").applyInPandas(
+        grow, "tree int, node int, feature int, threshold double, path_units bigint, sample_size int")
 
 
 def _as_heaps(table: pd.DataFrame) -> tuple:
-    """Trees as complete binary heaps: children of node i at 2i + 1 and 2i + 2, early leaves carried down to the last level."""
-    size = int(table["sample_size"].iloc[0])
+    """Trees as complete binary heaps, early leaves carried down to the last level."""
+    size = int(table["sample_size"].max())
     depth = max(1, math.ceil(math.log2(max(size, 2))))
-    trees = table["tree"].nunique()
-    width = 2 ** (depth + 1) - 1
-    feature = np.zeros((trees, width), dtype=np.int64)
-    threshold = np.full((trees, width), np.inf)
-    path = np.zeros((trees, width))
-    for t, (_, rows) in enumerate(table.sort_values(["tree", "node"]).groupby("tree")):
-        columns = [rows[c].tolist() for c in ("feature", "threshold", "left_node", "right_node", "path_length")]
-        place = {0: 0}
-        for node, (f, cut, left, right, length) in enumerate(zip(*columns)):
-            at = place[node]
-            if f >= 0:
-                feature[t, at], threshold[t, at] = f, cut
-                place[left], place[right] = 2 * at + 1, 2 * at + 2
-            else:
-                while at < width // 2:
-                    at = 2 * at + 1
-                path[t, at] = length
+    numbers = {t: i for i, t in enumerate(sorted(table["tree"].unique()))}
+    width = 2 ** (depth + 1)
+    feature = np.zeros((len(numbers), width), np.int64)
+    threshold = np.full((len(numbers), width), np.inf)
+    path = np.zeros((len(numbers), width), np.int64)
+    for tree, node, f, cut, length in zip(*(table[c].tolist() for c in ("tree", "node", "feature", "threshold", "path_units"))):
+        t = numbers[tree]
+        if f >= 0:
+            feature[t, node], threshold[t, node] = f, cut
+        else:
+            while node < width // 2:
+                node = 2 * node  # the threshold there is infinite
+            path[t, node] = length
     return feature, threshold, path, depth, average_path(size) or 1.0
 
 
@@ -136,9 +179,12 @@ def iforest_score(df: DataFrame, forest: DataFrame, features: Sequence[str], nam
     """Anomaly score of every row, lower is more anomalous.
 
     The forest has at most trees * 511 rows whatever the data size; it travels once per executor as a broadcast of flat
-    arrays and rows are scored in Arrow batches.
+    arrays and rows are scored in Arrow batches. Path lengths are whole numbers until their sum is known.
     """
-    model = df.sparkSession.sparkContext.broadcast(_as_heaps(forest.toPandas()))
+    table = forest.toPandas()
+    if not len(table):
+        return df.withColumn(name, F.lit(None).cast("double"))
+    model = df.sparkSession.sparkContext.broadcast(_as_heaps(table))
 
     @F.pandas_udf("double")
     def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
@@ -146,16 +192,16 @@ def iforest_score(df: DataFrame, forest: DataFrame, features: Sequence[str], nam
         for columns in batches:
             x = np.column_stack([c.to_numpy(float) for c in columns])
             flat, first = x.ravel(), np.arange(len(x)) * x.shape[1]
-            length = np.zeros(len(x))
+            length = np.zeros(len(x), np.int64)
             for tree in range(len(feature)):
-                node = np.zeros(len(x), dtype=np.int64)
+                node = np.ones(len(x), np.int64)
                 for _ in range(depth):
                     value = flat.take(first + feature[tree].take(node))
-                    node = 2 * node + 1 + (value > threshold[tree].take(node))
+                    node = 2 * node + (value > threshold[tree].take(node))
                 length += path[tree].take(node)
-            yield pd.Series(-np.exp2(-length / len(feature) / scale))
+            yield pd.Series(-np.exp2(-(length / PATH_UNIT / len(feature) / scale)))
 
-    return df.withColumn(name, score(*features))
+    return df.withColumn(name, score(*[_whole(c) for c in features]))
 
 
 def anomaly_flag(scored: DataFrame, contamination: float, score: str = "anomaly_score") -> DataFrame:

@@ -278,23 +278,27 @@ add("clv_by_segment", lambda w: clustering.clv_by_segment(w.segments))
 
 # Anomalies
 
+def _score():
+    return ask.round_to("anomaly_score", 9).alias("anomaly_score")
+
+
 add("tx_features", lambda w: anomalies.tx_features(w.lines).select(
     "invoice", "stock_code", ask.round_to("implied_unit_price", 4).alias("implied_unit_price"),
     *[ask.round_to(c, 6).alias(c) for c in anomalies.TX_SCALED]))
-add("iforest_fit", lambda w: w.tx_forest)
-add("iforest_score", lambda w: w.tx_scored.select("invoice", "stock_code", "total_amount", "anomaly_score"))
+add("iforest_fit", lambda w: w.tx_forest.withColumn("threshold", ask.round_to("threshold", 3)))
+add("iforest_score", lambda w: w.tx_scored.select("invoice", "stock_code", "total_amount", _score()))
 add("tx_anomaly_flag", lambda w: w.tx_flagged.select("invoice", "stock_code", "total_amount", "is_anomaly"))
 add("tx_anomaly_type", lambda w: anomalies.type_counts(anomalies.tx_anomaly_type(w.tx_flagged)))
 add("tx_anomaly_thresholds", lambda w: w.tx_thresholds)
 add("cust_features", lambda w: anomalies.cust_features(w.segments).select(
     "customer_id", *[ask.round_to(c, 6).alias(c) for c in anomalies.CUSTOMER_SCALED]))
-add("cust_anomaly_flag", lambda w: w.cust_flagged.select("customer_id", "anomaly_score", "is_anomaly"))
+add("cust_anomaly_flag", lambda w: w.cust_flagged.select("customer_id", _score(), "is_anomaly"))
 add("cust_anomaly_type", lambda w: anomalies.type_counts(anomalies.cust_anomaly_type(w.cust_flagged)))
 add("anomaly_profile", lambda w: anomalies.anomaly_profile(w.cust_flagged))
 add("anomaly_rate_by_segment", lambda w: anomalies.anomaly_rate_by_segment(w.cust_flagged))
 add("anomaly_revenue", lambda w: anomalies.anomaly_revenue(w.tx_flagged))
 add("top_anomalies", lambda w: anomalies.top_anomalies(w.tx_flagged).select(
-    "invoice", "stock_code", "quantity", "total_amount", "implied_unit_price", "anomaly_score"))
+    "invoice", "stock_code", "quantity", "total_amount", "implied_unit_price", _score()))
 add("exclude_anomalies", lambda w: anomalies.exclude_anomalies(w.cust_flagged).select("customer_id", *DESCRIBED))
 add("anomaly_score_hist", lambda w: anomalies.anomaly_score_hist(w.tx_flagged))
 

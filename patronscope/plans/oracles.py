@@ -5,11 +5,14 @@ Every statement starts from the source tables. Shared steps are common table exp
 
 from __future__ import annotations
 
+import math
 import re
 
 from ..functions.segments import SEGMENTS
 from ..functions.statistics import ERF_A, ERF_P, HALF_PI, SIMPSON_STEPS, normal_quantile
 from ..operators import experiment as ab
+from ..operators.anomalies import (CUSTOMER_CONTAMINATION, CUSTOMER_SCALED, CUSTOMER_TREES, EULER_GAMMA, PATH_UNIT, PRIME, SAMPLE, TX_CONTAMINATION, TX_FEATURES,
+                                   TX_SCALED, TX_TREES, UNIT as FEATURE_UNIT)
 from ..operators.clustering import FEATURES, ITERATIONS, K_RANGE, MIN_K, RESTARTS, SWEEP_RESTARTS, UNIT
 from ..operators.explore import WEEKDAYS
 from ..operators.insights import DEFAULT_UPLIFT, STRATEGY, STRATEGY_COLUMNS, TOTAL, UPLIFT
@@ -300,6 +303,51 @@ def _signed(p: str) -> str:
     return ", ".join(f"{p}{k} / {size} * sign({top}) AS {p}_{f}" for k, f in enumerate(FEATURES))
 
 
+def _forest(p: str, table: str, features, who: str, trees: int, contamination: float, seed: int = 42) -> dict[str, str]:
+    """Steps of an isolation forest over ``table``: pool, trees, nodes, scores and flags, named with the prefix ``p``."""
+    f = [f"f{i}" for i in range(len(features))]
+    cols, whole = ", ".join(f), ", ".join(f"CAST(floor({c} * {FEATURE_UNIT} + 0.5) AS BIGINT) AS {n}" for c, n in zip(features, f))
+    digits = lambda x, first, many: f"('0x' || substr(md5({x}), {first}, {many}))::BIGINT"
+    which, where = (f"({digits(f"'{seed}:' || tree || ':' || node", a, b)} / {2.0 ** c!r}::DOUBLE)" for a, b, c in ((1, 8, 32), (9, 13, 52)))
+    path = f"CAST(floor((CASE WHEN n <= 1 THEN 0 WHEN n = 2 THEN 1 ELSE 2 * (ln(n - 1) + {EULER_GAMMA}::DOUBLE) - 2 * (n - 1)::DOUBLE / n END) * {PATH_UNIT} + 0.5) AS BIGINT)"
+    pick = lambda kind: "CASE feature " + " ".join(f"WHEN {i} THEN {kind}{i}" for i in range(len(f))) + " END"
+    usable = "list_filter([" + ", ".join(f"CASE WHEN h{i} > l{i} THEN {i} END" for i in range(len(f))) + "], lambda x: x IS NOT NULL)"
+    limit = f"(SELECT greatest(1, ceil(log2(greatest(n, 2)))) FROM {p}size)"
+    split = lambda rows: (f"SELECT *, {pick('l')} + {where} * ({pick('h')} - {pick('l')})::DOUBLE AS threshold FROM (SELECT *, CASE WHEN len(usable) > 0 AND depth < {limit} "
+                          f"THEN usable[1 + CAST(floor({which} * len(usable)) AS INT)] ELSE -1 END AS feature FROM (SELECT *, {usable} AS usable FROM ({rows})))")
+    extent = lambda over: ", ".join(f"min(f{i}) {over} AS l{i}, max(f{i}) {over} AS h{i}" for i in range(len(f)))
+    steps = {
+        "hash": f"""SELECT {cols}, {digits(f"'{seed}|' || who || '|' || copy", 1, 13)} AS h FROM (SELECT {cols}, who, row_number() OVER (PARTITION BY {cols}, who) AS copy
+ FROM (SELECT {whole}, {who} AS who FROM {table}))""",
+        "pool": f"SELECT * FROM {p}hash WHERE h <= (SELECT max(h) FROM (SELECT h FROM {p}hash ORDER BY h LIMIT {trees * SAMPLE}))",
+        "maps": f"SELECT tree, 1 + CAST(floor({which} * {PRIME - 1}) AS BIGINT) AS a, CAST(floor({where} * {PRIME}) AS BIGINT) AS b FROM (SELECT tree, 0 AS node FROM range({trees}) g(tree))",
+        "deal": f"""SELECT tree, {cols} FROM (SELECT tree, {cols}, row_number() OVER (PARTITION BY tree ORDER BY ((h % {PRIME}) * a + b) % {PRIME}, h, {', '.join(reversed(f))}) AS rn
+ FROM {p}pool, {p}maps) WHERE rn <= {SAMPLE}""",
+        "size": f"SELECT count(*) AS n FROM {p}deal WHERE tree = 0",
+        "rows": f"""SELECT tree, CAST(1 AS BIGINT) AS node, 0 AS depth, {cols} FROM {p}deal UNION ALL
+ SELECT tree, CASE WHEN {pick('f')} <= threshold THEN 2 * node ELSE 2 * node + 1 END, depth + 1, {cols}
+ FROM ({split(f"SELECT *, {extent('OVER (PARTITION BY tree, node)')} FROM {p}rows")}) WHERE feature >= 0""",
+        "nodes": f"""SELECT tree, node, feature, CASE WHEN feature < 0 THEN 0 ELSE threshold END AS threshold, CASE WHEN feature < 0 THEN depth::BIGINT * {PATH_UNIT} + {path} ELSE 0 END AS path
+ FROM ({split(f"SELECT tree, node, any_value(depth) AS depth, count(*) AS n, {extent('')} FROM {p}rows GROUP BY tree, node")})""",
+        "w0": f"SELECT {cols}, tree, CAST(1 AS BIGINT) AS node FROM (SELECT DISTINCT {whole} FROM {table}) d, (SELECT DISTINCT tree FROM {p}nodes) t",
+    }
+    levels = math.ceil(math.log2(SAMPLE))
+    for i in range(levels):
+        steps[f"w{i + 1}"] = f"SELECT {cols}, w.tree, CASE WHEN feature < 0 THEN w.node ELSE 2 * w.node + CAST({pick('f')} > threshold AS INT) END AS node FROM {p}w{i} w JOIN {p}nodes n ON n.tree = w.tree AND n.node = w.node"
+    scale = f"(SELECT {path.replace('CAST(floor(', '').replace(f' * {PATH_UNIT} + 0.5) AS BIGINT)', '')} FROM {p}size)"
+    steps |= {
+        "sums": f"SELECT {cols}, -pow(2.0::DOUBLE, -(CAST(sum(path) AS DOUBLE) / {PATH_UNIT} / count(*) / {scale})) AS anomaly_score FROM {p}w{levels} w JOIN {p}nodes n ON n.tree = w.tree AND n.node = w.node GROUP BY ALL",
+        "scored": f"SELECT d.*, s.anomaly_score FROM (SELECT *, {whole} FROM {table}) d JOIN {p}sums s USING ({cols})",
+        "flag": f"SELECT *, anomaly_score < (SELECT quantile_cont(anomaly_score, {contamination}) FROM {p}scored) AS is_anomaly FROM {p}scored",
+    }
+    return {f"{p}{n}": sql for n, sql in steps.items()}
+
+
+CTE["txf"] = "SELECT txf0.*, " + ", ".join(f"({c} - m{i}) / s{i} AS {n}" for i, (c, n) in enumerate(zip(TX_FEATURES, TX_SCALED))) + (
+    " FROM txf0, (SELECT " + ", ".join(f"avg({c}) AS m{i}, CASE WHEN stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END AS s{i}" for i, c in enumerate(TX_FEATURES)) + " FROM txf0) p")
+CTE |= _forest("tx", "txf", TX_SCALED, f"invoice || '|' || stock_code || '|' || strftime(invoice_date, '%Y-%m-%d %H:%M:%S') || '|' || quantity || '|' || {u('total_amount')}",
+               TX_TREES, TX_CONTAMINATION)
+CTE |= _forest("cu", "scaled", CUSTOMER_SCALED, "CAST(customer_id AS VARCHAR)", CUSTOMER_TREES, CUSTOMER_CONTAMINATION)
 CTE["cov"] = "SELECT " + ", ".join(f"covar_samp({FEATURES[i]}, {FEATURES[j]}) AS c{i}{j}" for i in range(3) for j in range(i, 3)) + " FROM scaled"
 CTE["eigen"] = """SELECT *, 3 * mean - e1 - e3 AS e2 FROM (SELECT *, mean + 2 * p * cos(phi) AS e1, mean + 2 * p * cos(phi + 2 * pi() / 3) AS e3 FROM (SELECT *, acos(least(1.0::DOUBLE,
  greatest(-1.0::DOUBLE, ((c00 - mean) * ((c11 - mean) * (c22 - mean) - c12 * c12) - c01 * (c01 * (c22 - mean) - c12 * c02) + c02 * (c01 * c12 - (c11 - mean) * c02)) / (2 * p * p * p)))) / 3 AS phi
@@ -732,6 +780,29 @@ def _bodies() -> dict[str, str]:
     q["tx_features"] = f"SELECT invoice, stock_code, {r('implied_unit_price', 4)} AS implied_unit_price, {txf} FROM txf0, (SELECT {fit} FROM txf0)"
     q["tx_anomaly_thresholds"] = "SELECT quantile_cont(total_amount, 0.998) AS extreme_total, quantile_cont(implied_unit_price, 0.998) AS unusual_price FROM txf0"
 
+    q["iforest_fit"] = f"SELECT CAST(tree AS INTEGER) AS tree, CAST(node AS INTEGER) AS node, CAST(feature AS INTEGER) AS feature, {r('threshold', 3)} AS threshold, path AS path_units, CAST((SELECT n FROM txsize) AS INTEGER) AS sample_size FROM txnodes"
+    q["iforest_score"] = f"SELECT invoice, stock_code, total_amount, {r('anomaly_score', 9)} AS anomaly_score FROM txscored"
+    q["tx_anomaly_flag"] = "SELECT invoice, stock_code, total_amount, is_anomaly FROM txflag"
+    q["tx_anomaly_type"] = """SELECT CASE WHEN quantity > 200 THEN 'Bulk Order' WHEN total_amount > t THEN 'Extreme Value' WHEN implied_unit_price > p THEN 'Unusual Price'
+ ELSE 'Statistical Outlier' END AS anomaly_type, count(*) AS flagged FROM txflag, (SELECT quantile_cont(total_amount, 0.998) AS t, quantile_cont(implied_unit_price, 0.998) AS p FROM txf0) e
+ WHERE is_anomaly GROUP BY 1"""
+    q["anomaly_revenue"] = f"""SELECT count(*) FILTER (is_anomaly) AS flagged, {pct('count(*) FILTER (is_anomaly)', 'count(*)')} AS flagged_pct,
+ {r(msum('CASE WHEN is_anomaly THEN total_amount ELSE 0.0 END'), 2)} AS flagged_revenue, {pct(msum('CASE WHEN is_anomaly THEN total_amount ELSE 0.0 END'), msum('total_amount'))} AS revenue_pct FROM txflag"""
+    q["top_anomalies"] = f"""SELECT invoice, stock_code, quantity, total_amount, implied_unit_price, {r('anomaly_score', 9)} AS anomaly_score FROM txflag WHERE is_anomaly
+ ORDER BY total_amount DESC, invoice, stock_code LIMIT 10"""
+    q["anomaly_score_hist"] = f"""SELECT is_anomaly, bin, count(*) AS row_count, {r('count(*) / nullif(any_value(n) * ((any_value(hi) - any_value(lo)) / any_value(parts)), 0)', 6)} AS density FROM
+ (SELECT *, CASE WHEN is_anomaly THEN {bins('anomaly_score', 'lo', 'hi', 20)} ELSE {bins('anomaly_score', 'lo', 'hi', 50)} END AS bin, CASE WHEN is_anomaly THEN 20 ELSE 50 END AS parts FROM
+ (SELECT *, min(anomaly_score) OVER (PARTITION BY is_anomaly) AS lo, max(anomaly_score) OVER (PARTITION BY is_anomaly) AS hi, count(*) OVER (PARTITION BY is_anomaly) AS n FROM txflag)) GROUP BY 1, 2"""
+    q["cust_anomaly_flag"] = f"SELECT customer_id, {r('anomaly_score', 9)} AS anomaly_score, is_anomaly FROM cuflag"
+    q["cust_anomaly_type"] = """SELECT CASE WHEN monetary > m THEN 'Possible Wholesale' WHEN frequency > f THEN 'Power Buyer' WHEN recency_days < 7 AND frequency > 20 THEN 'Suspicious Velocity'
+ ELSE 'Statistical Outlier' END AS anomaly_type, count(*) AS flagged FROM cuflag, (SELECT quantile_cont(monetary, 0.99) AS m, quantile_cont(frequency, 0.99) AS f FROM seg) e
+ WHERE is_anomaly GROUP BY 1"""
+    q["anomaly_profile"] = f"""SELECT is_anomaly, count(*) AS customers, {r('avg(recency_days)', 1)} AS avg_recency, {r('avg(frequency)', 1)} AS avg_frequency,
+ {r(mavg('monetary'), 1)} AS avg_monetary FROM cuflag GROUP BY 1"""
+    q["anomaly_rate_by_segment"] = f"""SELECT segment_label, count(*) AS total, count(*) FILTER (is_anomaly) AS flagged, {pct('count(*) FILTER (is_anomaly)', 'count(*)')} AS pct
+ FROM cuflag GROUP BY 1"""
+    q["exclude_anomalies"] = "SELECT customer_id, recency_days, frequency, monetary FROM cuflag WHERE NOT is_anomaly"
+
     q["read_transactions_csv"] = q["read_transactions"]
     # The customer itself is the first of its five nearest.
     squared = " + ".join(f"pow(a.{c} - b.{c}, 2)" for c in ("r_scaled", "f_scaled", "m_scaled"))
