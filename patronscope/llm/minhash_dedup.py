@@ -198,16 +198,27 @@ def _bucket_pairs(rows: DataFrame) -> DataFrame:
                                 & (F.col("x.component") != F.col("y.component"))).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
+def _families(rows: DataFrame, hubs: DataFrame) -> DataFrame:
+    """(node, component, hub): one reference set for all buckets that are joined by common members, so that a set has one row
+    however many buckets it is in. The reference is the hub of most places of the family."""
+    placed = rows.join(hubs, "key").select("node", "component", "hub")
+    grouped = components(placed.select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    told = placed.join(grouped.select("node", F.col("component").alias("family")), "node")
+    counted = told.groupBy("family", "hub").agg(F.count(F.lit(1)).alias("places"))
+    reference = staged(counted.groupBy("family").agg(F.max(F.struct("places", "hub"))["hub"].alias("hub")), "references")
+    return told.select("node", "component", "family").distinct().join(reference, "family").select("node", "component", "hub")
+
+
 def _change_pairs(rows: DataFrame, hubs: DataFrame, texts: DataFrame, min_percent: int) -> DataFrame:
-    """Pairs of different components that share a bucket, found by how they differ from its hub: every link is among them.
+    """Pairs of different components that share a bucket, found by how they differ from a reference: every link is among them.
 
-    Let a set's changes be the shingles that it or the hub has, not both. The difference of two sets is that of their
-    changes, so a link needs so many changes in common that the rarest few of each must share one: a set-similarity join
-    of short sets, with prefix and position filters, each change ordered by its frequency around the hub. Two linked sets
-    without a common change are both linked with the hub, and meet there.
+    Let a set's changes be the shingles that it or the reference has, not both. The difference of two sets is that of
+    their changes, so a link needs so many changes in common that the rarest few of each must share one: a set-similarity
+    join of short sets, with prefix and position filters, each change ordered by its frequency in the family. That holds for
+    any reference. Two linked sets without a common change are both linked with the reference, and meet there.
     """
     apart, whole = 100 - min_percent, 100 + min_percent
-    members = rows.join(hubs, "key").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"), "component").distinct()
+    members = _families(rows, hubs).where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"), "component")
     found = _with_texts(members, texts).mapInArrow(
         change_batches, "node binary, hub binary, component binary, size bigint, both bigint, changes array<bigint>")
     found = staged(found.withColumn("n", F.size("changes")).withColumn("near", whole * F.col("n") <= apart * F.col("both")), "changes")
@@ -299,7 +310,7 @@ def near_duplicates(docs: DataFrame, min_percent: int = MIN_PERCENT) -> DataFram
 def keep_one(docs: DataFrame, min_percent: int = MIN_PERCENT) -> DataFrame:
     """``docs`` with one row of each group of near-copies: of the smallest doc_id, then the smallest md5 of the text.
 
-    Texts without words all stay. Of rows that repeat an id and text one stays, whichever Spark reads first.
+    Texts without words all stay. Of rows that repeat an id and text the one whose other columns come first as JSON stays.
     """
     grouped = near_duplicates(docs.select("doc_id", "text"), min_percent)
     name = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_name"), "digest"]
@@ -308,5 +319,7 @@ def keep_one(docs: DataFrame, min_percent: int = MIN_PERCENT) -> DataFrame:
     rows = docs.select(F.struct("*").alias("document")).withColumn("digest", F.unhex(F.md5(F.coalesce("document.text", F.lit(""))))).withColumn(
         "_name", F.coalesce(F.col("document.doc_id").cast("string"), F.lit("")))
     words = F.coalesce(F.col("document.text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
-    single = rows.where(words).join(chosen, ["_name", "digest"]).dropDuplicates(["_name", "digest"]).select("document.*")
+    others = F.to_json(F.col("document").dropFields("text"))
+    single = rows.where(words).join(chosen, ["_name", "digest"]).groupBy("_name", "digest").agg(
+        F.min_by("document", others).alias("document")).select("document.*")
     return single.union(rows.where(~words).select("document.*"))

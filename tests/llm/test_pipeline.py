@@ -83,3 +83,12 @@ def test_line_stage_counts_the_sites_of_all_copies(spark):
     assert all(found[200 + i]["text"] == f"few {i % 3}\nnine sites" for i in range(9))
     plain = line_dedup.line_dedup(docs).where("document.doc_id BETWEEN 10 AND 39").select("lines.*").collect()
     assert all((r["n_lines"], r["n_removed"]) == (2, 1) for r in plain)
+
+
+def test_near_duplicate_stage_keeps_a_defined_row_of_repeated_ids(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, text, "en", s, 1) for s in ("c", "a", "b")] + [(2, text + " more", "de", "z", 2), (3, "", "en", "q", 0)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    for parts in (1, 5):
+        found = corpus_pipeline.near_duplicate_stage(spark, docs.repartition(parts), FOLDER).collect()
+        assert sorted((r["doc_id"], r["source"]) for r in found) == [(1, "a"), (3, "q")]
