@@ -199,14 +199,13 @@ def _bucket_pairs(rows: DataFrame) -> DataFrame:
 
 
 def _families(rows: DataFrame, hubs: DataFrame) -> DataFrame:
-    """(node, component, hub): one reference set for all buckets that are joined by common members, so that a set has one row
-    however many buckets it is in. The reference is the hub of most places of the family."""
-    placed = rows.join(hubs, "key").select("node", "component", "hub")
-    grouped = components(placed.select(F.col("node").alias("a"), F.col("hub").alias("b")))
-    told = placed.join(grouped.select("node", F.col("component").alias("family")), "node")
-    counted = told.groupBy("family", "hub").agg(F.count(F.lit(1)).alias("places"))
-    reference = staged(counted.groupBy("family").agg(F.max(F.struct("places", "hub"))["hub"].alias("hub")), "references")
-    return told.select("node", "component", "family").distinct().join(reference, "family").select("node", "component", "hub")
+    """(node, component, hub): one reference set for all buckets whose hubs are in one component, so that a set has few rows
+    however many buckets it is in, and the members of a bucket have one in common. The reference is the hub of most buckets."""
+    placed = staged(rows.join(hubs, "key").select("key", "node", "component", "hub"), "placed")
+    own = placed.where("node = hub").select("key", F.col("component").alias("family"), "hub")
+    most = own.groupBy("family", "hub").agg(F.count(F.lit(1)).alias("n")).groupBy("family").agg(F.max(F.struct("n", "hub"))["hub"].alias("hub"))
+    references = staged(own.select("key", "family").join(most, "family").select("key", "hub"), "references")
+    return placed.select("key", "node", "component").join(references, "key").select("node", "component", "hub").distinct()
 
 
 def _change_pairs(rows: DataFrame, hubs: DataFrame, texts: DataFrame, min_percent: int) -> DataFrame:

@@ -1,14 +1,16 @@
 """Toxicity by weak supervision: many voters, a generative label model of their votes, a linear text classifier.
 
-Voters are words of a fixed lexicon, words and word beginnings that training labels single out, and patterns of
-writing. The label model knows for each class the voters' mean votes and one covariance of all votes, so that voters
-which repeat one another count less than independent ones; expectation maximisation fits it to votes. A ridge logistic
-classifier over hashed words and character n-grams is then trained on the posterior labels, and scores every text.
+Voters are words of a fixed lexicon, words and word beginnings that training labels single out, patterns of writing, and the
+given label. All but the last vote for toxicity or abstain; an abstention is no vote against. The label model has for
+each voter its accuracy and coverage, as the rates at which it votes in toxic and in other texts, and the pairwise
+correlations of votes within the classes, so that voters which repeat one another count less than independent ones. The
+balance of the classes is held at the training share. Expectation maximisation fits it to votes. A ridge logistic classifier
+over hashed words and character n-grams is then trained on the posterior labels, and scores every text.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,7 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from . import textarrays as ta
-from .fitting import Rows, logistic, sigmoid
+from .fitting import Rows, logistic, platt, sigmoid
 from .staging import staged
 
 #: Words of abuse that vote for toxicity.
@@ -30,11 +32,17 @@ GRAMS = (4, 5, 6)
 #: Columns that fewer rows have are not learnt from; of the rest the most telling ones are used.
 MIN_ROWS = 4
 CLASSIFIER_COLUMNS = 3000
-LEARNT_VOTERS = 24
+LEARNT_VOTERS = 96
+#: A column votes if at least this share of the training rows that have it are toxic.
+VOTER_PRECISION = 0.8
 FOLDS, HELD_OUT_FOLD = 5, 0
-RIDGE = 2e-4
-#: The given label of a training row counts as one more voter, right so often.
-LABEL_ACCURACY = 0.97
+RIDGES = (2e-4, 1e-3, 5e-3)
+#: Fits whose held-back rows calibrate the scores.
+CROSS_FITS = 4
+#: The given label is one more voter. Its accuracy is estimated with the others', from this start.
+START_ACCURACY = 0.97
+#: Log-odds that the evidence on one row is bounded to.
+MOST_EVIDENCE = 5.0
 PATTERNS = ("shouting", "exclaiming", "marking")
 
 
@@ -91,32 +99,52 @@ def features(text: Column) -> Column:
     return arrow_udf(batch, "struct<columns: array<int>, patterns: array<boolean>>")(text)
 
 
-def label_model(votes: np.ndarray, known: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, np.ndarray, float]:
-    """Posterior probability of label 1 for each row of votes, weights of the voters and intercept.
-
-    Votes of a class have a mean for each voter (its accuracy) and share one covariance (the correlations), so the
-    log-odds are linear in the votes with weights covariance^-1 (mean1 - mean0). ``known`` starts the fit.
-    """
-    count, voters = votes.shape
-    posterior = known.astype(float)
-    weights, intercept = np.zeros(voters), 0.0
+@dataclass
+class LabelModel:
+    """Rates of voting in toxic and in other texts (their ratio is the accuracy, their mean the coverage), those of the given
+    label, correlations of votes, share of toxic texts."""
+    toxic: np.ndarray
+    other: np.ndarray
+    given: tuple[float, float]
+    correlation: np.ndarray
+    share: float
+
+    def posterior(self, votes: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """Probability of toxicity. A vote's log-odds are divided by the sum of its correlations with the other votes of the
+        row; no row's evidence counts for more than MOST_EVIDENCE."""
+        worth = np.maximum(np.log(self.toxic / self.other), 0.0)
+        shared = 1 + votes @ np.maximum(self.correlation, 0.0)
+        evidence = (votes * worth / shared).sum(axis=1)
+        yes, no = self.given
+        evidence += np.where(known > 0, np.log(yes / no), np.log((1 - yes) / (1 - no)))
+        evidence = np.clip(evidence, -MOST_EVIDENCE, MOST_EVIDENCE)
+        low, high = -40.0, 40.0  # the intercept at which the mean posterior is the training share
+        for _ in range(60):
+            middle = (low + high) / 2
+            low, high = (middle, high) if sigmoid(evidence + middle).mean() < self.share else (low, middle)
+        return sigmoid(evidence + low)
+
+
+def label_model(votes: np.ndarray, known: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, LabelModel]:
+    """Posterior probability of toxicity for each row of votes, and the model. ``known`` is the vote of the given label."""
+    known = known.astype(float)
+    share = float(known.mean())
+    posterior = START_ACCURACY * known + (1 - START_ACCURACY) * (1 - known)
+    rate = lambda weight, what: (weight @ what + 1) / (weight.sum() + 2)
     for _ in range(rounds):
-        one = posterior.sum()
-        if one < 1 or count - one < 1:
-            break
-        mean1, mean0 = posterior @ votes / one, (1 - posterior) @ votes / (count - one)
-        spread1, spread0 = votes - mean1, votes - mean0
-        covariance = (spread1.T @ (spread1 * posterior[:, None]) + spread0.T @ (spread0 * (1 - posterior)[:, None])) / count
-        covariance += np.eye(voters) * (1e-3 + 0.05 * np.trace(covariance) / voters)
-        weights = np.linalg.solve(covariance, mean1 - mean0)
-        prior = np.clip(one / count, 1e-3, 1 - 1e-3)
-        intercept = float(np.log(prior / (1 - prior)) - weights @ (mean1 + mean0) / 2)
-        new = sigmoid(votes @ weights + intercept)
-        if np.abs(new - posterior).max() < 1e-6:
-            posterior = new
-            break
+        toxic, other = rate(posterior, votes), rate(1 - posterior, votes)
+        given = (float(np.clip(rate(posterior, known), 0.5, 0.995)), float(np.clip(rate(1 - posterior, known), 0.005, 0.5)))
+        rest = votes - np.outer(posterior, toxic) - np.outer(1 - posterior, other)
+        spread = np.sqrt(np.maximum((rest * rest).mean(axis=0), 1e-9))
+        correlation = (rest.T @ rest) / len(votes) / np.outer(spread, spread)
+        np.fill_diagonal(correlation, 0.0)
+        model = LabelModel(toxic, other, given, correlation, share)
+        new = model.posterior(votes, known)
+        moved = np.abs(new - posterior).max()
         posterior = new
-    return posterior, weights, intercept
+        if moved < 1e-6:
+            break
+    return posterior, model
 
 
 @dataclass
@@ -157,7 +185,8 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "toxic", rows: int =
     best = counted.orderBy(F.abs("telling").desc(), "column").limit(CLASSIFIER_COLUMNS).collect()
     used = np.array(sorted(r["column"] for r in best), np.int64)
     voters = [word_column(w) for w in LEXICON]
-    voters += [r["column"] for r in sorted(best, key=lambda r: (-r["telling"], r["column"])) if r["telling"] > 0 and r["column"] not in voters][:LEARNT_VOTERS]
+    sure = [r for r in best if (r["yes"] + 1) / (r["n"] + 2) >= VOTER_PRECISION and r["column"] not in voters]
+    voters += [r["column"] for r in sorted(sure, key=lambda r: (-r["telling"], r["column"]))][:LEARNT_VOTERS]
 
     wanted = F.array([F.lit(int(c)) for c in sorted({*used.tolist(), *voters})])
     found = sample.select("doc_id", "y", F.array_intersect("columns", wanted).alias("columns"), "patterns").toArrow().combine_chunks().sort_by("doc_id")
@@ -169,15 +198,35 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "toxic", rows: int =
     for i, column in enumerate(voters):
         votes[owner[values == column], i] = 1
     votes[:, len(voters):] = np.array(found["patterns"].to_pylist(), float)
-    _, voter_weights, voter_intercept = label_model(votes, y)
-    given = np.log(LABEL_ACCURACY / (1 - LABEL_ACCURACY)) * (2 * y - 1)
-    posterior = sigmoid(votes @ voter_weights + voter_intercept + given)
+    posterior, _ = label_model(votes, y)
 
     place = np.minimum(np.searchsorted(used, values), len(used) - 1)
     inside = used[place] == values
-    design = Rows(np.bincount(owner[inside], minlength=len(y)), place[inside], np.ones(int(inside.sum())), len(used))
-    weights, intercept = logistic(design, posterior, np.ones(len(y)), RIDGE)
-    return ToxicityModel(used, weights.astype(np.float32), intercept)
+    def fitted(rows: np.ndarray, ridge: float) -> tuple[np.ndarray, float, Callable]:
+        """Weights and intercept learnt from some rows, and the scores they give to others."""
+        def design(rows: np.ndarray) -> Rows:
+            number = np.full(len(y), -1)
+            number[rows] = np.arange(len(rows))
+            own = inside & (number[owner] >= 0)
+            return Rows(np.bincount(number[owner[own]], minlength=len(rows)), place[own], np.ones(int(own.sum())), len(used))
+
+        weights, intercept = logistic(design(rows), posterior[rows], np.ones(len(rows)), ridge)
+        return weights, intercept, lambda other: design(other).times(weights) + intercept
+
+    # Scores of rows that a fit has not seen choose the ridge, and tell how far it shrinks: the final scores are
+    # stretched accordingly.
+    goal = (posterior >= 0.5).astype(float)
+    tried = []
+    for ridge in RIDGES:
+        unseen = np.zeros(len(y))
+        for i in range(CROSS_FITS):
+            part = np.arange(len(y)) % CROSS_FITS == i
+            unseen[part] = fitted(np.flatnonzero(~part), ridge)[2](np.flatnonzero(part))
+        slope, shift = platt(unseen, goal)
+        tried.append((float((np.logaddexp(0, slope * unseen + shift) - goal * (slope * unseen + shift)).mean()), ridge, slope, shift))
+    _, ridge, slope, shift = min(tried)
+    weights, intercept, _ = fitted(np.arange(len(y)), ridge)
+    return ToxicityModel(used, (weights * slope).astype(np.float32), intercept * slope + shift)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, target: str = "toxic", training_rows: int = TRAINING_ROWS) -> DataFrame:

@@ -403,14 +403,33 @@ def test_toxicity_finds_held_out_abuse(spark, odd_docs, no_docs, labels, no_labe
     assert toxicity.toxicity(no_docs, labels).count() == 0
 
 
-def test_label_model_discounts_repeated_voters():
+def test_label_model_discounts_repeated_voters_and_keeps_the_balance():
     rng = np.random.default_rng(9)
     y = rng.random(4000) < 0.3
-    right = lambda p: np.where(rng.random(4000) < p, y, ~y).astype(float)
-    copied = right(0.75)
-    votes = np.stack([right(0.8), right(0.8), copied, copied, copied], axis=1)
-    posterior, weights, _ = toxicity.label_model(votes, y)
-    assert weights[0] > weights[2:].max() and ((posterior > 0.5) == y).mean() > 0.78
+    vote = lambda yes, no: (rng.random(4000) < np.where(y, yes, no)).astype(float)
+    copied = vote(0.4, 0.1)
+    votes = np.stack([vote(0.5, 0.05), vote(0.5, 0.05), copied, copied, copied, vote(0.2, 0.2)], axis=1)
+    given = np.where(rng.random(4000) < 0.1, ~y, y)  # one label in ten is wrong
+    posterior, model = toxicity.label_model(votes, given)
+    assert abs(posterior.mean() - given.mean()) < 1e-3
+    assert ((posterior > 0.5) == y).mean() >= (given == y).mean()
+    assert posterior[given & y].mean() > posterior[given & ~y].mean() + 0.05
+    assert 0.75 < model.given[0] <= 0.995 and 0.005 <= model.given[1] < 0.15
+    assert (np.abs(model.correlation[2:5, 2:5] + np.eye(3) - 1) < 0.05).all()
+    assert abs(model.toxic[0] - 0.5) < 0.12 and abs(model.other[0] - 0.05) < 0.05
+    row = lambda *voters: model.posterior(np.vstack([np.eye(6)[list(voters)].sum(axis=0), np.zeros((999, 6))]), np.zeros(1000))[0]
+    assert row(0) > row(2) and row(2, 3, 4) < row(0, 1) and abs(row(5) - row()) < 0.02
+    assert row(0) > row()  # an abstention is no vote against
+
+
+def test_toxicity_on_held_out_labels(spark):
+    folder = "/root/testdata/sf0.1"
+    docs, own = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
+    found = toxicity.toxicity(docs.select("doc_id", "text"), own).select("document.doc_id", "toxicity.*").join(own, "doc_id").where("held_out AND toxic IS NOT NULL").toPandas()
+    y, score = found["toxic"].to_numpy() > 0, found["score"].to_numpy()
+    rank = found["score"].rank().to_numpy()
+    area = (rank[y].sum() - y.sum() * (y.sum() + 1) / 2) / (y.sum() * (~y).sum())
+    assert area >= 0.95 and (score[y] >= 0.5).mean() >= 0.75 and (score[~y] >= 0.5).mean() <= 0.01
 
 
 @pytest.mark.parametrize("wrap", [72, 20])
