@@ -103,7 +103,7 @@ def _(w):
 @query("write_tables_csv")
 def _(w):
     written = tables.write_tables({"customers": w.customers}, _fresh(w, "export_csv"), "csv")
-    return w.spark.read.csv(written["customers"], header=True, schema=w.customers.schema)
+    return w.spark.read.schema(w.customers.schema).options(**source.CSV_READ).csv(written["customers"])
 
 
 @query("export_bi_bundle")
@@ -305,16 +305,22 @@ add("anomaly_score_hist", lambda w: anomalies.anomaly_score_hist(w.tx_flagged))
 
 # Streaming
 
-def _streamed(w: Workspace, transform, name: str, schema: str | None = None) -> DataFrame:
-    stream = transform(refresh.raw_stream(w.spark, _source_file(w, "parquet")))
-    out = _fresh(w, name)
-    refresh.write_available(stream, out, _fresh(w, f"{name}-checkpoint"))
-    return w.spark.read.schema(stream.schema).parquet(out)
+#: Files of a micro-batch, few enough that a refresh takes several.
+STREAM_FILES = 3
 
 
-add("stream_clean", lambda w: _streamed(w, refresh.clean_stream, "stream_clean").withColumn(
-    "invoice_date", F.col("invoice_date").cast("timestamp_ntz")))
-add("stream_revenue", lambda w: refresh.daily_revenue(_streamed(w, refresh.valid_stream, "stream_revenue")))
+@query("stream_clean")
+def _(w):
+    out = _fresh(w, "stream_clean")
+    refresh.refresh_lines(refresh.raw_stream(w.spark, _source_file(w, "parquet"), STREAM_FILES), out, _fresh(w, "stream_clean-checkpoint"))
+    return w.spark.read.parquet(out).drop(refresh.DAY).withColumn("invoice_date", F.col("invoice_date").cast("timestamp_ntz"))
+
+
+@query("stream_revenue")
+def _(w):
+    out = _fresh(w, "stream_revenue")
+    refresh.refresh_revenue(refresh.raw_stream(w.spark, _source_file(w, "parquet"), STREAM_FILES), out, _fresh(w, "stream_revenue-checkpoint"))
+    return refresh.daily_revenue(w.spark, out)
 
 
 def callables() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -1,14 +1,27 @@
-"""Incremental refresh with Structured Streaming: new invoice files are cleaned and added to running revenue."""
+"""Incremental refresh with Structured Streaming: new invoice files are cleaned and merged into sinks by day.
+
+A sink is a Parquet table partitioned by day, and it is all the state there is: every arriving batch reads and writes the days
+that it has lines of, however old they are. Nothing is ever too late, nothing outside these days is read or rewritten, and
+no state grows with the history. A batch that is tried again after a failure changes nothing twice.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.numeric import amount, units
 from ..operators.cleaning import clean_sql_rules
+from ..session import enable_checkpoints
+from ..sources.tables import overwrite_partitions
 from ..sources.transactions import RAW_SCHEMA
 
+DAY = "day"
+REVENUE_SCHEMA = f"lines bigint, units bigint, batch bigint, {DAY} string"
+
 
 def raw_stream(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(RAW_SCHEMA)
@@ -17,38 +30,74 @@ def raw_stream(spark: SparkSession, folder: str, files_per_batch: int | None = N
     return reader.parquet(folder)
 
 
-def clean_stream(raw: DataFrame, lateness: str = "30 days") -> DataFrame:
-    """Strict cleaning of arriving lines; exact repeats within the lateness window are dropped.
+def valid_lines(raw: DataFrame) -> DataFrame:
+    """Strict cleaning of arriving lines, repeats included, with their day."""
+    cleaned = clean_sql_rules(raw.withColumn("invoice_date", F.col("invoice_date").cast("timestamp")))
+    return cleaned.withColumn(DAY, F.coalesce(F.date_format("invoice_date", "yyyy-MM-dd"), F.lit("none")))
+
+
+def _run(stream: DataFrame, merge: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+    """Process everything that has arrived, batch by batch, then stop."""
+    query = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
+def _touched(sink: DataFrame, arrived: DataFrame) -> DataFrame:
+    """The part of a sink that has the days of a batch; the list of days prunes partitions before any file is opened."""
+    days = [r[DAY] for r in arrived.select(DAY).distinct().collect()]  # one row a day
+    return sink.where(F.col(DAY).isin(days))
 
-    The watermark bounds the de-duplication state: keys older than the window are forgotten.
+
+def merge_lines(arrived: DataFrame, path: str) -> None:
+    """Add the lines of ``arrived`` that the sink does not have yet; exact repeats are one line, whenever they come.
+
+    The sink's own days are compared, so a batch that was already written adds nothing.
     """
-    timed = raw.withColumn("invoice_date", F.col("invoice_date").cast("timestamp"))
-    cleaned = clean_sql_rules(timed).withWatermark("invoice_date", lateness)
-    return cleaned.dropDuplicatesWithinWatermark(cleaned.columns)
+    spark, fresh = arrived.sparkSession, valid_lines(arrived).dropDuplicates().persist()
+    try:
+        fresh.limit(0).write.mode("append").partitionBy(DAY).parquet(path)  # the folder exists from the first batch on
+        known = _touched(spark.read.schema(fresh.schema).parquet(path), fresh)
+        same: Column = reduce(lambda a, b: a & b, [fresh[c].eqNullSafe(known[c]) for c in fresh.columns])
+        fresh.join(known, same, "left_anti").write.mode("append").partitionBy(DAY).parquet(path)
+    finally:
+        fresh.unpersist()
 
 
-def valid_stream(raw: DataFrame) -> DataFrame:
-    """Strict cleaning of arriving lines, repeats included. It keeps no state, so no line is ever too late."""
-    return clean_sql_rules(raw.withColumn("invoice_date", F.col("invoice_date").cast("timestamp")))
+def refresh_lines(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Clean what has arrived and keep each distinct line once, in a sink by day."""
+    return _run(stream, lambda batch, _: merge_lines(batch, path), checkpoint)
 
 
-def daily_revenue(cleaned: DataFrame) -> DataFrame:
-    """Lines and revenue of every day in the sink of ``valid_stream``, the newest days and late lines included.
+def merge_revenue(arrived: DataFrame, batch: int, path: str) -> None:
+    """Add a batch's lines and revenue to the totals of its days, once.
 
-    A closing batch over the cleaned sink: what a refresh adds is seen as soon as its files are committed.
+    Each day's row names the last batch that it holds. Days are replaced one by one, so after a failure some may hold the
+    batch and others not; a repeated batch adds to the latter only. A sink belongs to one checkpoint, which numbers its batches.
     """
-    return (
-        cleaned.groupBy(F.to_date("invoice_date").alias("date"))
-        .agg(F.count(F.lit(1)).alias("lines"), F.sum(units("total_amount")).alias("u"))
-        .select(F.date_format("date", "yyyy-MM-dd").alias("day"), "lines", amount(F.col("u")).alias("revenue"))
-    )
-
-
-def write_available(stream: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
-    """Process everything that has arrived, then stop; the checkpoint makes the Parquet sink exactly-once."""
-    query = (
-        stream.writeStream.format("parquet").option("path", folder).option("checkpointLocation", checkpoint)
-        .outputMode("append").trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    return query
+    spark = arrived.sparkSession
+    enable_checkpoints(spark)
+    added = valid_lines(arrived).groupBy(DAY).agg(F.count(F.lit(1)).alias("lines"), F.sum(units("total_amount")).alias("units")).persist()
+    try:
+        empty = added.select("lines", "units", F.lit(batch).cast("bigint").alias("batch"), DAY).limit(0)
+        empty.write.mode("append").partitionBy(DAY).parquet(path)
+        known = _touched(spark.read.schema(REVENUE_SCHEMA).parquet(path), added)
+        old = known.select(DAY, F.col("lines").alias("old_lines"), F.col("units").alias("old_units"), "batch")
+        total = lambda c: (F.col(c) + F.coalesce(F.col(f"old_{c}"), F.lit(0))).alias(c)
+        merged = added.join(old, DAY, "left").where(F.coalesce(F.col("batch"), F.lit(-1)) < batch).select(
+            total("lines"), total("units"), F.lit(batch).cast("bigint").alias("batch"), DAY)
+        # One row a day, cut off from the files that the next step replaces.
+        overwrite_partitions(merged.checkpoint(), path, [DAY])
+    finally:
+        added.unpersist()
+
+
+def refresh_revenue(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Keep lines and revenue of every day up to date, repeats included; only days with arriving lines are touched."""
+    return _run(stream, lambda batch, number: merge_revenue(batch, number, path), checkpoint)
+
+
+def daily_revenue(spark: SparkSession, path: str) -> DataFrame:
+    """Lines and revenue of every day in the sink of ``refresh_revenue``: one stored row a day, nothing is aggregated."""
+    kept = spark.read.schema(REVENUE_SCHEMA).parquet(path)
+    return kept.select(DAY, "lines", amount(F.col("units")).alias("revenue"))

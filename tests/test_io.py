@@ -1,4 +1,6 @@
 import datetime
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -55,22 +57,75 @@ def drop_file(spark, folder, rows):
 def test_stream_cleans_and_drops_repeats_over_restarts(spark, tmp_path):
     source, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
     drop_file(spark, source, [line(1, 0), line(1, 0), line(2, 0, code="POST"), line(3, 1)])
-    refresh.write_available(refresh.clean_stream(refresh.raw_stream(spark, source)), out, mark)
+    refresh.refresh_lines(refresh.raw_stream(spark, source), out, mark)
     assert spark.read.parquet(out).count() == 2
     drop_file(spark, source, [line(3, 1), line(4, 2), line(5, 2, customer=None)])
-    refresh.write_available(refresh.clean_stream(refresh.raw_stream(spark, source)), out, mark)
+    refresh.refresh_lines(refresh.raw_stream(spark, source), out, mark)
     got = sorted(r["invoice"] for r in spark.read.parquet(out).collect())
     assert got == ["1", "3", "4"]
 
 
-def test_stream_revenue_has_newest_days_and_late_rows(spark, tmp_path):
+def parquet_files(folder):
+    return {str(p.relative_to(folder)) for p in Path(folder).rglob("*.parquet")}
+
+
+def test_stream_keeps_lines_of_any_lateness(spark, tmp_path):
+    """Files arrive in reverse order of their dates, over several batches; no line is dropped, no repeat is kept."""
+    source, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    for i, day in enumerate((900, 400, 100, 0)):
+        drop_file(spark, source, [line(10 * i, day), line(10 * i + 1, day), line(10 * i, day), line(0, 900)])
+        time.sleep(0.02)  # the source takes files by age
+    refresh.refresh_lines(refresh.raw_stream(spark, source, 1), out, mark)
+    assert sorted(int(r["invoice"]) for r in spark.read.parquet(out).collect()) == [0, 1, 10, 11, 20, 21, 30, 31]
+    before = parquet_files(out)
+    drop_file(spark, source, [line(11, 400), line(99, 400), line(0, 900)])
+    refresh.refresh_lines(refresh.raw_stream(spark, source, 1), out, mark)
+    added = parquet_files(out) - before
+    assert before <= parquet_files(out) and {f.split("/")[0] for f in added} == {"day=2024-02-05"}
+    assert spark.read.parquet(out).count() == 9
+    refresh.merge_lines(spark.read.schema(transactions.RAW_SCHEMA).parquet(source), out)  # the same lines again
+    assert spark.read.parquet(out).count() == 9
+
+
+def test_stream_revenue_touches_arriving_days_only(spark, tmp_path):
     source, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
-    drop_file(spark, source, [line(1, 0), line(2, 0), line(3, 10)])
-    refresh.write_available(refresh.valid_stream(refresh.raw_stream(spark, source)), out, mark)
-    drop_file(spark, source, [line(4, 0), line(5, 20)])  # the first of them for a day that is written
-    refresh.write_available(refresh.valid_stream(refresh.raw_stream(spark, source)), out, mark)
-    rows = {r["day"]: (r["lines"], r["revenue"]) for r in refresh.daily_revenue(spark.read.parquet(out)).collect()}
-    assert rows == {"2023-01-01": (3, 9.0), "2023-01-11": (1, 3.0), "2023-01-21": (1, 3.0)}
+    rows = lambda: {r["day"]: (r["lines"], r["revenue"]) for r in refresh.daily_revenue(spark, out).collect()}
+    drop_file(spark, source, [line(1, 0), line(2, 0), line(2, 0), line(3, 10), line(9, 3, code="POST")])
+    refresh.refresh_revenue(refresh.raw_stream(spark, source), out, mark)
+    assert rows() == {"2023-01-01": (3, 9.0), "2023-01-11": (1, 3.0)}
+    before = parquet_files(out)
+    late = [line(4, 0), line(5, 20)]  # the first of them for a day that is written
+    drop_file(spark, source, late)
+    refresh.refresh_revenue(refresh.raw_stream(spark, source), out, mark)
+    wanted = {"2023-01-01": (4, 12.0), "2023-01-11": (1, 3.0), "2023-01-21": (1, 3.0)}
+    assert rows() == wanted
+    assert {f.split("/")[0] for f in before & parquet_files(out)} == {"day=2023-01-11"}  # not rewritten
+    # A batch that is tried again: one of its days was replaced before the failure, the other was not.
+    again = spark.createDataFrame(late, SCHEMA)
+    refresh.merge_revenue(again.where("invoice = '4'"), 7, out)
+    refresh.merge_revenue(again, 7, out)
+    refresh.merge_revenue(again, 7, out)
+    assert rows() == wanted | {"2023-01-01": (5, 15.0), "2023-01-21": (2, 6.0)}
+
+
+def test_a_refresh_reads_the_arriving_days_only(spark, tmp_path):
+    sink = spark.createDataFrame([(i, f"2023-01-{i + 1:02d}") for i in range(20)], "v long, day string")
+    sink.write.partitionBy("day").parquet(str(tmp_path / "s"))
+    touched = refresh._touched(spark.read.schema("v long, day string").parquet(str(tmp_path / "s")), sink.where("v = 4 OR v = 9"))
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [day" in plan and sorted(r["v"] for r in touched.collect()) == [4, 9]
+    assert {Path(f).parent.name for f in (r[0] for r in touched.select(F.input_file_name()).collect())} == {"day=2023-01-05", "day=2023-01-10"}
+
+
+def test_csv_export_is_read_back_with_the_options_it_was_written_with(spark, tmp_path):
+    from types import SimpleNamespace
+
+    from patronscope.plans import catalog
+
+    customers = spark.createDataFrame([(1, 'a"b,c'), (2, ""), (3, None), (4, " x ")], "customer_id long, country string")
+    space = SimpleNamespace(spark=spark, customers=customers, stage=tables.Stage(spark, str(tmp_path)))
+    got = catalog.QUERIES["write_tables_csv"](space).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, customers.collect()))
 
 
 def test_csv_keeps_blanks_quotes_and_nulls(spark, tmp_path):
