@@ -306,7 +306,7 @@ add("anomaly_score_hist", lambda w: anomalies.anomaly_score_hist(w.tx_flagged))
 # Streaming
 
 #: Files of a micro-batch, few enough that a refresh takes several.
-STREAM_FILES = 3
+STREAM_FILES = 4
 
 
 @query("stream_clean")

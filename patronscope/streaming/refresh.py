@@ -1,8 +1,9 @@
 """Incremental refresh with Structured Streaming: new invoice files are cleaned and merged into sinks by day.
 
-A sink is a Parquet table partitioned by day, and it is all the state there is: every arriving batch reads and writes the days
-that it has lines of, however old they are. Nothing is ever too late, nothing outside these days is read or rewritten, and
-no state grows with the history. A batch that is tried again after a failure changes nothing twice.
+A sink is a Parquet table partitioned by date (lines by day; daily totals, one row a day, by month), and it is all the state
+there is: every arriving batch reads and writes the partitions that it has lines of, however old they are. Nothing is ever too
+late, nothing outside these partitions is read or rewritten, and no state grows with the history. A batch that is tried again
+after a failure changes nothing twice.
 """
 
 from __future__ import annotations
@@ -19,8 +20,8 @@ from ..session import enable_checkpoints
 from ..sources.tables import overwrite_partitions
 from ..sources.transactions import RAW_SCHEMA
 
-DAY = "day"
-REVENUE_SCHEMA = f"lines bigint, units bigint, batch bigint, {DAY} string"
+DAY, MONTH = "day", "month"
+REVENUE_SCHEMA = f"{DAY} string, lines bigint, units bigint, batch bigint, {MONTH} string"
 
 
 def raw_stream(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
@@ -43,10 +44,10 @@ def _run(stream: DataFrame, merge: Callable[[DataFrame, int], None], checkpoint:
     return query
 
 
-def _touched(sink: DataFrame, arrived: DataFrame) -> DataFrame:
-    """The part of a sink that has the days of a batch; the list of days prunes partitions before any file is opened."""
-    days = [r[DAY] for r in arrived.select(DAY).distinct().collect()]  # one row a day
-    return sink.where(F.col(DAY).isin(days))
+def _touched(sink: DataFrame, arrived: DataFrame, by: str) -> DataFrame:
+    """The part of a sink that has the dates of a batch; their list prunes partitions before any file is opened."""
+    dates = [r[by] for r in arrived.select(by).distinct().collect()]  # one row a date
+    return sink.where(F.col(by).isin(dates))
 
 
 def merge_lines(arrived: DataFrame, path: str) -> None:
@@ -57,9 +58,10 @@ def merge_lines(arrived: DataFrame, path: str) -> None:
     spark, fresh = arrived.sparkSession, valid_lines(arrived).dropDuplicates().persist()
     try:
         fresh.limit(0).write.mode("append").partitionBy(DAY).parquet(path)  # the folder exists from the first batch on
-        known = _touched(spark.read.schema(fresh.schema).parquet(path), fresh)
+        known = _touched(spark.read.schema(fresh.schema).parquet(path), fresh, DAY)
         same: Column = reduce(lambda a, b: a & b, [fresh[c].eqNullSafe(known[c]) for c in fresh.columns])
-        fresh.join(known, same, "left_anti").write.mode("append").partitionBy(DAY).parquet(path)
+        # Rows of a day go to one task, or to several where it has very many: few files, and no day is a bottleneck.
+        fresh.join(known, same, "left_anti").hint("rebalance", DAY).write.mode("append").partitionBy(DAY).parquet(path)
     finally:
         fresh.unpersist()
 
@@ -72,28 +74,31 @@ def refresh_lines(stream: DataFrame, path: str, checkpoint: str) -> StreamingQue
 def merge_revenue(arrived: DataFrame, batch: int, path: str) -> None:
     """Add a batch's lines and revenue to the totals of its days, once.
 
-    Each day's row names the last batch that it holds. Days are replaced one by one, so after a failure some may hold the
-    batch and others not; a repeated batch adds to the latter only. A sink belongs to one checkpoint, which numbers its batches.
+    Each day's row names the last batch that it holds. Months are replaced one by one, so after a failure some days may hold
+    the batch and others not; a repeated batch adds to the latter only. A sink belongs to one checkpoint, which numbers its
+    batches.
     """
     spark = arrived.sparkSession
     enable_checkpoints(spark)
-    added = valid_lines(arrived).groupBy(DAY).agg(F.count(F.lit(1)).alias("lines"), F.sum(units("total_amount")).alias("units")).persist()
+    added = valid_lines(arrived).groupBy(DAY).agg(F.count(F.lit(1)).alias("new_lines"), F.sum(units("total_amount")).alias("new_units")).withColumn(
+        MONTH, F.substring(DAY, 1, 7)).persist()
     try:
-        empty = added.select("lines", "units", F.lit(batch).cast("bigint").alias("batch"), DAY).limit(0)
-        empty.write.mode("append").partitionBy(DAY).parquet(path)
-        known = _touched(spark.read.schema(REVENUE_SCHEMA).parquet(path), added)
-        old = known.select(DAY, F.col("lines").alias("old_lines"), F.col("units").alias("old_units"), "batch")
-        total = lambda c: (F.col(c) + F.coalesce(F.col(f"old_{c}"), F.lit(0))).alias(c)
-        merged = added.join(old, DAY, "left").where(F.coalesce(F.col("batch"), F.lit(-1)) < batch).select(
-            total("lines"), total("units"), F.lit(batch).cast("bigint").alias("batch"), DAY)
+        empty = spark.createDataFrame([], REVENUE_SCHEMA)
+        empty.write.mode("append").partitionBy(MONTH).parquet(path)  # the folder exists from the first batch on
+        known = _touched(spark.read.schema(REVENUE_SCHEMA).parquet(path), added, MONTH)
+        # Days of a touched month that the batch has no lines of, or that hold it already, stay as they are.
+        due = F.col("new_lines").isNotNull() & (F.coalesce(F.col("batch"), F.lit(-1)) < batch)
+        total = lambda c: (F.coalesce(c, F.lit(0)) + F.when(due, F.col(f"new_{c}")).otherwise(0)).alias(c)
+        merged = known.join(added, [DAY, MONTH], "full").select(
+            DAY, total("lines"), total("units"), F.when(due, batch).otherwise(F.col("batch")).cast("bigint").alias("batch"), MONTH)
         # One row a day, cut off from the files that the next step replaces.
-        overwrite_partitions(merged.checkpoint(), path, [DAY])
+        overwrite_partitions(merged.checkpoint(), path, [MONTH])
     finally:
         added.unpersist()
 
 
 def refresh_revenue(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Keep lines and revenue of every day up to date, repeats included; only days with arriving lines are touched."""
+    """Keep lines and revenue of every day up to date, repeats included; only months with arriving lines are touched."""
     return _run(stream, lambda batch, number: merge_revenue(batch, number, path), checkpoint)
 
 

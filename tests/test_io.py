@@ -87,31 +87,31 @@ def test_stream_keeps_lines_of_any_lateness(spark, tmp_path):
     assert spark.read.parquet(out).count() == 9
 
 
-def test_stream_revenue_touches_arriving_days_only(spark, tmp_path):
+def test_stream_revenue_touches_arriving_months_only(spark, tmp_path):
     source, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
     rows = lambda: {r["day"]: (r["lines"], r["revenue"]) for r in refresh.daily_revenue(spark, out).collect()}
-    drop_file(spark, source, [line(1, 0), line(2, 0), line(2, 0), line(3, 10), line(9, 3, code="POST")])
+    drop_file(spark, source, [line(1, 0), line(2, 0), line(2, 0), line(3, 40), line(9, 3, code="POST")])
     refresh.refresh_revenue(refresh.raw_stream(spark, source), out, mark)
-    assert rows() == {"2023-01-01": (3, 9.0), "2023-01-11": (1, 3.0)}
+    assert rows() == {"2023-01-01": (3, 9.0), "2023-02-10": (1, 3.0)}
     before = parquet_files(out)
-    late = [line(4, 0), line(5, 20)]  # the first of them for a day that is written
+    late = [line(4, 0), line(5, 80)]  # the first of them for a day that is written
     drop_file(spark, source, late)
     refresh.refresh_revenue(refresh.raw_stream(spark, source), out, mark)
-    wanted = {"2023-01-01": (4, 12.0), "2023-01-11": (1, 3.0), "2023-01-21": (1, 3.0)}
+    wanted = {"2023-01-01": (4, 12.0), "2023-02-10": (1, 3.0), "2023-03-22": (1, 3.0)}
     assert rows() == wanted
-    assert {f.split("/")[0] for f in before & parquet_files(out)} == {"day=2023-01-11"}  # not rewritten
+    assert {f.split("/")[0] for f in before & parquet_files(out)} == {"month=2023-02"}  # not rewritten
     # A batch that is tried again: one of its days was replaced before the failure, the other was not.
     again = spark.createDataFrame(late, SCHEMA)
     refresh.merge_revenue(again.where("invoice = '4'"), 7, out)
     refresh.merge_revenue(again, 7, out)
     refresh.merge_revenue(again, 7, out)
-    assert rows() == wanted | {"2023-01-01": (5, 15.0), "2023-01-21": (2, 6.0)}
+    assert rows() == wanted | {"2023-01-01": (5, 15.0), "2023-03-22": (2, 6.0)}
 
 
 def test_a_refresh_reads_the_arriving_days_only(spark, tmp_path):
     sink = spark.createDataFrame([(i, f"2023-01-{i + 1:02d}") for i in range(20)], "v long, day string")
     sink.write.partitionBy("day").parquet(str(tmp_path / "s"))
-    touched = refresh._touched(spark.read.schema("v long, day string").parquet(str(tmp_path / "s")), sink.where("v = 4 OR v = 9"))
+    touched = refresh._touched(spark.read.schema("v long, day string").parquet(str(tmp_path / "s")), sink.where("v = 4 OR v = 9"), "day")
     plan = touched._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [day" in plan and sorted(r["v"] for r in touched.collect()) == [4, 9]
     assert {Path(f).parent.name for f in (r[0] for r in touched.select(F.input_file_name()).collect())} == {"day=2023-01-05", "day=2023-01-10"}
