@@ -1,10 +1,11 @@
 """Licence scans: an exact set-similarity join of text blocks with licence templates.
 
-A block is a line of a text, or a window over line ends of as many words as the template has, at every position; so a
-notice that is wrapped is found too. A template is the set of words of a licence notice. A block matches a template if
-it contains at least MIN_CONTAINMENT of the template's words. Words are ordered by their frequency over all blocks of the corpus,
-rarest first, and three filters then leave few blocks to count: a match has one of the template's first words (prefix),
-enough template words at all (length), and enough of them after the first common one (position).
+A template is the set of words of a licence notice. A block is a window of as many words as the template has, at every position
+of a text and over line ends, so a notice is found however it is wrapped, and words far apart never make one. A block matches a
+template if it contains at least MIN_CONTAINMENT of the template's words, among them all words that tell it from other licences,
+and none that tells another. Words are ordered by their frequency over all lines of the corpus, rarest first, and filters leave
+few blocks to count: a match has one of the template's first words (prefix), starts with a template word and has enough of
+them at all (length), and so many after its rarest one (position).
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql.functions import arrow_udf
 from . import textarrays as ta
 
 MIN_CONTAINMENT = Fraction(4, 5)
+Words = tuple[str, ...]
 #: Phrases of the base rule and their labels.
 PHRASES = {
     "gnu general public license": "gpl",
@@ -43,6 +45,21 @@ TEMPLATES = {
     "cc_by_sa_notice": ("cc-by-sa-4.0", "Licensed under CC BY-SA 4.0."),
     "mpl_notice": ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License"),
 }
+#: Words that a block of a template must have, and words that it must not have.
+TELLING = {
+    "apache_notice": (("apache", "version", "2", "0"), ()),
+    "apache_terms": (("compliance", "license"), ()),
+    "apache_warranty": (("license", "warranties"), ()),
+    "gpl_notice": (("gnu", "general", "public", "version", "3"), ("lesser", "affero")),
+    "gpl_terms": (("gnu", "general", "public"), ("lesser", "affero")),
+    "mit_notice": (("mit",), ()),
+    "mit_grant": (("permission", "granted"), ()),
+    "bsd_terms": (("redistribution", "binary"), ()),
+    "cc_by_nc_notice": (("cc", "by", "nc", "4", "0"), ("sa", "nd")),
+    "cc_by_notice": (("creative", "commons", "attribution", "4", "0"), ("noncommercial", "sharealike", "noderivatives", "noderivs")),
+    "cc_by_sa_notice": (("cc", "by", "sa", "4", "0"), ("nc", "nd")),
+    "mpl_notice": (("mozilla",), ()),
+}
 
 
 def words_of(text: str) -> list[bytes]:
@@ -60,9 +77,11 @@ def _hash(word: bytes) -> int:
 class Scanner:
     """Finds the words of a small dictionary in the texts of a batch."""
 
-    def __init__(self, templates: dict[str, tuple[str, str]], phrases: dict[str, str]):
+    def __init__(self, templates: dict[str, tuple[str, str]], phrases: dict[str, str], telling: dict[str, tuple[Words, Words]] = TELLING):
         self.templates, self.phrases = templates, phrases
-        words = sorted({w for _, text in templates.values() for w in words_of(text)} | {w for p in phrases for w in words_of(p)})
+        self.telling = {name: tuple([w.encode() for w in part] for part in telling.get(name, ((), ()))) for name in templates}
+        words = sorted({w for _, text in templates.values() for w in words_of(text)} | {w for p in phrases for w in words_of(p)}
+                       | {w for parts in self.telling.values() for part in parts for w in part})
         self.words = words
         hashes = np.array([_hash(w) for w in words], np.uint64)
         order = np.argsort(hashes)
@@ -121,7 +140,8 @@ class Matcher:
         self.templates = []
         for name, (label, text) in scanner.templates.items():
             own = np.unique([self.rank[scanner.index[w]] for w in words_of(text)])  # rarest first
-            self.templates.append((name, label, own, ceil(containment * len(own)), len(words_of(text))))
+            needed, barred = ([scanner.index[w] for w in part] for part in scanner.telling[name])
+            self.templates.append((name, label, own, ceil(containment * len(own)), len(words_of(text)), needed, barred))
         self.phrases = [(np.array([scanner.index[w] for w in words_of(p)]), label) for p, label in scanner.phrases.items()]
 
     def places(self, spans: ta.Spans, numbers: np.ndarray) -> Iterator[tuple[np.ndarray, str]]:
@@ -133,37 +153,24 @@ class Matcher:
                 at = at[(numbers[at + i] == phrase[i]) & (spans.text[at + i] == spans.text[at])]
             yield at, label
 
-    def matches(self, block: np.ndarray, word: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, str, str, int]]:
-        """For each template: matching blocks, the number of its words in each, its name, label and size."""
-        first = np.flatnonzero(np.append(True, block[1:] != block[:-1])) if len(block) else np.zeros(0, np.int64)
-        size = np.diff(np.append(first, len(block)))
-        group = np.repeat(np.arange(len(first)), size)
-        for name, label, own, least, _ in self.templates:
-            prefix = own[:len(own) - least + 1]
-            place = np.minimum(np.searchsorted(own, word), len(own) - 1)
-            common = own[place] == word
-            entry = np.flatnonzero(common & (place < len(prefix)))
-            # The first common word of each block decides its position bound.
-            entry = entry[np.append(True, group[entry[1:]] != group[entry[:-1]])] if len(entry) else entry
-            owner = group[entry]
-            after = np.minimum(len(own) - place[entry] - 1, size[owner] - (entry - first[owner]) - 1)
-            owner = owner[(size[owner] >= least) & (1 + after >= least)]
-            counted = np.bincount(group[common], minlength=len(first))[owner]
-            yield block[first[owner[counted >= least]]], counted[counted >= least], name, label, len(own)
-
-    def wrapped(self, spans: ta.Spans, numbers: np.ndarray, every: ta.Spans) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, str, str, int]]:
-        """For each template: first and last line of matching windows over line ends, the number of its words in each, its
-        name, label and size. A window starts with a template word: any other holds no more than one that does."""
+    def blocks(self, spans: ta.Spans, numbers: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, str, str, int, int]]:
+        """For each template: first words of matching windows, the number of its words in each, its name, label, size and
+        width. A window starts with a template word: any other holds no more than one that does."""
         known = np.flatnonzero(numbers >= 0)
         ranks = self.rank[numbers[known]]
-        for name, label, own, least, width in self.templates:
+        for name, label, own, least, width, needed, barred in self.templates:
             place = np.minimum(np.searchsorted(own, ranks), len(own) - 1)
             common = own[place] == ranks
             at, place = known[common], place[common]
-            end = np.searchsorted(at, np.minimum(at + width, spans.bounds[spans.text[at] + 1]))
+            stop = np.minimum(at + width, spans.bounds[spans.text[at] + 1])
+            end = np.searchsorted(at, stop)
             rare = np.concatenate([[0], np.cumsum(place <= len(own) - least)])
             here = np.arange(len(at))
             first = here[(end - here >= least) & (rare[end] > rare[:-1])]
+            for words, wanted in ((needed, True), (barred, False)):
+                for word in words:
+                    places = np.flatnonzero(numbers == word)
+                    first = first[(np.searchsorted(places, at[first]) < np.searchsorted(places, stop[first])) == wanted]
             order = np.argsort(place, kind="stable")
             same = np.flatnonzero(place[order[1:]] == place[order[:-1]])
             before = np.full(len(at), -1)  # the hit before with the same word
@@ -173,10 +180,7 @@ class Matcher:
                 other = np.minimum(first + i, len(at) - 1)
                 counted += (first + i < end[first]) & (before[other] < first)
             first, counted = first[counted >= least], counted[counted >= least]
-            top = np.searchsorted(every.start, spans.start[at[first]], "right") - 1
-            bottom = np.searchsorted(every.start, spans.start[at[end[first] - 1]], "right") - 1
-            over = top < bottom
-            yield top[over], bottom[over], counted[over], name, label, len(own)
+            yield at[first], counted, name, label, len(own), width
 
     def scan(self, text: pa.Array) -> pa.Array:
         rows = []
@@ -193,17 +197,17 @@ class Matcher:
                     row["last_word"] = start if row["last_word"] is None else max(row["last_word"], start)
                     row["base"].add(label)
                     row["labels"].add(label)
-            block, word, every = self.scanner.blocks(chunk, spans, numbers, self.rank)
-            for (where, counted, name, label, size), (top, bottom, held, *_) in zip(
-                    self.matches(block, word), self.wrapped(spans, numbers, every), strict=True):
-                best = dict(zip(where.tolist(), counted.tolist()))
-                # A window counts where it holds more than each of its lines, the best one for the line it starts in.
-                crossing: dict[int, int] = {}
-                for a, z, n in zip(top.tolist(), bottom.tolist(), held.tolist()):
-                    if n > max(best.get(b, 0) for b in range(a, z + 1)):
-                        crossing[a] = max(crossing.get(a, 0), n)
-                for b, n in (best | crossing).items():
-                    t = int(every.text[b])
+            every = ta.lines(chunk)
+            for start, counted, name, label, size, width in self.blocks(spans, numbers):
+                if not len(start):
+                    continue
+                # Windows that overlap are one place; its first best window is reported.
+                new = np.append(True, (start[1:] >= start[:-1] + width) | (spans.text[start[1:]] != spans.text[start[:-1]]))
+                place = np.cumsum(new) - 1
+                best = np.lexsort((start, -counted, place))
+                best = best[np.append(True, place[best[1:]] != place[best[:-1]])]
+                line = np.searchsorted(every.start, spans.start[start[best]], "right") - 1
+                for t, b, n in zip(spans.text[start[best]].tolist(), line.tolist(), counted[best].tolist()):
                     found[t]["labels"].add(label)
                     found[t]["score"] = max(found[t]["score"], n / size)
                     found[t]["blocks"].append({"line": b - int(every.bounds[t]), "template": name, "containment": n / size})
@@ -219,15 +223,15 @@ class Matcher:
 
 
 def license_scan(docs: DataFrame, templates: dict[str, tuple[str, str]] = TEMPLATES, phrases: dict[str, str] = PHRASES,
-                 containment: Fraction = MIN_CONTAINMENT) -> DataFrame:
+                 containment: Fraction = MIN_CONTAINMENT, telling: dict[str, tuple[Words, Words]] = TELLING) -> DataFrame:
     """All columns of ``docs`` in a struct ``document``, and a struct ``license``.
 
-    n_words; places of the phrases (n_base, first_word, last_word, base_labels); the matching ``blocks`` (line from 0, of
-    a window the one it starts in; template, containment); ``labels`` of both, sorted; ``score``, the highest containment of a matching block, 0 without
+    n_words; places of the phrases (n_base, first_word, last_word, base_labels); the matching ``blocks`` (line, from 0,
+    that the window starts in; template, containment; of overlapping windows the first best one); ``labels`` of both, sorted; ``score``, the highest containment of a matching block, 0 without
     one. A null text counts as empty. Repeated rows are scanned each for itself. Templates are part of the code that tasks get, so
     they should stay a few thousand; the corpus may have any size.
     """
-    scanner = Scanner(templates, phrases)
+    scanner = Scanner(templates, phrases, telling)
     matcher = Matcher(scanner, frequencies(docs, scanner), containment)
     kind = ("struct<n_words: bigint, n_base: bigint, first_word: bigint, last_word: bigint, base_labels: string, labels: string, score: double, "
             "blocks: array<struct<line: bigint, template: string, containment: double>>>")
@@ -236,7 +240,7 @@ def license_scan(docs: DataFrame, templates: dict[str, tuple[str, str]] = TEMPLA
 
 
 def oracle_sql() -> str:
-    """Base places by leading words, containment by counting distinct words of each line."""
+    """Base places by leading words, containment by counting distinct words of each window."""
     words = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
     lowered = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     places = []
@@ -245,6 +249,8 @@ def oracle_sql() -> str:
         test = " AND ".join(f"{'word' if i == 0 else f'next{i}'} = '{w}'" for i, w in enumerate(parts))
         places.append(f"SELECT doc_id, pos, '{label}' AS label FROM w WHERE {test}")
     template_rows = ", ".join(f"('{name}', '{label}', '{w.decode()}')" for name, (label, text) in TEMPLATES.items() for w in sorted(set(words_of(text))))
+    widths = ", ".join(f"('{name}', {len(words_of(text))})" for name, (_, text) in TEMPLATES.items())
+    telling = ", ".join(f"('{name}', '{w}', {wanted})" for name, parts in TELLING.items() for part, wanted in zip(parts, ("true", "false")) for w in part)
     return f"""
 WITH d AS MATERIALIZED (SELECT doc_id, {lowered.format('text')} AS text FROM documents),
 s AS (SELECT doc_id, unnest(regexp_extract_all(text, {words})) AS word, generate_subscripts(regexp_extract_all(text, {words}), 1) - 1 AS pos FROM d),
@@ -252,12 +258,18 @@ w AS MATERIALIZED (SELECT doc_id, pos, word, lead(word, 1) OVER x AS next1, lead
       FROM s WINDOW x AS (PARTITION BY doc_id ORDER BY pos)),
 p AS MATERIALIZED ({' UNION ALL '.join(places)}),
 b AS (SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word FROM p GROUP BY doc_id),
-l AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS line, unnest(string_split(text, chr(10))) AS part FROM d),
 t(template, label, word) AS (VALUES {template_rows}),
+v(template, width) AS (VALUES {widths}),
+q(template, word, wanted) AS (VALUES {telling}),
 n AS (SELECT template, label, count(*) AS size FROM t GROUP BY template, label),
-m AS MATERIALIZED (SELECT k.doc_id, n.label, k.common / n.size::DOUBLE AS containment FROM
-      (SELECT doc_id, line, template, count(*) AS common FROM (SELECT DISTINCT doc_id, line, unnest(regexp_extract_all(part, {words})) AS word FROM l) JOIN t USING (word)
-       GROUP BY doc_id, line, template) k JOIN n USING (template) WHERE {MIN_CONTAINMENT.denominator} * k.common >= {MIN_CONTAINMENT.numerator} * n.size),
+h AS MATERIALIZED (SELECT s.doc_id, t.template, v.width, s.pos, s.word FROM s JOIN t USING (word) JOIN v USING (template)),
+k AS MATERIALIZED (SELECT doc_id, template, width, pos, count(DISTINCT word) OVER (PARTITION BY doc_id, template ORDER BY pos RANGE BETWEEN CURRENT ROW AND width - 1 FOLLOWING) AS common FROM h),
+e AS MATERIALIZED (SELECT k.doc_id, k.template, k.pos, k.width, n.label, k.common / n.size::DOUBLE AS containment FROM k JOIN n USING (template)
+      WHERE {MIN_CONTAINMENT.denominator} * k.common >= {MIN_CONTAINMENT.numerator} * n.size),
+x AS (SELECT e.doc_id, e.template, e.pos, count(DISTINCT CASE WHEN q.wanted THEN q.word END) AS has, count(CASE WHEN NOT q.wanted THEN 1 END) AS bars
+      FROM e JOIN s ON s.doc_id = e.doc_id AND s.pos >= e.pos AND s.pos < e.pos + e.width JOIN q ON q.template = e.template AND q.word = s.word GROUP BY ALL),
+m AS MATERIALIZED (SELECT e.doc_id, e.label, e.containment FROM e JOIN x USING (doc_id, template, pos)
+      WHERE bars = 0 AND has = (SELECT count(*) FROM q WHERE q.template = e.template AND q.wanted)),
 g AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM p UNION ALL SELECT doc_id, label FROM m) GROUP BY doc_id),
 bl AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM p GROUP BY doc_id),
 c AS (SELECT doc_id, count(*) AS n_words FROM s GROUP BY doc_id),
