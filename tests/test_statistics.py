@@ -91,11 +91,75 @@ def test_log_gamma():
     assert np.allclose(clv.log_gamma(x), [math.lgamma(v) for v in x], atol=1e-10)
 
 
-def test_hypergeometric_series():
-    """2F1(a, b; b; z) = (1 - z)^-a, and ln(1 - z) for 2F1(1, 1; 2; z)."""
-    z = np.array([0.1, 0.5, 0.9])
-    assert np.allclose(clv.hyp2f1(np.full(3, 2.5), np.full(3, 1.7), np.full(3, 1.7), z), (1 - z) ** -2.5)
-    assert np.allclose(clv.hyp2f1(np.ones(3), np.ones(3), np.full(3, 2.0), z), -np.log(1 - z) / z)
+def test_derivatives_of_log_gamma():
+    x = np.array([0.01, 0.5, 1.0, 2.5, 10.0, 123.4])
+    h = 1e-5 * x
+    slope = lambda f: (f(x + h) - f(x - h)) / (2 * h)
+    assert np.allclose(clv.digamma(x), slope(clv.log_gamma), rtol=1e-6) and np.allclose(clv.trigamma(x), slope(clv.digamma), rtol=1e-6)
+
+
+def test_derivatives_of_the_likelihoods():
+    rng = np.random.default_rng(3)
+    x = np.array([0.0, 0, 1, 2, 7, 40])
+    tx, t = np.array([0.0, 0, 0.2, 0.9, 0.5, 0.99]), np.array([0.1, 1, 0.4, 1, 0.9, 1])
+    m = rng.lognormal(3, 1, 5)
+    for derivatives, size, data in ((clv.bgnbd_derivatives, 4, (x, tx, t)), (clv.gamma_gamma_derivatives, 3, (x[1:] + 1, m))):
+        for _ in range(5):
+            point = rng.lognormal(0, 0.7, size)
+            found = derivatives(point, *data)
+            for i in range(size):
+                e = np.eye(size)[i] * 1e-5 * point[i]
+                up, down = derivatives(point + e, *data), derivatives(point - e, *data)
+                assert np.allclose(found.slope[:, i], (up.value - down.value) / (2 * e[i]), rtol=1e-5, atol=1e-6)
+                assert np.allclose(found.bend[:, i], (up.slope - down.slope) / (2 * e[i]), rtol=1e-5, atol=1e-5)
+
+
+def series(a, b, c, z):
+    term = total = 1.0
+    for n in range(200_000):
+        term *= (a + n) * (b + n) / ((c + n) * (n + 1)) * z
+        total += term
+        if abs(term) < 1e-16 * abs(total):
+            return total
+    raise AssertionError
+
+
+def test_expected_purchases_against_the_hypergeometric_form():
+    """The published closed form, whose series is summed term by term."""
+    for params in (PARAMS, {"r": 2.1, "alpha": 9.0, "a": 1.7, "b": 0.4}, {"r": 0.05, "alpha": 0.5, "a": 0.08, "b": 3.0}):
+        r, alpha, a, b = (params[k] for k in ("r", "alpha", "a", "b"))
+        for x, tx, t, h in ((2, 30.43, 38.86, 39.0), (0, 0.0, 5.0, 52.0), (25, 50.0, 52.0, 4.0), (1, 1.0, 60.0, 300.0)):
+            z, shrink = h / (alpha + t + h), (alpha + t) / (alpha + t + h)
+            full = (a + b + x - 1) / (a - 1) * (1 - shrink ** (r + x) * series(r + x, b + x, a + b + x - 1, z))
+            odds = a / (b + max(x, 1) - 1) * ((alpha + t) / (alpha + tx)) ** (r + x) if x else 0.0
+            got = clv._expected(params, *(np.array([float(v)]) for v in (x, tx, t)), h)[0]
+            assert abs(got - full / (1 + odds)) < 1e-7 * max(1, full)
+
+
+def test_far_horizons_and_missing_values_take_bounded_work():
+    import time
+
+    rows = 2000
+    x, tx, t = np.full(rows, 1.0), np.full(rows, 0.0), np.full(rows, 0.0)
+    start = time.perf_counter()
+    near_one = clv._expected(PARAMS, x, tx, t, 1e6)  # a series in z = 0.999996
+    assert time.perf_counter() - start < 2 and np.isfinite(near_one).all() and (near_one > 0).all()
+    x[3], t[5] = np.nan, np.nan
+    got = clv._expected(PARAMS, x, tx, t, 52.0)
+    assert np.isnan(got[[3, 5]]).all() and np.isfinite(np.delete(got, [3, 5])).all()
+
+
+def test_a_fit_without_an_optimum_is_an_error(spark):
+    rng = np.random.default_rng(4)
+    rows = [(int(x), float(rng.integers(x, 41)) if x else 0.0, 40.0 + int(rng.integers(0, 10))) for x in rng.negative_binomial(1, 0.3, 200)]
+    df = spark.createDataFrame(rows, "frequency long, recency double, t double")
+    table = df.selectExpr("frequency", "recency / 50 AS tx", "t / 50 AS age", "1L AS weight")
+    found = clv.maximise(table, ["frequency", "tx", "age"], clv.bgnbd_derivatives, 4, 1.0)
+    assert found.gradient <= clv.GRADIENT
+    with pytest.raises(RuntimeError):
+        clv.maximise(table, ["frequency", "tx", "age"], clv.bgnbd_derivatives, 4, 1.0, rounds=2)
+    with pytest.raises(RuntimeError):
+        clv.maximise(table.selectExpr("frequency", "tx", "CAST('NaN' AS DOUBLE) AS age", "weight"), ["frequency", "tx", "age"], clv.bgnbd_derivatives, 4, 1.0)
 
 
 PARAMS = {"r": 0.243, "alpha": 4.414, "a": 0.793, "b": 2.426}
