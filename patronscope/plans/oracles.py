@@ -13,6 +13,8 @@ from ..functions.statistics import ERF_A, ERF_P, HALF_PI, SIMPSON_STEPS, normal_
 from ..operators import experiment as ab
 from ..operators.anomalies import (CUSTOMER_CONTAMINATION, CUSTOMER_SCALED, CUSTOMER_TREES, EULER_GAMMA, PATH_UNIT, PRIME, SAMPLE, TX_CONTAMINATION, TX_FEATURES,
                                    TX_SCALED, TX_TREES, UNIT as FEATURE_UNIT)
+from ..operators.clv import (BGNBD_PENALTY, GAMMA_PENALTY, HORIZON_WEEKS, LEAST_PARAMETER, MONTHS, NODE_STEP, NODES, PARAMETER_DIGITS, WEEKS_PER_MONTH,
+                             YEARLY_DISCOUNT)
 from ..operators.clustering import FEATURES, ITERATIONS, K_RANGE, MIN_K, RESTARTS, SWEEP_RESTARTS, UNIT
 from ..operators.explore import WEEKDAYS
 from ..operators.insights import DEFAULT_UPLIFT, STRATEGY, STRATEGY_COLUMNS, TOTAL, UPLIFT
@@ -348,6 +350,94 @@ CTE["txf"] = "SELECT txf0.*, " + ", ".join(f"({c} - m{i}) / s{i} AS {n}" for i,
 CTE |= _forest("tx", "txf", TX_SCALED, f"invoice || '|' || stock_code || '|' || strftime(invoice_date, '%Y-%m-%d %H:%M:%S') || '|' || quantity || '|' || {u('total_amount')}",
                TX_TREES, TX_CONTAMINATION)
 CTE |= _forest("cu", "scaled", CUSTOMER_SCALED, "CAST(customer_id AS VARCHAR)", CUSTOMER_TREES, CUSTOMER_CONTAMINATION)
+def _digamma(y: str) -> str:
+    z = f"({y} + 8)"
+    i = f"(1 / ({z} * {z}))"
+    return f"(ln({z}) - 0.5 / {z} - {i} * (1 / 12::DOUBLE - {i} * (1 / 120::DOUBLE - {i} * (1 / 252::DOUBLE - {i} / 240))) - (" + " + ".join(f"1 / ({y} + {k})" for k in range(8)) + "))"
+
+
+def _trigamma(y: str) -> str:
+    z = f"({y} + 8)"
+    i = f"(1 / ({z} * {z}))"
+    return (f"(1 / {z} + 0.5 * {i} + {i} / {z} * (1 / 6::DOUBLE - {i} * (1 / 30::DOUBLE - {i} * (1 / 42::DOUBLE - {i} / 30))) + ("
+            + " + ".join(f"1 / (({y} + {k}) * ({y} + {k}))" for k in range(8)) + "))")
+
+
+def _determinant(m: list[list[str]]) -> str:
+    if len(m) == 1:
+        return m[0][0]
+    parts = [f"{'-' if j % 2 else '+'} {m[0][j]} * {_determinant([row[:j] + row[j + 1:] for row in m[1:]])}" for j in range(len(m))]
+    return "(" + " ".join(parts).lstrip("+ ") + ")"
+
+
+def _newton(p: str, table: str, names: str, layers: str, g: list[str], h: dict[tuple[int, int], str], penalty: float, rounds: int = 60) -> dict[str, str]:
+    """Steps of a Newton fit: ``names`` are the parameters, ``layers`` the terms of a row, ``g`` and ``h`` the slope and bend of its
+    log-likelihood."""
+    n, low = len(names), math.log(LEAST_PARAMETER)
+    th = ", ".join(f"th{i}" for i in range(n))
+    given = ", ".join(f"exp(th{i}) AS {c}" for i, c in enumerate(names))
+    mean = ", ".join([f"sum(w * ({e})) / sum(w) AS g{i}" for i, e in enumerate(g)]
+                     + [f"sum(w * ({h.get((i, j), '0')})) / sum(w) AS h{i}{j}" for i in range(n) for j in range(i, n)])
+    grad = ", ".join(f"-exp(th{i}) * g{i} + {2 * penalty} * exp(2 * th{i}) AS d{i}" for i in range(n))
+    bend = lambda i, j: (f"(-exp(th{i} + th{j}) * h{min(i, j)}{max(i, j)}" + (f" - exp(th{i}) * g{i} + {4 * penalty} * exp(2 * th{i})" if i == j else "") + ")")
+    free = lambda i: f"(th{i} > {low + 1e-12!r} OR d{i} < 0)"
+    matrix = ", ".join(f"CASE WHEN {free(i)} AND {free(j)} THEN {bend(i, j)} ELSE {int(i == j)} END AS n{i}{j}" for i in range(n) for j in range(n))
+    # Where the matrix is not positive definite, its diagonal is raised above the sums of its rows.
+    plain = [[f"n{i}{j}" for j in range(n)] for i in range(n)]
+    definite = " AND ".join(f"{_determinant([row[:k] for row in plain[:k]])} > 0" for k in range(1, n + 1))
+    lowest = "least(" + ", ".join(f"n{i}{i}" + "".join(f" - abs(n{i}{j})" for j in range(n) if j != i) for i in range(n)) + ")"
+    raised = f"CASE WHEN {definite} THEN 0 ELSE 0.01 - {lowest} END AS up"
+    lifted = ", ".join(f"n{i}{j}{' + up' if i == j else ''} AS m{i}{j}" for i in range(n) for j in range(n))
+    vector = ", ".join(f"CASE WHEN {free(i)} THEN d{i} ELSE 0 END AS v{i}" for i in range(n))
+    m = [[f"m{i}{j}" for j in range(n)] for i in range(n)]
+    steps = ", ".join(f"-{_determinant([[f'v{i}' if j == k else m[i][j] for j in range(n)] for i in range(n)])} / {_determinant(m)} AS s{k}" for k in range(n))
+    largest = f"greatest({', '.join(f'abs(s{i})' for i in range(n))})" if n > 1 else "abs(s0)"
+    return {
+        f"{p}newton": f"""SELECT 0 AS it, {', '.join(f'0.1::DOUBLE AS th{i}' for i in range(n))} UNION ALL
+ SELECT it + 1, {', '.join(f'greatest(th{i} + s{i} * least(1, 1 / greatest({largest}, 1e-12)), {low!r})' for i in range(n))} FROM (SELECT it, {th}, {steps} FROM
+ (SELECT *, {lifted} FROM (SELECT *, {raised} FROM (SELECT *, {matrix}, {vector} FROM (SELECT *, {grad} FROM (SELECT any_value(it) AS it, {', '.join(f'any_value(th{i}) AS th{i}' for i in range(n))}, {mean} FROM
+ ({layers.format(source=f"(SELECT it, {th}, {given}, k.* FROM {p}newton, {table} k WHERE it < {rounds})")}))))))) WHERE it IS NOT NULL""",
+    }
+
+
+_S = "(r + x)"
+_MIX = lambda i: f"(p * a{i} + q * d{i})"
+_CROSS = lambda i, j, aa="0", dd="0": f"p * ({aa} + a{i} * a{j}) + q * ({dd} + d{i} * d{j}) - {_MIX(i)} * {_MIX(j)}"
+CTE["bgt"] = """SELECT frequency AS x, recency / longest AS tx, t / longest AS age, count(*) AS w FROM clvsum, (SELECT max(t) AS longest FROM clvsum) l GROUP BY ALL"""
+CTE |= _newton("bg", "bgt", ["r", "al", "a", "b"], f"""SELECT *, CASE WHEN x > 0 THEN 1 - p ELSE 0 END AS q FROM (SELECT *, CASE WHEN x > 0 THEN 1 / (1 + exp(ln(a) - ln(l) - {_S} * (ln(yd) - ln(ya)))) ELSE 1 END AS p,
+ -ln(ya) AS a0, -{_S} / ya AS a1, 0 AS a2, 0 AS a3, -ln(yd) AS d0, -{_S} / yd AS d1, 1 / a AS d2, -1 / l AS d3 FROM
+ (SELECT *, al + age AS ya, al + tx AS yd, b + greatest(x, 1) - 1 AS l FROM {{source}}))""",
+    [f"{_digamma(_S)} - {_digamma('r')} + ln(al) + {_MIX(0)}", f"r / al + {_MIX(1)}", f"{_digamma('(a + b)')} - {_digamma('(a + b + x)')} + {_MIX(2)}",
+     f"{_digamma('(a + b)')} + {_digamma('(b + x)')} - {_digamma('b')} - {_digamma('(a + b + x)')} + {_MIX(3)}"],
+    {(0, 0): f"{_trigamma(_S)} - {_trigamma('r')} + {_CROSS(0, 0)}", (0, 1): f"1 / al + {_CROSS(0, 1, '(-1 / ya)', '(-1 / yd)')}", (0, 2): _CROSS(0, 2), (0, 3): _CROSS(0, 3),
+     (1, 1): f"-r / (al * al) + {_CROSS(1, 1, f'{_S} / (ya * ya)', f'{_S} / (yd * yd)')}", (1, 2): _CROSS(1, 2), (1, 3): _CROSS(1, 3),
+     (2, 2): f"{_trigamma('(a + b)')} - {_trigamma('(a + b + x)')} + {_CROSS(2, 2, '0', '(-1 / (a * a))')}",
+     (2, 3): f"{_trigamma('(a + b)')} - {_trigamma('(a + b + x)')} + {_CROSS(2, 3)}",
+     (3, 3): f"{_trigamma('(a + b)')} + {_trigamma('(b + x)')} - {_trigamma('b')} - {_trigamma('(a + b + x)')} + {_CROSS(3, 3, '0', '1 / (l * l)')}"}, BGNBD_PENALTY)
+CTE["ggt"] = "SELECT frequency AS x, monetary_value AS m, count(*) AS w FROM clvsum WHERE frequency > 0 AND monetary_value > 0 GROUP BY ALL"
+_U = "(p * x + q)"
+CTE |= _newton("gg", "ggt", ["p", "q", "v"], "SELECT *, x * m + v AS y FROM {source}",
+    [f"x * {_digamma(_U)} - x * {_digamma('(p * x)')} + x * (ln(m) + ln(x)) - x * ln(y)", f"{_digamma(_U)} - {_digamma('q')} + ln(v) - ln(y)", f"q / v - {_U} / y"],
+    {(0, 0): f"x * x * ({_trigamma(_U)} - {_trigamma('(p * x)')})", (0, 1): f"x * {_trigamma(_U)}", (0, 2): "-x / y",
+     (1, 1): f"{_trigamma(_U)} - {_trigamma('q')}", (1, 2): "1 / v - 1 / y", (2, 2): f"-q / (v * v) + {_U} / (y * y)"}, GAMMA_PENALTY)
+CTE["bgpar"] = f"""SELECT {', '.join(f'round(exp(th{i}){" * longest" if n == "alpha" else ""}, {PARAMETER_DIGITS}) AS {n}' for i, n in enumerate(("r", "alpha", "a", "b")))}
+ FROM (SELECT * FROM bgnewton ORDER BY it DESC LIMIT 1) s, (SELECT max(t) AS longest FROM clvsum) l"""
+CTE["ggpar"] = f"SELECT {', '.join(f'round(exp(th{i}), {PARAMETER_DIGITS}) AS {n}' for i, n in enumerate('pqv'))} FROM (SELECT * FROM ggnewton ORDER BY it DESC LIMIT 1) s"
+CTE["bgnodes"] = f"""SELECT CASE WHEN s > 0 THEN -ln(1 + exp(-s)) ELSE s - ln(1 + exp(s)) END AS lp, CASE WHEN s > 0 THEN -s - ln(1 + exp(-s)) ELSE -ln(1 + exp(s)) END AS lr,
+ ln(pi() * cosh(i * {NODE_STEP}::DOUBLE)) AS ls FROM (SELECT i, pi() * sinh(i * {NODE_STEP}::DOUBLE) AS s FROM range({-NODES}, {NODES + 1}) g(i))"""
+CTE["bgexp"] = f"""SELECT customer_id, h, sum(weight * CASE WHEN (r + x) * p * k < 1e-4 THEN (r + x) * k * (1 - (r + x + 1) / 2 * p * k * (1 - (r + x + 2) / 3 * p * k))
+ ELSE (1 - pow(1 + p * k, -(r + x))) / p END) / sum(weight) / any_value(1 + odds) AS bought FROM (SELECT customer_id, h, frequency AS x, r, exp(lp) AS p, horizon / (alpha + t) AS k,
+ exp(a * lp + (b + frequency) * lr + ls) AS weight, CASE WHEN frequency > 0 THEN a / (b + greatest(frequency, 1) - 1) * pow((alpha + t) / (alpha + recency), r + frequency) ELSE 0 END AS odds
+ FROM clvsum, bgpar, bgnodes, (SELECT h, CASE WHEN h = 0 THEN {HORIZON_WEEKS} ELSE h * {WEEKS_PER_MONTH} END::DOUBLE AS horizon FROM range({MONTHS + 1}) g(h)) m) GROUP BY customer_id, h"""
+CTE["bgalive"] = f"""SELECT customer_id, {r('1 / (1 + CASE WHEN frequency > 0 THEN a / (b + greatest(frequency, 1) - 1) * pow((alpha + t) / (alpha + recency), r + frequency) ELSE 0 END)', 4)} AS prob_alive
+ FROM clvsum, bgpar"""
+CTE["bgvalue"] = f"""SELECT customer_id, sum((bought - before) / pow(1 + {YEARLY_DISCOUNT}::DOUBLE / 12, h)) AS discounted FROM (SELECT *, coalesce(lag(bought) OVER (PARTITION BY customer_id ORDER BY h), 0) AS before
+ FROM bgexp WHERE h > 0) GROUP BY customer_id"""
+CTE["pv"] = f"""SELECT c.*, prob_alive, {r('bought', 2)} AS predicted_purchases_12m, {r('value', 2)} AS predicted_avg_order, {r('discounted * value', 2)} AS clv_predicted FROM
+ (SELECT clvsum.*, p * (v + frequency * monetary_value) / (p * frequency + q - 1) AS value FROM clvsum, ggpar WHERE frequency > 0) o JOIN clvsum c USING (customer_id)
+ JOIN bgalive USING (customer_id) JOIN bgvalue USING (customer_id) JOIN bgexp e ON e.customer_id = c.customer_id AND e.h = 0"""
+CTE["pvtier"] = CTE["tier"].replace("fb", "pv")
+CTE["pvseg"] = CTE["fbseg"].replace("fb", "pv")
 CTE["cov"] = "SELECT " + ", ".join(f"covar_samp({FEATURES[i]}, {FEATURES[j]}) AS c{i}{j}" for i in range(3) for j in range(i, 3)) + " FROM scaled"
 CTE["eigen"] = """SELECT *, 3 * mean - e1 - e3 AS e2 FROM (SELECT *, mean + 2 * p * cos(phi) AS e1, mean + 2 * p * cos(phi + 2 * pi() / 3) AS e3 FROM (SELECT *, acos(least(1.0::DOUBLE,
  greatest(-1.0::DOUBLE, ((c00 - mean) * ((c11 - mean) * (c22 - mean) - c12 * c12) - c01 * (c01 * (c22 - mean) - c12 * c02) + c02 * (c01 * c12 - (c11 - mean) * c02)) / (2 * p * p * p)))) / 3 AS phi
@@ -751,6 +841,15 @@ def _bodies() -> dict[str, str]:
     q["alive_hist"] = f"""SELECT {bins('prob_alive', 'lo', 'hi', 40)} AS bin, any_value(pct_alive) AS pct_alive, count(*) AS customers FROM fb,
  (SELECT min(prob_alive) AS lo, max(prob_alive) AS hi, {pct('count(*) FILTER (prob_alive >= 0.5)', 'count(*)')} AS pct_alive FROM fb) GROUP BY 1"""
 
+    q["bgnbd_fit"], q["gamma_gamma_fit"] = "SELECT * FROM bgpar", "SELECT * FROM ggpar"
+    q["prob_alive"] = "SELECT customer_id, prob_alive FROM bgalive"
+    q["expected_purchases"] = f"SELECT customer_id, {r('bought', 2)} AS predicted_purchases_12m FROM bgexp WHERE h = 0"
+    q["expected_order_value"] = "SELECT customer_id, predicted_avg_order FROM pv"
+    q["clv_predicted"] = "SELECT * FROM pv"
+    q["clv_predicted_tiers"] = q["clv_tier_table"].replace("FROM tier", "FROM pvtier")
+    q["clv_predicted_segments"] = q["clv_segment_table"].replace("fbseg", "pvseg").replace("pp)", "predicted_purchases_12m)").replace("(pp", "(predicted_purchases_12m").replace("pp ", "predicted_purchases_12m ")
+    q["clv_predicted_headline"] = q["clv_headline"].replace("FROM fb", "FROM pv")
+
     seven = ("recency_days", "frequency", "monetary", "rfm_score", "r_score", "f_score", "m_score")
     q["segment_mean_median"] = f"SELECT segment_label, metric, {r(mavg('x'), 1)} AS mean, {r(r('median(x)', 4), 1)} AS median FROM {_unpivot('seg', seven, 'segment_label')} GROUP BY 1, 2"
     q["cluster_summary"] = f"""SELECT segment_label, customers, avg_recency, avg_frequency, avg_monetary, {r('rev', 1)} AS total_revenue, avg_rfm_score,
