@@ -17,6 +17,7 @@ from ..operators.clv import (BGNBD_PENALTY, GAMMA_PENALTY, HORIZON_WEEKS, LEAST_
                              YEARLY_DISCOUNT)
 from ..operators.clustering import FEATURES, ITERATIONS, K_RANGE, MIN_K, RESTARTS, SWEEP_RESTARTS, UNIT
 from ..operators.explore import WEEKDAYS
+from ..operators.neighbours import EPS_QUANTILE, MIN_SAMPLES, NOISE
 from ..operators.insights import DEFAULT_UPLIFT, STRATEGY, STRATEGY_COLUMNS, TOTAL, UPLIFT
 from ..operators.segment_questions import VALUE_PERCENTILES, column_name
 
@@ -403,6 +404,19 @@ def _newton(p: str, table: str, names: str, layers: str, g: list[str], h: dict[t
 _S = "(r + x)"
 _MIX = lambda i: f"(p * a{i} + q * d{i})"
 _CROSS = lambda i, j, aa="0", dd="0": f"p * ({aa} + a{i} * a{j}) + q * ({dd} + d{i} * d{j}) - {_MIX(i)} * {_MIX(j)}"
+_APART = "sqrt(" + " + ".join(f"pow(a.{c} - b.{c}, 2)" for c in FEATURES) + ")"
+# The customer itself is the first of its five nearest.
+CTE["knn"] = f"""SELECT customer_id, distance FROM (SELECT a.customer_id, {_APART} AS distance, row_number() OVER (PARTITION BY a.customer_id ORDER BY {_APART}) AS nth
+ FROM scaled a, scaled b) WHERE nth = 5"""
+CTE["within"] = f"SELECT a.customer_id AS u, b.customer_id AS v FROM scaled a, scaled b, (SELECT quantile_cont(distance, {EPS_QUANTILE}) AS eps FROM knn) e WHERE {_APART} <= eps"
+CTE["dcore"] = f"SELECT u AS id FROM within GROUP BY u HAVING count(*) >= {MIN_SAMPLES}"
+CTE["dedge"] = "SELECT u, v FROM within WHERE u IN (SELECT id FROM dcore) AND v IN (SELECT id FROM dcore)"
+# Smaller labels travel along the edges until none is new.
+CTE["dlab"] = "SELECT id, id AS label FROM dcore UNION SELECT e.u, min(c.label) FROM dlab c JOIN dedge e ON e.v = c.id WHERE c.label < e.u GROUP BY e.u"
+CTE["dcomp"] = "SELECT id, min(label) AS label FROM dlab GROUP BY id"
+CTE["dbs"] = f"""SELECT customer_id, CAST(coalesce(cluster, {NOISE}) AS INTEGER) AS dbscan_cluster, core AS is_core FROM (SELECT s.customer_id, max(CASE WHEN c.id IS NOT NULL THEN 1 ELSE 0 END) = 1 AS core,
+ coalesce(min(c.label), min(o.label)) AS label FROM scaled s LEFT JOIN dcomp c ON c.id = s.customer_id LEFT JOIN within w ON w.u = s.customer_id LEFT JOIN dcomp o ON o.id = w.v
+ GROUP BY s.customer_id) x LEFT JOIN (SELECT label, row_number() OVER (ORDER BY label) - 1 AS cluster FROM (SELECT DISTINCT label FROM dcomp)) n USING (label)"""
 CTE["bgt"] = """SELECT frequency AS x, recency / longest AS tx, t / longest AS age, count(*) AS w FROM clvsum, (SELECT max(t) AS longest FROM clvsum) l GROUP BY ALL"""
 CTE |= _newton("bg", "bgt", ["r", "al", "a", "b"], f"""SELECT *, CASE WHEN x > 0 THEN 1 - p ELSE 0 END AS q FROM (SELECT *, CASE WHEN x > 0 THEN 1 / (1 + exp(ln(a) - ln(l) - {_S} * (ln(yd) - ln(ya)))) ELSE 1 END AS p,
  -ln(ya) AS a0, -{_S} / ya AS a1, 0 AS a2, 0 AS a3, -ln(yd) AS d0, -{_S} / yd AS d1, 1 / a AS d2, -1 / l AS d3 FROM
@@ -903,10 +917,10 @@ def _bodies() -> dict[str, str]:
     q["exclude_anomalies"] = "SELECT customer_id, recency_days, frequency, monetary FROM cuflag WHERE NOT is_anomaly"
 
     q["read_transactions_csv"] = q["read_transactions"]
-    # The customer itself is the first of its five nearest.
-    squared = " + ".join(f"pow(a.{c} - b.{c}, 2)" for c in ("r_scaled", "f_scaled", "m_scaled"))
-    q["knn_distance"] = f"""SELECT customer_id, {r('distance', 6)} AS distance FROM (SELECT a.customer_id, sqrt({squared}) AS distance,
- row_number() OVER (PARTITION BY a.customer_id ORDER BY {squared}) AS nth FROM scaled a, scaled b) WHERE nth = 5"""
+    q["knn_distance"] = f"SELECT customer_id, {r('distance', 6)} AS distance FROM knn"
+    q["dbscan"] = "SELECT customer_id, dbscan_cluster, is_core FROM dbs"
+    q["dbscan_summary"] = f"""SELECT count(*) AS customers, count(DISTINCT CASE WHEN dbscan_cluster <> {NOISE} THEN dbscan_cluster END) AS clusters,
+ count(*) FILTER (dbscan_cluster = {NOISE}) AS noise_points FROM dbs"""
     q["stream_clean"] = "SELECT DISTINCT * FROM lines"
     q["stream_revenue"] = f"SELECT strftime(invoice_date, '%Y-%m-%d') AS day, count(*) AS lines, {msum('total_amount')} AS revenue FROM lines GROUP BY 1"
     return q
