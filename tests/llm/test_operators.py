@@ -492,3 +492,26 @@ def test_licence_windows_against_plain_python():
         labels, best = licences_of(text.split())
         labels |= {x for x in row["base_labels"].split(",") if x}
         assert (row["labels"], row["score"]) == (",".join(sorted(labels)), best)
+
+
+def test_ordinal_fit_against_plain_maximum_likelihood():
+    """The same penalised likelihood over a dense design, climbed by plain gradient steps with numerical slopes."""
+    from patronscope.llm.fitting import Rows
+
+    rng = np.random.default_rng(21)
+    count, width, levels, ridge = 400, 3, 4, 1e-2
+    dense = rng.normal(size=(count, width)) * (rng.random((count, width)) < 0.7)
+    grade = np.searchsorted([-1.0, 0.2, 1.1], dense @ [1.5, -1.0, 0.0] + rng.logistic(size=count))
+    at = np.nonzero(dense)
+    model = ordinal_quality.fit(Rows(np.bincount(at[0], minlength=count), at[1], dense[at], width), grade, levels, ridge)
+
+    def loss(w, cuts):
+        tails = 1 / (1 + np.exp(-((dense @ w)[:, None] - cuts)))
+        bounds = np.concatenate([np.ones((count, 1)), tails, np.zeros((count, 1))], axis=1)
+        return -np.log(bounds[np.arange(count), grade] - bounds[np.arange(count), grade + 1]).mean() + ridge * (w @ w) / 2
+
+    x = np.concatenate([np.zeros(width), [-1.0, 0.0, 1.0]])
+    for _ in range(1500):
+        slope = np.array([(loss(*np.split(x + e, [width])) - loss(*np.split(x - e, [width]))) / 2e-5 for e in np.eye(len(x)) * 1e-5])
+        x -= 2.0 * slope
+    assert np.allclose(model.weights, x[:width], atol=2e-3) and np.allclose(model.thresholds, x[width:], atol=2e-3)
