@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 import re
+from functools import cache
 
 from ..functions.segments import SEGMENTS
 from ..functions.statistics import ERF_A, ERF_P, HALF_PI, SIMPSON_STEPS, normal_quantile
@@ -488,6 +489,7 @@ def _with(body: str) -> str:
     return f"WITH RECURSIVE {steps}\n{body}" if steps else body
 
 
+@cache
 def _depth(name: str) -> int:
     below = [n for n in CTE if n != name and re.search(rf"\b(FROM|JOIN|,)\s+{n}\b", CTE[name])]
     return 1 + max((_depth(n) for n in below), default=0)
