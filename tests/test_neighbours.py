@@ -84,3 +84,17 @@ def test_dbscan_without_radius_takes_full_places(spark):
     for eps in (0.0, None):
         found = {r["customer_id"]: r["dbscan_cluster"] for r in neighbours.dbscan(df, "customer_id", ["a", "b", "c"], eps).collect()}
         assert all(found[i] == i % 10 for i in range(100)) and found[200] == -1
+
+
+def test_components_end_without_the_constraints_of_their_rounds(spark):
+    nodes = spark.range(60).toDF("node")
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)], "u long, v long")
+    labels = neighbours.connected_components(nodes, edges)
+    assert labels._jdf.queryExecution().analyzed().constraints().size() == 0
+
+
+def test_visits_to_cubes_are_not_broadcast(spark, capsys):
+    df = frame(spark, clumpy())
+    placed = neighbours.sites(df, "id", COLUMNS)
+    neighbours._near(placed, placed, 1.0, 2, 1.7).explain()
+    assert "Broadcast" not in capsys.readouterr().out
