@@ -242,3 +242,28 @@ def test_forest_finds_planted_outliers_whatever_the_partitioning(spark):
         scores.append(flagged.orderBy("customer_id").select("anomaly_score", "is_anomaly").collect())
     assert scores[0] == scores[1]
     assert all(r["is_anomaly"] for r in scores[0][600:]) and all(-1 <= r["anomaly_score"] <= 0 for r in scores[0])
+
+
+def test_a_pass_of_kmeans_is_dealt_over_the_cores(spark, monkeypatch):
+    points = spark.range(5000).selectExpr("id AS customer_id", *[f"cast(id % {p} as double) / {p} AS {c}" for p, c in zip((17, 19, 23), clustering.FEATURES)])
+    tasks = []
+    whole = clustering._pass
+    monkeypatch.setattr(clustering, "_pass", lambda sites, *a, **k: tasks.append(sites.rdd.getNumPartitions()) or whole(sites, *a, **k))
+    clustering.kmeans(clustering.sites_of(points), [3], 2, 1)
+    assert min(tasks) >= spark.sparkContext.defaultParallelism
+
+
+@pytest.mark.parametrize("weight", [3, 1 << 25])
+def test_sums_of_a_pass_are_whole_numbers(weight):
+    import numpy as np
+    import pyarrow as pa
+
+    q = np.random.default_rng(1).integers(-4_000_000, 4_000_000, (5000, 3))
+    batch = pa.RecordBatch.from_arrays([*map(pa.array, q.T), pa.array(np.full(5000, weight))], ["q0", "q1", "q2", "weight"])
+    centres = q[:8].reshape(2, 4, 3)
+    added, _ = clustering._sums([centres], 3, False)
+    found = {(m, c): s for out in added(iter([batch])) for m, c, s in zip(*[out.column(n).to_pylist() for n in ("model", "cluster", "sums")])}
+    for m in range(2):
+        own = ((q[:, None, :] - centres[m]) ** 2).sum(axis=2).argmin(axis=1)
+        for c in range(4):
+            assert found[m, c] == [weight * int((own == c).sum()), *(weight * int(x) for x in q[own == c].sum(axis=0))]
