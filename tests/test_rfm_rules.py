@@ -267,3 +267,8 @@ def test_sums_of_a_pass_are_whole_numbers(weight):
         own = ((q[:, None, :] - centres[m]) ** 2).sum(axis=2).argmin(axis=1)
         for c in range(4):
             assert found[m, c] == [weight * int((own == c).sum()), *(weight * int(x) for x in q[own == c].sum(axis=0))]
+
+
+def test_orders_meet_customers_before_lines(w):
+    joins = [line for line in w.raw._jdf.queryExecution().analyzed().toString().splitlines() if "Join" in line]
+    assert "l_partkey" in joins[0] and "l_orderkey" in joins[1]
