@@ -269,6 +269,26 @@ def test_sums_of_a_pass_are_whole_numbers(weight):
             assert found[m, c] == [weight * int((own == c).sum()), *(weight * int(x) for x in q[own == c].sum(axis=0))]
 
 
+def counted(spark, df):
+    """The same rows, and an accumulator of how many rows were made for all who read them."""
+    made = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for batch in batches:
+            made.add(len(batch))
+            yield batch
+
+    return df.mapInPandas(passed, df.schema), made
+
+
+def test_funnel_reads_its_source_once(spark):
+    lines = spark.range(200).selectExpr("IF(id < 20, NULL, '1') AS customer_id", "IF(id < 50, 'C1', '1') AS invoice", "cast(id AS int) AS quantity", "id / 7.0D AS unit_price")
+    raw, made = counted(spark, lines)
+    found = {r["step"]: r["row_count"] for r in quality.cleaning_funnel(raw, 0.9).collect()}
+    assert found == {"1 null customer": 20, "2 cancelled": 30, "5 outlier": 15, "6 kept": 135}
+    assert made.value == 200
+
+
 def test_orders_meet_customers_before_lines(w):
     joins = [line for line in w.raw._jdf.queryExecution().analyzed().toString().splitlines() if "Join" in line]
     assert "l_partkey" in joins[0] and "l_orderkey" in joins[1]
