@@ -289,6 +289,12 @@ def test_funnel_reads_its_source_once(spark):
     assert made.value == 200
 
 
+def test_sample_pool_groups_its_rows_once(spark):
+    rows, made = counted(spark, spark.range(900).selectExpr("id % 300 AS id", "cast(id % 300 as double) AS x"))
+    assert anomalies.sample_pool(rows, ["x"], ["id"], 2, 42).count() == 512
+    assert made.value == 900
+
+
 def test_orders_meet_customers_before_lines(w):
     joins = [line for line in w.raw._jdf.queryExecution().analyzed().toString().splitlines() if "Join" in line]
     assert "l_partkey" in joins[0] and "l_orderkey" in joins[1]
