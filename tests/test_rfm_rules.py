@@ -269,6 +269,40 @@ def test_sums_of_a_pass_are_whole_numbers(weight):
             assert found[m, c] == [weight * int((own == c).sum()), *(weight * int(x) for x in q[own == c].sum(axis=0))]
 
 
+@pytest.mark.parametrize("with_squares", [False, True])
+def test_blocks_with_one_nearest_centre_are_added_whole(monkeypatch, with_squares):
+    import numpy as np
+    import pyarrow as pa
+
+    grid = np.stack(np.meshgrid(*[np.arange(32) * 100_000] * 3, indexing="ij"), axis=-1).reshape(8, 4, 8, 4, 8, 4, 3)
+    q = grid.transpose(0, 2, 4, 1, 3, 5, 6).reshape(-1, 3)  # cubes of 4 x 4 x 4 sites one after another
+    weight = np.arange(len(q)) % 7 + 1
+    centres = np.array([[[0, 0, 0], [3_100_000, 3_100_000, 3_100_000], [0, 0, 0]]])  # the third equals the first and stays empty
+    looked_at = []
+    nearest = clustering._nearest_two
+    monkeypatch.setattr(clustering, "_nearest_two", lambda middle, place: looked_at.append(len(middle)) or nearest(middle, place))
+    added, width = clustering._sums([centres[:, :2], centres], 3, with_squares)
+    batches = [pa.RecordBatch.from_arrays([*map(pa.array, q[i:i + 5000].T), pa.array(weight[i:i + 5000])], ["q0", "q1", "q2", "weight"])
+               for i in range(0, len(q), 5000)]
+    found = {(g, c): s for out in added(iter(batches)) for g, c, s in zip(*[out.column(n).to_pylist() for n in ("group", "cluster", "sums")])}
+    own = ((q[:, None, :] - centres[0]) ** 2).sum(axis=2).argmin(axis=1)
+    square = (q * q).sum(axis=1)
+    values = np.column_stack([weight, weight[:, None] * q, weight * (square >> 24), weight * (square & 0xFFFFFF)])[:, :width]
+    assert found == {(g, c): values[own == c].sum(axis=0).tolist() for g in range(2) for c in range(2)}
+    monkeypatch.undo()
+    looked_at.clear()
+    monkeypatch.setattr(clustering, "_nearest_two", lambda middle, place: looked_at.append(len(middle)) or nearest(middle, place))
+    list(clustering._sums([centres[:, :2]], 3, with_squares)[0](iter(batches)))
+    assert sum(looked_at) < len(q) / 2
+
+
+def test_sums_of_tasks_are_the_same_with_and_without_a_shuffle(spark, monkeypatch):
+    points = spark.range(3000).selectExpr("id AS customer_id", *[f"cast(id % {p} as double) / {p} AS {c}" for p, c in zip((17, 19, 23), clustering.FEATURES)])
+    runs = clustering.kmeans(clustering.sites_of(points), [2, 3], 2, 20)
+    monkeypatch.setattr(clustering, "DRIVER_ROWS", 0)
+    assert clustering.kmeans(clustering.sites_of(points), [2, 3], 2, 20) == runs
+
+
 def counted(spark, df):
     """The same rows, and an accumulator of how many rows were made for all who read them."""
     made = spark.sparkContext.accumulator(0)
