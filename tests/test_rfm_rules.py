@@ -332,3 +332,30 @@ def test_sample_pool_groups_its_rows_once(spark):
 def test_orders_meet_customers_before_lines(w):
     joins = [line for line in w.raw._jdf.queryExecution().analyzed().toString().splitlines() if "Join" in line]
     assert "l_partkey" in joins[0] and "l_orderkey" in joins[1]
+
+
+def test_lines_by_order_are_the_same_lines(w):
+    from patronscope.sources import retail_feed
+
+    joins = [line for line in retail_feed.raw_transactions(w.spark, w.folder, by_order=True)._jdf.queryExecution().analyzed().toString().splitlines() if "Join" in line]
+    assert "l_orderkey" in joins[0] and "l_partkey" in joins[1]
+    by_order = retail_feed.raw_transactions(w.spark, w.folder, by_order=True)
+    assert by_order.exceptAll(w.raw).count() == 0 and w.raw.exceptAll(by_order).count() == 0
+    assert w.sold.exceptAll(w.transactions.select(w.sold.columns)).count() == 0 and w.sold.count() == w.transactions.count()
+
+
+def test_customer_tables_need_no_product_texts(spark):
+    from conftest import FOLDER
+    from patronscope.plans.workspace import Workspace
+
+    fresh = Workspace(spark, FOLDER)
+    assert fresh.summary.count() and fresh.clv_summary.count()
+    assert "valid_lines" not in fresh.stage._tables
+
+
+def test_first_country_without_sorting_lines(spark):
+    lines = spark.createDataFrame([(1, "b"), (1, "a"), (1, "a"), (2, None), (2, "Z"), (3, None), (None, "c")], "customer_id long, country string")
+    found = cleaning.customers_dim(lines)
+    assert sorted((r["customer_id"] or 0, r["country"]) for r in found.collect()) == [(0, "c"), (1, "a"), (2, "Unknown"), (3, "Unknown")]
+    steps = [line for line in found._jdf.queryExecution().sparkPlan().toString().splitlines() if "Aggregate" in line]
+    assert "HashAggregate" in steps[-1]  # the one that reads the lines
