@@ -359,3 +359,30 @@ def test_first_country_without_sorting_lines(spark):
     assert sorted((r["customer_id"] or 0, r["country"]) for r in found.collect()) == [(0, "c"), (1, "a"), (2, "Unknown"), (3, "Unknown")]
     steps = [line for line in found._jdf.queryExecution().sparkPlan().toString().splitlines() if "Aggregate" in line]
     assert "HashAggregate" in steps[-1]  # the one that reads the lines
+
+
+def test_a_pass_of_kmeans_lasts_for_several_steps(spark, monkeypatch):
+    points = spark.range(4000).selectExpr("id AS customer_id", *[f"(crc32(cast(concat(id, '{c}') as binary)) % 1000003) / 250000.0 AS {c}" for c in clustering.FEATURES])
+    sites = clustering.sites_of(points).persist()
+    local = sites.toPandas()
+    place, weight = local[["q0", "q1", "q2"]].to_numpy(), local["weight"].to_numpy()
+    starts = clustering.starting_sites(sites, 2, 6, 3)
+    passes = []
+    whole = clustering._pass
+    monkeypatch.setattr(clustering, "_pass", lambda *a, **k: passes.append(1) or whole(*a, **k))
+    runs = clustering.kmeans(sites, [3, 6], 2, 500)
+    several = len(passes)
+    for k in (3, 6):
+        for r in range(2):
+            centres, cost = plain_lloyd(place, weight, np.array(starts[r][:k]))
+            assert runs[k][r].centres == tuple(map(tuple, centres.tolist())) and runs[k][r].cost == cost
+    passes.clear()
+    stopped = clustering.kmeans(sites, [6], 2, 13)  # most runs are not at their end
+    for name, value in (("OPEN_SITES", 100), ("OPEN_SITES", 0), ("STEPS_AHEAD", 0)):
+        with monkeypatch.context() as m:
+            m.setattr(clustering, name, value)
+            assert clustering.kmeans(sites, [6], 2, 13) == stopped
+    passes.clear()
+    monkeypatch.setattr(clustering, "STEPS_AHEAD", 0)
+    assert clustering.kmeans(sites, [3, 6], 2, 500) == runs
+    assert several < len(passes) / 2
