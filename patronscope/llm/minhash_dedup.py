@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from . import textarrays as ta
@@ -30,6 +30,8 @@ MIN_ESTIMATE, LEAST_PERCENT = 0.62, 80
 #: Up to this many sets in a bucket are paired directly, more by what each differs in from the bucket's hub.
 WIDE_BUCKET = 16
 FILTER_BITS = 1 << 21
+#: Counters of the changes from references, and those of a slice that is added up in one place.
+COUNTERS, SLICE = 1 << 20, 1 << 14
 _BLOCK = 1 << 15
 
 
@@ -157,6 +159,68 @@ def change_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                                pa.array(both, pa.int64()), listed], names=["node", "hub", "component", "size", "both", "changes"])
 
 
+def _counters(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The changes of each set, and their counters: those of another reference are others."""
+    for hub, changes in zip(batch.column("hub").to_pylist(), batch.column("changes")):
+        values = changes.values.to_numpy().view(np.uint64)
+        yield values, (ta.mix(values + np.frombuffer(hub[:8], np.uint64), 17) % np.uint64(COUNTERS)).astype(np.int64)
+
+
+def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many sets of a task have a change, up to 255, in slices of one byte for each counter."""
+    counts = np.zeros(COUNTERS, np.int64)
+    for batch in batches:
+        for _, at in _counters(batch):
+            np.add.at(counts, at, 1)
+    slices = np.minimum(counts, 255).astype(np.uint8).reshape(-1, SLICE)
+    used = np.flatnonzero(slices.any(axis=1))
+    yield pa.record_batch([pa.array(used.astype(np.int32)), pa.array([slices[i].tobytes() for i in used], pa.binary())], names=["slice", "counts"])
+
+
+def add_slices(table: pa.Table) -> pa.Table:
+    total = np.zeros(SLICE, np.int64)
+    for counts in table.column("counts"):
+        total += np.frombuffer(counts.as_py(), np.uint8)
+    return pa.table({"slice": table.column("slice").slice(0, 1), "counts": pa.array([np.minimum(total, 255).astype(np.uint8).tobytes()], pa.binary())})
+
+
+def _change_counts(found: DataFrame) -> np.ndarray:
+    """For each counter how many sets have a change of it, up to 255: never less than the sets that have one of these changes.
+
+    Tasks count for themselves; what they give does not grow with their rows, and nor does the table, one byte a counter.
+    """
+    slices = found.select("hub", "changes").mapInArrow(count_batches, "slice int, counts binary").groupBy("slice").applyInArrow(
+        add_slices, "slice int, counts binary").collect()  # at most COUNTERS / SLICE rows
+    table = np.zeros((COUNTERS // SLICE, SLICE), np.uint8)
+    for row in slices:
+        table[row["slice"]] = np.frombuffer(row["counts"], np.uint8)
+    return table.ravel()
+
+
+def _prefixes(found: DataFrame, min_percent: int) -> DataFrame:
+    """Of each set the changes, with their places, of which a link needs one in common: rare ones first, in one order for all
+    sets of a reference. Changes that no other set has come before them and are not kept."""
+    counts = _change_counts(found)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, changes, places = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            for i, ((values, at), size) in enumerate(zip(_counters(batch), batch.column("size").to_pylist())):
+                sets = counts[at]
+                place = np.arange(min(len(values), (100 - min_percent) * size // min_percent + 1))
+                order = np.lexsort((values, sets))[:len(place)]
+                shared = sets[order] > 1
+                rows.append(np.full(int(shared.sum()), i))
+                changes.append(values[order[shared]])
+                places.append(place[shared])
+            kept = batch.select(["hub", "node", "component", "size", "n", "near"]).take(pa.array(np.concatenate(rows)))
+            yield pa.record_batch([*kept.columns, pa.array(np.concatenate(changes).view(np.int64)), pa.array(np.concatenate(places))],
+                                  names=[*kept.schema.names, "change", "place"])
+
+    return staged(found.mapInArrow(
+        first, "hub binary, node binary, component binary, size bigint, n int, near boolean, change bigint, place bigint"), "prefixes")
+
+
 def _likely(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     """Distinct pairs (a, b) with their estimate, where it allows a link."""
     side = lambda name: sketches.select(F.col("node").alias(name), F.col("sketch").alias(f"sketch_{name}"))
@@ -213,8 +277,8 @@ def _change_pairs(rows: DataFrame, hubs: DataFrame, texts: DataFrame, min_percen
 
     Let a set's changes be the shingles that it or the reference has, not both. The difference of two sets is that of
     their changes, so a link needs so many changes in common that the rarest few of each must share one: a set-similarity
-    join of short sets, with prefix and position filters, each change ordered by its frequency in the family. That holds for
-    any reference. Two linked sets without a common change are both linked with the reference, and meet there.
+    join of short sets, with prefix and position filters, each change ordered by how many sets of the family have it, as far as a
+    bounded table of counters tells. That holds for any reference and any order. Two linked sets without a common change are both linked with the reference, and meet there.
     """
     apart, whole = 100 - min_percent, 100 + min_percent
     members = _families(rows, hubs).where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"), "component")
@@ -222,12 +286,7 @@ def _change_pairs(rows: DataFrame, hubs: DataFrame, texts: DataFrame, min_percen
         change_batches, "node binary, hub binary, component binary, size bigint, both bigint, changes array<bigint>")
     found = staged(found.withColumn("n", F.size("changes")).withColumn("near", whole * F.col("n") <= apart * F.col("both")), "changes")
 
-    each = found.select("hub", "node", "component", "size", "n", "near", F.explode("changes").alias("change"))
-    shared = each.groupBy("hub", "change").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
-    own = Window.partitionBy("hub", "node")  # the changes of one set; those that no other set has come first and are not kept
-    place = F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("sets", "change")) - 1
-    prefixes = staged(each.join(shared, ["hub", "change"]).withColumn("place", place)
-                      .where(min_percent * F.col("place") <= apart * F.col("size")).drop("sets"), "prefixes")
+    prefixes = _prefixes(found, min_percent)
     x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
     left = F.least(x("n") - x("place"), y("n") - y("place"))
     enough = 2 * whole * left >= whole * (x("n") + y("n")) - apart * (x("size") + y("size"))

@@ -255,6 +255,34 @@ def test_near_duplicates_against_all_pairs(spark, monkeypatch):
         assert [found[i]["n_shingles"] for i in range(len(texts))] == [len(shingles(t)) for t in texts]
 
 
+def test_changes_are_cut_to_prefixes_in_the_tasks(spark):
+    rng = np.random.default_rng(3)
+    common, sets = rng.integers(-2**62, 2**62, 12), {}
+    for i in range(40):  # 10 changes that no other set has, and up to twelve that some have
+        sets[bytes([i] * 16)] = (bytes([i % 2] * 8 + [9] * 8), 40 + i, [*rng.integers(-2**62, 2**62, 10).tolist(), *common[:1 + i % 12].tolist()])
+    found = spark.createDataFrame(
+        [(node, hub, node, size, 2 * size, changes, len(changes), False) for node, (hub, size, changes) in sets.items()],
+        "node binary, hub binary, component binary, size bigint, both bigint, changes array<bigint>, n int, near boolean").repartition(5)
+    prefixes = minhash_dedup._prefixes(found, 80).collect()
+    often = {(h, c): sum(h == hub and c in changes for hub, _, changes in sets.values()) for h, _, own in sets.values() for c in own}
+    wanted = set()
+    for node, (hub, size, changes) in sets.items():
+        ordered = sorted(changes, key=lambda c: (often[hub, c], c % 2**64))
+        wanted |= {(hub, node, c, place) for place, c in enumerate(ordered) if 80 * place <= 20 * size and often[hub, c] > 1}
+    assert {(bytes(r["hub"]), bytes(r["node"]), r["change"], r["place"]) for r in prefixes} == wanted and len(prefixes) == len(wanted)
+    assert len(prefixes) < sum(len(changes) for *_, changes in sets.values()) / 2
+
+
+def test_few_counters_lose_no_link(spark, monkeypatch):
+    texts = near_copies(np.random.default_rng(8), 25)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    monkeypatch.setattr(minhash_dedup, "WIDE_BUCKET", 0)
+    found = minhash_dedup.near_duplicates(docs).select("doc_id", "component_id").orderBy("doc_id").collect()
+    monkeypatch.setattr(minhash_dedup, "COUNTERS", 8)
+    monkeypatch.setattr(minhash_dedup, "SLICE", 4)
+    assert minhash_dedup.near_duplicates(docs).select("doc_id", "component_id").orderBy("doc_id").collect() == found
+
+
 def test_near_duplicates_of_odd_rows(odd_docs, no_docs):
     rows = minhash_dedup.near_duplicates(odd_docs).collect()
     assert len(rows) == odd_docs.count()
