@@ -149,3 +149,14 @@ def test_shared_aggregates_have_no_customer_window(w):
     for df in (cleaning.customers_dim(w.valid), cleaning.products_dim(w.lines)):
         assert "Window" not in df._jdf.queryExecution().executedPlan().toString()
     assert w.summary.where(F.col("total_orders") < 1).count() == 0
+
+
+def test_a_second_stage_leaves_the_files_of_the_first(spark):
+    from patronscope.sources.tables import Stage
+
+    first, second = Stage(spark, "twice"), Stage(spark, "twice")
+    kept = first.table("rows", lambda: spark.range(3).toDF("n"))
+    assert second.table("rows", lambda: spark.range(5).toDF("n")).count() == 5 and kept.count() == 3
+    path = second.path("rows")
+    del second
+    assert Stage(spark, "twice").path("rows") == path
