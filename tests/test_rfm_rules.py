@@ -386,3 +386,24 @@ def test_a_pass_of_kmeans_lasts_for_several_steps(spark, monkeypatch):
     monkeypatch.setattr(clustering, "STEPS_AHEAD", 0)
     assert clustering.kmeans(sites, [3, 6], 2, 500) == runs
     assert several < len(passes) / 2
+
+
+def test_only_borders_of_centres_that_move_are_left_open():
+    q = np.random.default_rng(3).integers(-4_000_000, 4_000_000, (6000, 3))
+    q[:, 1:] //= 100  # nearly a line
+    weight = np.ones(len(q), np.int64)
+    centres = np.array([[-3_000_000, 0, 0], [0, 0, 0], [3_000_000, 0, 0]])
+    ways = np.array([1_000.0, 1_000.0, 100_000.0])
+    order = np.argsort(q[:, 0])
+    q, total = q[order], np.zeros((3, 4), np.int64)
+    at, reached = clustering._descend(clustering._levels(q, weight, False), centres, total, ways, len(q))
+    assert reached == 1 and total[:, 0].sum() + len(at) == len(q)
+    assert (q[at, 0] > 1_000_000).sum() > 10 * (q[at, 0] < -1_000_000).sum()
+    owner = lambda c: ((q[:, None, :] - c) ** 2).sum(axis=2).argmin(axis=1)
+    for move in ([1000, 0, 0], [-1000, 0, 0]), ([1000, 0, 0], [-100_000, 0, 0]), ([-1000, 0, 0], [100_000, 0, 0]):
+        changed = np.flatnonzero(owner(centres) != owner(centres + np.array([move[0], move[0], move[1]])))
+        assert set(changed) <= set(at)
+    few, part = clustering._descend(clustering._levels(q, weight, False), centres, np.zeros((3, 4), np.int64), ways, len(at) // 4)
+    assert len(few) == len(at) // 4 and 0 < part < 1 and set(few) <= set(at)
+    nearer = owner(centres + np.array([[0, 0, 0], [0, 0, 0], [-int(100_000 * part), 0, 0]]))
+    assert set(np.flatnonzero(owner(centres) != nearer)) <= set(few)
