@@ -82,23 +82,30 @@ def rake(cells: DataFrame, keep: float = KEEP, targets: dict[str, dict[str, floa
     that the expected tokens of each value become ``keep`` times its goal. Where the goals of several dimensions cannot be
     met together at that size, a sweep does not come much nearer than the last one, and ``keep`` is lowered by a
     twentieth. It ends when every value is within TOLERANCE of its goal, or after SWEEPS. Each step is one aggregate and
-    one join of the written cells.
+    one join of the written cells, by whole numbers that stand for the values: such a join keeps a table of its own size in
+    the memory of every executor, one by text keeps a page of many megabytes until the driver lets go of it.
     """
     total = cells.agg(F.sum("tokens")).first()[0] or 1
     cells = staged(cells.withColumn("share", F.col("tokens") / F.lit(float(total))).withColumn("r", F.lit(keep)).withColumn("off", F.lit(0.0)), "shares")
-    wanted = goals(cells, keep, targets, temper)
+    wanted = staged(goals(cells, keep, targets, temper).withColumn("id", F.monotonically_increasing_id()), "wanted")
     dimensions = [*targets, *[d for d in temper if d not in targets]]
+    columns = cells.columns
+    for d in dimensions:  # a value without tokens has no goal and gets no number
+        cells = cells.join(wanted.where(F.col("dim") == d).select(F.col("value").alias(d), F.col("id").alias(f"{d}_id"), F.col("goal").alias(f"{d}_goal")), d, "left")
+    cells = staged(cells.select(*columns, *[f"{d}_{x}" for d in dimensions for x in ("id", "goal")]), "numbered")
     before, scale = None, 1.0
     for _ in range(SWEEPS):
         for d in dimensions:
             r = F.col("r") * F.lit(scale)
-            own = cells.groupBy(d).agg(F.sum(F.when(r >= FULL, F.col("share")).otherwise(0.0)).alias("full"), F.sum(F.when(r >= FULL, 0.0).otherwise(F.col("share") * r)).alias("free"))
+            own = cells.groupBy(f"{d}_id").agg(
+                F.sum(F.when(r >= FULL, F.col("share")).otherwise(0.0)).alias("full"),
+                F.sum(F.when(r >= FULL, 0.0).otherwise(F.col("share") * r)).alias("free"), F.max(f"{d}_goal").alias("goal"))
             want, sum_ = F.col("goal") * F.lit(keep), F.col("full") + F.col("free")
             factor = F.when(sum_ > want, want / sum_).when(F.col("free") > 0, (want - F.col("full")) / F.col("free")).otherwise(1.0)
             off = F.abs(sum_ - want) / F.greatest(F.lit(TOLERANCE) * want, F.lit(TOLERANCE / 10 * keep))
-            step = own.join(wanted.where(F.col("dim") == d).select(F.col("value").alias(d), "goal"), d).select(d, factor.alias("factor"), off.alias("step_off"))
+            step = own.select(f"{d}_id", factor.alias("factor"), off.alias("step_off"))
             r = F.when(F.col("factor").isNull(), 0.0).when((r >= FULL) & (F.col("factor") > 1), 1.0).otherwise(F.least(F.lit(1.0), r * F.col("factor")))
-            cells = staged(cells.join(step, d, "left").select(
+            cells = staged(cells.join(step, f"{d}_id", "left").select(
                 *[x for x in cells.columns if x not in ("r", "off")], r.alias("r"),
                 F.greatest("off" if d != dimensions[0] else F.lit(0.0), F.coalesce("step_off", F.lit(0.0))).alias("off")), "cells")
             scale = 1.0
@@ -108,7 +115,7 @@ def rake(cells: DataFrame, keep: float = KEEP, targets: dict[str, dict[str, floa
         if before is not None and off > STALLED * before:
             keep, scale = keep * SMALLER, SMALLER
         before = off
-    return cells.drop("off").withColumn("probability", F.round(F.col("r") * F.lit(scale), 9)).drop("r"), keep
+    return cells.select(*[x for x in columns if x not in ("r", "off")], F.round(F.col("r") * F.lit(scale), 9).alias("probability")), keep
 
 
 def mix(docs: DataFrame, topic: Column | None = None, keep: float = KEEP, seed: str = SEED) -> DataFrame:

@@ -543,3 +543,20 @@ def test_ordinal_fit_against_plain_maximum_likelihood():
         slope = np.array([(loss(*np.split(x + e, [width])) - loss(*np.split(x - e, [width]))) / 2e-5 for e in np.eye(len(x)) * 1e-5])
         x -= 2.0 * slope
     assert np.allclose(model.weights, x[:width], atol=2e-3) and np.allclose(model.thresholds, x[width:], atol=2e-3)
+
+
+def test_raking_joins_by_whole_numbers(spark, monkeypatch):
+    cells = spark.createDataFrame([("a", "en", "prose", 70), ("a", "de", "long", 20), ("b", "fr", "prose", 10), ("c", "es", "short", 0)],
+                                  "source string, lang string, topic string, tokens long")
+    plans, whole = [], mixing.staged
+
+    def staged(df, label):
+        if label == "cells":
+            plans.append([x for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in x])
+        return whole(df, label)
+
+    monkeypatch.setattr(mixing, "staged", staged)
+    raked, _ = mixing.rake(cells)
+    assert plans and all(len(joins) == 1 and "_id#" in joins[0] for joins in plans)
+    found = {(r["source"], r["lang"]): r["probability"] for r in raked.collect()}
+    assert len(found) == 4 and found["c", "es"] == 0 and all(0 < p <= 1 for key, p in found.items() if key != ("c", "es"))
