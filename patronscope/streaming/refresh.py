@@ -1,27 +1,29 @@
 """Incremental refresh with Structured Streaming: new invoice files are cleaned and merged into sinks by day.
 
 A sink is a Parquet table partitioned by date (lines by day; daily totals, one row a day, by month), and it is all the state
-there is: every arriving batch reads and writes the partitions that it has lines of, however old they are. Nothing is ever too
-late, nothing outside these partitions is read or rewritten, and no state grows with the history. A batch that is tried again
-after a failure changes nothing twice.
+that lasts: a refresh reads and writes the partitions that it has lines of, however old they are. Nothing is ever too late,
+nothing outside these partitions is read or rewritten, and no state grows with the history. Totals are merged batch by batch,
+lines once for all batches of a refresh. A batch that is tried again after a failure changes nothing twice.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.numeric import amount, units
 from ..operators.cleaning import clean_sql_rules
 from ..session import enable_checkpoints
-from ..sources.tables import overwrite_partitions
+from ..sources.tables import overwrite_partitions, read_intermediate, remove
 from ..sources.transactions import RAW_SCHEMA
 
 DAY, MONTH = "day", "month"
 REVENUE_SCHEMA = f"{DAY} string, lines bigint, units bigint, batch bigint, {MONTH} string"
+#: Lines of one day that go to one task; a day with more is dealt to several.
+DAY_LINES = 1_000_000
 
 
 def raw_stream(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
@@ -50,25 +52,69 @@ def _touched(sink: DataFrame, arrived: DataFrame, by: str) -> DataFrame:
     return sink.where(F.col(by).isin(dates))
 
 
-def merge_lines(arrived: DataFrame, path: str) -> None:
-    """Add the lines of ``arrived`` that the sink does not have yet; exact repeats are one line, whenever they come.
+def _lines_by_day(lines: DataFrame) -> Counter:
+    return Counter({r[DAY]: r["count"] for r in lines.groupBy(DAY).count().collect()})  # one row a date
+
+
+def _distinct(lines: DataFrame) -> DataFrame:
+    """Each line once, ``stored`` if one of its copies is."""
+    return lines.groupBy(*[c for c in lines.columns if c != "stored"]).agg(F.max("stored").alias("stored"))
 
-    The sink's own days are compared, so a batch that was already written adds nothing.
+
+def _add_lines(lines: DataFrame, path: str) -> None:
+    """Add cleaned lines that the sink does not have yet; exact repeats are one line, whenever they come.
+
+    The sink's own days are compared, so lines that were already written are not added again. Lines are dealt by day, once for
+    the comparison and the writing: few files, and no day is a bottleneck, as one with very many lines goes to several tasks.
+    Its copies, which cannot be parted, meet before that where they are read.
     """
-    spark, fresh = arrived.sparkSession, valid_lines(arrived).dropDuplicates().persist()
+    spark, columns = lines.sparkSession, lines.columns
+    lines.limit(0).write.mode("append").partitionBy(DAY).parquet(path)  # the folder exists from the first batch on
+    counts = _lines_by_day(lines)
+    known = spark.read.schema(lines.schema).parquet(path).where(F.col(DAY).isin(list(counts))).select(columns)
+    found, stored = lines.withColumn("stored", F.lit(False)), _lines_by_day(known)
+    if stored:
+        found = found.unionByName(known.withColumn("stored", F.lit(True)))
+    crowded: dict[int, list[str]] = {}
+    for day, count in (counts + stored).items():
+        if parts := count // DAY_LINES:
+            crowded.setdefault(2 ** parts.bit_length(), []).append(day)
+    by = [DAY]
+    if crowded:
+        part, many = F.lit(0), F.col(DAY).isin(sum(crowded.values(), []))
+        for parts, days in crowded.items():
+            part = F.when(F.col(DAY).isin(days), F.pmod(F.xxhash64(*columns), F.lit(parts))).otherwise(part)
+        found = found.where(~many).unionByName(_distinct(found.where(many))).withColumn("part", part)
+        by = [DAY, "part"]  # not without need: a constant here would have Spark deal the lines again, by all columns
+    fresh = _distinct(found.repartition(*by)).where("NOT stored").select(columns)
+    fresh.write.mode("append").partitionBy(DAY).parquet(path)
+
+
+def merge_lines(arrived: DataFrame, path: str) -> None:
+    """Clean ``arrived`` and add the lines that the sink does not have yet."""
+    fresh = valid_lines(arrived).persist()
     try:
-        fresh.limit(0).write.mode("append").partitionBy(DAY).parquet(path)  # the folder exists from the first batch on
-        known = _touched(spark.read.schema(fresh.schema).parquet(path), fresh, DAY)
-        same: Column = reduce(lambda a, b: a & b, [fresh[c].eqNullSafe(known[c]) for c in fresh.columns])
-        # Rows of a day go to one task, or to several where it has very many: few files, and no day is a bottleneck.
-        fresh.join(known, same, "left_anti").hint("rebalance", DAY).write.mode("append").partitionBy(DAY).parquet(path)
+        _add_lines(fresh, path)
     finally:
         fresh.unpersist()
 
 
 def refresh_lines(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Clean what has arrived and keep each distinct line once, in a sink by day."""
-    return _run(stream, lambda batch, _: merge_lines(batch, path), checkpoint)
+    """Clean what has arrived and keep each distinct line once, in a sink by day.
+
+    A batch puts its cleaned lines aside under its number, so one that is tried again replaces itself. What is aside meets the
+    sink once, after the last batch: work grows with the lines, and not with the batches times the sink. After a failure
+    it waits for the next refresh.
+    """
+    spark, aside, form = stream.sparkSession, f"{checkpoint}/arrived", valid_lines(stream)
+    query = _run(stream, lambda batch, number: valid_lines(batch).write.mode("overwrite").parquet(f"{aside}/number={number}"), checkpoint)
+    try:
+        lines = read_intermediate(spark, aside, schema=form.schema)
+    except FileNotFoundError:  # nothing has arrived
+        return query
+    _add_lines(lines.select(form.columns), path)
+    remove(spark, aside)
+    return query
 
 
 def merge_revenue(arrived: DataFrame, batch: int, path: str) -> None:

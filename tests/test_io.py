@@ -87,6 +87,62 @@ def test_stream_keeps_lines_of_any_lateness(spark, tmp_path):
     assert spark.read.parquet(out).count() == 9
 
 
+def test_a_refresh_writes_a_day_once_for_all_its_batches(spark, tmp_path):
+    """Each batch has lines of every day; a sink that is read and written batch by batch costs the square of their number."""
+    source, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    for i in range(5):
+        drop_file(spark, source, [line(i, 0), line(i, 1), line(99, 1)])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else tasks this small become one
+    try:
+        refresh.refresh_lines(refresh.raw_stream(spark, source, 1), out, mark)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list(Path(mark, "commits").glob("[0-9]*"))) == 5
+    assert sorted(f.split("/")[0] for f in parquet_files(out)) == ["day=2023-01-01", "day=2023-01-02"]
+    assert spark.read.parquet(out).count() == 11 and not parquet_files(Path(mark))
+
+
+def test_a_refresh_that_failed_is_made_good_by_the_next(spark, tmp_path, monkeypatch):
+    source, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    run = lambda: refresh.refresh_lines(refresh.raw_stream(spark, source, 1), out, mark)
+    invoices = lambda: sorted(r["invoice"] for r in spark.read.parquet(out).collect())
+    Path(source).mkdir()
+    run()  # nothing has arrived
+    assert not Path(out).exists()
+    drop_file(spark, source, [line(1, 0), line(2, 1)])
+    with monkeypatch.context() as m:
+        m.setattr(refresh, "_add_lines", lambda lines, path: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run()
+    drop_file(spark, source, [line(1, 0), line(3, 1)])
+    with monkeypatch.context() as m:
+        m.setattr(refresh, "remove", lambda spark, path: None)
+        run()
+    assert invoices() == ["1", "2", "3"]
+    run()  # what was put aside is there still, and is in the sink already
+    assert invoices() == ["1", "2", "3"] and not parquet_files(Path(mark))
+
+
+def test_days_and_lines_of_very_many_copies_go_to_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(refresh, "DAY_LINES", 10)
+    source, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    blank = (*line(70, 0)[:2], None, *line(70, 0)[3:7], None)
+    undated = (*line(80, 0)[:4], None, *line(80, 0)[5:])
+    drop_file(spark, source, [*(line(i, 0) for i in range(60)), *[line(99, 1)] * 50, line(3, 2), blank, blank, undated, undated])
+    wanted = [*map(str, range(60)), "70", "80", "99", "3"]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else tasks this small become one
+    try:
+        refresh.refresh_lines(refresh.raw_stream(spark, source, 1), out, mark)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted(r["invoice"] for r in spark.read.parquet(out).collect()) == sorted(wanted)
+    files = lambda day: len([f for f in parquet_files(out) if f"day={day}/" in f])
+    assert files("2023-01-01") > 1 and [files(d) for d in ("2023-01-02", "2023-01-03", "none")] == [1, 1, 1]
+    drop_file(spark, source, [line(100, 0), line(3, 2), blank, undated])
+    refresh.refresh_lines(refresh.raw_stream(spark, source, 1), out, mark)
+    assert sorted(r["invoice"] for r in spark.read.parquet(out).collect()) == sorted([*wanted, "100"])
+
+
 def test_stream_revenue_touches_arriving_months_only(spark, tmp_path):
     source, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
     rows = lambda: {r["day"]: (r["lines"], r["revenue"]) for r in refresh.daily_revenue(spark, out).collect()}
